@@ -8,7 +8,7 @@ from terrarank.plans.analog import (
 )
 from terrarank.plans.sqlparts import (
     COMP_COLS, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
-    index_prefix, inlist, master_ctes, norm_ctes, q, subindex_cols,
+    index_prefix, inlist, sql_quantile, master_ctes, norm_ctes, q, subindex_cols,
 )
 
 NUM_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -258,9 +258,10 @@ def _histogram():
 
 
 def _box():
-    return (f"{index_prefix()} SELECT region, ROUND(MIN(score), 6) AS min, ROUND(MAX(score), 6) AS max, "
-            f"COUNT(score) AS n, ROUND(quantile_cont(score, 0.25), 6) AS q1, ROUND(quantile_cont(score, 0.5), 6) AS median, "
-            f"ROUND(quantile_cont(score, 0.75), 6) AS q3 FROM ranking WHERE region IS NOT NULL GROUP BY region")
+    return (f"{index_prefix()} SELECT region, MIN(score) AS min, MAX(score) AS max, "
+            f"COUNT(score) AS n, {sql_quantile('score', 0.25)} AS q1, "
+            f"{sql_quantile('score', 0.5)} AS median, "
+            f"{sql_quantile('score', 0.75)} AS q3 FROM ranking WHERE region IS NOT NULL GROUP BY region")
 
 
 def _group_summary():

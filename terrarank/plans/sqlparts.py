@@ -120,10 +120,19 @@ def master_ctes(ref_year: int = REF_YEAR, change_start: int = CHANGE_START) -> s
 IND = [i.name for i in DEFAULT_INDICATORS]
 
 
+def sql_quantile(col: str, p: float) -> str:
+    """Exact linear-interpolated quantile of ``col`` (aggregate context)."""
+    lst = f"list_sort(list({col}) FILTER (WHERE {col} IS NOT NULL))"
+    pos = f"({p} * (len({lst}) - 1))"
+    v1 = f"{lst}[CAST(floor({pos}) AS BIGINT) + 1]"
+    v2 = f"{lst}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    return f"({v1} + ({v2} - {v1}) * ({pos} - floor({pos})))"
+
+
 def norm_ctes(indicators=DEFAULT_INDICATORS) -> str:
     """o (oriented) → st (median/min/max) → nm (normalised) over ``master``."""
     o_cols = ", ".join(f"{'-' if i.direction == -1 else ''}CAST({i.name} AS DOUBLE) AS {i.name}" for i in indicators)
-    st_cols = ", ".join(f"median({i.name}) AS med_{i.name}, MIN({i.name}) AS lo_{i.name}, MAX({i.name}) AS hi_{i.name}"
+    st_cols = ", ".join(f"{sql_quantile(i.name, 0.5)} AS med_{i.name}, MIN({i.name}) AS lo_{i.name}, MAX({i.name}) AS hi_{i.name}"
                         for i in indicators)
     nm_cols = ", ".join(
         f"CASE WHEN st.hi_{i.name} = st.lo_{i.name} THEN 0.0 ELSE "
