@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from terrarank.config import DEFAULT_INDICATORS, ECONOMY_SUBINDEX, ENVIRONMENT_SUBINDEX, Indicator
 from terrarank.operators.rank import rank_desc
-from terrarank.operators.stats import EXACT_THRESHOLD, exact_quantiles
+from terrarank.operators.stats import EXACT_THRESHOLD, exact_quantiles, quantile_aggs
 
 EPS_SHIFT = 1e-6  # fixed value: shift before the entropy normalisation
 EPS_LOG = 1e-10   # fixed value: offset inside the logarithm
@@ -155,11 +155,17 @@ def fit_index(
         raise ValueError("no index indicator present")
     o = df.select(*[oriented(i).alias(i.name) for i in present])
     n_rows = df.count()
-    q = exact_quantiles(o, [i.name for i in present], [0.5], method=quantile_method,
-                        exact_threshold=exact_threshold, n_rows=n_rows).collect()
-    med = {r["column"]: r["value"] for r in q}
-    mm_row = o.agg(*[F.min(i.name).alias(f"lo_{i.name}") for i in present],
-                   *[F.max(i.name).alias(f"hi_{i.name}") for i in present]).collect()[0]
+    pnames = [i.name for i in present]
+    mm = [F.min(c).alias(f"lo_{c}") for c in pnames] + [F.max(c).alias(f"hi_{c}") for c in pnames]
+    use_direct = quantile_method == "direct" or (quantile_method == "auto" and n_rows <= exact_threshold)
+    if use_direct:
+        # medians, minima and maxima in ONE aggregate
+        mm_row = o.agg(*mm, *quantile_aggs(pnames, [0.5])).collect()[0]
+        med = {c: mm_row[f"_q{i}_0"] for i, c in enumerate(pnames)}
+    else:
+        mm_row = o.agg(*mm).collect()[0]
+        q = exact_quantiles(o, pnames, [0.5], method="bracket", n_rows=n_rows).collect()
+        med = {r["column"]: r["value"] for r in q}
     # An all-NULL indicator has no median: it is treated as missing.
     used = [i for i in present if med.get(i.name) is not None]
     if not used:

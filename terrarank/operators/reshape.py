@@ -127,6 +127,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
+    if not order_by and len(rest) == 1:
+        # a single value column: its smallest value, as a plain hash aggregate
+        return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0]))
     order = list(order_by) if order_by else rest
     picked = df.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_first")

@@ -7,18 +7,17 @@ Spark's exact ``percentile``/``median`` aggregate keeps every distinct value of
 a group in one buffer, which at scale is one task holding a whole column. Above
 ``exact_threshold`` rows we use a two-pass exact method instead:
 
-0. below the threshold: per-value counts, a cumulative window per
-   (group, column) and the order statistics (still exact, one sort);
-1. above it, one aggregate computes, per (group, column), the count and approximate
+1. one aggregate computes, per (group, column), the count and approximate
    percentiles just below and above each target (bounded-memory sketches);
 2. one aggregate counts rows below the bracket, rows above it, and each
    distinct value inside it; a window over that small result walks the
    cumulative counts to the exact order statistics.
 
 The bracket only needs to contain the target ranks; this is verified, and a
-bracket that misses falls back to path 0 for that case. Results are the
-linear interpolation ``v1 + (v2 - v1) * frac`` between the order statistics
-at ``p·(n-1)`` (midpoint median).
+bracket that misses falls back to the exact aggregate for that case. Both
+paths interpolate between the order statistics at ``pos = (n-1)·p`` as
+``(ceil(pos) - pos)·v1 + (pos - floor(pos))·v2`` (Spark's formula), so they
+agree bit for bit.
 """
 
 from __future__ import annotations
@@ -45,26 +44,17 @@ def _long_form(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) ->
             .where(F.col("_v").isNotNull()))
 
 
+def quantile_aggs(cols: Sequence[str], probs: Sequence[float], prefix: str = "_q") -> list:
+    """Exact quantile aggregate expressions (Spark's ``percentile``) for use
+    inside a larger aggregate; only for inputs under the exact threshold."""
+    return [F.percentile(F.col(c).cast("double"), float(p)).alias(f"{prefix}{i}_{j}")
+            for i, c in enumerate(cols) for j, p in enumerate(probs)]
+
+
 def _exact_direct(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str]) -> DataFrame:
-    """Order statistics from per-value counts: one aggregate (ties collapse
-    map-side), a cumulative window per (group, column), one aggregate."""
-    keys = [*group_cols, "_c"]
-    cnt = long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    w_cum = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys)
-    c = cnt.select(*keys, "_v", F.sum("cnt").over(w_cum).alias("cum"), F.sum("cnt").over(w_all).alias("_n"))
-    aggs = [F.first("_n").alias("_n")]
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        aggs += [F.min(F.when(F.col("cum") >= F.floor(pos) + 1, F.col("_v"))).alias(f"_a{i}"),
-                 F.min(F.when(F.col("cum") >= F.ceil(pos) + 1, F.col("_v"))).alias(f"_b{i}")]
-    st = c.groupBy(*keys).agg(*aggs)
-    rows = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        frac = pos - F.floor(pos)
-        rows.append(F.struct(F.lit(float(p)).alias("prob"),
-                             (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * frac).alias("value")))
+    aggs = [F.count("_v").alias("_n")] + [F.percentile("_v", float(p)).alias(f"_q{i}") for i, p in enumerate(probs)]
+    st = long.groupBy(*group_cols, "_c").agg(*aggs)
+    rows = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"_q{i}").alias("value")) for i, p in enumerate(probs)]
     return (st.select(*group_cols, "_c", "_n", F.explode(F.array(*rows)).alias("_r"))
             .select(*group_cols, F.col("_c").alias("column"), F.col("_n").alias("n"), "_r.prob", "_r.value"))
 
@@ -83,12 +73,12 @@ def _bracketed(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str
     tgt = []
     for i, p in enumerate(probs):
         lo_i, hi_i = lv[min(1.0, max(0.0, p - delta))], lv[min(1.0, max(0.0, p + delta))]
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        pos = (F.col("_n") - 1) * F.lit(float(p))
         tgt.append(F.struct(
             F.lit(i).alias("pi"), F.lit(float(p)).alias("prob"),
             F.col("_ap")[lo_i].alias("lo"), F.col("_ap")[hi_i].alias("hi"),
             (F.floor(pos) + 1).cast("long").alias("r1"), (F.ceil(pos) + 1).cast("long").alias("r2"),
-            (pos - F.floor(pos)).alias("frac"),
+            pos.alias("pos"),
         ))
     targets = st.select(*keys, "_n", F.explode(F.array(*tgt)).alias("_t")).select(*keys, "_n", "_t.*")
     # The target table has (#groups × #columns × #probs) rows: small by
@@ -110,7 +100,9 @@ def _bracketed(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str
     )
     res = targets.join(picked, on=[*keys, "pi"], how="left")
     ok = (F.coalesce(F.col("below"), F.lit(0)) < F.col("r1")) & F.col("v2").isNotNull()
-    value = F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("frac")
+    lower, higher = F.floor("pos"), F.ceil("pos")
+    value = F.when((lower == higher) | (F.col("v1") == F.col("v2")), F.col("v1")).otherwise(
+        (higher - F.col("pos")) * F.col("v1") + (F.col("pos") - lower) * F.col("v2"))
     out = res.select(*group_cols, F.col("_c").alias("column"), F.col("_n").alias("n"), "prob",
                      F.when(ok, value).alias("value"), ok.alias("_ok"))
     out = out.persist()

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrarank.config import NATIVE_VEGETATION_CODES, YEAR_GATE_MIN_ROWS
-from terrarank.operators.composition import composition_as_of, composition_panel, temporal_change
+from terrarank.config import YEAR_GATE_MIN_ROWS
+from terrarank.operators.composition import composition_panel, resolve_year
 from terrarank.operators.joins import derived_indicators, left_enrich, outer_join_coalesced, spine_join
 from terrarank.operators.reshape import dedup_first
 
@@ -35,30 +35,62 @@ def _year_slice(df: DataFrame | None, key: str, year: str, ref_year: int, cols:
     return dedup_first(sl, [key])
 
 
+def land_panel(landuse: DataFrame, groups: Mapping[str, Sequence], key: str = "entity_key",
+               year: str = "year", class_col: str = "class_code", measure: str = "area") -> DataFrame:
+    """The class table aggregated ONCE to (key, year) composition.
+
+    The as-of composition, the change between two years and the yearly fact
+    are all derived from this panel, so the (large) class table is scanned
+    and shuffled a single time.
+    """
+    return composition_panel(landuse, key, year, class_col, measure, groups)
+
+
+def change_from_panel(panel: DataFrame, year_start: int, year_end: int, key: str = "entity_key",
+                      year: str = "year", group: str = "native") -> DataFrame:
+    """Share change between two years from a (key, year) panel.
+
+    A key without a panel row in a year has a NULL share for that year, as
+    in ``composition.temporal_change`` on the raw rows.
+    """
+    share = f"pct_{group}"
+    y = F.col(year)
+    c0, c1 = f"pct_{group}_{year_start}", f"pct_{group}_{year_end}"
+    agg = panel.where(y.isin(year_start, year_end)).groupBy(key).agg(
+        F.max(F.when(y == year_start, F.col(share))).alias(c0),
+        F.max(F.when(y == year_end, F.col(share))).alias(c1),
+    )
+    change = F.col(c1) - F.col(c0)
+    return agg.select(key, c0, c1, change.alias(f"{group}_change_pp"),
+                      (change / F.nullif(F.col(c0), F.lit(0)) * 100).alias(f"{group}_change_rate_pct"))
+
+
 def base_indicators(
     dim: DataFrame,
     gdp: DataFrame,
     pop: DataFrame,
-    landuse: DataFrame | None,
-    groups: Mapping[str, Sequence],
+    panel: DataFrame | None,
     ref_year: int,
     crops: DataFrame | None = None,
     herd: DataFrame | None = None,
     key: str = "entity_key",
     year: str = "year",
-    class_col: str = "class_code",
-    measure: str = "area",
 ) -> tuple[DataFrame, int | None]:
-    """Entity dimension LEFT JOIN the reference-year slices and the composition
-    of the as-of land-use year, plus derived indicators. Returns (frame, as-of year)."""
+    """Entity dimension LEFT JOIN the reference-year slices and the land
+    composition of the as-of year, plus derived indicators.
+
+    Returns (frame, as-of year). ``panel`` is the (key, year) composition from
+    ``land_panel`` (persist it when it is reused).
+    """
     pop_y = _year_slice(pop, key, year, ref_year, ["population"])
     gdp_y = _year_slice(gdp, key, year, ref_year, ["gdp_k"])
     crops_y = _year_slice(crops, key, year, ref_year,
                           [c for c in (crops.columns if crops is not None else []) if c not in (key, year, "name")])
     herd_y = _year_slice(herd, key, year, ref_year, ["herd_total"])
-    comp, mb_year = (None, None)
-    if landuse is not None:
-        comp, mb_year = composition_as_of(landuse, key, year, class_col, measure, groups, ref_year)
+    comp, mb_year = None, None
+    if panel is not None:
+        mb_year = resolve_year(panel, year, ref_year)
+        comp = panel.where(F.col(year) == F.lit(mb_year)).drop(year) if mb_year is not None else None
     joined = spine_join(dim, [pop_y, gdp_y, crops_y, herd_y, comp], key)
     return derived_indicators(joined), mb_year
 
@@ -77,12 +109,20 @@ def build_master(
     year: str = "year",
     class_col: str = "class_code",
     measure: str = "area",
-    native_codes: Sequence | None = None,
+    persist_panel: bool = True,
 ) -> DataFrame:
-    """Wide entity table: base indicators LEFT JOIN native-cover change."""
-    base, _ = base_indicators(dim, gdp, pop, landuse, groups, ref_year, crops, herd, key, year, class_col, measure)
-    if landuse is None:
+    """Wide entity table: base indicators LEFT JOIN the change of the native
+    share between ``change_start`` and ``ref_year``.
+
+    The change uses exact years (no as-of fallback), like the reference job.
+    """
+    panel = None
+    if landuse is not None:
+        panel = land_panel(landuse, groups, key, year, class_col, measure)
+        if persist_panel:
+            panel = panel.persist()
+    base, _ = base_indicators(dim, gdp, pop, panel, ref_year, crops, herd, key, year)
+    if panel is None:
         return base
-    codes = native_codes if native_codes is not None else groups.get("native", NATIVE_VEGETATION_CODES)
-    change = temporal_change(landuse, key, year, class_col, measure, codes, change_start, ref_year)
+    change = change_from_panel(panel, change_start, ref_year, key, year, "native")
     return left_enrich(base, change, [key])

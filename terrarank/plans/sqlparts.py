@@ -123,10 +123,11 @@ IND = [i.name for i in DEFAULT_INDICATORS]
 def sql_quantile(col: str, p: float) -> str:
     """Exact linear-interpolated quantile of ``col`` (aggregate context)."""
     lst = f"list_sort(list({col}) FILTER (WHERE {col} IS NOT NULL))"
-    pos = f"({p} * (len({lst}) - 1))"
+    pos = f"((len({lst}) - 1) * CAST({p} AS DOUBLE))"
     v1 = f"{lst}[CAST(floor({pos}) AS BIGINT) + 1]"
     v2 = f"{lst}[CAST(ceil({pos}) AS BIGINT) + 1]"
-    return f"({v1} + ({v2} - {v1}) * ({pos} - floor({pos})))"
+    return (f"(CASE WHEN floor({pos}) = ceil({pos}) OR {v1} = {v2} THEN {v1} "
+            f"ELSE (ceil({pos}) - {pos}) * {v1} + ({pos} - floor({pos})) * {v2} END)")
 
 
 def norm_ctes(indicators=DEFAULT_INDICATORS) -> str:
