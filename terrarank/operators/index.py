@@ -154,7 +154,7 @@ def fit_index(
     if not present:
         raise ValueError("no index indicator present")
     o = df.select(*[oriented(i).alias(i.name) for i in present])
-    n_rows = df.count()
+    n_rows = df.count()  # also materialises a persisted input
     pnames = [i.name for i in present]
     mm = [F.min(c).alias(f"lo_{c}") for c in pnames] + [F.max(c).alias(f"hi_{c}") for c in pnames]
     use_direct = quantile_method == "direct" or (quantile_method == "auto" and n_rows <= exact_threshold)
@@ -202,6 +202,7 @@ def fit_index(
                 aggs.append(F.covar_samp(names[a], names[b]).alias(f"_cov_{a}_{b}"))
     r = norm.agg(*aggs).collect()[0]
     n = int(r["_n"])
+    model.n_rows = n
     if entropy_mode == "row":
         sums = {c: float(r[f"_s_{c}"]) for c in names}
     else:

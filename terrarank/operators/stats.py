@@ -169,19 +169,31 @@ def min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None,
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations as (x, y, r), all pairs in ONE aggregate."""
+    """Pairwise-complete Pearson correlations as (x, y, r).
+
+    Each row is expanded to one (pair, x, y) entry per column pair and a
+    single grouped ``corr`` aggregate runs over them: the expansion is
+    pipelined inside the scan stage and partial aggregation leaves at most
+    one row per pair per task, so only k(k-1)/2 small rows are shuffled.
+    (One wide aggregate with k(k-1)/2 ``corr`` calls compiles into a huge
+    generated method and is several times slower.)
+    """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
-    if not aggs:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    wide = df.agg(*aggs)
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{i}`").alias("r")))
-        entries.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"`{i}`").alias("r")))
-    for c in cols:
-        entries.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("r")))
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    spark = df.sparkSession
+    if not pairs:
+        diag = [F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("r")) for c in cols]
+        return spark.range(1).select(F.explode(F.array(*diag)).alias("e")).select("e.*") if cols else \
+            spark.createDataFrame([], "x string, y string, r double")
+    arr = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+                    for i, (a, b) in enumerate(pairs)])
+    per_pair = (df.select(F.explode(arr).alias("e"))
+                .groupBy(F.col("e.p").alias("p")).agg(F.corr("e.a", "e.b").alias("r")))
+    names = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in pairs])
+    named = per_pair.select(F.element_at(names, F.col("p") + 1).alias("n"), "r").select("n.x", "n.y", "r")
+    mirrored = named.select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
+    diag = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
+                                                              F.lit(1.0).alias("r")) for c in cols])).alias("e")).select("e.*")
+    return named.unionByName(mirrored).unionByName(diag)
 
 
 def ols_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:

@@ -16,6 +16,7 @@ _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "8g",
 }
 
 
