@@ -97,6 +97,20 @@ def resolve_year(df: DataFrame, year: str, ref_year: int) -> int | None:
     return None if row["first"] is None else int(row["first"])
 
 
+def as_of_year_frame(df: DataFrame, year: str, ref_year: int, out: str = "asof_year") -> DataFrame:
+    """One-row frame with the as-of year of ``ref_year`` (lazy: no job runs).
+
+    It is a global aggregate, so joining it back is a broadcast of one row.
+    """
+    return df.agg(F.coalesce(F.max(F.when(F.col(year) <= ref_year, F.col(year))), F.min(year)).alias(out))
+
+
+def composition_as_of_lazy(panel: DataFrame, year: str, ref_year: int) -> DataFrame:
+    """Rows of a (key, year) panel for the as-of year, resolved inside the plan."""
+    y = as_of_year_frame(panel, year, ref_year, "_asof")
+    return panel.join(F.broadcast(y), F.col(year) == F.col("_asof"), "inner").drop("_asof", year)
+
+
 def composition_as_of(
     df: DataFrame,
     key: str,

@@ -383,3 +383,103 @@ QUERIES = {
     "box_summary": q_box_summary,
     "group_summary": q_profile_summary_by_state,
 }
+
+
+# ---------------------------------------------------------------- models
+def _model_input(spark: SparkSession, d: str):
+    from terrarank.operators import ml
+    m = _index_input(spark, d)
+    ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
+    feats_df, feats = ml.prepare_features(ranking, m, A.KEY)
+    return feats_df.persist(), feats, ranking, m
+
+
+def q_prepare_features(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    ranking, m = ranked(spark, d)
+    df, feats = ml.prepare_features(ranking, m, A.KEY)
+    keep = ml.non_null_features(df, feats)
+    return rounded(df.select(A.KEY, *keep, "label"))
+
+
+def q_standardize(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    m = _index_input(spark, d)
+    feats = [c for c in ml.FEATURE_COLS if c in m.columns]
+    feats = ml.non_null_features(m, feats)
+    std = ml.fit_standardizer(m, feats)
+    return rounded(m.select(A.KEY, *[std.scaled(c).alias(c) for c in feats]))
+
+
+def q_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    df, feats, _, _ = _model_input(spark, d)
+    metrics, _, _, _ = ml.cross_validate(df, feats, A.KEY)
+    return rounded(metrics)
+
+
+def q_importances(spark: SparkSession, d: str) -> DataFrame:
+    """Importances of every model refitted on all rows (model, feature, importance)."""
+    from concurrent.futures import ThreadPoolExecutor
+    from terrarank.operators import ml
+    df, feats, _, _ = _model_input(spark, d)
+    feats = ml.non_null_features(df, feats)
+    std = ml.fit_standardizer(df, feats)
+    label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
+    designs = {False: ml.design_matrix(df, feats, std, False).persist(),
+               True: ml.design_matrix(df, feats, std, True).persist()}
+
+    def fit(name):
+        return name, ml.make_estimator(name, label_std).fit(designs[name == "elastic_net"])
+
+    with ThreadPoolExecutor(max_workers=5) as ex:
+        models = dict(ex.map(fit, ml.MODEL_NAMES))
+    parts = [ml.importances(models[n], feats, spark).withColumn("model", F.lit(n)) for n in ml.MODEL_NAMES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out.select("model", "feature", "importance"))
+
+
+def q_linear_attribution(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    df, feats, _, _ = _model_input(spark, d)
+    feats = ml.non_null_features(df, feats)
+    std = ml.fit_standardizer(df, feats)
+    label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
+    design = ml.design_matrix(df, feats, std, True).persist()
+    model = ml.make_estimator("elastic_net", label_std).fit(design)
+    return rounded(ml.linear_attribution(model, design, feats))
+
+
+def profiles(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    m = _index_input(spark, d)
+    ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
+    joined = m.join(ranking.select(A.KEY, "score"), A.KEY, "inner")
+    out, _, _ = ml.cluster_profiles(joined, A.KEY, ml.FEATURE_COLS, keep=["name", "state"])
+    return out
+
+
+def q_kmeans_profiles(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(profiles(spark, d))
+
+
+def q_profile_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(explore.score_stats_by_group(profiles(spark, d), "cluster_label"))
+
+
+def q_profile_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return explore.group_sizes(profiles(spark, d), "cluster_label")
+
+
+QUERIES.update({
+    "prepare_features": q_prepare_features,
+    "standardize": q_standardize,
+    "cv_metrics": q_cv_metrics,
+    "importances": q_importances,
+    "linear_attribution": q_linear_attribution,
+    "kmeans_profiles": q_kmeans_profiles,
+    "profile_summary": q_profile_summary,
+    "profile_sizes": q_profile_sizes,
+})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrarank.config import YEAR_GATE_MIN_ROWS
-from terrarank.operators.composition import composition_panel, resolve_year
+from terrarank.operators.composition import composition_as_of_lazy, composition_panel
 from terrarank.operators.joins import derived_indicators, left_enrich, outer_join_coalesced, spine_join
 from terrarank.operators.reshape import dedup_first
 
@@ -75,24 +75,22 @@ def base_indicators(
     herd: DataFrame | None = None,
     key: str = "entity_key",
     year: str = "year",
-) -> tuple[DataFrame, int | None]:
+) -> DataFrame:
     """Entity dimension LEFT JOIN the reference-year slices and the land
     composition of the as-of year, plus derived indicators.
 
-    Returns (frame, as-of year). ``panel`` is the (key, year) composition from
-    ``land_panel`` (persist it when it is reused).
+    ``panel`` is the (key, year) composition from ``land_panel``; the as-of
+    year is resolved inside the plan (a one-row broadcast), so building the
+    frame runs no job.
     """
     pop_y = _year_slice(pop, key, year, ref_year, ["population"])
     gdp_y = _year_slice(gdp, key, year, ref_year, ["gdp_k"])
     crops_y = _year_slice(crops, key, year, ref_year,
                           [c for c in (crops.columns if crops is not None else []) if c not in (key, year, "name")])
     herd_y = _year_slice(herd, key, year, ref_year, ["herd_total"])
-    comp, mb_year = None, None
-    if panel is not None:
-        mb_year = resolve_year(panel, year, ref_year)
-        comp = panel.where(F.col(year) == F.lit(mb_year)).drop(year) if mb_year is not None else None
+    comp = composition_as_of_lazy(panel, year, ref_year) if panel is not None else None
     joined = spine_join(dim, [pop_y, gdp_y, crops_y, herd_y, comp], key)
-    return derived_indicators(joined), mb_year
+    return derived_indicators(joined)
 
 
 def build_master(
@@ -115,13 +113,17 @@ def build_master(
     share between ``change_start`` and ``ref_year``.
 
     The change uses exact years (no as-of fallback), like the reference job.
+    The panel feeds three consumers (as-of year, composition, change). It is
+    persisted so the class table is scanned and shuffled once: the consumers
+    push different year filters below the aggregate, which would otherwise
+    defeat exchange reuse.
     """
     panel = None
     if landuse is not None:
         panel = land_panel(landuse, groups, key, year, class_col, measure)
         if persist_panel:
             panel = panel.persist()
-    base, _ = base_indicators(dim, gdp, pop, panel, ref_year, crops, herd, key, year)
+    base = base_indicators(dim, gdp, pop, panel, ref_year, crops, herd, key, year)
     if panel is None:
         return base
     change = change_from_panel(panel, change_start, ref_year, key, year, "native")

@@ -289,7 +289,30 @@ def _distinct_entities():
             f"(SELECT COUNT(DISTINCT year) FROM landuse) AS years")
 
 
+FEATURES = ["gdp_per_capita", "pop_density", "pct_native", "pct_forest", "pct_agro", "pct_urban",
+            "native_change_pp", "pressure_index", "area_km2", "population", "herd_per_km2"]
+
+
+def _prepare_features():
+    cols = ", ".join(f"ROUND(CAST(m.{c} AS DOUBLE), 6) AS {c}" for c in FEATURES)
+    return (f"{index_prefix()} SELECT m.entity_key, {cols}, r.score AS label "
+            f"FROM master m JOIN ranking r ON m.entity_key = r.entity_key")
+
+
+def _standardize():
+    meds = ", ".join(f"{sql_quantile(c, 0.5)} AS med_{c}" for c in FEATURES)
+    imp = ", ".join(f"COALESCE(CAST(m.{c} AS DOUBLE), md.med_{c}) AS {c}" for c in FEATURES)
+    mom = ", ".join(f"AVG({c}) AS mean_{c}, stddev_pop({c}) AS sd_{c}" for c in FEATURES)
+    sc = ", ".join(f"ROUND(({c} - mean_{c}) / (CASE WHEN sd_{c} = 0 OR sd_{c} IS NULL THEN 1 ELSE sd_{c} END), 6) AS {c}"
+                   for c in FEATURES)
+    return (f"WITH {master_ctes()}, md AS (SELECT {meds} FROM master), "
+            f"imp AS (SELECT m.entity_key, {imp} FROM master m CROSS JOIN md), mo AS (SELECT {mom} FROM imp) "
+            f"SELECT entity_key, {sc} FROM imp CROSS JOIN mo")
+
+
 ORACLES = {
+    "prepare_features": _prepare_features(),
+    "standardize": _standardize(),
     "events_composition_rank": _events_rank(),
     "composition_by_entity": _comp(["entity_key"], where=f"year = {REF_YEAR}"),
     "composition_by_entity_year": _comp(["entity_key", "year"]),
