@@ -411,11 +411,15 @@ def q_standardize(spark: SparkSession, d: str) -> DataFrame:
     return rounded(m.select(A.KEY, *[std.scaled(c).alias(c) for c in feats]))
 
 
-def q_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
-    from terrarank.operators import ml
-    df, feats, _, _ = _model_input(spark, d)
-    metrics, _, _, _ = ml.cross_validate(df, feats, A.KEY)
-    return rounded(metrics)
+def cv_query(model_name: str):
+    """5-fold CV (RMSE/R² mean and population std) + training R² of one model."""
+    def q_cv(spark: SparkSession, d: str) -> DataFrame:
+        from terrarank.operators import ml
+        df, feats, _, _ = _model_input(spark, d)
+        metrics, _, _, _ = ml.cross_validate(df, feats, A.KEY, names=[model_name])
+        return rounded(metrics)
+    q_cv.__name__ = f"q_cv_{model_name}"
+    return q_cv
 
 
 def q_importances(spark: SparkSession, d: str) -> DataFrame:
@@ -476,7 +480,11 @@ def q_profile_sizes(spark: SparkSession, d: str) -> DataFrame:
 QUERIES.update({
     "prepare_features": q_prepare_features,
     "standardize": q_standardize,
-    "cv_metrics": q_cv_metrics,
+    "cv_elastic_net": cv_query("elastic_net"),
+    "cv_random_forest": cv_query("random_forest"),
+    "cv_gradient_boosting": cv_query("gradient_boosting"),
+    "cv_boosting_deep": cv_query("boosting_deep"),
+    "cv_boosting_leafy": cv_query("boosting_leafy"),
     "importances": q_importances,
     "linear_attribution": q_linear_attribution,
     "kmeans_profiles": q_kmeans_profiles,
