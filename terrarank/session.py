@@ -47,8 +47,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. Only when it is unset (tests, local runs) a
-    scratch folder is created and registered.
+    The cluster's setting wins. Only in local mode with the setting unset
+    (tests) a scratch folder is created and registered; on a cluster an
+    unset setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -56,7 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="terrarank-ckpt-")
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
+    local = tempfile.mkdtemp(prefix="terrarank-ckpt-")  # local mode only (tests, laptops)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
