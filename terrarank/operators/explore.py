@@ -118,3 +118,12 @@ def ranking_label(df: DataFrame, name: str = "name", state: str = "state", out:
 def rename_for_display(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Project and rename columns for presentation (only those present)."""
     return df.select(*[F.col(c).alias(n) for c, n in names.items() if c in df.columns])
+
+
+def explore_view(ranking: DataFrame, profiles: DataFrame | None, master: DataFrame, key: str,
+                 ranges: Mapping[str, tuple] | None = None, choices: Mapping[str, Sequence] | None = None,
+                 master_cols: Sequence[str] = ("pct_native", "pct_forest", "pct_agro", "gdp_per_capita",
+                                               "native_change_pp", "population")) -> tuple[DataFrame, DataFrame]:
+    """The filtered analysis view and its KPI strip: (rows, kpis)."""
+    rows = apply_filters(display_table(ranking, profiles, master, key, master_cols), ranges, choices)
+    return rows, kpis(rows)

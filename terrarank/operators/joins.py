@@ -87,3 +87,10 @@ def derived_indicators(df: DataFrame, gdp: str = "gdp_k", pop: str = "population
     if "pct_agro" in cols and "pct_native" in cols:
         new["pressure_index"] = F.col("pct_agro") / (F.nullif(F.col("pct_native"), F.lit(0)) + 1)
     return df.select(*[c for c in cols if c not in new], *[e.alias(n) for n, e in new.items()])
+
+
+def attach_geography(scores: DataFrame, geo_keys: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Scores joined to a geographic key table (the data half of a map view):
+    ``inner`` keeps mapped entities only, ``left`` keeps every score."""
+    keep = [c for c in geo_keys.columns if c == key or c not in scores.columns]
+    return scores.join(geo_keys.select(*keep), on=key, how=how)

@@ -40,6 +40,27 @@ def clean_flat(
     return h.select(*cols).dropna(subset=[key, year])
 
 
+def clean_gdp(df: DataFrame, **kw) -> DataFrame:
+    """GDP extract → (key, name?, year, gdp_k)."""
+    return clean_flat(df, "gdp_k", **kw)
+
+
+def clean_population(df: DataFrame, **kw) -> DataFrame:
+    """Population extract → (key, name?, year, population)."""
+    return clean_flat(df, "population", **kw)
+
+
+def clean_herd(df: DataFrame, **kw) -> DataFrame:
+    """Herd extract → (key, name?, year, herd_total)."""
+    return clean_flat(df, "herd_total", **kw)
+
+
+def keep_entity_level(df: DataFrame, raw_key: str, width: int = 7) -> DataFrame:
+    """Drop aggregate rows (state/country totals) whose raw key is not ``width``
+    characters long. Applied to the raw key, before normalisation pads it."""
+    return df.where(F.length(F.trim(F.col(raw_key).cast("string"))) == width)
+
+
 def clean_pivot(
     df: DataFrame,
     variables: Mapping[int, str] = CROP_VARIABLES,

@@ -128,3 +128,43 @@ def build_master(
         return base
     change = change_from_panel(panel, change_start, ref_year, key, year, "native")
     return left_enrich(base, change, [key])
+
+
+def clean_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Clean every landed extract (flat extracts, crop pivot, area dimension);
+    other sources pass through unchanged."""
+    from terrarank.operators.reshape import clean_area, clean_gdp, clean_herd, clean_pivot, clean_population
+    cleaners = {"gdp": clean_gdp, "population": clean_population, "crops": clean_pivot,
+                "herd": clean_herd, "area": clean_area}
+    return {name: (cleaners[name](df) if name in cleaners and len(df.columns) > 1 else df)
+            for name, df in raw.items()}
+
+
+def build_fact_tables(clean: Mapping[str, DataFrame], groups: Mapping[str, Sequence],
+                      key: str = "entity_key", year: str = "year", class_col: str = "class_code",
+                      measure: str = "area") -> dict[str, DataFrame]:
+    """Star schema: entity dimension, economy fact, yearly environment fact
+    (years with enough rows only), education fact passed through."""
+    facts = {"dim_entity": clean["area"]}
+    facts["fact_economy"] = fact_economy(clean["gdp"], clean["population"], clean.get("crops"),
+                                         clean.get("herd"), key, year)
+    lu = clean.get("landuse")
+    if lu is not None and class_col in lu.columns:
+        facts["fact_environment"] = fact_environment(lu, key, year, class_col, measure, groups)
+    if "education" in clean:
+        facts["fact_education"] = clean["education"]
+    return facts
+
+
+def run_transform(spark, paths: Mapping[str, str], out_dir: str, groups: Mapping[str, Sequence],
+                  ref_year: int, change_start: int) -> DataFrame:
+    """Load → clean → facts → wide table → Parquet (facts partitioned by year)."""
+    from terrarank.sources import load_sources, write_parquet
+    clean = clean_all(load_sources(spark, paths))
+    facts = build_fact_tables(clean, groups)
+    for name, df in facts.items():
+        write_parquet(df, f"{out_dir}/{name}", partition_by=["year"] if "year" in df.columns else None)
+    master = build_master(clean["area"], clean["gdp"], clean["population"], clean.get("landuse"), groups,
+                          ref_year, change_start, crops=clean.get("crops"), herd=clean.get("herd"))
+    write_parquet(master, f"{out_dir}/master")
+    return master
