@@ -8,8 +8,8 @@ plain column expressions, so scoring another frame with the same statistics
 
 * medians + min/max + count (one aggregate, or two above the exact-median
   threshold — see ``stats.exact_quantiles``);
-* covariance pairs and entropy sums in ONE aggregate over the normalised
-  columns (``covar_samp`` is Spark's numerically stable online covariance);
+* covariance pairs (sums of products of median-shifted, [0,100]-scaled
+  columns) and entropy sums in ONE aggregate over the normalised columns;
 * the k×k eigen-decomposition for the PCA weights runs on the driver;
 * score min/max (one aggregate).
 """
@@ -73,6 +73,11 @@ class IndexModel:
             return F.lit(0.0)  # constant indicator → lower bound of the range
         return (self.imputed(ind) - F.lit(lo)) / F.lit(hi - lo) * 100
 
+    def normalized_value(self, ind: Indicator, oriented_value: float) -> float:
+        """Scaled value of one (already oriented) number, on the driver."""
+        lo, hi = self.mins[ind.name], self.maxs[ind.name]
+        return 0.0 if hi == lo else (oriented_value - lo) / (hi - lo) * 100
+
     def raw_score(self, norm_prefix: str = "norm_") -> Column:
         terms = [F.col(f"{norm_prefix}{i.name}") * F.lit(self.weights[i.name]) for i in self.indicators]
         out = terms[0]
@@ -197,9 +202,17 @@ def fit_index(
     else:
         raise ValueError(entropy_mode)
     if weighting in ("pca+entropy", "pca"):
+        # Covariance from sums of products of shifted columns. Every column
+        # is scaled to [0, 100] and shifted by its (scaled) median, so the
+        # one-pass formula is well conditioned; plain sums keep the aggregate
+        # in fixed-width buffers (fast codegen) for k(k+1)/2 pairs.
+        shift = {c: float(model.normalized_value(i, model.medians[c])) for i, c in zip(used, names)}
+        dev = {c: F.col(c) - F.lit(shift[c]) for c in names}
+        for c in names:
+            aggs.append(F.sum(dev[c]).alias(f"_d_{c}"))
         for a in range(k):
             for b in range(a, k):
-                aggs.append(F.covar_samp(names[a], names[b]).alias(f"_cov_{a}_{b}"))
+                aggs.append(F.sum(dev[names[a]] * dev[names[b]]).alias(f"_p_{a}_{b}"))
     r = norm.agg(*aggs).collect()[0]
     n = int(r["_n"])
     model.n_rows = n
@@ -214,10 +227,11 @@ def fit_index(
         model.entropy_weights = entropy_weights_from_sums(sums, n)
     if weighting in ("pca+entropy", "pca"):
         cov = np.zeros((k, k))
+        d = [float(r[f"_d_{c}"]) for c in names]
         for a in range(k):
             for b in range(a, k):
-                v = r[f"_cov_{a}_{b}"]
-                cov[a, b] = cov[b, a] = 0.0 if v is None or math.isnan(v) else float(v)
+                p = float(r[f"_p_{a}_{b}"])
+                cov[a, b] = cov[b, a] = (p - d[a] * d[b] / n) / (n - 1) if n > 1 else 0.0
         model.pca_weights, model.explained_variance_ratio = pca_weights_from_cov(cov, names)
     if weighting == "pca+entropy":
         comb = np.array([(model.pca_weights[c] + model.entropy_weights[c]) / 2 for c in names])

@@ -33,8 +33,20 @@ CHANGE_END = 2000
 ASOF_REF_YEAR = 2003  # absent from the data: resolves to the latest earlier year
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The named Parquet table, one DataFrame per (session, path).
+
+    Resolving a Parquet relation lists the file and reads its footer on the
+    driver; reusing the resolved frame avoids repeating that per reference.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    k = (id(spark._jsparkSession), path)
+    if k not in _TABLES:
+        _TABLES[k] = spark.read.parquet(path)
+    return _TABLES[k]
 
 
 def landuse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,7 +88,7 @@ def derived_pressure(df: DataFrame) -> DataFrame:
 
 
 def q_event_counts(spark: SparkSession, d: str) -> DataFrame:
-    ev = spark.read.parquet(f"{d}/events.parquet")
+    ev = A.table(spark, d, "events")
     return comp.event_counts(ev, "user_id", "year", 2024, name="events")
 
 
@@ -136,7 +136,7 @@ def q_economy_full_outer(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- scalars / sources
 def q_normalize_keys(spark: SparkSession, d: str) -> DataFrame:
-    o = spark.read.parquet(f"{d}/orders.parquet")
+    o = A.table(spark, d, "orders")
     s_price = F.col("o_totalprice").cast("string")
     s_key = F.col("o_orderkey").cast("string")
     s_long = F.concat(F.col("o_custkey").cast("string"), F.lit("0000"))
@@ -146,7 +146,7 @@ def q_normalize_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_coerce_numeric(spark: SparkSession, d: str) -> DataFrame:
-    e = spark.read.parquet(f"{d}/events.parquet")
+    e = A.table(spark, d, "events")
     return rounded(e.select(
         "event_id",
         to_numeric(F.col("value").cast("string")).alias("value_num"),
@@ -157,17 +157,17 @@ def q_coerce_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_code_labels(spark: SparkSession, d: str) -> DataFrame:
-    p = spark.read.parquet(f"{d}/part.parquet")
+    p = A.table(spark, d, "part")
     return p.select("p_partkey", "p_size", code_label("p_size", LAND_COVER_LABELS).alias("class_label"))
 
 
 def q_json_flatten(spark: SparkSession, d: str) -> DataFrame:
-    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "props")
+    e = A.table(spark, d, "events").select("event_id", "user_id", "props")
     return parse_json_column(e, "props", "k int", prefix="props_")
 
 
 def q_detect_key_column(spark: SparkSession, d: str) -> DataFrame:
-    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    li = A.table(spark, d, "lineitem")
     sheet = li.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("row_no"),
         F.col("l_orderkey").cast("string").alias("order_ref"),
@@ -178,7 +178,7 @@ def q_detect_key_column(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_harmonized_union(spark: SparkSession, d: str) -> DataFrame:
-    o = spark.read.parquet(f"{d}/orders.parquet")
+    o = A.table(spark, d, "orders")
     base = o.select(F.col("o_custkey").cast("string").alias("D1C"),
                     F.year("o_orderdate").cast("string").alias("D2C"),
                     F.col("o_totalprice").cast("string").alias("_v"), "o_orderstatus")
@@ -193,7 +193,7 @@ def q_harmonized_union(spark: SparkSession, d: str) -> DataFrame:
 
 def q_source_status(spark: SparkSession, d: str) -> DataFrame:
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    frames = {n: spark.read.parquet(f"{d}/{n}.parquet") for n in names}
+    frames = {n: A.table(spark, d, n) for n in names}
     return source_status(frames)
 
 
@@ -255,12 +255,12 @@ def q_pca_weights(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_global_rank_min(spark: SparkSession, d: str) -> DataFrame:
-    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_totalprice")
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return rank_desc(o, "o_totalprice", "rank", method="window")
 
 
 def q_bucketed_rank(spark: SparkSession, d: str) -> DataFrame:
-    li = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return rank_desc(li, "l_extendedprice", "rank", method="bucketed", buckets=16)
 
 
