@@ -86,16 +86,19 @@ def clean_pivot(
         code.alias("_code"),
         to_numeric(value_col).alias("_value"),
     ).where(F.col("_code").isin(codes) & F.col("_value").isNotNull())
-    wide = long.groupBy(key, year).pivot("_code", codes).agg(F.sum("_value"))
-    return wide.select(key, year, *[F.col(str(c)).alias(n) for c, n in zip(codes, names)])
+    return pivot_sum(long, [key, year], "_code", codes, "_value", names)
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence,
               measure: str, names: Sequence[str] | None = None) -> DataFrame:
-    """Generic fixed-list pivot with sum (absent combinations are NULL)."""
-    wide = df.groupBy(*keys).pivot(pivot_col, list(values)).agg(F.sum(measure))
+    """Fixed-list pivot with sum (absent combinations are NULL).
+
+    Written as conditional sums in ONE hash aggregate: one shuffle, where
+    ``groupBy().pivot()`` plans two aggregations."""
     names = list(names) if names else [str(v) for v in values]
-    return wide.select(*keys, *[F.col(f"`{v}`").alias(n) for v, n in zip(values, names)])
+    p = F.col(pivot_col)
+    return df.groupBy(*keys).agg(*[F.sum(F.when(p == F.lit(v), F.col(measure))).alias(n)
+                                   for v, n in zip(values, names)])
 
 
 def clean_area(df: DataFrame, key: str = "entity_key", name: str = "name", state: str = "state",
