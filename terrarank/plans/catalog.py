@@ -198,13 +198,24 @@ def q_source_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- index
-def _index_input(spark: SparkSession, d: str) -> DataFrame:
-    return master_frame(spark, d).persist()
+INDEX_COLS = [A.KEY, *DIM_KEEP, *[i.name for i in DEFAULT_INDICATORS]]
+VIEW_COLS = ["pct_forest", "pct_agro", "population"]
 
 
-def ranked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _index_input(spark: SparkSession, d: str, extra: tuple = ()) -> DataFrame:
+    """The master projected to what the caller reads, then persisted.
+
+    Projecting before persisting lets the optimizer drop LEFT joins whose
+    (key-unique) right side contributes no used column, e.g. the crop
+    extract for the index."""
+    m = master_frame(spark, d)
+    cols = list(dict.fromkeys([*INDEX_COLS, *VIEW_COLS, *extra]))
+    return m.select(*[c for c in cols if c in m.columns]).persist()
+
+
+def ranked(spark: SparkSession, d: str, extra: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """(entropy-weighted ranking, persisted master) — the exploration base."""
-    m = _index_input(spark, d)
+    m = _index_input(spark, d, extra)
     ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="entropy", round_score=DIGITS)
     return ranking, m
 
@@ -388,7 +399,7 @@ QUERIES = {
 # ---------------------------------------------------------------- models
 def _model_input(spark: SparkSession, d: str):
     from terrarank.operators import ml
-    m = _index_input(spark, d)
+    m = _index_input(spark, d, tuple(ml.FEATURE_COLS))
     ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
     feats_df, feats = ml.prepare_features(ranking, m, A.KEY)
     return feats_df.persist(), feats, ranking, m
@@ -396,7 +407,7 @@ def _model_input(spark: SparkSession, d: str):
 
 def q_prepare_features(spark: SparkSession, d: str) -> DataFrame:
     from terrarank.operators import ml
-    ranking, m = ranked(spark, d)
+    ranking, m = ranked(spark, d, tuple(ml.FEATURE_COLS))
     df, feats = ml.prepare_features(ranking, m, A.KEY)
     keep = ml.non_null_features(df, feats)
     return rounded(df.select(A.KEY, *keep, "label"))
@@ -404,7 +415,7 @@ def q_prepare_features(spark: SparkSession, d: str) -> DataFrame:
 
 def q_standardize(spark: SparkSession, d: str) -> DataFrame:
     from terrarank.operators import ml
-    m = _index_input(spark, d)
+    m = _index_input(spark, d, tuple(ml.FEATURE_COLS))
     feats = [c for c in ml.FEATURE_COLS if c in m.columns]
     feats = ml.non_null_features(m, feats)
     std = ml.fit_standardizer(m, feats)
@@ -458,7 +469,7 @@ def q_linear_attribution(spark: SparkSession, d: str) -> DataFrame:
 
 def profiles(spark: SparkSession, d: str) -> DataFrame:
     from terrarank.operators import ml
-    m = _index_input(spark, d)
+    m = _index_input(spark, d, tuple(ml.FEATURE_COLS))
     ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
     joined = m.join(ranking.select(A.KEY, "score"), A.KEY, "inner")
     out, _, _ = ml.cluster_profiles(joined, A.KEY, ml.FEATURE_COLS, keep=["name", "state"])
