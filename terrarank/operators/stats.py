@@ -22,7 +22,6 @@ agree bit for bit.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -238,7 +237,3 @@ def box_summary(df: DataFrame, group: str, col: str, **kw) -> DataFrame:
     )
     mm = src.groupBy(group).agg(F.min(col).alias("min"), F.max(col).alias("max"), F.count(col).alias("n"))
     return mm.join(wide, on=group, how="left")
-
-
-def _finite(x):
-    return x is not None and not (isinstance(x, float) and math.isnan(x))

@@ -15,14 +15,12 @@ from terrarank.functions import code_label, normalize_key, normalize_key_guarded
 from terrarank.operators import composition as comp
 from terrarank.operators import explore, stats
 from terrarank.operators.index import build_index, entity_profile, fit_index
-from terrarank.operators.joins import derived_indicators
 from terrarank.operators.rank import bottom_n, group_rank, rank_desc, top_n
 from terrarank.operators.reshape import melt_years, pivot_sum
 from terrarank.plans import analog as A
 from terrarank.plans.etl import build_master, fact_economy
 from terrarank.sources import (
     detect_key_column,
-    harmonize_columns,
     parse_json_column,
     source_status,
     union_extracts,
@@ -502,3 +500,19 @@ QUERIES.update({
     "profile_summary": q_profile_summary,
     "profile_sizes": q_profile_sizes,
 })
+
+
+def q_tree_attribution(spark: SparkSession, d: str) -> DataFrame:
+    """Mean |TreeSHAP| per feature of the gradient-boosting model refitted on all rows."""
+    from terrarank.operators import ml
+    from terrarank.operators.attribution import mean_abs_attribution, tree_attribution
+    df, feats, _, _ = _model_input(spark, d)
+    feats = ml.non_null_features(df, feats)
+    std = ml.fit_standardizer(df, feats)
+    design = ml.design_matrix(df, feats, std, False).persist()
+    model = ml.make_estimator("gradient_boosting").fit(design)
+    rows, _ = tree_attribution(model, design, feats, A.KEY)
+    return rounded(mean_abs_attribution(rows, feats))
+
+
+QUERIES["tree_attribution"] = q_tree_attribution

@@ -32,14 +32,19 @@ def model_job(spark: SparkSession, master: DataFrame, ranking: DataFrame, out_pa
               key: str = "entity_key", keep: Sequence[str] = ("name", "state"),
               features: Sequence[str] = FEATURE_COLS) -> Mapping[str, DataFrame]:
     """All regressors under 5-fold CV, the best one (least CV RMSE), its
-    importances, a linear attribution, and k-means profiles; each written as
-    Parquet."""
+    importances and attributions (TreeSHAP for tree models, the closed form
+    for the linear one), and k-means profiles; each written as Parquet."""
     df, feats = ml.prepare_features(ranking, master, key, features=features)
     df = df.persist()
     metrics, models, designs, used = ml.cross_validate(df, feats, key)
     best = ml.best_model(metrics)
     imp = ml.importances(models[best], used, spark)
-    attribution = ml.linear_attribution(models["elastic_net"], designs[True], used)
+    if best in ml.TREE_MODELS:
+        from terrarank.operators.attribution import mean_abs_attribution, tree_attribution
+        rows, _ = tree_attribution(models[best], designs[False], used, key)
+        attribution = mean_abs_attribution(rows, used)
+    else:
+        attribution = ml.linear_attribution(models[best], designs[True], used)
     joined = master.join(ranking.select(key, "score"), key, "inner")
     profiles, k, sil = ml.cluster_profiles(joined, key, features, keep=list(keep))
     out = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from terrarank.config import LAND_COVER_LABELS
 from terrarank.plans.analog import (
-    ANALOG_GROUPS, ASOF_REF_YEAR, CHANGE_END, CHANGE_START, EVENT_GROUPS, REF_YEAR,
+    ASOF_REF_YEAR, CHANGE_END, CHANGE_START, EVENT_GROUPS, REF_YEAR,
 )
 from terrarank.plans.sqlparts import (
     COMP_COLS, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,

@@ -182,4 +182,3 @@ def subindex_cols(prefix: str = "") -> str:
     return f"({envx}) / {len(env)} AS subindex_environment, ({ecox}) / {len(eco)} AS subindex_economy"
 
 
-EVENT_GROUPS_SQL = EVENT_GROUPS
