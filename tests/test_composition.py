@@ -90,3 +90,23 @@ def test_event_counts_and_distinct(spark, landuse):
     ec = {r.entity_key: r.events for r in comp.event_counts(landuse, "entity_key", "year", 2021).collect()}
     assert ec == {"A": 6, "B": 1, "C": 3, "D": 1}
     assert comp.distinct_count(landuse, "entity_key").collect()[0][0] == 4
+
+
+def test_scan_reads_only_needed_columns(spark):
+    """The class table's scans read only the columns the composition uses."""
+    from terrarank.plans import analog as A
+    d = "/root/testdata/sf0.001"
+    plan = comp.class_composition(A.landuse(spark, d), [A.KEY, A.YEAR], A.CLASS, A.AREA,
+                                  A.ANALOG_GROUPS)._jdf.queryExecution().executedPlan().toString()
+    schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line]
+    assert any(s == "struct<l_orderkey:bigint,l_quantity:double>" for s in schemas), schemas
+    assert not any("l_extendedprice" in s or "o_totalprice" in s for s in schemas)
+
+
+def test_index_input_prunes_unused_enrichments(spark):
+    """Projecting the master before persisting drops the crop extract's join."""
+    from terrarank.plans import catalog as C
+    m = C._index_input(spark, "/root/testdata/sf0.001")
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" not in plan and "l_discount" not in plan
+    m.unpersist()

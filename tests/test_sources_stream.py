@@ -104,6 +104,25 @@ def test_sinks(spark):
     assert spark.read.parquet(os.path.join(d, "t")).count() == 2
 
 
+def test_streaming_update_mode_two_batches(spark):
+    from terrarank.streaming import read_panel
+    base = tempfile.mkdtemp(prefix="stream-upd-")
+    landing = os.path.join(base, "landing")
+    schema = "entity_key string, class_code int, year int, area double"
+    b1 = spark.createDataFrame([("A", 3, 2021, 10.0), ("A", 15, 2021, 30.0)], schema)
+    b2 = spark.createDataFrame([("A", 3, 2021, 20.0), ("B", 24, 2020, 5.0)], schema)
+    out, ckpt = os.path.join(base, "panel"), os.path.join(base, "ckpt")
+    for i, b in enumerate((b1, b2)):
+        b.coalesce(1).write.mode("append").parquet(landing)
+        q = start_panel_stream(spark, landing, schema, out, ckpt, LAND_COVER_GROUPS, available_now=True)
+        q.awaitTermination(120)
+    got = {(r.entity_key, r.year): (r.total_area, r.pct_native)
+           for r in read_panel(spark, out, LAND_COVER_GROUPS).collect()}
+    exp = {(r.entity_key, r.year): (r.total_area, r.pct_native) for r in class_composition(
+        b1.union(b2), ["entity_key", "year"], "class_code", "area", LAND_COVER_GROUPS).collect()}
+    assert got == exp
+
+
 def test_streaming_panel_equals_batch(spark):
     base = tempfile.mkdtemp(prefix="stream-")
     schema = "entity_key string, class_code int, year int, area double"
@@ -112,7 +131,7 @@ def test_streaming_panel_equals_batch(spark):
     landing_flat = os.path.join(base, "flat")
     b1.union(b2).coalesce(1).write.parquet(landing_flat)
     q = start_panel_stream(spark, landing_flat, schema, os.path.join(base, "panel"), os.path.join(base, "ckpt"),
-                           LAND_COVER_GROUPS, available_now=True)
+                           LAND_COVER_GROUPS, available_now=True, mode="complete")
     q.awaitTermination(120)
     got = {(r.entity_key, r.year): (r.total_area, r.pct_native) for r in spark.read.parquet(os.path.join(base, "panel")).collect()}
     exp = {(r.entity_key, r.year): (r.total_area, r.pct_native) for r in class_composition(
