@@ -85,10 +85,11 @@ def make_estimator(name: str, label_std: float | None = None):
     if name == "gradient_boosting":
         return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, checkpointInterval=10)
     if name == "boosting_deep":
-        return GBTRegressor(maxIter=100, stepSize=0.3, maxDepth=6, seed=SEED, checkpointInterval=10)
+        return GBTRegressor(maxIter=100, stepSize=0.3, maxDepth=6, seed=SEED, checkpointInterval=10,
+                            cacheNodeIds=True)
     if name == "boosting_leafy":
         return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=SEED,
-                            checkpointInterval=10)
+                            checkpointInterval=10, cacheNodeIds=True)
     if name == "elastic_net":
         lam = 0.5 + 0.5 * (label_std or 0.0)
         return LinearRegression(regParam=lam, elasticNetParam=min(1.0, 0.5 / lam), standardization=False,

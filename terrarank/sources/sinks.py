@@ -32,8 +32,14 @@ def write_if_absent(df: DataFrame, path: str, partition_by: Sequence[str] | None
 
 
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-               options: Mapping[str, str] | None = None) -> None:
-    """Create or replace a catalog table with the frame's rows."""
+               options: Mapping[str, str] | None = None, temp_view: bool = False) -> None:
+    """Create or replace a catalog table with the frame's rows.
+
+    ``options={"path": ...}`` makes it an external table at that location;
+    ``temp_view=True`` only registers the (lazy) frame under ``name``."""
+    if temp_view:
+        df.createOrReplaceTempView(name)
+        return
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -137,3 +137,31 @@ def test_streaming_panel_equals_batch(spark):
     exp = {(r.entity_key, r.year): (r.total_area, r.pct_native) for r in class_composition(
         b1.union(b2), ["entity_key", "year"], "class_code", "area", LAND_COVER_GROUPS).collect()}
     assert got == exp
+
+
+def test_catalog_table_and_csv_export(spark):
+    from terrarank.sources import export_csv, save_table
+    d = tempfile.mkdtemp(prefix="tbl-")
+    df = spark.createDataFrame([("a", 1.5), ("b", 2.5)], "k string, v double")
+    save_table(df, "terrarank_test_tbl", options={"path": os.path.join(d, "tbl")})
+    assert spark.table("terrarank_test_tbl").count() == 2
+    save_table(df.limit(1), "terrarank_test_tbl", options={"path": os.path.join(d, "tbl")})  # replaced
+    assert spark.table("terrarank_test_tbl").count() == 1
+    spark.sql("DROP TABLE terrarank_test_tbl")
+    save_table(df, "terrarank_view", temp_view=True)
+    assert spark.sql("SELECT SUM(v) FROM terrarank_view").collect()[0][0] == 4.0
+    export_csv(df, os.path.join(d, "top.csv"), single_file=True)
+    back = spark.read.option("header", True).csv(os.path.join(d, "top.csv"))
+    assert sorted(r.k for r in back.collect()) == ["a", "b"]
+
+
+def test_filter_choices_bounds_positions(spark):
+    from terrarank.operators.explore import bounds, filter_choices
+    from terrarank.operators.rank import positional_index
+    df = spark.createDataFrame([("SP", 3.0), ("AM", 1.0), (None, 2.0), ("SP", 5.0)], "state string, v double")
+    assert [r.state for r in filter_choices(df, "state").collect()] == ["AM", "SP"]
+    b = bounds(df, ["v"]).collect()[0]
+    assert (b.min_v, b.max_v) == (1.0, 5.0)
+    means = df.groupBy("state").agg(F.avg("v").alias("m")).where("state IS NOT NULL")
+    pos = {r.state: r.position for r in positional_index(means, "m").collect()}
+    assert pos == {"AM": 0, "SP": 1}
