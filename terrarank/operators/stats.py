@@ -209,19 +209,22 @@ def ols_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram between the observed min and max.
 
-    The maximum falls in the last bin. Bin edges come from one small
-    aggregate (cross-joined as a single row, so no driver round trip).
+    The maximum falls in the last bin. The two bounds come from one small
+    aggregate and enter the counting aggregate as literals.
     """
     vals = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    bounds = vals.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.least(F.floor((F.col("_x") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
-    b = F.coalesce(b, F.lit(0)).cast("int")
-    counted = vals.crossJoin(F.broadcast(bounds)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counted.crossJoin(F.broadcast(bounds)).select(
+    lo, hi = vals.agg(F.min("_x"), F.max("_x")).collect()[0]
+    spark = df.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
+    width = (hi - lo) / bins
+    x = F.col("_x")
+    b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
+    counted = vals.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(
         "bin",
-        (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
-        (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
         "count",
     )
 

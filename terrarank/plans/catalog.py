@@ -92,9 +92,7 @@ def q_event_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_distinct_entities(spark: SparkSession, d: str) -> DataFrame:
     lu = A.landuse(spark, d)
-    return comp.distinct_count(lu, A.KEY).join(
-        lu.groupBy(A.YEAR).agg(F.count_distinct(A.KEY).alias("entities_in_year")).agg(
-            F.count(F.lit(1)).alias("years")), how="cross")
+    return lu.agg(F.count_distinct(A.KEY).alias("distinct_entities"), F.count_distinct(A.YEAR).alias("years"))
 
 
 # ---------------------------------------------------------------- reshape

@@ -108,21 +108,30 @@ def build_master(
     class_col: str = "class_code",
     measure: str = "area",
     persist_panel: bool = True,
+    lineage: str = "auto",
 ) -> DataFrame:
     """Wide entity table: base indicators LEFT JOIN the change of the native
     share between ``change_start`` and ``ref_year``.
 
     The change uses exact years (no as-of fallback), like the reference job.
     The panel feeds three consumers (as-of year, composition, change). It is
-    persisted so the class table is scanned and shuffled once: the consumers
-    push different year filters below the aggregate, which would otherwise
-    defeat exchange reuse.
+    kept so the class table is scanned and shuffled once: the consumers push
+    different year filters below the aggregate, which would otherwise defeat
+    exchange reuse. ``lineage``: ``"checkpoint"`` writes it reliably to
+    ``spark.checkpoint.dir`` (lineage cut: a lost executor never re-reads the
+    class table), ``"persist"`` caches it, ``"auto"`` checkpoints on a cluster
+    and caches in local mode.
     """
     panel = None
     if landuse is not None:
         panel = land_panel(landuse, groups, key, year, class_col, measure)
         if persist_panel:
-            panel = panel.persist()
+            local = (panel.sparkSession.sparkContext.master or "").startswith("local")
+            if lineage == "checkpoint" or (lineage == "auto" and not local):
+                from terrarank.session import cut_lineage
+                panel = cut_lineage(panel)
+            else:
+                panel = panel.persist()
     base = base_indicators(dim, gdp, pop, panel, ref_year, crops, herd, key, year)
     if panel is None:
         return base

@@ -38,3 +38,20 @@ def test_oracle_match_sample(spark):
                     assert abs(x - y) < 1e-6, name
                 else:
                     assert x == y, name
+
+
+def test_master_checkpoint_lineage_equals_persist(spark):
+    from terrarank.operators.reshape import pivot_sum
+    from terrarank.plans import analog as A
+    from terrarank.plans.etl import build_master
+    d = "/root/testdata/sf0.001"
+
+    def build(lineage):
+        crops = pivot_sum(A.crop_long_extract(spark, d), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
+                          ["crop_production_t", "crop_value_k", "planted_area_ha"])
+        m = build_master(A.entity_dim(spark, d), A.gdp_extract(spark, d), A.population_extract(spark, d),
+                         A.landuse(spark, d), A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops,
+                         herd=A.herd_extract(spark, d), lineage=lineage)
+        return sorted(map(tuple, m.select(sorted(m.columns)).collect()), key=lambda t: str(t))
+
+    assert build("checkpoint") == build("persist")
