@@ -102,13 +102,11 @@ def crop_long_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity",
                                                  "l_extendedprice", "l_discount")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    arr = F.array(
-        F.struct(F.lit(214).alias("var_code"), F.col("l_quantity").alias("value")),
-        F.struct(F.lit(215).alias("var_code"), F.col("l_extendedprice").alias("value")),
-        F.struct(F.lit(216).alias("var_code"), (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("value")),
-    )
-    return j.select(F.col("o_custkey").alias(KEY), F.year("l_shipdate").alias(YEAR),
-                    F.explode(arr).alias("_x")).select(KEY, YEAR, "_x.var_code", "_x.value")
+    three = F.stack(F.lit(3),
+                    F.lit(214), F.col("l_quantity"),
+                    F.lit(215), F.col("l_extendedprice"),
+                    F.lit(216), F.col("l_quantity") * (1 - F.col("l_discount"))).alias("var_code", "value")
+    return j.select(F.col("o_custkey").alias(KEY), F.year("l_shipdate").alias(YEAR), three)
 
 
 def events_long(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,11 +157,11 @@ def detect_key_column(
     str_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name != order_col]
     if not str_cols:
         return df.sparkSession.createDataFrame([], "column string, position int, is_key boolean")
+    rows = [x for i, c in enumerate(str_cols) for x in (F.lit(c), F.lit(i), F.col(f"`{c}`"))]
     stacked = df.select(
         F.col(order_col).alias("_ord"),
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
-                                     F.col(f"`{c}`").alias("v")) for i, c in enumerate(str_cols)])).alias("_s"),
-    ).select("_ord", "_s.*").where(F.col("v").isNotNull())
+        F.stack(F.lit(len(str_cols)), *rows).alias("column", "position", "v"),
+    ).where(F.col("v").isNotNull())
     from pyspark.sql import Window
     w = Window.partitionBy("column").orderBy("_ord")
     head = stacked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample_size)
