@@ -186,33 +186,42 @@ def fit_index(
     names = [i.name for i in used]
     norm = df.select(*[model.normalized(i).alias(i.name) for i in used])
     k = len(names)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    # entropy sums
-    shifted = [F.col(c) + F.lit(EPS_SHIFT) for c in names]
+    # Per-row quantities are projected once below the aggregate (the row sum
+    # feeds every entropy term), which keeps the aggregate's expressions small.
+    cols = []
     if entropy_mode == "row":
-        row_sum = shifted[0]
-        for s in shifted[1:]:
-            row_sum = row_sum + s
-        for c, s in zip(names, shifted):
-            p = s / row_sum
-            aggs.append(F.sum(p * F.log(p + F.lit(EPS_LOG))).alias(f"_s_{c}"))
-    elif entropy_mode == "column":
-        for c, s in zip(names, shifted):
-            aggs += [F.sum(s).alias(f"_cs_{c}"), F.sum(s * F.log(s)).alias(f"_cl_{c}")]
-    else:
-        raise ValueError(entropy_mode)
-    if weighting in ("pca+entropy", "pca"):
+        row_sum = F.col(names[0]) + F.lit(EPS_SHIFT)
+        for c in names[1:]:
+            row_sum = row_sum + (F.col(c) + F.lit(EPS_SHIFT))
+        cols.append(row_sum.alias("_rs"))
+    pca = weighting in ("pca+entropy", "pca")
+    if pca:
         # Covariance from sums of products of shifted columns. Every column
         # is scaled to [0, 100] and shifted by its (scaled) median, so the
         # one-pass formula is well conditioned; plain sums keep the aggregate
         # in fixed-width buffers (fast codegen) for k(k+1)/2 pairs.
         shift = {c: float(model.normalized_value(i, model.medians[c])) for i, c in zip(used, names)}
-        dev = {c: F.col(c) - F.lit(shift[c]) for c in names}
+        cols += [(F.col(c) - F.lit(shift[c])).alias(f"_dv_{c}") for c in names]
+    stage = norm.select(*names, *cols)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if entropy_mode == "row":
+        stage = stage.select("*", *[((F.col(c) + F.lit(EPS_SHIFT)) / F.col("_rs")).alias(f"_pr_{c}") for c in names])
+        for c in names:
+            p = F.col(f"_pr_{c}")
+            aggs.append(F.sum(p * F.log(p + F.lit(EPS_LOG))).alias(f"_s_{c}"))
+    elif entropy_mode == "column":
+        for c in names:
+            sh = F.col(c) + F.lit(EPS_SHIFT)
+            aggs += [F.sum(sh).alias(f"_cs_{c}"), F.sum(sh * F.log(sh)).alias(f"_cl_{c}")]
+    else:
+        raise ValueError(entropy_mode)
+    if pca:
         for c in names:
-            aggs.append(F.sum(dev[c]).alias(f"_d_{c}"))
+            aggs.append(F.sum(f"_dv_{c}").alias(f"_d_{c}"))
         for a in range(k):
             for b in range(a, k):
-                aggs.append(F.sum(dev[names[a]] * dev[names[b]]).alias(f"_p_{a}_{b}"))
+                aggs.append(F.sum(F.col(f"_dv_{names[a]}") * F.col(f"_dv_{names[b]}")).alias(f"_p_{a}_{b}"))
+    norm = stage
     r = norm.agg(*aggs).collect()[0]
     n = int(r["_n"])
     model.n_rows = n

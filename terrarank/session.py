@@ -17,6 +17,10 @@ _DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "8g",
+    # Call-site capture for error messages costs several JVM round trips per
+    # Column function call while plans are built; error messages stay
+    # informative without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
