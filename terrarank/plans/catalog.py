@@ -398,7 +398,8 @@ def _model_input(spark: SparkSession, d: str):
     m = _index_input(spark, d, tuple(ml.FEATURE_COLS))
     ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
     feats_df, feats = ml.prepare_features(ranking, m, A.KEY)
-    return feats_df.persist(), feats, ranking, m
+    cached = feats_df.persist()
+    return ml.sized(cached, cached.count()), feats, ranking, m
 
 
 def q_prepare_features(spark: SparkSession, d: str) -> DataFrame:
