@@ -28,6 +28,7 @@ from terrarank.sources import (
 
 DIGITS = 6
 DIM_KEEP = ["name", "state", "region"]
+MELT_FIRST_YEAR, MELT_LAST_YEAR = 1985, 2024
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -105,9 +106,10 @@ def q_pivot_sum_classes(spark: SparkSession, d: str) -> DataFrame:
 
 def q_unpivot_years(spark: SparkSession, d: str) -> DataFrame:
     lu = A.landuse(spark, d)
-    years = list(range(1992, 2000 + 7))
+    years = list(range(MELT_FIRST_YEAR, MELT_LAST_YEAR + 1))  # the melt's fixed year-column range
     wide = pivot_sum(lu, [A.KEY, A.CLASS], A.YEAR, years, A.AREA, [str(y) for y in years])
-    return rounded(melt_years(wide, [A.KEY, A.CLASS], year=A.YEAR, value=A.AREA))
+    return rounded(melt_years(wide, [A.KEY, A.CLASS], year=A.YEAR, value=A.AREA,
+                              first_year=MELT_FIRST_YEAR, last_year=MELT_LAST_YEAR))
 
 
 # ---------------------------------------------------------------- ETL / master
@@ -340,7 +342,7 @@ def q_box_summary(spark: SparkSession, d: str) -> DataFrame:
     return stats.box_summary(entropy_ranking(spark, d), "region", "score")
 
 
-def q_profile_summary_by_state(spark: SparkSession, d: str) -> DataFrame:
+def q_group_summary(spark: SparkSession, d: str) -> DataFrame:
     disp = _display(spark, d)
     return explore.group_summary(disp, "state", A.KEY, "score", "pct_native", "gdp_per_capita")
 
@@ -388,7 +390,7 @@ QUERIES = {
     "ols_by_group": q_ols_by_group,
     "histogram": q_histogram,
     "box_summary": q_box_summary,
-    "group_summary": q_profile_summary_by_state,
+    "group_summary": q_group_summary,
 }
 
 

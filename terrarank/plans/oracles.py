@@ -80,7 +80,7 @@ def _pivot_classes():
 
 def _unpivot():
     return (f"WITH {LANDUSE} SELECT entity_key, class_code, year, ROUND(SUM(area), 6) AS area FROM landuse "
-            f"WHERE year BETWEEN 1992 AND 2006 GROUP BY entity_key, class_code, year HAVING SUM(area) > 0")
+            f"WHERE year BETWEEN 1985 AND 2024 GROUP BY entity_key, class_code, year HAVING SUM(area) > 0")
 
 
 MASTER_COLS = [
