@@ -165,3 +165,15 @@ def test_filter_choices_bounds_positions(spark):
     means = df.groupBy("state").agg(F.avg("v").alias("m")).where("state IS NOT NULL")
     pos = {r.state: r.position for r in positional_index(means, "m").collect()}
     assert pos == {"AM": 0, "SP": 1}
+
+
+def test_detect_key_column_limits_before_shuffle(spark):
+    df = spark.createDataFrame([(i, str(1000000 + i), "x") for i in range(100)], "ord int, code string, flag string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = detect_key_column(df, "ord")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert "WindowGroupLimit" in lines[ex + 1] and "Partial" in lines[ex + 1]
