@@ -517,3 +517,26 @@ def q_tree_attribution(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["tree_attribution"] = q_tree_attribution
+
+
+def q_clean_pivot_extract(spark: SparkSession, d: str) -> DataFrame:
+    """R2 on an untyped long extract: keys normalised, values parsed, variables
+    214/215/216 pivoted with sum per (key, year)."""
+    from terrarank.operators.reshape import clean_pivot
+    raw = A.crop_long_extract(spark, d).select(
+        F.col(A.KEY).cast("string").alias("D1C"), F.col(A.YEAR).cast("string").alias("D2C"),
+        F.col("var_code").cast("string").alias("D3C"), F.col("value").cast("string").alias("V"))
+    return rounded(clean_pivot(raw))
+
+
+def q_clean_area_dim(spark: SparkSession, d: str) -> DataFrame:
+    """R3 on an untyped dimension: normalised key, name, state, numeric area."""
+    from terrarank.operators.reshape import clean_area
+    raw = A.entity_dim(spark, d).select(
+        F.col(A.KEY).cast("string").alias(A.KEY), "name", "state",
+        F.col("area_km2").cast("string").alias("area_km2"))
+    return rounded(clean_area(raw))
+
+
+QUERIES["clean_pivot_extract"] = q_clean_pivot_extract
+QUERIES["clean_area_dim"] = q_clean_area_dim

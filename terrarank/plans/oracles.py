@@ -7,7 +7,7 @@ from terrarank.plans.analog import (
     ASOF_REF_YEAR, CHANGE_END, CHANGE_START, EVENT_GROUPS, REF_YEAR,
 )
 from terrarank.plans.sqlparts import (
-    COMP_COLS, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
+    COMP_COLS, DIM as DIM_SQL, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
     index_prefix, inlist, sql_quantile, master_ctes, norm_ctes, q, subindex_cols,
 )
 
@@ -310,7 +310,29 @@ def _standardize():
             f"SELECT entity_key, {sc} FROM imp CROSS JOIN mo")
 
 
+def _clean_pivot():
+    v = sql_numeric("v_txt")
+    return (
+        "WITH raw AS (SELECT CAST(o.o_custkey AS VARCHAR) AS k_txt, CAST(CAST(year(l.l_shipdate) AS INTEGER) AS VARCHAR) AS y_txt, "
+        "s.code AS code, CAST(s.val AS VARCHAR) AS v_txt FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey, "
+        "LATERAL (SELECT * FROM (VALUES (214, l.l_quantity), (215, l.l_extendedprice), "
+        "(216, l.l_quantity * (1 - l.l_discount))) t(code, val)) s), "
+        f"p AS (SELECT {sql_normalize_key('k_txt')} AS entity_key, CAST(y_txt AS INTEGER) AS year, code, {v} AS value "
+        "FROM raw) "
+        "SELECT entity_key, year, ROUND(SUM(CASE WHEN code = 214 THEN value END), 6) AS crop_production_t, "
+        "ROUND(SUM(CASE WHEN code = 215 THEN value END), 6) AS crop_value_k, "
+        "ROUND(SUM(CASE WHEN code = 216 THEN value END), 6) AS planted_area_ha "
+        "FROM p WHERE value IS NOT NULL AND code IN (214, 215, 216) GROUP BY entity_key, year")
+
+
+def _clean_area():
+    return (f"WITH {DIM_SQL} SELECT {sql_normalize_key('CAST(entity_key AS VARCHAR)')} AS entity_key, name, state, "
+            f"ROUND({sql_numeric('CAST(area_km2 AS VARCHAR)')}, 6) AS area_km2 FROM dim")
+
+
 ORACLES = {
+    "clean_pivot_extract": _clean_pivot(),
+    "clean_area_dim": _clean_area(),
     "prepare_features": _prepare_features(),
     "standardize": _standardize(),
     "events_composition_rank": _events_rank(),
