@@ -43,10 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     driver; reusing the resolved frame avoids repeating that per reference.
     """
     path = f"{sf_dir}/{name}.parquet"
-    k = (id(spark._jsparkSession), path)
-    if k not in _TABLES:
-        _TABLES[k] = spark.read.parquet(path)
-    return _TABLES[k]
+    hit = _TABLES.get(path)
+    # the cached frame holds its session, so "is" cannot match a recycled id
+    if hit is None or hit.sparkSession is not spark:
+        hit = _TABLES[path] = spark.read.parquet(path)
+    return hit
 
 
 def landuse(spark: SparkSession, sf_dir: str) -> DataFrame:
