@@ -18,8 +18,8 @@ from terrarank.streaming import start_panel_stream
 
 
 def test_harmonize_aliases(spark):
-    df = spark.createDataFrame([("1", None, "x", 3)], "co_ibge string, id_ente string, other string, n int")
-    out = harmonize_columns(df, {"entity_key": ("co_municipio_ibge", "co_ibge", "id_ente"), "absent": ("zz",)})
+    df = spark.createDataFrame([("1", None, "x", 3)], "src_code string, alt_id string, other string, n int")
+    out = harmonize_columns(df, {"entity_key": ("unit_code", "src_code", "alt_id"), "absent": ("zz",)})
     assert out.columns == ["entity_key", "other", "n"]
     assert out.collect()[0].entity_key == "1"
 
