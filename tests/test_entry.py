@@ -55,3 +55,19 @@ def test_master_checkpoint_lineage_equals_persist(spark):
         return sorted(map(tuple, m.select(sorted(m.columns)).collect()), key=lambda t: str(t))
 
     assert build("checkpoint") == build("persist")
+
+
+def test_no_nested_loop_or_python_eval_in_plans(spark):
+    """Every registered (non-model) query plans without cartesian / nested-loop
+    joins and without Python evaluation (TreeSHAP's mapInPandas is the one
+    intended exception)."""
+    heavy = {"cv_elastic_net", "cv_random_forest", "cv_gradient_boosting", "cv_boosting_deep",
+             "cv_boosting_leafy", "importances", "kmeans_profiles", "profile_summary", "profile_sizes",
+             "linear_attribution", "tree_attribution"}
+    for name, q in E.queries().items():
+        if name in heavy:
+            continue
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, (name, bad)
+        spark.catalog.clearCache()
