@@ -540,3 +540,16 @@ def q_clean_area_dim(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES["clean_pivot_extract"] = q_clean_pivot_extract
 QUERIES["clean_area_dim"] = q_clean_area_dim
+
+
+def q_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """All five regressors under 5-fold CV in one pool of concurrent fits, with
+    the best model (least CV RMSE) flagged."""
+    from terrarank.operators import ml
+    df, feats, _, _ = _model_input(spark, d)
+    metrics, _, _, _ = ml.cross_validate(df, feats, A.KEY, parallelism=8)
+    best = ml.best_model(metrics)
+    return rounded(metrics.withColumn("best", F.col("model") == F.lit(best)))
+
+
+QUERIES["cv_metrics"] = q_cv_metrics
