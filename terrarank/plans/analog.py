@@ -31,6 +31,8 @@ REF_YEAR = 2000
 CHANGE_START = 1996
 CHANGE_END = 2000
 ASOF_REF_YEAR = 2003  # absent from the data: resolves to the latest earlier year
+# A multi-select state filter for the KPI view (a user selection of six states).
+KPI_STATES = ["NATION_1", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_21"]
 
 
 _TABLES: dict = {}

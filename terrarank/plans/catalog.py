@@ -308,7 +308,7 @@ def q_threshold_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_filtered_kpis(spark: SparkSession, d: str) -> DataFrame:
     f = explore.apply_filters(_display(spark, d), ranges={"population": (2.0, 40.0)},
-                              choices={"state": ["BRAZIL", "CANADA", "CHINA", "FRANCE", "GERMANY", "JAPAN"]})
+                              choices={"state": A.KPI_STATES})
     return rounded(explore.kpis(f))
 
 

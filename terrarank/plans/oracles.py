@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from terrarank.config import LAND_COVER_LABELS
 from terrarank.plans.analog import (
-    ASOF_REF_YEAR, CHANGE_END, CHANGE_START, EVENT_GROUPS, REF_YEAR,
+    ASOF_REF_YEAR, CHANGE_END, KPI_STATES, CHANGE_START, EVENT_GROUPS, REF_YEAR,
 )
 from terrarank.plans.sqlparts import (
     COMP_COLS, DIM as DIM_SQL, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
@@ -15,7 +15,9 @@ NUM_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def r6(expr: str, alias: str) -> str:
-    return f"ROUND({expr}, 6) AS {alias}"
+    # "+ 0.0" turns DuckDB's -0.0 (from rounding tiny negatives or negating 0)
+    # into +0.0, as Spark's round() returns
+    return f"ROUND({expr}, 6) + 0.0 AS {alias}"
 
 
 def round_all(cols: list[str], src: str = "") -> str:
@@ -42,7 +44,7 @@ def _events_rank() -> str:
     cols = ["total_area"] + [f"{g}_area" for g in EVENT_GROUPS] + [f"pct_{g}" for g in EVENT_GROUPS]
     return (f"WITH {EVENTS_LONG}, c AS ({comp}), "
             f"r AS (SELECT entity_key, {round_all(cols)}, "
-            f"ROUND(pct_agro / (NULLIF(pct_native, 0) + 1), 6) AS pressure_index FROM c) "
+            f"ROUND(pct_agro / (NULLIF(pct_native, 0) + 1), 6) + 0.0 AS pressure_index FROM c) "
             f"SELECT r.*, CASE WHEN pct_native IS NULL THEN NULL ELSE "
             f"CAST(RANK() OVER (ORDER BY pct_native DESC NULLS LAST) AS INTEGER) END AS rank FROM r")
 
@@ -74,12 +76,12 @@ def _asof():
 def _pivot_classes():
     codes = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     names = ["urgent_area", "high_area", "medium_area", "not_specified_area", "low_area"]
-    cols = ", ".join(f"ROUND(SUM(CASE WHEN class_code = {q(c)} THEN area END), 6) AS {n}" for c, n in zip(codes, names))
+    cols = ", ".join(f"ROUND(SUM(CASE WHEN class_code = {q(c)} THEN area END), 6) + 0.0 AS {n}" for c, n in zip(codes, names))
     return f"WITH {LANDUSE} SELECT entity_key, year, {cols} FROM landuse GROUP BY entity_key, year"
 
 
 def _unpivot():
-    return (f"WITH {LANDUSE} SELECT entity_key, class_code, year, ROUND(SUM(area), 6) AS area FROM landuse "
+    return (f"WITH {LANDUSE} SELECT entity_key, class_code, year, ROUND(SUM(area), 6) + 0.0 AS area FROM landuse "
             f"WHERE year BETWEEN 1985 AND 2024 GROUP BY entity_key, class_code, year HAVING SUM(area) > 0")
 
 
@@ -116,9 +118,9 @@ def _normalize_keys():
 
 def _coerce():
     k = "NULLIF(regexp_extract(props, ':\\s*([0-9]+)', 1), '')"
-    return (f"SELECT event_id, ROUND({sql_numeric('value')}, 6) AS value_num, "
-            f"ROUND({sql_numeric('props')}, 6) AS props_num, ROUND({sql_numeric('event_type')}, 6) AS type_num, "
-            f"ROUND({sql_numeric(k)}, 6) AS k_num FROM events")
+    return (f"SELECT event_id, ROUND({sql_numeric('value')}, 6) + 0.0 AS value_num, "
+            f"ROUND({sql_numeric('props')}, 6) + 0.0 AS props_num, ROUND({sql_numeric('event_type')}, 6) + 0.0 AS type_num, "
+            f"ROUND({sql_numeric(k)}, 6) + 0.0 AS k_num FROM events")
 
 
 def _code_labels():
@@ -142,7 +144,7 @@ def _detect_key():
 def _harmonized_union():
     def part(status):
         return (f"SELECT {sql_normalize_key('CAST(o_custkey AS VARCHAR)')} AS entity_key, "
-                f"CAST(year(o_orderdate) AS INTEGER) AS year, ROUND({sql_numeric('o_totalprice')}, 6) AS order_value, "
+                f"CAST(year(o_orderdate) AS INTEGER) AS year, ROUND({sql_numeric('o_totalprice')}, 6) + 0.0 AS order_value, "
                 f"{q(status)} AS status FROM orders WHERE o_orderstatus = {q(status)}")
     return " UNION ALL ".join(part(s) for s in ("F", "O", "P"))
 
@@ -160,13 +162,13 @@ def _minmax():
 
 def _median_impute():
     sel = " UNION ALL ".join(
-        f"SELECT {q(i)} AS indicator, ROUND(med_{i}, 6) AS median, ROUND(lo_{i}, 6) AS min, ROUND(hi_{i}, 6) AS max FROM st"
+        f"SELECT {q(i)} AS indicator, ROUND(med_{i}, 6) + 0.0 AS median, ROUND(lo_{i}, 6) + 0.0 AS min, ROUND(hi_{i}, 6) + 0.0 AS max FROM st"
         for i in IND)
     return f"WITH {master_ctes()}, {norm_ctes()} {sel}"
 
 
 def _entropy_weights():
-    sel = " UNION ALL ".join(f"SELECT {q(i)} AS indicator, ROUND(w_{i}, 6) AS weight FROM ew" for i in IND)
+    sel = " UNION ALL ".join(f"SELECT {q(i)} AS indicator, ROUND(w_{i}, 6) + 0.0 AS weight FROM ew" for i in IND)
     return f"{index_prefix()} {sel}"
 
 
@@ -175,8 +177,8 @@ def _entropy_rank():
 
 
 def _subindices():
-    return (f"{index_prefix()} SELECT entity_key, ROUND(subindex_environment, 6) AS subindex_environment, "
-            f"ROUND(subindex_economy, 6) AS subindex_economy FROM (SELECT entity_key, {subindex_cols()} FROM ranking) t")
+    return (f"{index_prefix()} SELECT entity_key, ROUND(subindex_environment, 6) + 0.0 AS subindex_environment, "
+            f"ROUND(subindex_economy, 6) + 0.0 AS subindex_economy FROM (SELECT entity_key, {subindex_cols()} FROM ranking) t")
 
 
 def _topn(n, desc=True):
@@ -185,12 +187,12 @@ def _topn(n, desc=True):
 
 
 def _mean_by(group):
-    return (f"{index_prefix()} SELECT {group}, COUNT(*) AS entities, ROUND(AVG(score), 6) AS mean_score "
+    return (f"{index_prefix()} SELECT {group}, COUNT(*) AS entities, ROUND(AVG(score), 6) + 0.0 AS mean_score "
             f"FROM ranking GROUP BY {group}")
 
 
 def _group_rank():
-    return (f"{index_prefix()}, g AS (SELECT state, COUNT(*) AS entities, ROUND(AVG(score), 6) AS mean_score "
+    return (f"{index_prefix()}, g AS (SELECT state, COUNT(*) AS entities, ROUND(AVG(score), 6) + 0.0 AS mean_score "
             f"FROM ranking GROUP BY state) SELECT g.*, CAST(RANK() OVER (ORDER BY mean_score DESC NULLS LAST) "
             f"AS INTEGER) AS state_rank, COUNT(*) OVER () AS of FROM g")
 
@@ -207,22 +209,22 @@ def _threshold():
 
 
 def _kpis():
-    states = inlist(["BRAZIL", "CANADA", "CHINA", "FRANCE", "GERMANY", "JAPAN"])
-    return (f"{index_prefix()}, {DISPLAY} SELECT COUNT(*) AS entities, ROUND(AVG(score), 6) AS mean_score, "
-            f"ROUND(MAX(score), 6) AS max_score, ROUND(AVG(pct_native), 6) AS mean_pct_native, "
-            f"ROUND(AVG(gdp_per_capita), 6) AS mean_gdp_per_capita FROM disp "
+    states = inlist(KPI_STATES)
+    return (f"{index_prefix()}, {DISPLAY} SELECT COUNT(*) AS entities, ROUND(AVG(score), 6) + 0.0 AS mean_score, "
+            f"ROUND(MAX(score), 6) + 0.0 AS max_score, ROUND(AVG(pct_native), 6) + 0.0 AS mean_pct_native, "
+            f"ROUND(AVG(gdp_per_capita), 6) + 0.0 AS mean_gdp_per_capita FROM disp "
             f"WHERE population BETWEEN 2.0 AND 40.0 AND state IN ({states})")
 
 
 def _profile_lookup():
-    sel = " UNION ALL ".join(f"SELECT entity_key, {q(i)} AS indicator, ROUND({i}, 6) AS value FROM ranking "
+    sel = " UNION ALL ".join(f"SELECT entity_key, {q(i)} AS indicator, ROUND({i}, 6) + 0.0 AS value FROM ranking "
                              f"WHERE entity_key = 7" for i in IND)
     return f"{index_prefix()} {sel}"
 
 
 def _score_corr():
     cols = ["gdp_per_capita", "pct_native", "pct_agro"]
-    sel = " UNION ALL ".join(f"SELECT {q(c)} AS indicator, ROUND(corr(score, {c}), 6) AS r FROM disp" for c in cols)
+    sel = " UNION ALL ".join(f"SELECT {q(c)} AS indicator, ROUND(corr(score, {c}), 6) + 0.0 AS r FROM disp" for c in cols)
     return f"{index_prefix()}, {DISPLAY} {sel}"
 
 
@@ -236,15 +238,15 @@ def _corr_matrix():
     for i, a in enumerate(cols):
         parts.append(f"SELECT {q(a)} AS x, {q(a)} AS y, CAST(1.0 AS DOUBLE) AS r")
         for b in cols[i + 1:]:
-            parts.append(f"SELECT {q(a)} AS x, {q(b)} AS y, ROUND(corr({a}, {b}), 6) AS r FROM master")
-            parts.append(f"SELECT {q(b)} AS x, {q(a)} AS y, ROUND(corr({a}, {b}), 6) AS r FROM master")
+            parts.append(f"SELECT {q(a)} AS x, {q(b)} AS y, ROUND(corr({a}, {b}), 6) + 0.0 AS r FROM master")
+            parts.append(f"SELECT {q(b)} AS x, {q(a)} AS y, ROUND(corr({a}, {b}), 6) + 0.0 AS r FROM master")
     return f"WITH {master_ctes()} " + " UNION ALL ".join(parts)
 
 
 def _ols():
-    return (f"{index_prefix()}, {DISPLAY} SELECT state, ROUND(regr_slope(score, gdp_per_capita), 6) AS slope, "
-            f"ROUND(regr_intercept(score, gdp_per_capita), 6) AS intercept, "
-            f"ROUND(regr_r2(score, gdp_per_capita), 6) AS r2, CAST(regr_count(score, gdp_per_capita) AS BIGINT) AS n "
+    return (f"{index_prefix()}, {DISPLAY} SELECT state, ROUND(regr_slope(score, gdp_per_capita), 6) + 0.0 AS slope, "
+            f"ROUND(regr_intercept(score, gdp_per_capita), 6) + 0.0 AS intercept, "
+            f"ROUND(regr_r2(score, gdp_per_capita), 6) + 0.0 AS r2, CAST(regr_count(score, gdp_per_capita) AS BIGINT) AS n "
             f"FROM disp WHERE score IS NOT NULL AND gdp_per_capita IS NOT NULL GROUP BY state")
 
 
@@ -253,8 +255,8 @@ def _histogram():
             f"b AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM v), "
             f"h AS (SELECT CAST(COALESCE(LEAST(FLOOR((x - lo) / NULLIF((hi - lo) / 50, 0)), 49), 0) AS INTEGER) AS bin, "
             f"COUNT(*) AS count FROM v CROSS JOIN b GROUP BY 1) "
-            f"SELECT bin, ROUND(lo + bin * ((hi - lo) / 50), 6) AS bin_start, "
-            f"ROUND(lo + (bin + 1) * ((hi - lo) / 50), 6) AS bin_end, count FROM h CROSS JOIN b")
+            f"SELECT bin, ROUND(lo + bin * ((hi - lo) / 50), 6) + 0.0 AS bin_start, "
+            f"ROUND(lo + (bin + 1) * ((hi - lo) / 50), 6) + 0.0 AS bin_end, count FROM h CROSS JOIN b")
 
 
 def _box():
@@ -294,7 +296,7 @@ FEATURES = ["gdp_per_capita", "pop_density", "pct_native", "pct_forest", "pct_ag
 
 
 def _prepare_features():
-    cols = ", ".join(f"ROUND(CAST(m.{c} AS DOUBLE), 6) AS {c}" for c in FEATURES)
+    cols = ", ".join(f"ROUND(CAST(m.{c} AS DOUBLE), 6) + 0.0 AS {c}" for c in FEATURES)
     return (f"{index_prefix()} SELECT m.entity_key, {cols}, r.score AS label "
             f"FROM master m JOIN ranking r ON m.entity_key = r.entity_key")
 
@@ -303,7 +305,7 @@ def _standardize():
     meds = ", ".join(f"{sql_quantile(c, 0.5)} AS med_{c}" for c in FEATURES)
     imp = ", ".join(f"COALESCE(CAST(m.{c} AS DOUBLE), md.med_{c}) AS {c}" for c in FEATURES)
     mom = ", ".join(f"AVG({c}) AS mean_{c}, stddev_pop({c}) AS sd_{c}" for c in FEATURES)
-    sc = ", ".join(f"ROUND(({c} - mean_{c}) / (CASE WHEN sd_{c} = 0 OR sd_{c} IS NULL THEN 1 ELSE sd_{c} END), 6) AS {c}"
+    sc = ", ".join(f"ROUND(({c} - mean_{c}) / (CASE WHEN sd_{c} = 0 OR sd_{c} IS NULL THEN 1 ELSE sd_{c} END), 6) + 0.0 AS {c}"
                    for c in FEATURES)
     return (f"WITH {master_ctes()}, md AS (SELECT {meds} FROM master), "
             f"imp AS (SELECT m.entity_key, {imp} FROM master m CROSS JOIN md), mo AS (SELECT {mom} FROM imp) "
@@ -319,15 +321,15 @@ def _clean_pivot():
         "(216, l.l_quantity * (1 - l.l_discount))) t(code, val)) s), "
         f"p AS (SELECT {sql_normalize_key('k_txt')} AS entity_key, CAST(y_txt AS INTEGER) AS year, code, {v} AS value "
         "FROM raw) "
-        "SELECT entity_key, year, ROUND(SUM(CASE WHEN code = 214 THEN value END), 6) AS crop_production_t, "
-        "ROUND(SUM(CASE WHEN code = 215 THEN value END), 6) AS crop_value_k, "
-        "ROUND(SUM(CASE WHEN code = 216 THEN value END), 6) AS planted_area_ha "
+        "SELECT entity_key, year, ROUND(SUM(CASE WHEN code = 214 THEN value END), 6) + 0.0 AS crop_production_t, "
+        "ROUND(SUM(CASE WHEN code = 215 THEN value END), 6) + 0.0 AS crop_value_k, "
+        "ROUND(SUM(CASE WHEN code = 216 THEN value END), 6) + 0.0 AS planted_area_ha "
         "FROM p WHERE value IS NOT NULL AND code IN (214, 215, 216) GROUP BY entity_key, year")
 
 
 def _clean_area():
     return (f"WITH {DIM_SQL} SELECT {sql_normalize_key('CAST(entity_key AS VARCHAR)')} AS entity_key, name, state, "
-            f"ROUND({sql_numeric('CAST(area_km2 AS VARCHAR)')}, 6) AS area_km2 FROM dim")
+            f"ROUND({sql_numeric('CAST(area_km2 AS VARCHAR)')}, 6) + 0.0 AS area_km2 FROM dim")
 
 
 ORACLES = {
