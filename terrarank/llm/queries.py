@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terrarank.llm.common import table
 from terrarank.llm.simhash import simhash_components
+from terrarank.llm.tokens import read_token_digests, write_tokens
+from terrarank.session import checkpoint_dir
+
+END_ID = 2
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Write ``docs`` as token shards into the shared folder and read every document's ids back."""
+    spark = docs.sparkSession
+    path = f"{checkpoint_dir(spark)}/llm-tokens-{uuid.uuid4().hex}"
+    write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return read_token_digests(spark, path)
+
+
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +32,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
