@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def byte_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each (one row at least)."""
     for batch in batches:
-        sizes = np.array([0 if v is None else len(v) for v in texts_of(batch, column)], dtype=np.int64)
-        part = np.cumsum(sizes) // limit
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // limit
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
         for a, b in zip(edges, edges[1:]):
             if b > a:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terrarank.llm.common import table
+from terrarank.llm.licences import scan_licences
 from terrarank.llm.simhash import simhash_components
 from terrarank.llm.tokens import read_token_digests, write_tokens
 from terrarank.session import checkpoint_dir
@@ -31,9 +32,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 ORACLES: dict[str, str] = {}
