@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrarank.llm.common import table
 from terrarank.llm.licences import scan_licences
+from terrarank.llm.pii import find_pii
 from terrarank.llm.simhash import simhash_components
 from terrarank.llm.tokens import read_token_digests, write_tokens
 from terrarank.session import checkpoint_dir
@@ -32,6 +33,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
 }
 
