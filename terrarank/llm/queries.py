@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrarank.llm.common import table
 from terrarank.llm.licences import scan_licences
 from terrarank.llm.pii import find_pii
+from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
 from terrarank.llm.tokens import read_token_digests, write_tokens
 from terrarank.session import checkpoint_dir
@@ -25,6 +26,10 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_personal_data": op9_personal_data,
