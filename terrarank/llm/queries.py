@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terrarank.llm.common import table
+from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.licences import scan_licences
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
@@ -38,6 +39,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
 }
