@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrarank.llm.common import table
 from terrarank.llm.decontaminate import contaminated_pairs
+from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
@@ -43,6 +44,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
 }
