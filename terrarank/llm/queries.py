@@ -6,6 +6,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrarank.llm.common import table
 from terrarank.llm.decontaminate import contaminated_pairs
@@ -14,6 +15,7 @@ from terrarank.llm.licences import scan_licences
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
+from terrarank.llm.substrings import remove_repeated_windows
 from terrarank.llm.tokens import read_token_digests, write_tokens
 from terrarank.session import checkpoint_dir
 
@@ -48,6 +50,11 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -62,6 +69,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
 }
