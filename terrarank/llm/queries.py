@@ -12,6 +12,7 @@ from terrarank.llm.common import table
 from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
+from terrarank.llm.mixing import mixture
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
@@ -55,6 +56,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_source_mixture": op8_source_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
 }
