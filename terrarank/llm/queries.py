@@ -12,6 +12,7 @@ from terrarank.llm.common import table
 from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
+from terrarank.llm.line_runs import MIN_RUN, remove_repeated_lines
 from terrarank.llm.mixing import mixture
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
@@ -31,6 +32,11 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +75,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_output": op3_token_output,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
@@ -80,4 +87,21 @@ QUERIES = {
     "op10_licence_scan": op10_licence_scan,
 }
 
-ORACLES: dict[str, str] = {}
+#: Windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
+#: exactly if each of its windows has one.
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": f"""
+        WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+        lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+        windows AS (
+            SELECT doc_id, pos, list(line) OVER w AS run, count(*) OVER w AS n FROM lines
+            WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {MIN_RUN - 1} FOLLOWING)),
+        firsts AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM windows WHERE n = {MIN_RUN}),
+        gone AS (
+            SELECT DISTINCT doc_id, pos + k AS pos FROM firsts, range({MIN_RUN}) AS r(k) WHERE nth > 1),
+        kept AS (
+            SELECT l.doc_id, count(g.pos) AS n_removed, count(*) AS n_lines,
+                   coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+            FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+        SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM kept""",
+}
