@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from terrarank.llm.common import byte_batches, texts_of
 
 BUCKETS = 1 << 17
+COUNT_ROWS = 30_000
 SAMPLE_ROWS = 4000
 SAMPLE_IDS = 20_000_000
 SMOOTH = 1.0
@@ -195,8 +196,8 @@ class Constant:
         return self.value
 
 
-def fit_rows(rows: list[np.ndarray], labels: np.ndarray, docs: np.ndarray, counts: np.ndarray) -> Model:
-    """Fit on sampled rows; ``docs`` and ``counts`` are the whole training data's."""
+def fit_rows(rows: list[np.ndarray], labels: np.ndarray, shares: np.ndarray, counts: np.ndarray) -> Model:
+    """Fit on sampled rows; ``shares`` are the classes' rows among all labels."""
     scale = log_count_ratio(counts)
     half = np.zeros(len(rows), bool)
     for c in (0, 1):  # every second row of each class
@@ -208,27 +209,40 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray, docs: np.ndarray, count
         for i in np.flatnonzero(~side):
             margins[i] = part.margin(rows[i])
     sampled = np.bincount(labels, minlength=2)
-    slope, offset = platt(margins, labels, (docs / np.maximum(sampled, 1))[labels])
+    slope, offset = platt(margins, labels, (shares / np.maximum(sampled, 1))[labels])
     w, b = dual_coordinate_descent(rows, labels, scale)
     return Model(scale, interpolated(w), b, slope, offset)
 
 
+def _smallest(known: DataFrame, order: Column, rows: int, shares: np.ndarray) -> DataFrame:
+    """(id, label): at most ``rows`` labelled ids of each class, those with the smallest hashes."""
+    out = None
+    for c in (0, 1):
+        # few more than wanted pass the threshold, so the sort sees a bounded number of rows too
+        threshold = min(int(min(1.0, (1.2 * rows + 100) / shares[c]) * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+        part = known.where((F.col("label") == c) & (order <= F.lit(threshold))).orderBy(order, "id").limit(rows)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_ids: int = SAMPLE_IDS) -> Model | Constant:
+        label_col: str = "quality", count_rows: int = COUNT_ROWS, sample_rows: int = SAMPLE_ROWS,
+        sample_ids: int = SAMPLE_IDS) -> Model | Constant:
     """Fit from labelled rows outside the held-out fold."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("high"))
              .where(F.col("label") == F.col("high")).select("id", "label"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n_docs, counts = class_counts(texts.join(known, "id"))
-    if not n_docs.all():
-        return Constant(float(n_docs[1] / n_docs.sum()) if n_docs.any() else 0.5)
+    shares = np.zeros(2)
+    for r in known.groupBy("label").count().collect():
+        shares[r.label] = r["count"]
+    if not shares.all():
+        return Constant(float(shares[1] / shares.sum()) if shares.any() else 0.5)
     order = F.xxhash64(F.col("id").cast("string"))
-    sample = None
-    for c in (0, 1):
-        part = known.where(F.col("label") == c).orderBy(order, "id").limit(sample_rows)
-        sample = part if sample is None else sample.unionByName(part)
+    counted = _smallest(known, order, count_rows, shares)
+    counts = class_counts(texts.join(F.broadcast(counted), "id"))[1]
+    sample = _smallest(known, order, sample_rows, shares)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -237,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["h", "label", "ids"])
 
-    # the sample has at most 2 * sample_rows rows (a proven bound); rows in hash order as long as their indicators fit
+    # both samples have at most 2 * rows rows (a proven bound); rows in hash order as long as their indicators fit
     picked = (texts.join(F.broadcast(sample), "id").select(order.alias("h"), "label", "text")
               .mapInArrow(extract, "h long, label int, ids array<int>").orderBy("h").limit(4 * sample_rows))
     rows, marks, held = [], [], 0
@@ -249,8 +263,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         marks.append(r.label)
     marks = np.array(marks, np.int64)
     if len(set(marks.tolist())) < 2:
-        return Constant(float(n_docs[1] / n_docs.sum()))
-    return fit_rows(rows, marks, n_docs, counts)
+        return Constant(float(shares[1] / shares.sum()))
+    return fit_rows(rows, marks, shares, counts)
 
 
 def score_quality(docs: DataFrame, model: Model | Constant, text_col: str = "text", out: str = "score") -> DataFrame:
