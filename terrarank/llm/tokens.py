@@ -37,7 +37,21 @@ from terrarank.llm.wavelet import WaveletMatrix
 SHARD_SCHEMA = "part int, seq int, start_in_part long, n_tokens long, doc_ids array<long>, block binary"
 #: Opening of the special tokens.
 SPECIAL = "<|"
-MEMO = 600_000  # words in each half of the memo
+MEMO = 800_000  # words in each half of the memo
+#: Marks that may follow a word as a pre-token of their own; letters below this character are letters to every library.
+MARKS = tuple(".,;:!?")
+LATIN_END = "\u0250"
+# The byte-level alphabet: printable characters stand for their byte, the others are moved behind 255 in order.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_CHARS = {byte: 256 + n for n, byte in enumerate(sorted({*range(256)} - _PRINTED))}
+
+_ENCODERS: dict[str, Encoder] = {}  # one for each worker process, so that the memo outlives a task
+
+
+def encoder_for(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class Encoder(dict):
@@ -54,10 +68,17 @@ class Encoder(dict):
         self.code = "H" if self.width <= 16 else "I"
         self.dtype = np.dtype("<u2" if self.width <= 16 else "<u4")
         self.older: dict[str, bytes | None] = {}
+        self.marks = {m: self.whole(m) for m in MARKS}
+        self.line_break = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _letters(self, text: str) -> bytes:
+        """Ids of letters with at most one space before them: one pre-token, given to the model as it is."""
+        found = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_CHARS))
+        return array(self.code, [t.id for t in found]).tobytes()
+
     def __missing__(self, word: str) -> bytes | None:
         """Ids of a space and the word, or of a line break and the word after it.
 
@@ -70,8 +91,14 @@ class Encoder(dict):
             found = self.older[word]
         else:
             body = word[1:] if word[:1] == "\n" else word
-            alone = body and not body[0].isspace() and not body[-1].isspace() and SPECIAL not in body
-            found = self.whole(word if body is not word else " " + word) if alone else None
+            core = body[:-1] if body[-1:] in MARKS else body
+            if core.isalpha() and max(core) < LATIN_END:
+                head = self.line_break if body is not word else b""
+                found = head + self._letters(core if head else " " + core) + (self.marks[body[-1]] if core is not body else b"")
+            elif body and not body[0].isspace() and not body[-1].isspace() and SPECIAL not in body:
+                found = self.whole(word if body is not word else " " + word)
+            else:
+                found = None
         self[word] = found
         return found
 
@@ -107,7 +134,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                .repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_for(tokenizer), TaskContext.get().partitionId()
         end = array(encoder.code, [end_id]).tobytes()
         ids, pieces, lengths, held, seq, start = [], [], [], 0, 0, 0
         schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start_in_part", pa.int64()),

@@ -42,7 +42,7 @@ def slow_ids(text):
 
 TEXTS = ["plain words, and more words", " lead and trail ", "two  spaces", "line\nbreak \n mixed\n\nend\n", "tab\there",
          "it's we'll 's 'll don 't", "1234 56a7 ..., !!! ümlaut ñ 漢字 👩‍👩‍👧", "a<|endoftext|>b", " nbsp em ​",
-         "", None, "x" * 3000, "\x1c\x1d odd", "The\nEnd", "a\r\nb", "<| half", "it\n's ' s"]
+         "Üben, ñandú. Ébène! a; b: c? d,. e.. ª º µ ß ÿ", "x\nÉa,\nb.", "", None, "x" * 3000, "\x1c\x1d odd", "The\nEnd", "a\r\nb", "<| half", "it\n's ' s"]
 
 
 def test_word_by_word_equals_whole():
