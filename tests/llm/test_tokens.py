@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -50,16 +51,23 @@ def test_word_by_word_equals_whole():
     e = T.Encoder(PATH)
     texts = TEXTS + ["".join(rnd.choice(["a", "B", "9", " ", "\n", "'", "s", ".", "é", "\t", "ll"]) for _ in range(60))
                      for _ in range(400)]
-    for text in texts:
-        assert np.frombuffer(e.encode(text), e.dtype).tolist() == slow_ids(text), repr(text)
+    ids, lengths = e.encode_batch(pa.array([*texts, "a\0b", "\0", " x\0"]))
+    ends = np.cumsum(lengths)
+    for text, a, b in zip([*texts, "a\0b", "\0", " x\0"], ends - lengths, ends):
+        assert ids[a:b].tolist() == slow_ids(text), repr(text)
+    part = pa.array(texts)[5:9]
+    assert e.encode_batch(part)[0].tolist() == [x for t in texts[5:9] for x in slow_ids(t)]
 
 
 def test_memo_is_bounded(monkeypatch):
     monkeypatch.setattr(T, "MEMO", 5)
     e = T.Encoder(PATH)
     text = " ".join(f"w{i}" for i in range(50))
-    assert np.frombuffer(e.encode(text), e.dtype).tolist() == slow_ids(text)
-    assert len(e) <= 5 and len(e.older) <= 5
+    assert e.encode_batch(pa.array([text]))[0].tolist() == slow_ids(text)
+    for k in range(20):
+        more = f"w1 w{k} w{k + 1} x{k}"
+        assert e.encode_batch(pa.array([more]))[0].tolist() == slow_ids(more)
+    assert len(e.words) <= 8
 
 
 def test_round_trip(spark):
