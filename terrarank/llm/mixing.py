@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrarank.llm.common import materialize, word_count
-from terrarank.session import checkpoint_dir
 
 WEIGHTS = (1, 2, 3)  # by the sources' order, repeating
 MOST_COPIES = 3
@@ -38,13 +37,21 @@ STRETCH_BITS = 12
 ORDER_BITS = 48
 
 
+def _small(by_source: DataFrame) -> DataFrame:
+    """A table of one row a source, written and read back.
+
+    Spark then knows its size: it broadcasts it to the rows where it is small
+    enough, so that a source's rows stay where they are, and joins by sorting otherwise.
+    """
+    return materialize(by_source, "mix-sources")
+
+
 def source_targets(rows: DataFrame) -> DataFrame:
     """(source, source_size, target) from rows (source, size); one row a source throughout."""
-    checkpoint_dir(rows.sparkSession)
     by = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weights = F.array(*map(F.lit, WEIGHTS))
-    sources = by.withColumn("weight", F.element_at(weights, (place % len(WEIGHTS) + 1).cast("int"))).checkpoint()
+    sources = _small(by.withColumn("weight", F.element_at(weights, (place % len(WEIGHTS) + 1).cast("int"))))
     cap = MOST_COPIES * F.col("source_size")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0
@@ -75,9 +82,9 @@ def _stretch_cut(sums: DataFrame, budget: str) -> DataFrame:
     """(source, stretch, used): the first stretch that does not fit the budget, and the words before it."""
     w = Window.partitionBy("source").orderBy("stretch")  # at most 4096 rows a source
     run = sums.withColumn("sum", F.sum("words").over(w))
-    return run.groupBy("source").agg(
+    return _small(run.groupBy("source").agg(
         F.min(F.when(F.col("sum") > F.col(budget), F.col("stretch"))).alias("stretch"),
-        F.coalesce(F.max(F.when(F.col("sum") <= F.col(budget), F.col("sum"))), F.lit(0)).alias("used"))
+        F.coalesce(F.max(F.when(F.col("sum") <= F.col(budget), F.col("sum"))), F.lit(0)).alias("used")))
 
 
 def _cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -99,7 +106,7 @@ def _cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     cell = inner.join(second, F.col("source").eqNullSafe(F.col("s2")) & (F.shiftright("key", lower) == F.col("c2")))
     # what shares 24 bits of the order: a few rows of a source, however many it has
     ties = Window.partitionBy("source").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    third = (cell.withColumn("sum", F.sum("size").over(ties)).groupBy("source")
+    third = _small(cell.withColumn("sum", F.sum("size").over(ties)).groupBy("source")
              .agg(F.max(F.when(F.col("sum") <= F.col("left") - F.col("u2"), F.col("key"))).alias("last"))
              .select(F.col("source").alias("s3"), "last"))
     joined = (budgets.join(first, F.col("b_source").eqNullSafe(F.col("s1")), "left")
@@ -126,24 +133,22 @@ def sampling_plan(rows: DataFrame) -> DataFrame:
     plan = source_targets(rows)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = (plan.withColumn("whole", F.floor(ratio).cast("int")).withColumn("share", ratio - F.col("whole"))
-            .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).checkpoint())
+            .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
     plan = plan.withColumn("limit0", F.lit((1 << 62)))
     for k in range(ROUNDS):
         plan = _with_budget(rows, plan, k)
         if k:
-            plan = plan.withColumn(f"limit{k}", F.floor("budget").cast("long")).checkpoint()
+            plan = plan.withColumn(f"limit{k}", F.floor("budget").cast("long"))
         open_rows = (_keyed(rows, plan).where(~_chosen(k) & (F.col("size") <= F.col(f"limit{k}")))
                      .select("source", "size", "key"))
         cuts = _cut(open_rows, plan.select(F.col("source").alias("b_source"), "budget"))
         cuts = cuts.select(F.col("source").alias("c_source"), F.col("cut").alias(f"cut{k}"))
-        plan = (plan.drop("budget").join(cuts, F.col("source").eqNullSafe(F.col("c_source")), "left")
-                .drop("c_source").checkpoint())
+        plan = _small(plan.drop("budget").join(cuts, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source"))
     plan = _with_budget(rows, plan, ROUNDS)
     nearest = (_keyed(rows, plan).where(~_chosen(ROUNDS) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("budget")))
                .groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("budget")), "key")).alias("near"))
                .select(F.col("source").alias("c_source"), F.col("near.key").alias("added")))
-    return (plan.drop("budget").join(nearest, F.col("source").eqNullSafe(F.col("c_source")), "left")
-            .drop("c_source").checkpoint())
+    return _small(plan.drop("budget").join(nearest, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source"))
 
 
 def _keyed(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -157,9 +162,8 @@ def _with_budget(rows: DataFrame, plan: DataFrame, rounds: int) -> DataFrame:
     """The plan with the words each source has left after its rounds so far."""
     spent = _keyed(rows, plan).where(_chosen(rounds)).groupBy(F.col("source").alias("s_source")).agg(
         F.sum("size").alias("spent"))
-    return (plan.join(spent, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
-            .withColumn("budget", F.greatest(F.col("rest") - F.coalesce("spent", F.lit(0)), F.lit(0.0)))
-            .drop("spent").checkpoint())
+    return _small(plan.join(spent, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
+                  .withColumn("budget", F.greatest(F.col("rest") - F.coalesce("spent", F.lit(0)), F.lit(0.0))).drop("spent"))
 
 
 def _with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
