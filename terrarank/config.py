@@ -6,7 +6,7 @@ reproduced and must not be changed for parity.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,6 @@ NATIVE_VEGETATION_CODES = [1, 3, 4, 5, 6, 10, 11, 12, 13, 29, 32, 49, 50]
 FOREST_CODES = [1, 3, 4, 5, 6]
 AGRO_CODES = [14, 15, 18, 19, 20, 35, 36, 39, 40, 41, 46, 47, 48]
 URBAN_CODES = [24]
-MINING_CODES = [30]
 
 LAND_COVER_GROUPS: dict[str, list] = {
     "native": NATIVE_VEGETATION_CODES,
@@ -109,28 +108,44 @@ FLAT_EXTRACT_ALIASES: dict[str, tuple[str, ...]] = {
     "value": ("V", "valor"),
 }
 
-# Positional profile names, by ascending mean score (a parameter of the job).
-PROFILE_LABELS: tuple[str, ...] = (
-    "critical environmental risk",
-    "recovering",
-    "moderate agricultural",
-    "urban industrial",
-    "good conservation",
-    "conserved forest",
-)
+# Default profile names, by ascending mean score (a parameter of the job).
+PROFILE_LABELS: tuple[str, ...] = tuple(f"profile {letter}" for letter in "ABCDEF")
 
 # Row-count threshold under which a landed source is labelled a stub.
 STUB_ROW_THRESHOLD = 100
-# Years with fewer input rows than this are left out of the yearly fact.
+# Parity value for the year gate of the yearly fact; the gate is off unless the caller asks for it.
 YEAR_GATE_MIN_ROWS = 100
 
+# --- declared schemas of the landed sources --------------------------------
+_FLAT = "D1C string, D1N string, D2C string, D3C string, V string"
+SOURCE_SCHEMAS: dict[str, str] = {
+    "gdp": _FLAT,
+    "population": _FLAT,
+    "crops": _FLAT,
+    "herd": _FLAT,
+    "area": "entity_key string, name string, state string, area_km2 double",
+    "landuse": "entity_key string, class_code int, year int, area double",
+    "deforestation": "entity_key string, year int, biome string, deforested_km2 double",
+    "fires": "entity_key string, year int, fire_spots bigint",
+    "finance": "entity_key string, year int, revenue_total double, environment_spending double",
+    "spending": "entity_key string, year int, environment_spending double",
+    "education": "entity_key string, year int, school_index double",
+    "registry": "entity_key string, properties bigint, registered_area_ha double, legal_reserve_ha double, "
+                "protected_area_ha double, native_vegetation_ha double",
+}
 
-@dataclass(frozen=True)
-class EntityModel:
-    """Column roles of an entity × class × year table."""
-
-    key: str = "entity_key"
-    year: str = "year"
-    class_col: str = "class_code"
-    measure: str = "area"
-    groups: dict = field(default_factory=lambda: dict(LAND_COVER_GROUPS))
+# --- fixed values: column names that the landed files of each source use ----
+SOURCE_ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
+    "area": {"entity_key": ("geocodigo",), "name": ("municipio",), "state": ("uf_sigla",)},
+    "landuse": {"entity_key": ("geocodigo",), "class_code": ("classe_codigo",), "year": ("ano",), "area": ("area_ha",)},
+    "deforestation": {"entity_key": ("geocodigo",), "year": ("ano",), "biome": ("bioma",),
+                      "deforested_km2": ("desmatamento_km2",)},
+    "fires": {"entity_key": ("geocodigo",), "year": ("ano",), "fire_spots": ("focos_calor",)},
+    "finance": {"entity_key": ("geocodigo",), "year": ("ano",), "revenue_total": ("receita_total",),
+                "environment_spending": ("gasto_ambiental",)},
+    "spending": {"entity_key": ("geocodigo",), "year": ("ano",), "environment_spending": ("gasto_ambiental_reais",)},
+    "education": {"entity_key": ("geocodigo",), "year": ("ano",), "school_index": ("ideb",)},
+    "registry": {"entity_key": ("geocodigo",), "properties": ("imoveis_cadastrados",),
+                 "registered_area_ha": ("area_cadastrada_ha",), "legal_reserve_ha": ("reserva_legal_ha",),
+                 "protected_area_ha": ("app_ha",), "native_vegetation_ha": ("vegetacao_nativa_ha",)},
+}

@@ -14,11 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrarank.functions import in_group, safe_div
-
-# Bound on the number of distinct years we are willing to hold as a literal
-# list on the driver (the year gate and as-of resolution collect at most this).
-MAX_YEAR_LITERALS = 10_000
-
+from terrarank.session import cut_lineage
 
 def class_composition(
     df: DataFrame,
@@ -27,14 +23,17 @@ def class_composition(
     measure: str,
     groups: Mapping[str, Sequence],
     total_name: str = "total_area",
+    rows_name: str | None = None,
 ) -> DataFrame:
     """Total and per-group measure sums, and each group's share (%) of the total.
 
     A NULL measure counts as 0; a zero total gives NULL shares; a group with no
-    rows gives 0 area.
+    rows gives 0 area. ``rows_name`` adds the number of input rows.
     """
     m = F.coalesce(F.col(measure).cast("double"), F.lit(0.0))
     aggs = [F.sum(m).alias(total_name)]
+    if rows_name:
+        aggs.append(F.count(F.lit(1)).alias(rows_name))
     for g, codes in groups.items():
         aggs.append(F.sum(F.when(in_group(class_col, codes), m).otherwise(F.lit(0.0))).alias(f"{g}_area"))
     out = df.groupBy(*keys).agg(*aggs)
@@ -46,29 +45,10 @@ def year_row_counts(df: DataFrame, year: str) -> DataFrame:
     return df.groupBy(year).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def gated_years(df: DataFrame, year: str, min_rows: int) -> list[int]:
-    """Years with at least ``min_rows`` input rows (one small aggregate job)."""
-    rows = (
-        year_row_counts(df, year)
-        .where(F.col("rows") >= min_rows)
-        .where(F.col(year).isNotNull())
-        .select(year)
-        .limit(MAX_YEAR_LITERALS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_YEAR_LITERALS:
-        raise ValueError("too many distinct years for a literal year gate")
-    return sorted(r[0] for r in rows)
-
-
 def year_gate(df: DataFrame, year: str, min_rows: int) -> DataFrame:
-    """Keep only rows of years that have at least ``min_rows`` rows.
-
-    The passing years are a small literal list, so the filter is pushed into
-    the scan (and prunes partitions when the table is partitioned by year).
-    """
-    years = gated_years(df, year, min_rows)
-    return df.where(F.col(year).isin(years)) if years else df.limit(0)
+    """Keep only rows of years that have at least ``min_rows`` rows (a semi join with the few years that pass)."""
+    passing = year_row_counts(df, year).where(F.col("rows") >= min_rows).select(year)
+    return df.join(passing, year, "left_semi")
 
 
 def composition_panel(
@@ -80,21 +60,20 @@ def composition_panel(
     groups: Mapping[str, Sequence],
     min_rows: int | None = None,
 ) -> DataFrame:
-    """Per (key, year) composition; optionally only for years passing the gate."""
-    src = year_gate(df, year, min_rows) if min_rows else df
-    return class_composition(src, [key, year], class_col, measure, groups)
+    """Per (key, year) composition; optionally only for years passing the gate.
+
+    The gate counts the rows behind the panel, so the class table is read once.
+    """
+    if not min_rows:
+        return class_composition(df, [key, year], class_col, measure, groups)
+    return gated_panel(cut_lineage(class_composition(df, [key, year], class_col, measure, groups, rows_name="_rows")),
+                       year, min_rows)
 
 
-def resolve_year(df: DataFrame, year: str, ref_year: int) -> int | None:
-    """As-of year: ``ref_year`` if present, else the greatest year below it,
-    else the earliest year available."""
-    row = df.agg(
-        F.max(F.when(F.col(year) <= ref_year, F.col(year))).alias("at_or_before"),
-        F.min(year).alias("first"),
-    ).collect()[0]
-    if row["at_or_before"] is not None:
-        return int(row["at_or_before"])
-    return None if row["first"] is None else int(row["first"])
+def gated_panel(panel: DataFrame, year: str, min_rows: int) -> DataFrame:
+    """Panel rows of years with at least ``min_rows`` input rows (counted in ``_rows``)."""
+    passing = panel.groupBy(year).agg(F.sum("_rows").alias("rows")).where(F.col("rows") >= min_rows).select(year)
+    return panel.join(passing, year, "left_semi").drop("_rows")
 
 
 def as_of_year_frame(df: DataFrame, year: str, ref_year: int, out: str = "asof_year") -> DataFrame:
@@ -119,11 +98,15 @@ def composition_as_of(
     measure: str,
     groups: Mapping[str, Sequence],
     ref_year: int,
-) -> tuple[DataFrame, int | None]:
-    """Composition per key for the as-of year of ``ref_year``."""
-    y = resolve_year(df, year, ref_year)
-    src = df.where(F.col(year) == F.lit(y)) if y is not None else df.limit(0)
-    return class_composition(src, [key], class_col, measure, groups), y
+) -> DataFrame:
+    """Composition per key for the as-of year of ``ref_year``, with that year as ``asof_year``.
+
+    As-of year: ``ref_year`` if present, else the greatest year below it, else
+    the earliest. The class table is read once, for the panel of all years.
+    """
+    panel = cut_lineage(composition_panel(df, key, year, class_col, measure, groups))
+    y = as_of_year_frame(panel, year, ref_year)
+    return panel.join(F.broadcast(y), F.col(year) == F.col("asof_year")).drop(year)
 
 
 def temporal_change(
@@ -179,4 +162,9 @@ def event_counts(df: DataFrame, key: str, tag_col: str | None = None, tag_value=
 
 def distinct_count(df: DataFrame, col: str, name: str = "distinct_entities") -> DataFrame:
     """Exact number of distinct non-null values (two-phase distinct aggregate)."""
-    return df.agg(F.count_distinct(col).alias(name))
+    return distinct_counts(df, {col: name})
+
+
+def distinct_counts(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """``distinct_count`` of several columns (column → output name) in one row."""
+    return df.agg(*[F.count_distinct(c).alias(n) for c, n in names.items()])

@@ -16,7 +16,7 @@ from pyspark.sql.types import NumericType
 
 
 def display_table(ranking: DataFrame, profiles: DataFrame | None, master: DataFrame, key: str,
-                  master_cols: Sequence[str], label_col: str = "profile_label") -> DataFrame:
+                  master_cols: Sequence[str], label_col: str = "cluster_label") -> DataFrame:
     """Ranking LEFT JOIN profile labels LEFT JOIN selected master columns."""
     out = ranking
     if profiles is not None:
@@ -82,10 +82,9 @@ def score_correlations(df: DataFrame, score: str, cols: Sequence[str]) -> DataFr
     return wide.select(F.explode(arr).alias("e")).select("e.*")
 
 
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = (), limit: int = 15) -> list[str]:
-    """Numeric columns minus exclusions, first ``limit`` (schema only, no job)."""
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
-    return cols[:limit]
+def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    """Numeric columns minus exclusions (schema only, no job)."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
 def group_summary(df: DataFrame, group: str, key: str, score: str, native: str, gdp_pc: str,

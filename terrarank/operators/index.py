@@ -6,8 +6,8 @@ entity table (only k-vectors reach the driver); ``transform`` applies them as
 plain column expressions, so scoring another frame with the same statistics
 (the fit/apply split) costs one pass. Jobs per fit:
 
-* medians + min/max + count (one aggregate, or two above the exact-median
-  threshold — see ``stats.exact_quantiles``);
+* medians, minima and maxima (``stats.order_statistics``: one aggregate, then
+  narrowing passes over the columns in question);
 * covariance pairs (sums of products of median-shifted, [0,100]-scaled
   columns) and entropy sums in ONE aggregate over the normalised columns;
 * the k×k eigen-decomposition for the PCA weights runs on the driver;
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from terrarank.config import DEFAULT_INDICATORS, ECONOMY_SUBINDEX, ENVIRONMENT_SUBINDEX, Indicator
 from terrarank.operators.rank import rank_desc
-from terrarank.operators.stats import EXACT_THRESHOLD, exact_quantiles, quantile_aggs
+from terrarank.operators.stats import order_statistics
 
 EPS_SHIFT = 1e-6  # fixed value: shift before the entropy normalisation
 EPS_LOG = 1e-10   # fixed value: offset inside the logarithm
@@ -62,6 +62,7 @@ class IndexModel:
     score_min: float | None = None
     score_max: float | None = None
     explained_variance_ratio: list[float] = field(default_factory=list)
+    covariance: np.ndarray | None = None  # of the normalised indicators, where components are fitted
 
     # -- expressions ---------------------------------------------------------
     def imputed(self, ind: Indicator) -> Column:
@@ -86,8 +87,7 @@ class IndexModel:
         return out
 
     def transform(self, df: DataFrame, key: str, keep: Sequence[str] = (), score: str = "score",
-                  rank: str = "rank", rank_method: str = "auto", n_rows: int | None = None,
-                  round_score: int | None = None) -> DataFrame:
+                  rank: str = "rank", round_score: int | None = None) -> DataFrame:
         """Score, rank and sub-indices for every row of ``df``.
 
         ``round_score`` rounds the score before ranking (ties are then decided
@@ -110,7 +110,7 @@ class IndexModel:
             extra.append((sum((F.col(c) for c in eco[1:]), F.col(eco[0])) / len(eco)).alias("subindex_economy"))
         scored = base.select(key, *[c for c in keep if c != key], scaled.alias(score), *extra,
                              *[f"norm_{n}" for n in names])
-        return rank_desc(scored, score, rank, method=rank_method, n_rows=n_rows if n_rows is not None else self.n_rows)
+        return rank_desc(scored, score, rank)
 
 
 def entropy_weights_from_sums(sums: dict[str, float], n: int) -> dict[str, float]:
@@ -146,8 +146,6 @@ def fit_index(
     indicators: Sequence[Indicator] = DEFAULT_INDICATORS,
     weighting: str = "pca+entropy",
     entropy_mode: str = "row",
-    quantile_method: str = "auto",
-    exact_threshold: int = EXACT_THRESHOLD,
 ) -> IndexModel:
     """Learn the index statistics from ``df`` (persist ``df`` first: 3-4 passes).
 
@@ -159,18 +157,9 @@ def fit_index(
     if not present:
         raise ValueError("no index indicator present")
     o = df.select(*[oriented(i).alias(i.name) for i in present])
-    n_rows = df.count()  # also materialises a persisted input
-    pnames = [i.name for i in present]
-    mm = [F.min(c).alias(f"lo_{c}") for c in pnames] + [F.max(c).alias(f"hi_{c}") for c in pnames]
-    use_direct = quantile_method == "direct" or (quantile_method == "auto" and n_rows <= exact_threshold)
-    if use_direct:
-        # medians, minima and maxima in ONE aggregate
-        mm_row = o.agg(*mm, *quantile_aggs(pnames, [0.5])).collect()[0]
-        med = {c: mm_row[f"_q{i}_0"] for i, c in enumerate(pnames)}
-    else:
-        mm_row = o.agg(*mm).collect()[0]
-        q = exact_quantiles(o, pnames, [0.5], method="bracket", n_rows=n_rows).collect()
-        med = {r["column"]: r["value"] for r in q}
+    # medians, minima and maxima of all indicators by the same narrowing passes
+    found = {r["column"]: r for r in order_statistics(o, [i.name for i in present], [0.5]).collect()}
+    med = {c: r["value"] for c, r in found.items()}
     # An all-NULL indicator has no median: it is treated as missing.
     used = [i for i in present if med.get(i.name) is not None]
     if not used:
@@ -178,9 +167,9 @@ def fit_index(
     model = IndexModel(
         indicators=used,
         medians={i.name: float(med[i.name]) for i in used},
-        mins={i.name: float(mm_row[f"lo_{i.name}"]) for i in used},
-        maxs={i.name: float(mm_row[f"hi_{i.name}"]) for i in used},
-        n_rows=n_rows,
+        mins={i.name: float(found[i.name]["low"]) for i in used},
+        maxs={i.name: float(found[i.name]["high"]) for i in used},
+        n_rows=0,
         entropy_weights={}, pca_weights=None, weights={},
     )
     names = [i.name for i in used]
@@ -241,6 +230,7 @@ def fit_index(
             for b in range(a, k):
                 p = float(r[f"_p_{a}_{b}"])
                 cov[a, b] = cov[b, a] = (p - d[a] * d[b] / n) / (n - 1) if n > 1 else 0.0
+        model.covariance = cov
         model.pca_weights, model.explained_variance_ratio = pca_weights_from_cov(cov, names)
     if weighting == "pca+entropy":
         comb = np.array([(model.pca_weights[c] + model.entropy_weights[c]) / 2 for c in names])
@@ -270,11 +260,11 @@ def weights_frame(model: IndexModel, spark) -> DataFrame:
 
 
 def build_index(df: DataFrame, key: str, keep: Sequence[str] = (), indicators=DEFAULT_INDICATORS,
-                weighting: str = "pca+entropy", entropy_mode: str = "row", rank_method: str = "auto",
-                round_score: int | None = None, **kw) -> tuple[DataFrame, IndexModel]:
+                weighting: str = "pca+entropy", entropy_mode: str = "row",
+                round_score: int | None = None) -> tuple[DataFrame, IndexModel]:
     """End to end: fit on ``df`` and score ``df``. Returns (ranking, model)."""
-    model = fit_index(df, indicators, weighting=weighting, entropy_mode=entropy_mode, **kw)
-    return model.transform(df, key, keep, rank_method=rank_method, round_score=round_score), model
+    model = fit_index(df, indicators, weighting=weighting, entropy_mode=entropy_mode)
+    return model.transform(df, key, keep, round_score=round_score), model
 
 
 def entity_profile(ranking: DataFrame, key: str, value) -> DataFrame:

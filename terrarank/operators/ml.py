@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from terrarank.config import FEATURE_COLS, PROFILE_LABELS
 from terrarank.operators.stats import exact_quantiles
 from terrarank.session import checkpoint_dir
+from terrarank.session import keep as keep_frame
 
 SEED = 42
 N_FOLDS = 5
@@ -70,18 +71,23 @@ def fit_standardizer(df: DataFrame, features: Sequence[str]) -> Standardizer:
     return Standardizer(med, {c: r[f"m_{c}"] for c in features}, {c: r[f"s_{c}"] for c in features})
 
 
-def with_fold(df: DataFrame, key: str, n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:
-    """Deterministic fold id from a hash of the key (no shuffle, no sort)."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_folds)).cast("int"))
+def with_fold(df: DataFrame, key: str, n_folds: int = N_FOLDS) -> DataFrame:
+    """Deterministic fold id from the first 32 bits of the key's MD5 (no shuffle, no sort, any engine can repeat it)."""
+    head = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.withColumn("fold", (head % n_folds).cast("int"))
 
 
 # ----------------------------------------------------------------- models
-def make_estimator(name: str, label_std: float | None = None):
-    """Regressor presets. The boosting presets stand in for the two external
+FOREST_DEPTH = 15
+
+
+def make_estimator(name: str, label_std: float | None = None, forest_depth: int = FOREST_DEPTH):
+    """Regressor presets. The reproduced forest grows without a bound on depth;
+    here ``forest_depth`` bounds it (30 is Spark's limit). The boosting presets stand in for the two external
     boosting libraries (depth/step of their defaults); elastic net maps
     α=1, l1_ratio=0.5 onto Spark's label-scaled objective."""
     if name == "random_forest":
-        return RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=15, seed=SEED)
+        return RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=forest_depth, seed=SEED)
     if name == "gradient_boosting":
         return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, checkpointInterval=10)
     if name == "boosting_deep":
@@ -100,28 +106,6 @@ def make_estimator(name: str, label_std: float | None = None):
 MODEL_NAMES = ("random_forest", "gradient_boosting", "boosting_deep", "boosting_leafy", "elastic_net")
 
 
-ROWS_PER_PARTITION = 100_000
-
-
-def sized(df: DataFrame, n_rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Partition count matched to the row count for iterative training.
-
-    Every boosting round / k-means iteration is a Spark job with one task per
-    partition, so a small design spread over many partitions pays the task
-    overhead hundreds of times (measured 2× on a 100-round fit). Fewer
-    partitions are reached with ``coalesce`` (no shuffle); more with a
-    ``repartition`` once before training.
-    """
-    n = n_rows if n_rows is not None else df.count()
-    want = max(1, -(-n // rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    if want < have:
-        return df.coalesce(want)
-    if want > have:
-        return df.repartition(want)
-    return df
-
-
 def design_matrix(df: DataFrame, features: Sequence[str], std: Standardizer, scaled: bool) -> DataFrame:
     cols = [(std.scaled(c) if scaled else std.imputed(c)).alias(c) for c in features]
     base = df.select(*[c for c in df.columns if c not in features], *cols)
@@ -151,9 +135,8 @@ def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequ
     feats = non_null_features(df, features)
     std = fit_standardizer(df, feats)
     label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
-    base = sized(with_fold(df, key, n_folds))
-    designs = {False: design_matrix(base, feats, std, False).persist(),
-               True: design_matrix(base, feats, std, True).persist()}
+    base = with_fold(df, key, n_folds)
+    designs = {scaled: keep_frame(design_matrix(base, feats, std, scaled)) for scaled in (False, True)}
     tasks = []
     for name in names:
         for k in [*range(n_folds), None]:
@@ -184,11 +167,47 @@ def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequ
         models[name] = full
         tr = _fold_metrics(full.transform(d).withColumn("fold", F.lit(0))).collect()[0]["r2"]
         rows.append((name, _mean(rm), _pstd(rm), _mean(r2), _pstd(r2), tr))
-    metrics = spark.createDataFrame(rows, "model string, cv_rmse_mean double, cv_rmse_std double, "
-                                          "cv_r2_mean double, cv_r2_std double, train_r2 double")
+    metrics = spark.createDataFrame(rows, METRICS)
     return metrics, models, designs, feats
 
 
+METRICS = ("model string, cv_rmse_mean double, cv_rmse_std double, cv_r2_mean double, cv_r2_std double, "
+           "train_r2 double")
+
+
+def cross_validate_ols(df: DataFrame, features: Sequence[str], key: str, label: str = "label",
+                       n_folds: int = N_FOLDS) -> DataFrame:
+    """K-fold metrics of the least-squares line on each single feature (same columns as ``cross_validate``).
+
+    The sums of each fold are all it takes to fit on the others, so every
+    feature costs one aggregate for the fits and one for the errors.
+    """
+    rows = []
+    for feature in features:
+        x, y = F.col(feature), F.col(label)
+        d = with_fold(df.where(x.isNotNull() & y.isNotNull()), key, n_folds)
+        sums = {r.fold: r for r in d.groupBy("fold").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
+            F.sum(x * y).alias("sxy")).collect()}
+
+        def line(folds):
+            n, sx, sy, sxx, sxy = (sum(sums[k][c] for k in folds) for c in ("n", "sx", "sy", "sxx", "sxy"))
+            slope = (n * sxy - sx * sy) / (n * sxx - sx * sx) if n * sxx != sx * sx else 0.0
+            return slope, (sy - slope * sx) / n
+
+        fitted = {k: line([j for j in sums if j != k]) for k in sums}
+        prediction = F.lit(None).cast("double")
+        for k, (slope, offset) in fitted.items():
+            prediction = F.when(F.col("fold") == k, F.lit(slope) * x + F.lit(offset)).otherwise(prediction)
+        fm = _fold_metrics(d.select("fold", y.alias("label"), prediction.alias("prediction"))).collect()
+        slope, offset = line(list(sums))
+        train = _fold_metrics(d.select(F.lit(0).alias("fold"), y.alias("label"),
+                                       (F.lit(slope) * x + F.lit(offset)).alias("prediction"))).first()["r2"]
+        rm, r2 = [r["rmse"] for r in fm], [r["r2"] for r in fm]
+        rows.append((feature, _mean(rm), _pstd(rm), _mean(r2), _pstd(r2), train))
+    return df.sparkSession.createDataFrame(rows, METRICS)
+
+
 def _mean(xs):
     return sum(xs) / len(xs)
 
@@ -218,7 +237,11 @@ def importances(model, features: Sequence[str], spark) -> DataFrame:
 def linear_attribution(model, design: DataFrame, features: Sequence[str]) -> DataFrame:
     """Mean |coef_j · (x_j − mean x_j)| per feature for a linear model
     (the exact Shapley values of a linear model with independent features)."""
-    coefs = model.coefficients.toArray().tolist()
+    return attribution_of(model.coefficients.toArray().tolist(), design, features)
+
+
+def attribution_of(coefs: Sequence[float], design: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``linear_attribution`` for given coefficients."""
     means = design.agg(*[F.avg(c).alias(c) for c in features]).collect()[0]
     aggs = [F.avg(F.abs(F.lit(coefs[i]) * (F.col(c) - F.lit(means[c])))).alias(c) for i, c in enumerate(features)]
     wide = design.agg(*aggs)
@@ -238,16 +261,19 @@ def kmeans_best_of(data: DataFrame, k: int, restarts: int = 10, seed: int = SEED
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def choose_k(data: DataFrame, n_rows: int, default_k: int = 6, restarts: int = 10, parallelism: int = 8):
-    """k in 3 … min(10, n//100) − 1 with the greatest silhouette; default otherwise.
+CANDIDATE_KS = (3, 4, 5, 6, 7, 8, 9)
+
+
+def choose_k(data: DataFrame, ks: Sequence[int] = CANDIDATE_KS, restarts: int = 10, parallelism: int = 8):
+    """The candidate k with the greatest silhouette (ties: the smallest): (k, silhouette, model).
+
+    The reproduced method tries 3 … min(10, rows // 100) − 1 and takes 6 below
+    400 rows; pass those candidates for parity.
 
     All (k, seed) fits are submitted to one pool of concurrent Spark jobs. The
     silhouette is Spark's distributed one (squared Euclidean distance),
     computed over all rows instead of a random sample.
     """
-    ks = list(range(3, min(10, n_rows // 100)))
-    if not ks:
-        return default_k, None, None
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     jobs = [(k, SEED + i) for k in ks for i in range(restarts)]
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
@@ -262,8 +288,8 @@ def choose_k(data: DataFrame, n_rows: int, default_k: int = 6, restarts: int = 1
 
 
 def cluster_profiles(df: DataFrame, key: str, features: Sequence[str], keep: Sequence[str] = (),
-                     score: str = "score", labels: Sequence[str] = PROFILE_LABELS, default_k: int = 6,
-                     restarts: int = 10) -> tuple[DataFrame, int, float]:
+                     score: str = "score", labels: Sequence[str] = PROFILE_LABELS,
+                     ks: Sequence[int] = CANDIDATE_KS, restarts: int = 10) -> tuple[DataFrame, int, float]:
     """Standardised k-means profiles labelled by ascending mean score.
 
     Returns (key, keep…, cluster, cluster_rank, cluster_label, score), k and
@@ -272,12 +298,9 @@ def cluster_profiles(df: DataFrame, key: str, features: Sequence[str], keep: Seq
     cols = [c for c in [*features, score] if c in df.columns]
     cols = non_null_features(df, cols)
     std = fit_standardizer(df, cols)
-    base = df.select(key, *keep, F.col(score).alias("_score"), *[std.scaled(c).alias(c) for c in cols]).persist()
-    n = base.count()
-    data = VectorAssembler(inputCols=cols, outputCol="features").transform(sized(base, n))
-    k, sil, model = choose_k(data, n, default_k, restarts)
-    if model is None:
-        model = kmeans_best_of(data, k, restarts)
+    base = keep_frame(df.select(key, *keep, F.col(score).alias("_score"), *[std.scaled(c).alias(c) for c in cols]))
+    data = VectorAssembler(inputCols=cols, outputCol="features").transform(base)
+    k, sil, model = choose_k(data, ks, restarts)
     assigned = model.transform(data).withColumnRenamed("prediction", "cluster")
     means = assigned.groupBy("cluster").agg(F.avg("_score").alias("_m"))
     order = Window.orderBy(F.col("_m").asc(), F.col("cluster").asc())

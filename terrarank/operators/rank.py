@@ -3,20 +3,20 @@
 Global rank
 -----------
 ``rank() OVER (ORDER BY score DESC)`` without a partition moves every row to
-one task. Above ``window_threshold`` rows ``rank_desc`` uses a distributed plan
-that gives the same numbers:
+one task. ``rank_desc`` gives the same numbers with one distributed plan, whatever
+the number of rows:
 
 1. ``groupBy(score).count()`` — ties collapse map-side, so even a value held
    by a third of all rows becomes one row;
-2. equal-depth range buckets over the distinct values (approximate quantiles,
-   a short literal list), bucket = number of boundaries below the value;
+2. equal-depth range buckets over the distinct values (approximate quantiles);
+   a value finds its bucket by binary search;
 3. per-bucket totals (one row per bucket — a proven size bound) give each
    bucket's offset; a window partitioned by bucket gives the count of larger
    values inside the bucket;
 4. rank(value) = offset + larger-in-bucket + 1, joined back on the value
    (a skewed value is split by AQE skew-join handling).
 
-Ties share the minimum rank; NULL scores get a NULL rank.
+Ties share the minimum rank; NULL scores get a NULL rank. Ranks are 64-bit.
 """
 
 from __future__ import annotations
@@ -26,49 +26,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW_THRESHOLD = 1_000_000
+from terrarank.session import keep
 
+MOST_BUCKETS = 512
 
-def _window_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    w = Window.orderBy(F.col(col).desc_nulls_last())
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), F.rank().over(w)))
 
+def _bucket(v: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """Number of bounds below ``v``: a tree of comparisons, as deep as the logarithm of their count."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(v <= F.lit(float(bounds[mid])), _bucket(v, bounds[:mid], first)).otherwise(
+        _bucket(v, bounds[mid + 1:], first + mid + 1))
 
-def _bucketed_rank(df: DataFrame, col: str, out: str, buckets: int, rel_err: float = 1e-3) -> DataFrame:
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    vc = vc.persist()
+
+def rank_desc(df: DataFrame, col: str, out: str = "rank", buckets: int | None = None, rel_err: float = 1e-3) -> DataFrame:
+    """Descending rank with ties at the minimum rank (``method='min'``).
+
+    ``buckets`` defaults to the number of shuffle partitions (``MOST_BUCKETS`` at most).
+    """
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    counts = keep(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")))
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(vc.approxQuantile(col, probs, rel_err))) if buckets > 1 else []
+    bounds = sorted(set(counts.approxQuantile(col, probs, rel_err))) if buckets > 1 else []
     v = F.col(col)
-    if bounds:
-        bucket = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < v))
-    else:
-        bucket = F.lit(0)
-    vb = vc.withColumn("_b", bucket)
-    totals = vb.groupBy("_b").agg(F.sum("_cnt").alias("_bt"))
-    wo = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", F.coalesce(F.sum("_bt").over(wo), F.lit(0)).alias("_off"))
-    wi = Window.partitionBy("_b").orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (vb.withColumn("_gt", F.coalesce(F.sum("_cnt").over(wi), F.lit(0)))
+    placed = counts.withColumn("_b", _bucket(v, bounds))
+    totals = placed.groupBy("_b").agg(F.sum("_cnt").alias("_bt"))
+    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    offsets = totals.select("_b", F.coalesce(F.sum("_bt").over(above), F.lit(0)).alias("_off"))
+    larger = Window.partitionBy("_b").orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (placed.withColumn("_gt", F.coalesce(F.sum("_cnt").over(larger), F.lit(0)))
               .join(F.broadcast(offsets), on="_b")
-              .select(v, (F.col("_off") + F.col("_gt") + 1).cast("int").alias(out)))
-    return df.join(ranked, on=col, how="left")
-
-
-def rank_desc(df: DataFrame, col: str, out: str = "rank", method: str = "auto",
-              window_threshold: int = WINDOW_THRESHOLD, buckets: int | None = None,
-              n_rows: int | None = None) -> DataFrame:
-    """Descending rank with ties at the minimum rank (``method='min'``)."""
-    if method == "auto":
-        n = n_rows if n_rows is not None else df.count()
-        method = "window" if n <= window_threshold else "bucketed"
-    if method == "window":
-        return _window_rank(df, col, out)
-    if method == "bucketed":
-        if buckets is None:
-            buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        return _bucketed_rank(df, col, out, buckets)
-    raise ValueError(method)
+              .select(v, (F.col("_off") + F.col("_gt") + 1).alias(out)))
+    return df.join(ranked, on=col, how="left").select(*df.columns, out)
 
 
 def positional_index(df: DataFrame, order_col: str, out: str = "position") -> DataFrame:
@@ -80,7 +71,7 @@ def positional_index(df: DataFrame, order_col: str, out: str = "position") -> Da
 def group_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
     """Rank of aggregated groups (one row per group, few rows) — e.g. "25th of 27"."""
     w = Window.orderBy(F.col(value).desc_nulls_last())
-    return df.withColumn(out, F.rank().over(w)).withColumn("of", F.count(F.lit(1)).over(Window.partitionBy()))
+    return df.withColumn(out, F.rank().over(w).cast("long")).withColumn("of", F.count(F.lit(1)).over(Window.partitionBy()))
 
 
 def top_n(df: DataFrame, col: str, n: int, tie_break: Sequence[str] = (), ascending: bool = False) -> DataFrame:

@@ -3,21 +3,22 @@ histograms and box summaries.
 
 Exact quantiles
 ---------------
-Spark's exact ``percentile``/``median`` aggregate keeps every distinct value of
-a group in one buffer, which at scale is one task holding a whole column. Above
-``exact_threshold`` rows we use a two-pass exact method instead:
-
-1. one aggregate computes, per (group, column), the count and approximate
-   percentiles just below and above each target (bounded-memory sketches);
-2. one aggregate counts rows below the bracket, rows above it, and each
-   distinct value inside it; a window over that small result walks the
-   cumulative counts to the exact order statistics.
-
-The bracket only needs to contain the target ranks; this is verified, and a
-bracket that misses falls back to the exact aggregate for that case. Both
-paths interpolate between the order statistics at ``pos = (n-1)·p`` as
-``(ceil(pos) - pos)·v1 + (pos - floor(pos))·v2`` (Spark's formula), so they
-agree bit for bit.
+Spark's exact ``percentile`` keeps every distinct value of a group in one
+buffer, at scale one task with a whole column. Here each target rank is
+narrowed down instead, the same way at every size:
+
+1. one aggregate gives count, minimum and maximum of each (group, column);
+2. while more than ``WALK_ROWS`` rows lie between a target's bounds, one
+   aggregate counts them in ``STRETCHES`` equal stretches; the stretch that
+   holds the rank becomes the new bounds, with the rows below it known exactly;
+3. the distinct values left are counted, and a window over these few walks to
+   the rank.
+
+Rows are always pre-aggregated per task, a group is never gathered, and a
+value held by any share of the rows is one counted value. Group keys are
+compared null-safely, so a NULL group is a group. Values are interpolated between
+the order statistics at ``pos = (n-1)·p`` as
+``(ceil(pos) - pos)·v1 + (pos - floor(pos))·v2`` (the formula of Spark's ``percentile``).
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_THRESHOLD = 1_000_000
-APPROX_ACCURACY = 100_000
+from terrarank.session import cut_lineage, keep
+
+WALK_ROWS = 1000
+STRETCHES = 1024
 
 
 def _long_form(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
@@ -41,130 +44,102 @@ def _long_form(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) ->
             .where(F.col("_v").isNotNull()))
 
 
-def quantile_aggs(cols: Sequence[str], probs: Sequence[float], prefix: str = "_q") -> list:
-    """Exact quantile aggregate expressions (Spark's ``percentile``) for use
-    inside a larger aggregate; only for inputs under the exact threshold."""
-    return [F.percentile(F.col(c).cast("double"), float(p)).alias(f"{prefix}{i}_{j}")
-            for i, c in enumerate(cols) for j, p in enumerate(probs)]
-
-
-def _exact_direct(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str]) -> DataFrame:
-    aggs = [F.count("_v").alias("_n")] + [F.percentile("_v", float(p)).alias(f"_q{i}") for i, p in enumerate(probs)]
-    st = long.groupBy(*group_cols, "_c").agg(*aggs)
-    rows = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"_q{i}").alias("value")) for i, p in enumerate(probs)]
-    return (st.select(*group_cols, "_c", "_n", F.explode(F.array(*rows)).alias("_r"))
-            .select(*group_cols, F.col("_c").alias("column"), F.col("_n").alias("n"), "_r.prob", "_r.value"))
-
-
-def _bracketed(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str], accuracy: int) -> DataFrame:
-    spark = long.sparkSession
-    delta = 3.0 / accuracy
-    levels = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1, 1)})
+def _kept(targets: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Materialised targets: local rows for global statistics (columns × ranks of them), else a checkpoint."""
+    if group_cols:
+        return cut_lineage(targets)
+    return targets.sparkSession.createDataFrame(targets.collect(), targets.schema)
+
+
+def _matched(long: DataFrame, targets: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Rows between the bounds of each target of their group (null-safe on the group)."""
+    t = targets.select(*[F.col(k).alias(f"_t{k}") for k in keys], *cols)
+    on = F.col("_v").between(F.col("lo"), F.col("hi"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_t{k}"))
+    return long.join(t, on).drop(*[f"_t{k}" for k in keys])
+
+
+def _narrowed(long: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Targets with the bounds of the stretch their rank falls into."""
+    ids = [*keys, "prob", "rank"]
+    rest = ["pos", "n", "low", "high"]
+    j = _matched(long, targets, keys, ["prob", "rank", *rest, "lo", "hi", "below"])
+    # halves, so that the width of the widest column is still a finite number
+    share = (F.col("_v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    stretch = F.when(F.col("hi") > F.col("lo"), F.least(F.floor(share * STRETCHES), F.lit(STRETCHES - 1))).otherwise(0)
+    counted = j.groupBy(*ids, stretch.cast("int").alias("_s")).agg(
+        F.count(F.lit(1)).alias("inside"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+        F.first("below").alias("below"), *[F.first(c).alias(c) for c in rest])
+    w = Window.partitionBy(*ids).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    cum = counted.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(w), F.lit(0)))
+    hit = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("inside"))
+    return cum.where(hit).select(*ids, *rest, "lo", "hi", "below", "inside")
+
+
+def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group..., column, prob, n, low, high, value): exact quantiles, with the count, minimum and maximum.
+
+    One row for every group, column and probability with a non-null value.
+    """
+    long = _long_form(df, cols, group_cols)
     keys = [*group_cols, "_c"]
-    # Pass 1: count + bracket sketches per (group, column).
-    st = long.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", levels, accuracy).alias("_ap"),
-    )
-    lv = {lev: i for i, lev in enumerate(levels)}
-    tgt = []
-    for i, p in enumerate(probs):
-        lo_i, hi_i = lv[min(1.0, max(0.0, p - delta))], lv[min(1.0, max(0.0, p + delta))]
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        tgt.append(F.struct(
-            F.lit(i).alias("pi"), F.lit(float(p)).alias("prob"),
-            F.col("_ap")[lo_i].alias("lo"), F.col("_ap")[hi_i].alias("hi"),
-            (F.floor(pos) + 1).cast("long").alias("r1"), (F.ceil(pos) + 1).cast("long").alias("r2"),
-            pos.alias("pos"),
-        ))
-    targets = st.select(*keys, "_n", F.explode(F.array(*tgt)).alias("_t")).select(*keys, "_n", "_t.*")
-    # The target table has (#groups × #columns × #probs) rows: small by
-    # construction for global statistics and for the few-group summaries here.
-    targets = targets.persist()
-    n_targets = targets.count()
-    tb = F.broadcast(targets) if n_targets <= 100_000 else targets
-    # Pass 2: below / inside / above the bracket, distinct values inside.
-    j = long.join(tb, on=keys, how="inner")
-    tier = F.when(F.col("_v") < F.col("lo"), 0).when(F.col("_v") <= F.col("hi"), 1).otherwise(2)
-    cand = (j.select(*keys, "pi", tier.alias("tier"), F.when(tier == 1, F.col("_v")).alias("v"))
-            .groupBy(*keys, "pi", "tier", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy(*keys, "pi").orderBy("tier", "v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = cand.withColumn("cum", F.sum("cnt").over(w))
-    picked = cum.join(targets.select(*keys, "pi", "r1", "r2"), on=[*keys, "pi"]).groupBy(*keys, "pi").agg(
-        F.max(F.when(F.col("tier") == 0, F.col("cum"))).alias("below"),
-        F.min(F.when((F.col("tier") == 1) & (F.col("cum") >= F.col("r1")), F.col("v"))).alias("v1"),
-        F.min(F.when((F.col("tier") == 1) & (F.col("cum") >= F.col("r2")), F.col("v"))).alias("v2"),
-    )
-    res = targets.join(picked, on=[*keys, "pi"], how="left")
-    ok = (F.coalesce(F.col("below"), F.lit(0)) < F.col("r1")) & F.col("v2").isNotNull()
+    st = long.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
+    rows = []
+    for p in probs:
+        pos = (F.col("n") - 1) * F.lit(float(p))
+        for edge in (F.floor(pos), F.ceil(pos)):
+            rows.append(F.struct(F.lit(float(p)).alias("prob"), pos.alias("pos"), (edge + 1).cast("long").alias("rank")))
+    targets = st.select(*keys, "n", "low", "high", F.explode(F.array_distinct(F.array(*rows))).alias("_t")).select(
+        *keys, "_t.prob", "_t.rank", "_t.pos", "n", "low", "high", F.col("low").alias("lo"), F.col("high").alias("hi"),
+        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
+    targets = _kept(targets, group_cols)
+    before = None
+    while True:
+        most = targets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0]
+        if not most or most <= WALK_ROWS or most == before:
+            break
+        targets, before = _kept(_narrowed(long, targets, keys), group_cols), most
+    ids = [*keys, "prob", "rank"]
+    carried = ["pos", "n", "low", "high", "below"]
+    values = _matched(long, targets, keys, ["prob", "rank", *carried, "lo", "hi"]).groupBy(*ids, "_v").agg(
+        F.count(F.lit(1)).alias("_cnt"), *[F.first(c).alias(c) for c in carried])
+    w = Window.partitionBy(*ids).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.col("below") + F.sum("_cnt").over(w)
+    found = values.withColumn("_r", reached).where(F.col("_r") >= F.col("rank")).groupBy(*keys, "prob", "rank").agg(
+        F.min("_v").alias("_x"), *[F.first(c).alias(c) for c in ("pos", "n", "low", "high")])
+    pair = found.groupBy(*keys, "prob").agg(
+        F.min_by("_x", "rank").alias("v1"), F.max_by("_x", "rank").alias("v2"),
+        *[F.first(c).alias(c) for c in ("pos", "n", "low", "high")])
     lower, higher = F.floor("pos"), F.ceil("pos")
     value = F.when((lower == higher) | (F.col("v1") == F.col("v2")), F.col("v1")).otherwise(
         (higher - F.col("pos")) * F.col("v1") + (F.col("pos") - lower) * F.col("v2"))
-    out = res.select(*group_cols, F.col("_c").alias("column"), F.col("_n").alias("n"), "prob",
-                     F.when(ok, value).alias("value"), ok.alias("_ok"))
-    out = out.persist()
-    if out.where(~F.col("_ok")).limit(1).count() > 0:
-        # A bracket missed (e.g. tiny groups): exact aggregate for those cases only.
-        bad = out.where(~F.col("_ok")).select(*group_cols, F.col("column").alias("_c")).distinct()
-        redo = _exact_direct(long.join(bad, on=keys, how="left_semi"), probs, group_cols)
-        good = out.where(F.col("_ok")).drop("_ok")
-        out2 = good.unionByName(redo)
-        targets.unpersist()
-        return out2
-    targets.unpersist()
-    return out.drop("_ok")
-
-
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    group_cols: Sequence[str] = (),
-    method: str = "auto",
-    accuracy: int = APPROX_ACCURACY,
-    exact_threshold: int = EXACT_THRESHOLD,
-    n_rows: int | None = None,
-) -> DataFrame:
+    return pair.select(*group_cols, F.col("_c").alias("column"), "prob", "n", "low", "high", value.alias("value"))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles → (group..., column, n, prob, value).
 
-    ``method``: ``"direct"`` (Spark's exact aggregate), ``"bracket"`` (the
-    two-pass method above) or ``"auto"`` (direct below ``exact_threshold``
-    input rows). NULLs are skipped; an all-NULL column gives a NULL value.
+    NULLs are skipped; an all-NULL column gives a NULL value (global
+    statistics), an all-NULL group of a column no row.
     """
-    long = _long_form(df, cols, group_cols)
-    if method == "auto":
-        n = n_rows if n_rows is not None else df.count()
-        method = "direct" if n <= exact_threshold else "bracket"
-    if method == "direct":
-        out = _exact_direct(long, probs, group_cols)
-    elif method == "bracket":
-        out = _bracketed(long, probs, group_cols, accuracy)
-    else:
-        raise ValueError(method)
+    out = order_statistics(df, cols, probs, group_cols).select(*group_cols, "column", "n", "prob", "value")
     if not group_cols:
         # all-null columns have no rows in long form: add them back as NULLs
-        spark = df.sparkSession
-        full = spark.createDataFrame([(c, float(p)) for c in cols for p in probs], "column string, prob double")
+        full = df.sparkSession.createDataFrame([(c, float(p)) for c in cols for p in probs], "column string, prob double")
         out = full.join(out, on=["column", "prob"], how="left").select(
             "column", F.coalesce("n", F.lit(0)).alias("n"), "prob", "value")
     return out
 
 
-def column_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
+def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """Exact median of each column (midpoint for even counts, NULLs skipped)."""
-    rows = exact_quantiles(df, cols, [0.5], **kw).collect()
+    rows = exact_quantiles(df, cols, [0.5]).collect()
     return {r["column"]: r["value"] for r in rows}
 
 
-def min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Min and max of each column, in one aggregate."""
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    r = df.agg(*aggs).collect()[0]
-    return {c: (r[f"min_{c}"], r[f"max_{c}"]) for c in cols}
-
-
 def _stack(rows: Sequence[Sequence], names: Sequence[str]):
     """``stack`` generator: one output row per tuple of column expressions.
 
@@ -176,29 +151,28 @@ def _stack(rows: Sequence[Sequence], names: Sequence[str]):
     return F.stack(*args).alias(*names)
 
 
+CORR_BLOCK = 120  # pairs summed by one aggregate expression list
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations as (x, y, r).
 
-    Every row is stacked into one (pair, a, b) row per column pair and a
-    single grouped ``corr`` aggregate runs over them: the expansion is
-    pipelined inside the scan stage and partial aggregation leaves at most
-    one row per pair per task, so only k(k-1)/2 small rows are shuffled.
+    All pairs are ``corr`` aggregates of fixed-width buffers over one pass:
+    one row a task is shuffled, and no row is multiplied. Wide frames are
+    summed in blocks of ``CORR_BLOCK`` pairs, which bounds the generated code.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     spark = df.sparkSession
-    diag = [(F.lit(c), F.lit(c), F.lit(1.0)) for c in cols]
-    if not cols:
-        return spark.createDataFrame([], "x string, y string, r double")
-    out = spark.range(1).select(_stack(diag, ["x", "y", "r"]))
-    if pairs:
-        stacked = df.select(_stack([(F.lit(i), F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
-                                    for i, (a, b) in enumerate(pairs)], ["p", "a", "b"]))
-        per_pair = stacked.groupBy("p").agg(F.corr("a", "b").alias("r"))
-        names = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in pairs])
-        named = per_pair.select(F.element_at(names, F.col("p") + 1).alias("n"), "r").select("n.x", "n.y", "r")
-        mirrored = named.select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
-        out = named.unionByName(mirrored).unionByName(out)
-    return out
+    rows = [(c, c, 1.0) for c in cols]
+    if len(pairs) > CORR_BLOCK:
+        df = keep(df.select(*[F.col(f"`{c}`") for c in cols]))
+    for at in range(0, len(pairs), CORR_BLOCK):
+        block = pairs[at:at + CORR_BLOCK]
+        sums = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}")
+                        for i, (a, b) in enumerate(block)]).first()
+        for i, (a, b) in enumerate(block):
+            rows += [(a, b, sums[i]), (b, a, sums[i])]
+    return spark.createDataFrame(rows, "x string, y string, r double")
 
 
 def ols_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
@@ -215,19 +189,21 @@ def ols_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram between the observed min and max.
 
-    The maximum falls in the last bin. The two bounds come from one small
-    aggregate and enter the counting aggregate as literals.
+    The maximum falls in the last bin. Values are counted first (one
+    aggregate over the input, ties collapse per task); bounds and bins then
+    come from the counted values alone.
     """
     vals = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    lo, hi = vals.agg(F.min("_x"), F.max("_x")).collect()[0]
+    counted = cut_lineage(vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_n")))
+    lo, hi = counted.agg(F.min("_x"), F.max("_x")).first()
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
     width = (hi - lo) / bins
     x = F.col("_x")
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
-    counted = vals.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counted.select(
+    out = counted.groupBy(b.cast("int").alias("bin")).agg(F.sum("_n").alias("count"))
+    return out.select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
@@ -235,14 +211,15 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     )
 
 
-def box_summary(df: DataFrame, group: str, col: str, **kw) -> DataFrame:
-    """Per-group min, quartiles and max (exact, linear interpolation)."""
+def box_summary(df: DataFrame, group: str, col: str) -> DataFrame:
+    """Per-group min, quartiles and max (exact, linear interpolation); NULL groups are left out."""
     src = df.where(F.col(group).isNotNull())
-    q = exact_quantiles(src, [col], [0.25, 0.5, 0.75], group_cols=[group], **kw)
-    wide = q.groupBy(group).agg(
-        F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
-        F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("median"),
-        F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"),
-    )
-    mm = src.groupBy(group).agg(F.min(col).alias("min"), F.max(col).alias("max"), F.count(col).alias("n"))
-    return mm.join(wide, on=group, how="left")
+    q = order_statistics(src, [col], [0.25, 0.5, 0.75], group_cols=[group])
+
+    def at(p):
+        return F.max(F.when(F.col("prob") == p, F.col("value")))
+
+    found = q.groupBy(group).agg(F.max("low").alias("min"), F.max("high").alias("max"), F.max("n").alias("n"),
+                                 at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
+    groups = src.select(group).distinct()  # groups whose values are all NULL stay
+    return groups.join(found, on=group, how="left").withColumn("n", F.coalesce("n", F.lit(0)))

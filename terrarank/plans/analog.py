@@ -12,9 +12,13 @@ class = ``o_orderpriority``; year = order year; measure (area) =
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrarank.session import cut_lineage
+
 KEY = "entity_key"
 YEAR = "year"
 CLASS = "class_code"
@@ -29,6 +33,7 @@ ANALOG_GROUPS = {
 }
 REF_YEAR = 2000
 CHANGE_START = 1996
+GATE_MIN_ROWS = 8000
 CHANGE_END = 2000
 ASOF_REF_YEAR = 2003  # absent from the data: resolves to the latest earlier year
 # A multi-select state filter for the KPI view (a user selection of six states).
@@ -52,9 +57,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return hit
 
 
-def landuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long class table: (entity_key, class_code, year, area) — one row per line item."""
-    o = table(spark, sf_dir, "orders").select(
+def _in_years(df: DataFrame, col: str, years: Sequence[int] | None) -> DataFrame:
+    """Rows dated within the years' span: bounds on the column itself, which reach the Parquet scan."""
+    if not years:
+        return df
+    start, end = (F.lit(f"{y}-01-01").cast(df.schema[col].dataType) for y in (min(years), max(years) + 1))
+    return df.where((F.col(col) >= start) & (F.col(col) < end))
+
+
+def landuse(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Long class table: (entity_key, class_code, year, area) — one row per line item.
+
+    ``years``: only rows of orders within the span of these years are wanted."""
+    o = _in_years(table(spark, sf_dir, "orders"), "o_orderdate", years).select(
         "o_orderkey", F.col("o_custkey").alias(KEY), F.col("o_orderpriority").alias(CLASS),
         F.year("o_orderdate").alias(YEAR))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").alias(AREA))
@@ -73,11 +88,11 @@ def entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.abs("c_acctbal").alias("area_km2")))
 
 
-def gdp_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gdp_extract(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
     """(entity_key, year, gdp_k): order value per customer and order year.
 
     Money is summed as DECIMAL, so the total is exact whatever the order."""
-    o = table(spark, sf_dir, "orders")
+    o = _in_years(table(spark, sf_dir, "orders"), "o_orderdate", years)
     return (o.groupBy(F.col("o_custkey").alias(KEY), F.year("o_orderdate").alias(YEAR))
             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("gdp_k")))
 
@@ -91,9 +106,9 @@ def population_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("double").alias("population")))
 
 
-def herd_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def herd_extract(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
     """(entity_key, year, herd_total): orders per customer and order year."""
-    o = table(spark, sf_dir, "orders")
+    o = _in_years(table(spark, sf_dir, "orders"), "o_orderdate", years)
     return (o.groupBy(F.col("o_custkey").alias(KEY), F.year("o_orderdate").alias(YEAR))
             .agg(F.count(F.lit(1)).cast("double").alias("herd_total")))
 
@@ -112,6 +127,44 @@ def crop_long_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(F.col("o_custkey").alias(KEY), F.year("l_shipdate").alias(YEAR), three)
 
 
+def shipped_landuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class table by the year of shipment instead of the order's."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias(KEY), F.col("o_orderpriority").alias(CLASS))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.year("l_shipdate").alias(YEAR), F.col("l_quantity").alias(AREA))
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(KEY, CLASS, YEAR, AREA)
+
+
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one (entity, class, order year, shipment year): the extracts below share this one join of the
+    largest tables, kept in the shared checkpoint folder."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias(KEY), F.col("o_orderpriority").alias(CLASS),
+        F.year("o_orderdate").alias("order_year"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.year("l_shipdate").alias("ship_year"), "l_quantity", "l_extendedprice", "l_discount")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return cut_lineage(j.groupBy(KEY, CLASS, "order_year", "ship_year").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"),
+        F.sum(F.col("l_quantity") * (1 - F.col("l_discount"))).alias("discounted")))
+
+
+def landuse_of(act: DataFrame) -> DataFrame:
+    return act.select(KEY, CLASS, F.col("order_year").alias(YEAR), F.col("quantity").alias(AREA))
+
+
+def population_of(act: DataFrame) -> DataFrame:
+    return (act.groupBy(KEY, F.col("ship_year").alias(YEAR))
+            .agg(F.sum("lines").cast("double").alias("population")))
+
+
+def crops_of(act: DataFrame) -> DataFrame:
+    three = F.stack(F.lit(3), F.lit(214), F.col("quantity"), F.lit(215), F.col("price"),
+                    F.lit(216), F.col("discounted")).alias("var_code", "value")
+    return act.select(KEY, F.col("ship_year").alias(YEAR), three)
+
+
 def events_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a class table: (entity_key=user_id, class_code=event_type, year, area=value)."""
     e = table(spark, sf_dir, "events")

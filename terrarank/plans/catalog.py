@@ -15,12 +15,14 @@ from terrarank.functions import code_label, normalize_key, normalize_key_guarded
 from terrarank.operators import composition as comp
 from terrarank.operators import explore, stats
 from terrarank.operators.index import build_index, entity_profile, fit_index
-from terrarank.operators.rank import bottom_n, group_rank, rank_desc, top_n
+from terrarank.operators.rank import bottom_n, group_rank, positional_index, rank_desc, sort_by_rank, top_n
 from terrarank.operators.reshape import melt_years, pivot_sum
 from terrarank.plans import analog as A
-from terrarank.plans.etl import build_master, fact_economy
+from terrarank.plans.etl import build_master, fact_economy, transform
+from terrarank.session import keep
 from terrarank.sources import (
     detect_key_column,
+    load_sources,
     parse_json_column,
     source_status,
     union_extracts,
@@ -44,7 +46,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 # ---------------------------------------------------------------- composition
 def q_composition_by_entity(spark: SparkSession, d: str) -> DataFrame:
-    lu = A.landuse(spark, d).where(F.col(A.YEAR) == A.REF_YEAR)
+    lu = A.landuse(spark, d, years=(A.REF_YEAR,)).where(F.col(A.YEAR) == A.REF_YEAR)
     return rounded(comp.class_composition(lu, [A.KEY], A.CLASS, A.AREA, A.ANALOG_GROUPS))
 
 
@@ -54,20 +56,19 @@ def q_composition_by_entity_year(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_year_gate(spark: SparkSession, d: str) -> DataFrame:
-    lu = A.landuse(spark, d)
-    return rounded(comp.composition_panel(lu, A.KEY, A.YEAR, A.CLASS, A.AREA, A.ANALOG_GROUPS, min_rows=100))
+    lu = A.shipped_landuse(spark, d)  # few lines ship in the last year: the gate drops it
+    return rounded(comp.composition_panel(lu, A.KEY, A.YEAR, A.CLASS, A.AREA, A.ANALOG_GROUPS, min_rows=A.GATE_MIN_ROWS))
 
 
 def q_temporal_change(spark: SparkSession, d: str) -> DataFrame:
-    lu = A.landuse(spark, d)
+    lu = A.landuse(spark, d, years=(A.CHANGE_START, A.CHANGE_END))
     return rounded(comp.temporal_change(lu, A.KEY, A.YEAR, A.CLASS, A.AREA, A.ANALOG_GROUPS["native"],
                                         A.CHANGE_START, A.CHANGE_END))
 
 
 def q_asof_year_composition(spark: SparkSession, d: str) -> DataFrame:
     lu = A.landuse(spark, d)
-    out, y = comp.composition_as_of(lu, A.KEY, A.YEAR, A.CLASS, A.AREA, A.ANALOG_GROUPS, A.ASOF_REF_YEAR)
-    return rounded(out.withColumn("asof_year", F.lit(y).cast("int")))
+    return rounded(comp.composition_as_of(lu, A.KEY, A.YEAR, A.CLASS, A.AREA, A.ANALOG_GROUPS, A.ASOF_REF_YEAR))
 
 
 def q_national_series(spark: SparkSession, d: str) -> DataFrame:
@@ -93,7 +94,7 @@ def q_event_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_distinct_entities(spark: SparkSession, d: str) -> DataFrame:
     lu = A.landuse(spark, d)
-    return lu.agg(F.count_distinct(A.KEY).alias("distinct_entities"), F.count_distinct(A.YEAR).alias("years"))
+    return comp.distinct_counts(lu, {A.KEY: "distinct_entities", A.YEAR: "years"})
 
 
 # ---------------------------------------------------------------- reshape
@@ -114,11 +115,11 @@ def q_unpivot_years(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ETL / master
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
-    dim = A.entity_dim(spark, d)
-    crops = pivot_sum(A.crop_long_extract(spark, d), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
+    dim, act, ref = A.entity_dim(spark, d), A.activity(spark, d), (A.REF_YEAR,)
+    crops = pivot_sum(A.crops_of(act), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
                       ["crop_production_t", "crop_value_k", "planted_area_ha"])
-    return build_master(dim, A.gdp_extract(spark, d), A.population_extract(spark, d), A.landuse(spark, d),
-                        A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops, herd=A.herd_extract(spark, d))
+    return build_master(dim, A.gdp_extract(spark, d, ref), A.population_of(act), A.landuse_of(act),
+                        A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops, herd=A.herd_extract(spark, d, ref))
 
 
 def q_spine_join_master(spark: SparkSession, d: str) -> DataFrame:
@@ -208,7 +209,7 @@ def _index_input(spark: SparkSession, d: str, extra: tuple = ()) -> DataFrame:
     extract for the index."""
     m = master_frame(spark, d)
     cols = list(dict.fromkeys([*INDEX_COLS, *VIEW_COLS, *extra]))
-    return m.select(*[c for c in cols if c in m.columns]).persist()
+    return keep(m.select(*[c for c in cols if c in m.columns]))
 
 
 def ranked(spark: SparkSession, d: str, extra: tuple = ()) -> tuple[DataFrame, DataFrame]:
@@ -265,12 +266,12 @@ def q_pca_weights(spark: SparkSession, d: str) -> DataFrame:
 
 def q_global_rank_min(spark: SparkSession, d: str) -> DataFrame:
     o = A.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return rank_desc(o, "o_totalprice", "rank", method="window")
+    return rank_desc(o, "o_totalprice", "rank")
 
 
 def q_bucketed_rank(spark: SparkSession, d: str) -> DataFrame:
     li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return rank_desc(li, "l_extendedprice", "rank", method="bucketed", buckets=16)
+    return rank_desc(li, "l_extendedprice", "rank", buckets=16)
 
 
 # ---------------------------------------------------------------- exploration
@@ -323,7 +324,7 @@ def q_score_correlations(spark: SparkSession, d: str) -> DataFrame:
 
 def q_corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     m = master_frame(spark, d)
-    cols = explore.numeric_columns(m, exclude=[A.KEY, "year"], limit=15)
+    cols = explore.numeric_columns(m, exclude=[A.KEY, "year"])
     return rounded(stats.corr_matrix(m, cols))
 
 
@@ -400,8 +401,7 @@ def _model_input(spark: SparkSession, d: str):
     m = _index_input(spark, d, tuple(ml.FEATURE_COLS))
     ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="pca+entropy")
     feats_df, feats = ml.prepare_features(ranking, m, A.KEY)
-    cached = feats_df.persist()
-    return ml.sized(cached, cached.count()), feats, ranking, m
+    return keep(feats_df), feats, ranking, m
 
 
 def q_prepare_features(spark: SparkSession, d: str) -> DataFrame:
@@ -440,8 +440,7 @@ def q_importances(spark: SparkSession, d: str) -> DataFrame:
     feats = ml.non_null_features(df, feats)
     std = ml.fit_standardizer(df, feats)
     label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
-    designs = {False: ml.design_matrix(df, feats, std, False).persist(),
-               True: ml.design_matrix(df, feats, std, True).persist()}
+    designs = {scaled: keep(ml.design_matrix(df, feats, std, scaled)) for scaled in (False, True)}
 
     def fit(name):
         return name, ml.make_estimator(name, label_std).fit(designs[name == "elastic_net"])
@@ -461,7 +460,7 @@ def q_linear_attribution(spark: SparkSession, d: str) -> DataFrame:
     feats = ml.non_null_features(df, feats)
     std = ml.fit_standardizer(df, feats)
     label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
-    design = ml.design_matrix(df, feats, std, True).persist()
+    design = keep(ml.design_matrix(df, feats, std, True))
     model = ml.make_estimator("elastic_net", label_std).fit(design)
     return rounded(ml.linear_attribution(model, design, feats))
 
@@ -510,7 +509,7 @@ def q_tree_attribution(spark: SparkSession, d: str) -> DataFrame:
     df, feats, _, _ = _model_input(spark, d)
     feats = ml.non_null_features(df, feats)
     std = ml.fit_standardizer(df, feats)
-    design = ml.design_matrix(df, feats, std, False).persist()
+    design = keep(ml.design_matrix(df, feats, std, False))
     model = ml.make_estimator("gradient_boosting").fit(design)
     rows, _ = tree_attribution(model, design, feats, A.KEY)
     return rounded(mean_abs_attribution(rows, feats))
@@ -553,3 +552,161 @@ def q_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["cv_metrics"] = q_cv_metrics
+
+
+# ---------------------------------------------------------------- covariance, grouped quantiles
+def q_covariance_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Sample covariance of every pair of normalised indicators, as the index fit measures it."""
+    m = _index_input(spark, d)
+    model = fit_index(m, weighting="pca")
+    names = [i.name for i in model.indicators]
+    rows = [(a, b, float(model.covariance[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if j >= i]
+    return rounded(spark.createDataFrame(rows, "x string, y string, covariance double"))
+
+
+def q_quantiles_by_group(spark: SparkSession, d: str) -> DataFrame:
+    """Quartiles of line prices per order: groups of one to a few rows, and one large NULL group."""
+    li = A.table(spark, d, "lineitem").select(
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")).alias("grp"), F.col("l_extendedprice").alias("price"))
+    return stats.exact_quantiles(li, ["price"], [0.25, 0.5, 0.75], group_cols=["grp"])
+
+
+# ---------------------------------------------------------------- payloads, duplicates
+def q_unwrap_items(spark: SparkSession, d: str) -> DataFrame:
+    """Item payloads of all forms: items first, last, empty; a bare list, a longer list, a single object."""
+    p, form = F.col("props"), F.col("event_id") % 6
+    payload = (F.when(form == 0, F.concat(F.lit('{"items": ['), p, F.lit(", "), p, F.lit('], "hasMore": false}')))
+               .when(form == 1, F.concat(F.lit('{"hasMore": false, "items": ['), p, F.lit("]}")))
+               .when(form == 2, F.lit('{"count": 0, "items": []}'))
+               .when(form == 3, F.concat(F.lit("["), p, F.lit("]")))
+               .when(form == 4, F.concat(F.lit(" ["), p, F.lit(", "), p, F.lit("]")))
+               .otherwise(p))
+    from terrarank.sources import unwrap_items
+    return unwrap_items(A.table(spark, d, "events").select("event_id", payload.alias("payload")), "payload", "k int")
+
+
+def q_dedup_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The first line of every order (orders have several)."""
+    from terrarank.operators.reshape import dedup_first
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return dedup_first(li, ["l_orderkey"], order_by=["l_linenumber", "l_extendedprice"])
+
+
+# ---------------------------------------------------------------- labels
+def _labels(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ranking, labels, master): a label for every five states in the order of their mean score."""
+    ranking, m = ranked(spark, d)
+    states = group_rank(rounded(explore.mean_by_group(ranking, "state", "score")), "mean_score", "state_rank")
+    letter = F.chr((F.lit(65) + F.floor((F.col("state_rank") - 1) / 5)).cast("long"))
+    states = states.select(F.col("state").alias("s"), F.concat(F.lit("profile "), letter).alias("cluster_label"))
+    labels = ranking.join(states, ranking["state"].eqNullSafe(states["s"])).select(A.KEY, "cluster_label")
+    return ranking, labels, m
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    ranking, labels, m = _labels(spark, d)
+    return explore.display_table(ranking, labels, m, A.KEY, ["pct_native", "population"])
+
+
+def q_display_with_labels(spark: SparkSession, d: str) -> DataFrame:
+    ranking, labels, m = _labels(spark, d)
+    rows, _ = explore.explore_view(ranking, labels, m, A.KEY, ranges={"population": (2.0, 40.0)},
+                                   choices={"cluster_label": ["profile A", "profile C"]})
+    shown = explore.rename_for_display(sort_by_rank(explore.ranking_label(rows), "rank", [A.KEY]), {
+        c: c for c in (A.KEY, "label", "score", "rank", "cluster_label", "pct_native", "population")})
+    return rounded(shown)
+
+
+def q_label_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(explore.score_stats_by_group(_labelled(spark, d), "cluster_label"))
+
+
+def q_label_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return explore.group_sizes(_labelled(spark, d), "cluster_label")
+
+
+def q_label_box(spark: SparkSession, d: str) -> DataFrame:
+    return stats.box_summary(_labelled(spark, d), "cluster_label", "score")
+
+
+def q_labels_by_mean(spark: SparkSession, d: str) -> DataFrame:
+    means = rounded(explore.mean_by_group(_labelled(spark, d), "cluster_label", "score"))
+    return positional_index(means, "mean_score")
+
+
+def q_filter_choices(spark: SparkSession, d: str) -> DataFrame:
+    return explore.filter_choices(entropy_ranking(spark, d), "state")
+
+
+def q_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(explore.bounds(_display(spark, d), ["population", "pct_native"]))
+
+
+# ---------------------------------------------------------------- jobs on landed sources
+def _landed(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Raw extracts as they are landed: text columns under the sources' own names."""
+    def flat(df, value):
+        return df.select(F.col(A.KEY).cast("string").alias("D1C"), F.col(A.YEAR).cast("string").alias("D2C"),
+                         F.format_string("%.2f", F.col(value)).alias("V"))
+    dim = A.entity_dim(spark, d).select(F.col(A.KEY).cast("string").alias(A.KEY), "name", "state", "area_km2")
+    return {"gdp": flat(A.gdp_extract(spark, d), "gdp_k"), "population": flat(A.population_extract(spark, d), "population"),
+            "area": dim}
+
+
+def q_transform_absent_sources(spark: SparkSession, d: str) -> DataFrame:
+    """The wide table where no optional source has been landed: their paths do not exist."""
+    missing = {n: f"{d}/not-landed/{n}" for n in ("crops", "herd", "landuse", "education")}
+    _, master = transform({**_landed(spark, d), **load_sources(spark, missing)}, A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START)
+    return rounded(master)
+
+
+def q_fact_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and entities of every fact that the transform builds."""
+    raw = {**_landed(spark, d), "landuse": A.landuse(spark, d)}
+    facts, _ = transform(raw, A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START)
+    parts = [f.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(A.KEY).alias("entities"))
+             .select(F.lit(n).alias("fact"), "rows", "entities") for n, f in facts.items()]
+    return union_extracts(parts)
+
+
+QUERIES.update({
+    "covariance_pairs": q_covariance_pairs,
+    "quantiles_by_group": q_quantiles_by_group,
+    "unwrap_items": q_unwrap_items,
+    "dedup_rows": q_dedup_rows,
+    "display_with_labels": q_display_with_labels,
+    "label_summary": q_label_summary,
+    "label_sizes": q_label_sizes,
+    "label_box": q_label_box,
+    "labels_by_mean": q_labels_by_mean,
+    "filter_choices": q_filter_choices,
+    "bounds": q_bounds,
+    "transform_absent_sources": q_transform_absent_sources,
+    "fact_tables": q_fact_tables,
+})
+
+
+# ---------------------------------------------------------------- model steps that SQL can repeat
+def _one_table(spark: SparkSession, d: str) -> DataFrame:
+    """(entity_key, features, score as label), NULL features as they are."""
+    ranking, m = ranked(spark, d)
+    return m.join(ranking.select(A.KEY, F.col("score").alias("label")), A.KEY)
+
+
+def q_cv_ols_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Folds, errors and the pick of the best model, over one-feature least-squares lines."""
+    from terrarank.operators import ml
+    metrics = ml.cross_validate_ols(_one_table(spark, d), ["pct_native", "pct_agro", "gdp_per_capita"], A.KEY)
+    return rounded(metrics.withColumn("best", F.col("model") == F.lit(ml.best_model(metrics))))
+
+
+ATTRIBUTION = {"pct_native": 0.75, "pct_agro": -0.5}  # coefficients of the attribution query
+
+
+def q_attribution_of_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.operators import ml
+    return rounded(ml.attribution_of(list(ATTRIBUTION.values()), _one_table(spark, d), list(ATTRIBUTION)))
+
+
+QUERIES["cv_ols_metrics"] = q_cv_ols_metrics
+QUERIES["attribution_of_coefficients"] = q_attribution_of_coefficients

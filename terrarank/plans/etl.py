@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrarank.config import YEAR_GATE_MIN_ROWS
-from terrarank.operators.composition import composition_as_of_lazy, composition_panel
+from terrarank.operators.composition import class_composition, composition_as_of_lazy, composition_panel, gated_panel
 from terrarank.operators.joins import derived_indicators, left_enrich, outer_join_coalesced, spine_join
 from terrarank.operators.reshape import dedup_first
+from terrarank.session import cut_lineage
 
 
 def fact_economy(gdp: DataFrame, pop: DataFrame, crops: DataFrame | None, herd: DataFrame | None,
@@ -22,8 +22,8 @@ def fact_economy(gdp: DataFrame, pop: DataFrame, crops: DataFrame | None, herd:
 
 
 def fact_environment(landuse: DataFrame, key: str, year: str, class_col: str, measure: str,
-                     groups: Mapping[str, Sequence], min_rows: int = YEAR_GATE_MIN_ROWS) -> DataFrame:
-    """Per (key, year) class composition for every year with enough rows."""
+                     groups: Mapping[str, Sequence], min_rows: int | None = None) -> DataFrame:
+    """Per (key, year) class composition; with ``min_rows`` only of years with so many rows."""
     return composition_panel(landuse, key, year, class_col, measure, groups, min_rows=min_rows)
 
 
@@ -41,9 +41,13 @@ def land_panel(landuse: DataFrame, groups: Mapping[str, Sequence], key: str = "e
 
     The as-of composition, the change between two years and the yearly fact
     are all derived from this panel, so the (large) class table is scanned
-    and shuffled a single time.
+    and shuffled a single time. ``_rows`` counts the rows behind each line, for
+    the year gate. The panel is kept in the shared checkpoint folder: its
+    consumers push different year filters below the aggregate, which would
+    otherwise defeat exchange reuse, and a lost executor never re-reads the
+    class table.
     """
-    return composition_panel(landuse, key, year, class_col, measure, groups)
+    return cut_lineage(class_composition(landuse, [key, year], class_col, measure, groups, rows_name="_rows"))
 
 
 def change_from_panel(panel: DataFrame, year_start: int, year_end: int, key: str = "entity_key",
@@ -107,31 +111,19 @@ def build_master(
     year: str = "year",
     class_col: str = "class_code",
     measure: str = "area",
-    persist_panel: bool = True,
-    lineage: str = "auto",
+    panel: DataFrame | None = None,
 ) -> DataFrame:
     """Wide entity table: base indicators LEFT JOIN the change of the native
     share between ``change_start`` and ``ref_year``.
 
     The change uses exact years (no as-of fallback), like the reference job.
-    The panel feeds three consumers (as-of year, composition, change). It is
-    kept so the class table is scanned and shuffled once: the consumers push
-    different year filters below the aggregate, which would otherwise defeat
-    exchange reuse. ``lineage``: ``"checkpoint"`` writes it reliably to
-    ``spark.checkpoint.dir`` (lineage cut: a lost executor never re-reads the
-    class table), ``"persist"`` caches it, ``"auto"`` checkpoints on a cluster
-    and caches in local mode.
+    The panel of the class table (``land_panel``; built here unless it is
+    given) feeds the as-of year, the composition and the change.
     """
-    panel = None
-    if landuse is not None:
+    if panel is None and landuse is not None:
         panel = land_panel(landuse, groups, key, year, class_col, measure)
-        if persist_panel:
-            local = (panel.sparkSession.sparkContext.master or "").startswith("local")
-            if lineage == "checkpoint" or (lineage == "auto" and not local):
-                from terrarank.session import cut_lineage
-                panel = cut_lineage(panel)
-            else:
-                panel = panel.persist()
+    if panel is not None:
+        panel = panel.drop("_rows")
     base = base_indicators(dim, gdp, pop, panel, ref_year, crops, herd, key, year)
     if panel is None:
         return base
@@ -151,29 +143,62 @@ def clean_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def build_fact_tables(clean: Mapping[str, DataFrame], groups: Mapping[str, Sequence],
                       key: str = "entity_key", year: str = "year", class_col: str = "class_code",
-                      measure: str = "area") -> dict[str, DataFrame]:
+                      measure: str = "area", min_rows: int | None = None,
+                      panel: DataFrame | None = None) -> dict[str, DataFrame]:
     """Star schema: entity dimension, economy fact, yearly environment fact
-    (years with enough rows only), education fact passed through."""
+    (with ``min_rows``: of years with so many rows), other yearly sources passed through.
+    ``panel``: the ``land_panel`` of the class table, if it has been built already."""
     facts = {"dim_entity": clean["area"]}
     facts["fact_economy"] = fact_economy(clean["gdp"], clean["population"], clean.get("crops"),
                                          clean.get("herd"), key, year)
     lu = clean.get("landuse")
-    if lu is not None and class_col in lu.columns:
-        facts["fact_environment"] = fact_environment(lu, key, year, class_col, measure, groups)
-    if "education" in clean:
-        facts["fact_education"] = clean["education"]
+    if panel is not None:
+        facts["fact_environment"] = gated_panel(panel, year, min_rows) if min_rows else panel.drop("_rows")
+    elif lu is not None and class_col in lu.columns:
+        facts["fact_environment"] = fact_environment(lu, key, year, class_col, measure, groups, min_rows)
+    for name in ("education", "deforestation", "fires", "finance", "spending", "registry"):
+        if name in clean:
+            facts[f"fact_{name}"] = clean[name]
     return facts
 
 
+#: Sources the wide table can do without; absent ones add no columns.
+OPTIONAL = ("crops", "herd", "landuse", "education", "deforestation", "fires", "finance", "spending", "registry")
+
+
+def present(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sources without the optional ones that have no row (one row at most is read of each)."""
+    return {name: df for name, df in raw.items() if name not in OPTIONAL or not df.isEmpty()}
+
+
+def transform(raw: Mapping[str, DataFrame], groups: Mapping[str, Sequence], ref_year: int, change_start: int,
+              min_rows: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Landed sources → (facts by name, wide table). Absent optional sources are left out.
+
+    The class table is read once, for the panel that feeds both.
+    """
+    clean = clean_all(present(raw))
+    lu = clean.get("landuse")
+    panel = land_panel(lu, groups) if lu is not None else None
+    facts = build_fact_tables(clean, groups, min_rows=min_rows, panel=panel)
+    master = build_master(clean["area"], clean["gdp"], clean["population"], None, groups, ref_year, change_start,
+                          crops=clean.get("crops"), herd=clean.get("herd"), panel=panel)
+    return facts, master
+
+
 def run_transform(spark, paths: Mapping[str, str], out_dir: str, groups: Mapping[str, Sequence],
-                  ref_year: int, change_start: int) -> DataFrame:
-    """Load → clean → facts → wide table → Parquet (facts partitioned by year)."""
-    from terrarank.sources import load_sources, write_parquet
-    clean = clean_all(load_sources(spark, paths))
-    facts = build_fact_tables(clean, groups)
-    for name, df in facts.items():
-        write_parquet(df, f"{out_dir}/{name}", partition_by=["year"] if "year" in df.columns else None)
-    master = build_master(clean["area"], clean["gdp"], clean["population"], clean.get("landuse"), groups,
-                          ref_year, change_start, crops=clean.get("crops"), herd=clean.get("herd"))
-    write_parquet(master, f"{out_dir}/master")
-    return master
+                  ref_year: int, change_start: int, min_rows: int | None = None,
+                  catalog: str | None = None) -> DataFrame:
+    """Load → clean → facts → wide table → Parquet (facts partitioned by year).
+
+    ``catalog``: a prefix under which every written dataset is also a catalog
+    table over the written files. Returns the wide table as written.
+    """
+    from terrarank.sources import load_sources, save_table, write_parquet
+    facts, master = transform(load_sources(spark, paths), groups, ref_year, change_start, min_rows)
+    for name, df in {**facts, "master": master}.items():
+        path = f"{out_dir}/{name}"
+        written = write_parquet(df, path, partition_by=["year"] if name.startswith("fact_") and "year" in df.columns else None)
+        if written and catalog is not None:
+            save_table(spark.read.parquet(path), f"{catalog}{name}", temp_view=True)
+    return spark.read.schema(master.schema).parquet(f"{out_dir}/master")

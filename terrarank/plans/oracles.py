@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from terrarank.config import LAND_COVER_LABELS
+from terrarank.config import DEFAULT_INDICATORS, LAND_COVER_LABELS
 from terrarank.plans.analog import (
-    ASOF_REF_YEAR, CHANGE_END, KPI_STATES, CHANGE_START, EVENT_GROUPS, REF_YEAR,
+    ASOF_REF_YEAR, CHANGE_END, KPI_STATES, CHANGE_START, EVENT_GROUPS, GATE_MIN_ROWS, REF_YEAR,
 )
 from terrarank.plans.sqlparts import (
-    COMP_COLS, DIM as DIM_SQL, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
-    index_prefix, inlist, sql_quantile, master_ctes, norm_ctes, q, subindex_cols,
+    COMP_COLS, DIM, DIM as DIM_SQL, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
+    entropy_ctes, entropy_score_ctes, index_prefix, inlist, sql_quantile, master_ctes, norm_ctes, q, subindex_cols,
 )
 
 NUM_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -46,7 +46,7 @@ def _events_rank() -> str:
             f"r AS (SELECT entity_key, {round_all(cols)}, "
             f"ROUND(pct_agro / (NULLIF(pct_native, 0) + 1), 6) + 0.0 AS pressure_index FROM c) "
             f"SELECT r.*, CASE WHEN pct_native IS NULL THEN NULL ELSE "
-            f"CAST(RANK() OVER (ORDER BY pct_native DESC NULLS LAST) AS INTEGER) END AS rank FROM r")
+            f"CAST(RANK() OVER (ORDER BY pct_native DESC NULLS LAST) AS BIGINT) END AS rank FROM r")
 
 
 def _comp(keys, where=""):
@@ -56,9 +56,12 @@ def _comp(keys, where=""):
 
 def _year_gate():
     inner = composition_select(
-        "landuse", ["entity_key", "year"],
-        where="year IN (SELECT year FROM landuse WHERE year IS NOT NULL GROUP BY year HAVING COUNT(*) >= 100)")
-    return f"WITH {LANDUSE} SELECT entity_key, year, {COMP_R} FROM ({inner}) t"
+        "shipped", ["entity_key", "year"],
+        where=f"year IN (SELECT year FROM shipped GROUP BY year HAVING COUNT(*) >= {GATE_MIN_ROWS})")
+    shipped = ("shipped AS (SELECT o.o_custkey AS entity_key, o.o_orderpriority AS class_code, "
+               "CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_quantity AS area "
+               "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)")
+    return f"WITH {shipped} SELECT entity_key, year, {COMP_R} FROM ({inner}) t"
 
 
 def _change():
@@ -194,7 +197,7 @@ def _mean_by(group):
 def _group_rank():
     return (f"{index_prefix()}, g AS (SELECT state, COUNT(*) AS entities, ROUND(AVG(score), 6) + 0.0 AS mean_score "
             f"FROM ranking GROUP BY state) SELECT g.*, CAST(RANK() OVER (ORDER BY mean_score DESC NULLS LAST) "
-            f"AS INTEGER) AS state_rank, COUNT(*) OVER () AS of FROM g")
+            f"AS BIGINT) AS state_rank, COUNT(*) OVER () AS of FROM g")
 
 
 DISPLAY = ("disp AS (SELECT r.entity_key, r.name, r.state, r.region, r.score, r.rank, m.pct_native, m.pct_forest, "
@@ -228,12 +231,8 @@ def _score_corr():
     return f"{index_prefix()}, {DISPLAY} {sel}"
 
 
-CORR_COLS = ["area_km2", "population", "gdp_k", "crop_production_t", "crop_value_k", "planted_area_ha",
-             "herd_total", *COMP_COLS, "gdp_per_capita", "gdp_per_km2"]
-
-
 def _corr_matrix():
-    cols = CORR_COLS[:15]
+    cols = MASTER_COLS
     parts = []
     for i, a in enumerate(cols):
         parts.append(f"SELECT {q(a)} AS x, {q(a)} AS y, CAST(1.0 AS DOUBLE) AS r")
@@ -273,13 +272,13 @@ def _group_summary():
 
 
 def _global_rank():
-    return ("SELECT o_orderkey, o_totalprice, CAST(RANK() OVER (ORDER BY o_totalprice DESC) AS INTEGER) AS rank "
+    return ("SELECT o_orderkey, o_totalprice, CAST(RANK() OVER (ORDER BY o_totalprice DESC) AS BIGINT) AS rank "
             "FROM orders")
 
 
 def _bucketed_rank():
     return ("SELECT l_orderkey, l_linenumber, l_extendedprice, "
-            "CAST(RANK() OVER (ORDER BY l_extendedprice DESC) AS INTEGER) AS rank FROM lineitem")
+            "CAST(RANK() OVER (ORDER BY l_extendedprice DESC) AS BIGINT) AS rank FROM lineitem")
 
 
 def _event_counts():
@@ -379,3 +378,202 @@ ORACLES = {
     "box_summary": _box(),
     "group_summary": _group_summary(),
 }
+
+
+# ---------------------------------------------------------------- weights by principal components
+def _pca_ctes(components: int = 3, squarings: int = 40) -> str:
+    """Leading projectors of the covariance by repeated squaring and deflation: |loading| = sqrt of the diagonal."""
+    k = len(IND)
+    cells = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS v FROM nm"
+        for i, a in enumerate(IND) for j, b in enumerate(IND))
+    out = [f"c0 AS ({cells})", "tr AS (SELECT SUM(v) AS t FROM c0 WHERE i = j)"]
+    for c in range(components):
+        out += [
+            f"p{c} AS (SELECT 0 AS n, i, j, v / (SELECT SUM(v) FROM c{c} WHERE i = j) AS v FROM c{c} UNION ALL "
+            f"SELECT a.n + 1, a.i, b.j, SUM(a.v * b.v) / (SELECT SUM(v * v) FROM p{c}) FROM p{c} a JOIN p{c} b ON a.j = b.i "
+            f"WHERE a.n < {squarings} GROUP BY a.n, a.i, b.j)",
+            f"f{c} AS (SELECT i, j, v FROM p{c} WHERE n = {squarings})",
+            f"l{c} AS (SELECT SUM(c{c}.v * f{c}.v) AS lam FROM c{c} JOIN f{c} USING (i, j))",
+            f"c{c + 1} AS (SELECT i, j, c{c}.v - lam * f{c}.v AS v FROM c{c} JOIN f{c} USING (i, j), l{c})",
+        ]
+    load = " + ".join(f"SQRT(GREATEST(f{c}.v, 0)) * (SELECT lam FROM l{c}) / (SELECT t FROM tr)" for c in range(components))
+    joins = " ".join(f"JOIN f{c} ON f{c}.i = f0.i AND f{c}.j = f0.j" for c in range(1, components))
+    out.append(f"pl AS (SELECT f0.i, {load} AS raw FROM f0 {joins} WHERE f0.i = f0.j)")
+    wide = ", ".join(f"SUM(raw) FILTER (WHERE i = {i}) / SUM(raw) AS w_{n}" for i, n in enumerate(IND))
+    out.append(f"pw AS (SELECT {wide} FROM pl)")
+    assert k == len(DEFAULT_INDICATORS)
+    return ",\n".join(out)
+
+
+def _full_prefix() -> str:
+    """Everything up to ``ranking``, with the mean of both weightings in place of the entropy weights."""
+    both = ", ".join(f"(pw.w_{n} + en.w_{n}) / 2 AS w_{n}" for n in IND)
+    total = " + ".join(f"w_{n}" for n in IND)
+    scaled = ", ".join(f"w_{n} / ({total}) AS w_{n}" for n in IND)
+    entropy = entropy_ctes().replace("\new AS (", "\nen AS (")
+    return ("WITH RECURSIVE " + master_ctes() + ",\n" + norm_ctes() + ",\n" + entropy + ",\n" + _pca_ctes() + ",\n"
+            + f"mean_w AS (SELECT {both} FROM pw CROSS JOIN en),\new AS (SELECT {scaled} FROM mean_w),\n"
+            + entropy_score_ctes())
+
+
+def _pca_weights():
+    rows = " UNION ALL ".join(
+        f"SELECT {q(i.name)} AS indicator, {q(i.label)} AS label, {i.direction} AS direction, "
+        f"{r6(f'pw.w_{i.name}', 'pca_weight')}, {r6(f'en.w_{i.name}', 'entropy_weight')}, {r6(f'ew.w_{i.name}', 'weight')} "
+        f"FROM pw CROSS JOIN en CROSS JOIN ew" for i in DEFAULT_INDICATORS)
+    return f"{_full_prefix()} {rows}"
+
+
+def _full_index():
+    norm = ", ".join(r6(i, f"norm_{i}") for i in IND)
+    return (f"{_full_prefix()} SELECT entity_key, name, state, region, score, rank, {norm}, "
+            f"ROUND(subindex_environment, 6) + 0.0 AS subindex_environment, ROUND(subindex_economy, 6) + 0.0 AS subindex_economy "
+            f"FROM (SELECT ranking.*, {subindex_cols()} FROM ranking) t")
+
+
+def _covariance_pairs():
+    rows = " UNION ALL ".join(f"SELECT {q(a)} AS x, {q(b)} AS y, {r6(f'covar_samp({a}, {b})', 'covariance')} FROM nm"
+                              for i, a in enumerate(IND) for b in IND[i:])
+    return f"WITH {master_ctes()}, {norm_ctes()} {rows}"
+
+
+# ---------------------------------------------------------------- groups, labels, payloads, jobs
+def _quantiles_by_group():
+    rows = " UNION ALL ".join(
+        f"SELECT grp, 'price' AS \"column\", COUNT(v) AS n, CAST({p} AS DOUBLE) AS prob, {sql_quantile('v', p)} AS value "
+        f"FROM g GROUP BY grp" for p in (0.25, 0.5, 0.75))
+    return ("WITH g AS (SELECT CASE WHEN l_orderkey % 10 <> 0 THEN l_orderkey END AS grp, l_extendedprice AS v FROM lineitem) "
+            + rows)
+
+
+def _unwrap_items():
+    return ("WITH e AS (SELECT event_id, event_id % 6 AS form, CAST(regexp_extract(props, ':\\s*([0-9]+)', 1) AS INTEGER) AS k "
+            "FROM events) "
+            "SELECT event_id, k FROM e WHERE form <> 2 UNION ALL SELECT event_id, k FROM e WHERE form IN (0, 4)")
+
+
+LABELLED = (f"{{prefix}}, {DISPLAY}, sm AS (SELECT state, RANK() OVER (ORDER BY ROUND(AVG(score), 6) DESC NULLS LAST) AS sr "
+            "FROM ranking GROUP BY state), "
+            "lab AS (SELECT disp.*, 'profile ' || chr(CAST(65 + (sr - 1) // 5 AS INTEGER)) AS cluster_label "
+            "FROM disp JOIN sm ON disp.state IS NOT DISTINCT FROM sm.state)")
+
+
+def _labelled() -> str:
+    return LABELLED.format(prefix=index_prefix())
+
+
+def _display_with_labels():
+    return (f"{_labelled()} SELECT entity_key, name || ' - ' || state AS label, score, rank, cluster_label, "
+            f"{r6('pct_native', 'pct_native')}, {r6('population', 'population')} FROM lab "
+            f"WHERE population BETWEEN 2.0 AND 40.0 AND cluster_label IN ('profile A', 'profile C')")
+
+
+def _label_summary():
+    return (f"{_labelled()} SELECT cluster_label, COUNT(score) AS count, {r6('AVG(score)', 'mean')}, MIN(score) AS min, "
+            f"MAX(score) AS max FROM lab GROUP BY cluster_label")
+
+
+def _label_sizes():
+    return f"{_labelled()} SELECT cluster_label, COUNT(*) AS count FROM lab GROUP BY cluster_label"
+
+
+def _label_box():
+    return (f"{_labelled()} SELECT cluster_label, MIN(score) AS min, MAX(score) AS max, COUNT(score) AS n, "
+            f"{sql_quantile('score', 0.25)} AS q1, {sql_quantile('score', 0.5)} AS median, {sql_quantile('score', 0.75)} AS q3 "
+            f"FROM lab GROUP BY cluster_label")
+
+
+def _labels_by_mean():
+    return (f"{_labelled()}, m AS (SELECT cluster_label, COUNT(*) AS entities, {r6('AVG(score)', 'mean_score')} FROM lab "
+            f"GROUP BY cluster_label) SELECT m.*, CAST(ROW_NUMBER() OVER (ORDER BY mean_score, cluster_label) - 1 AS INTEGER) "
+            f"AS position FROM m")
+
+
+def _filter_choices():
+    return f"{index_prefix()} SELECT DISTINCT state FROM ranking WHERE state IS NOT NULL"
+
+
+def _bounds():
+    return (f"{index_prefix()}, {DISPLAY} SELECT {r6('MIN(population)', 'min_population')}, {r6('MAX(population)', 'max_population')}, "
+            f"{r6('MIN(pct_native)', 'min_pct_native')}, {r6('MAX(pct_native)', 'max_pct_native')} FROM disp")
+
+
+def _dedup_rows():
+    return ("SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey "
+            "ORDER BY l_linenumber, l_extendedprice) AS rn FROM lineitem) t WHERE rn = 1")
+
+
+def _raw_key(col: str) -> str:
+    return f"lpad(CAST({col} AS VARCHAR), 7, '0')"
+
+
+def _transform_absent():
+    """The wide table without crops, herd and land use."""
+    return (f"WITH {DIM}, {GDP}, {POP} SELECT {_raw_key('d.entity_key')} AS entity_key, d.name, d.state, {r6('d.area_km2', 'area_km2')}, "
+            f"{r6('p.population', 'population')}, {r6('g.gdp_k', 'gdp_k')}, "
+            f"{r6('NULLIF(g.gdp_k, 0) * 1000 / NULLIF(p.population, 0)', 'gdp_per_capita')}, "
+            f"{r6('NULLIF(g.gdp_k, 0) * 1000 / NULLIF(d.area_km2, 0)', 'gdp_per_km2')}, "
+            f"{r6('NULLIF(p.population, 0) / NULLIF(d.area_km2, 0)', 'pop_density')} FROM dim d "
+            f"LEFT JOIN (SELECT * FROM pop WHERE year = {REF_YEAR}) p ON d.entity_key = p.entity_key "
+            f"LEFT JOIN (SELECT * FROM gdp WHERE year = {REF_YEAR}) g ON d.entity_key = g.entity_key")
+
+
+def _fact_tables():
+    parts = [f"SELECT 'dim_entity' AS fact, COUNT(*) AS rows, COUNT(DISTINCT entity_key) AS entities FROM dim",
+             "SELECT 'fact_economy', COUNT(*), COUNT(DISTINCT COALESCE(g.entity_key, p.entity_key)) FROM gdp g FULL OUTER JOIN pop p "
+             "ON g.entity_key = p.entity_key AND g.year = p.year",
+             "SELECT 'fact_environment', COUNT(*), COUNT(DISTINCT entity_key) FROM (SELECT DISTINCT entity_key, year FROM landuse) t"]
+    return f"WITH {LANDUSE}, {DIM}, {GDP}, {POP} " + " UNION ALL ".join(parts)
+
+
+ORACLES.update({
+    "pca_weights": _pca_weights(),
+    "full_index": _full_index(),
+    "covariance_pairs": _covariance_pairs(),
+    "quantiles_by_group": _quantiles_by_group(),
+    "unwrap_items": _unwrap_items(),
+    "display_with_labels": _display_with_labels(),
+    "label_summary": _label_summary(),
+    "label_sizes": _label_sizes(),
+    "label_box": _label_box(),
+    "labels_by_mean": _labels_by_mean(),
+    "filter_choices": _filter_choices(),
+    "bounds": _bounds(),
+    "dedup_rows": _dedup_rows(),
+    "transform_absent_sources": _transform_absent(),
+    "fact_tables": _fact_tables(),
+})
+
+
+OLS_FEATURES = ("pct_native", "pct_agro", "gdp_per_capita")
+
+
+def _cv_ols():
+    folds = "CAST(('0x' || substr(md5(CAST(m.entity_key AS VARCHAR)), 1, 8)) AS BIGINT) % 5"
+    data = " UNION ALL ".join(
+        f"SELECT {q(f)} AS model, {folds} AS fold, CAST(m.{f} AS DOUBLE) AS x, r.score AS y "
+        f"FROM master m JOIN ranking r ON m.entity_key = r.entity_key "
+        f"WHERE m.{f} IS NOT NULL AND r.score IS NOT NULL" for f in OLS_FEATURES)
+    return (f"{index_prefix()}, d AS ({data}), k AS (SELECT DISTINCT model, fold FROM d), "
+            "l AS (SELECT k.model, k.fold, regr_slope(d.y, d.x) AS s, regr_intercept(d.y, d.x) AS i "
+            "FROM k JOIN d ON d.model = k.model AND d.fold <> k.fold GROUP BY k.model, k.fold), "
+            "f AS (SELECT d.model, d.fold, AVG((d.y - l.s * d.x - l.i) ** 2) AS mse, var_pop(d.y) AS var "
+            "FROM d JOIN l ON l.model = d.model AND l.fold = d.fold GROUP BY d.model, d.fold), "
+            "t AS (SELECT model, regr_r2(y, x) AS train FROM d GROUP BY model), "
+            "m AS (SELECT model, AVG(SQRT(mse)) AS a, stddev_pop(SQRT(mse)) AS b, AVG(1 - mse / var) AS c, "
+            "stddev_pop(1 - mse / var) AS e FROM f GROUP BY model) "
+            f"SELECT m.model, {r6('a', 'cv_rmse_mean')}, {r6('b', 'cv_rmse_std')}, {r6('c', 'cv_r2_mean')}, "
+            f"{r6('e', 'cv_r2_std')}, {r6('train', 'train_r2')}, a = (SELECT MIN(a) FROM m) AS best "
+            "FROM m JOIN t ON m.model = t.model")
+
+
+def _attribution():
+    rows = " UNION ALL ".join(
+        f"SELECT {q(f)} AS feature, {r6(f'AVG(ABS({c} * (m.{f} - (SELECT AVG({f}) FROM master))))', 'mean_abs_attribution')} "
+        f"FROM master m" for f, c in (("pct_native", 0.75), ("pct_agro", -0.5)))
+    return f"WITH {master_ctes()} {rows}"
+
+
+ORACLES["cv_ols_metrics"] = _cv_ols()
+ORACLES["attribution_of_coefficients"] = _attribution()

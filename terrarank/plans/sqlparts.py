@@ -167,7 +167,7 @@ def entropy_score_ctes(indicators=DEFAULT_INDICATORS) -> str:
             f"ranked AS (SELECT sc.*, ROUND(CASE WHEN smm.hi = smm.lo THEN NULL ELSE "
             f"(raw - smm.lo) / (smm.hi - smm.lo) * 100 END, 6) + 0.0 AS score FROM sc CROSS JOIN smm),\n"
             f"ranking AS (SELECT ranked.*, CASE WHEN score IS NULL THEN NULL ELSE "
-            f"CAST(RANK() OVER (ORDER BY score DESC NULLS LAST) AS INTEGER) END AS rank FROM ranked)")
+            f"CAST(RANK() OVER (ORDER BY score DESC NULLS LAST) AS BIGINT) END AS rank FROM ranked)")
 
 
 def index_prefix() -> str:

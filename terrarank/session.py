@@ -72,3 +72,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that several jobs of one operator read; ``release`` frees it.
+
+    Persisted blocks are only a cache: a lost executor's part is recomputed.
+    """
+    df = df.persist()
+    _KEPT.append(df)
+    return df
+
+
+def release() -> None:
+    """Unpersist what ``keep`` has persisted so far; call it when the results have been written."""
+    while _KEPT:
+        _KEPT.pop().unpersist()

@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from terrarank.config import STUB_ROW_THRESHOLD
-from terrarank.sources.harmonize import empty_like
+from terrarank.config import SOURCE_ALIASES, SOURCE_SCHEMAS, STUB_ROW_THRESHOLD
+from terrarank.sources.harmonize import empty_like, harmonize_columns
 
 
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
-    """Parquet at ``path``; a typed empty frame (or None without schema) if absent."""
+    """Parquet at ``path`` with its own columns; a typed empty frame (or None without schema) if it is absent.
+
+    Only a path that does not exist counts as absent; every other error is raised.
+    """
     try:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty_like(spark, schema) if schema is not None else None
 
 
@@ -29,12 +31,17 @@ def load_sources(
     paths: Mapping[str, str],
     schemas: Mapping[str, StructType | str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read every named Parquet source; absent sources become empty frames."""
-    schemas = schemas or {}
+    """Read every named Parquet source under its canonical column names.
+
+    A source that is absent becomes an empty frame of its declared schema
+    (``schemas``, else ``config.SOURCE_SCHEMAS``); one without a declared schema is left out.
+    """
+    schemas = {**SOURCE_SCHEMAS, **(schemas or {})}
     out = {}
     for name, path in paths.items():
         df = read_parquet_or_empty(spark, path, schemas.get(name))
-        out[name] = df if df is not None else spark.createDataFrame([], "_empty string")
+        if df is not None:
+            out[name] = harmonize_columns(df, SOURCE_ALIASES[name]) if name in SOURCE_ALIASES else df
     return out
 
 
@@ -63,22 +70,22 @@ def read_csv_extract(spark: SparkSession, path: str, schema: StructType | str |
     return reader.csv(path)
 
 
-def read_flat_json(spark: SparkSession, path: str, key_col: str = "D1C",
-                   header_marker: str | None = None) -> DataFrame:
+def read_flat_json(spark: SparkSession, path: str,
+                   code_cols: Sequence[str] = ("D1C", "D2C", "D3C", "V")) -> DataFrame:
     """Row-per-record JSON array extracts, all files of a directory at once.
 
-    Each file's first record repeats the column titles; it is recognised by
-    its key field not being numeric (or equal to ``header_marker``) and dropped.
-    All fields are read as strings, like the untyped source.
+    Each file's first record repeats the column titles: it has words in every
+    one of the code columns, where a data record has a number in one at least.
+    Only such records are dropped. All fields are read as strings, like the untyped source.
     """
     df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
-    if key_col not in df.columns:
+    present = [F.col(c) for c in code_cols if c in df.columns]
+    if not present:
         return df
-    k = F.trim(F.col(key_col))
-    keep = k.rlike(r"^[0-9]+(\.0+)?$")
-    if header_marker is not None:
-        keep = keep & (k != header_marker)
-    return df.where(keep)
+    titles = F.lit(True)
+    for c in present:
+        titles = titles & F.coalesce(F.trim(c).rlike(r"\p{L}") & ~F.trim(c).rlike(r"^[0-9]"), F.lit(False))
+    return df.where(~titles)
 
 
 def flatten_json_dimension(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
@@ -105,15 +112,16 @@ def parse_json_column(df: DataFrame, col: str, schema: StructType | str, prefix:
 def unwrap_items(df: DataFrame, col: str, item_schema: StructType | str) -> DataFrame:
     """JSON payloads that are either a list of records or ``{"items": [...]}``.
 
-    A lone object (neither form) is treated as a one-record list.
+    An object is a wrapper if it has the key ``items``, wherever it stands; a
+    lone object without it is treated as a one-record list. An empty list, and NULL, give no row.
     """
     as_list = F.from_json(F.col(col), f"array<{_ddl(item_schema)}>")
     as_wrapped = F.from_json(F.col(col), f"struct<items: array<{_ddl(item_schema)}>>").getField("items")
     as_single = F.array(F.from_json(F.col(col), item_schema))
     trimmed = F.ltrim(F.col(col))
     items = (F.when(trimmed.startswith("["), as_list)
-             .when(trimmed.rlike(r'^\{\s*"items"\s*:'), as_wrapped)
-             .otherwise(as_single))
+             .when(F.array_contains(F.json_object_keys(F.col(col)), "items"), as_wrapped)
+             .when(F.col(col).isNotNull(), as_single))
     exploded = df.select(*[c for c in df.columns if c != col], F.explode(items).alias("_item"))
     names = exploded.schema["_item"].dataType.names
     return exploded.select(*[c for c in df.columns if c != col], *[F.col(f"_item.{n}").alias(n) for n in names])

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   mode: str = "overwrite", skip_empty: bool = True) -> bool:
-    """Write a Parquet dataset (optionally partitioned); empty frames are skipped.
+    """Write a Parquet dataset (optionally partitioned); empty frames leave none.
 
+    The frame is evaluated once: its rows are counted while they are written.
     Returns whether anything was written. Partitioning the yearly facts by
     year lets later year filters prune whole directories.
     """
-    if skip_empty and df.isEmpty():
-        return False
-    w = df.write.mode(mode)
+    observed = Observation()
+    w = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return True
+    if observed.get["rows"] or not skip_empty:
+        return True
+    _remove(df.sparkSession, path)
+    return False
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete the dataset just written without a row, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_if_absent(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:

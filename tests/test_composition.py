@@ -66,17 +66,19 @@ def test_change_from_panel_equals_raw(landuse):
 
 
 def test_year_gate(spark, landuse):
-    assert comp.gated_years(landuse, "year", 5) == [2015, 2021]
-    assert comp.gated_years(landuse, "year", 6) == [2015]
-    assert comp.year_gate(landuse, "year", 100).count() == 0
+    def years(least):
+        return sorted(r.year for r in comp.year_gate(landuse, "year", least).select("year").distinct().collect())
+
+    assert years(5) == [2015, 2021] and years(6) == [2015] and years(100) == []
+    panel = comp.composition_panel(landuse, "entity_key", "year", "class_code", "area", LAND_COVER_GROUPS, min_rows=6)
+    assert {r.year for r in panel.collect()} == {2015} and "_rows" not in panel.columns
 
 
 def test_as_of_year(spark, landuse):
-    assert comp.resolve_year(landuse, "year", 2021) == 2021
-    assert comp.resolve_year(landuse, "year", 2019) == 2015
-    assert comp.resolve_year(landuse, "year", 2000) == 2015  # nothing before: earliest
-    lazy = comp.as_of_year_frame(landuse, "year", 2019).collect()[0][0]
-    assert lazy == 2015
+    for ref, found in ((2021, 2021), (2019, 2015), (2000, 2015)):  # nothing before: earliest
+        assert comp.as_of_year_frame(landuse, "year", ref).collect()[0][0] == found
+        out = comp.composition_as_of(landuse, "entity_key", "year", "class_code", "area", LAND_COVER_GROUPS, ref)
+        assert {r.asof_year for r in out.collect()} == {found}
 
 
 def test_composition_plan_has_no_python(landuse):
@@ -103,10 +105,23 @@ def test_scan_reads_only_needed_columns(spark):
     assert not any("l_extendedprice" in s or "o_totalprice" in s for s in schemas)
 
 
-def test_index_input_prunes_unused_enrichments(spark):
-    """Projecting the master before persisting drops the crop extract's join."""
+def test_master_reads_the_largest_table_once(spark, monkeypatch):
+    """One join of lineitem and orders, kept in the checkpoint folder; all extracts come from it."""
+    from terrarank.plans import analog as A
+    from terrarank.plans import catalog as C
+    read = []
+    table = A.table
+    monkeypatch.setattr(A, "table", lambda s, d, name: read.append(name) or table(s, d, name))
+    for q in (C.q_spine_join_master, C.q_full_index):
+        read.clear()
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert read.count("lineitem") == 1
+        assert "l_quantity" not in plan  # nothing above the kept join reads the table again
+
+
+def test_year_filters_reach_the_scan(spark):
     from terrarank.plans import catalog as C
-    m = C._index_input(spark, "/root/testdata/sf0.001")
-    plan = m._jdf.queryExecution().optimizedPlan().toString()
-    assert "l_extendedprice" not in plan and "l_discount" not in plan
-    m.unpersist()
+    for q in (C.q_temporal_change, C.q_composition_by_entity):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
+        assert pushed and all("GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p for p in pushed)

@@ -40,21 +40,22 @@ def test_oracle_match_sample(spark):
                     assert x == y, name
 
 
-def test_master_checkpoint_lineage_equals_persist(spark):
+def test_master_from_a_given_panel(spark):
     from terrarank.operators.reshape import pivot_sum
     from terrarank.plans import analog as A
     from terrarank.plans.etl import build_master
     d = "/root/testdata/sf0.001"
 
-    def build(lineage):
+    def build(panel):
         crops = pivot_sum(A.crop_long_extract(spark, d), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
                           ["crop_production_t", "crop_value_k", "planted_area_ha"])
         m = build_master(A.entity_dim(spark, d), A.gdp_extract(spark, d), A.population_extract(spark, d),
                          A.landuse(spark, d), A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops,
-                         herd=A.herd_extract(spark, d), lineage=lineage)
+                         herd=A.herd_extract(spark, d), panel=panel)
         return sorted(map(tuple, m.select(sorted(m.columns)).collect()), key=lambda t: str(t))
 
-    assert build("checkpoint") == build("persist")
+    from terrarank.plans.etl import land_panel
+    assert build(None) == build(land_panel(A.landuse(spark, d), A.ANALOG_GROUPS))
 
 
 def test_no_nested_loop_or_python_eval_in_plans(spark):
@@ -63,8 +64,9 @@ def test_no_nested_loop_or_python_eval_in_plans(spark):
     intended exception)."""
     heavy = {"cv_elastic_net", "cv_random_forest", "cv_gradient_boosting", "cv_boosting_deep",
              "cv_boosting_leafy", "importances", "kmeans_profiles", "profile_summary", "profile_sizes",
-             "linear_attribution", "tree_attribution"}
-    for name, q in E.queries().items():
+             "linear_attribution", "tree_attribution", "cv_metrics"}
+    from terrarank.plans.catalog import QUERIES
+    for name, q in QUERIES.items():
         if name in heavy:
             continue
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

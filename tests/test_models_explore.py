@@ -79,7 +79,7 @@ def test_explore_views(frame):
     assert g["AA"] == round(pdf[pdf.state == "AA"].score.mean(), 2)
     c = {r.indicator: r.r for r in explore.score_correlations(sdf, "score", ["pct_native"]).collect()}
     assert abs(c["pct_native"] - pdf.score.corr(pdf.pct_native)) < 1e-9
-    assert explore.numeric_columns(sdf, exclude=["score"], limit=2) == ["pct_native", "pct_agro"]
+    assert explore.numeric_columns(sdf, exclude=["score"])[:2] == ["pct_native", "pct_agro"]
 
 
 def _enet_cd(X, y, alpha=1.0, l1=0.5, iters=5000):

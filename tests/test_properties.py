@@ -49,7 +49,7 @@ def test_normalize_key_matches_python_rule(spark, values):
        st.integers(min_value=2, max_value=9))
 def test_bucketed_rank_equals_min_rank(spark, values, buckets):
     pdf = pd.DataFrame({"id": range(len(values)), "v": [float(v) for v in values]})
-    got = rank_desc(spark.createDataFrame(pdf), "v", "r", method="bucketed", buckets=buckets).toPandas()
+    got = rank_desc(spark.createDataFrame(pdf), "v", "r", buckets=buckets).toPandas()
     exp = pdf.v.rank(ascending=False, method="min").astype(int)
     assert got.set_index("id").r.sort_index().tolist() == exp.tolist()
 
@@ -57,7 +57,7 @@ def test_bucketed_rank_equals_min_rank(spark, values, buckets):
 @SETTINGS
 @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=400),
        st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
-def test_bracketed_quantile_equals_numpy(spark, values, p):
+def test_quantile_equals_numpy(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = stats.exact_quantiles(df, ["v"], [p], method="bracket", accuracy=20).collect()[0].value
+    got = stats.exact_quantiles(df, ["v"], [p]).collect()[0].value
     assert abs(got - float(np.quantile(values, p))) <= 1e-9 * max(1.0, abs(got))

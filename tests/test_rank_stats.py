@@ -24,43 +24,65 @@ def skewed(spark):
 
 def test_bucketed_rank_equals_window_rank(skewed):
     sdf, pdf = skewed
-    a = rank_desc(sdf, "v", "r", method="window").toPandas().set_index("id").r
-    b = rank_desc(sdf, "v", "r", method="bucketed", buckets=7).toPandas().set_index("id").r
-    assert a.sort_index().fillna(-1).astype(int).equals(b.sort_index().fillna(-1).astype(int))
     expected = pdf.set_index("id").v.rank(ascending=False, method="min")
-    assert np.array_equal(expected.sort_index().fillna(-1).values, a.sort_index().fillna(-1).values)
+    for buckets in (None, 1, 7, 200):
+        got = rank_desc(sdf, "v", "r", buckets=buckets)
+        assert dict(got.dtypes)["r"] == "bigint"
+        r = got.toPandas().set_index("id").r
+        assert np.array_equal(expected.sort_index().fillna(-1).values, r.sort_index().fillna(-1).values)
 
 
-def test_bucketed_rank_plan_has_no_single_partition(skewed):
+def _single_partition_exchanges(df):
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+
+
+def test_rank_plan_has_no_single_partition_on_rows(skewed):
     sdf, _ = skewed
-    plan = rank_desc(sdf, "v", "r", method="bucketed", buckets=4)._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    single = _single_partition_exchanges(rank_desc(sdf, "v", "r", buckets=4))
     # exactly one unpartitioned exchange, and it carries the per-bucket totals
     assert len(single) == 1
-    assert "keys=[_b" in lines[single[0] + 1]
-    plan_window = rank_desc(sdf, "v", "r", method="window")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in plan_window  # the plain window does move all rows to one task
+    assert "keys=[_b" in single[0]
+
+
+def test_model_fitted_on_few_rows_ranks_many_without_one_task(spark):
+    from terrarank.config import Indicator
+    from terrarank.operators.index import fit_index
+    indicators = (Indicator("x", 1), Indicator("y", -1))
+    small = spark.range(20).selectExpr("id", "cast(id as double) x", "cast(id * id as double) y")
+    model = fit_index(small, indicators, weighting="entropy")
+    many = spark.range(50_000).selectExpr("id", "cast(id % 977 as double) x", "cast(id % 31 as double) y")
+    single = _single_partition_exchanges(model.transform(many, "id"))
+    assert all("keys=[_b" in line for line in single)
 
 
-@pytest.mark.parametrize("method", ["direct", "bracket"])
-def test_exact_quantiles_match_numpy(skewed, method):
+@pytest.mark.parametrize("walk, stretches", [(1000, 1024), (2, 3), (1, 1024)])
+def test_exact_quantiles_match_numpy(skewed, monkeypatch, walk, stretches):
+    monkeypatch.setattr(stats, "WALK_ROWS", walk)
+    monkeypatch.setattr(stats, "STRETCHES", stretches)
     sdf, pdf = skewed
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    out = stats.exact_quantiles(sdf, ["v"], probs, method=method, accuracy=50).collect()
+    out = stats.exact_quantiles(sdf, ["v"], probs).collect()
     got = {r.prob: r.value for r in out}
     vals = pdf.v.dropna().values
     for p in probs:
         assert abs(got[p] - np.quantile(vals, p)) < 1e-9, (p, got[p])
 
 
-def test_grouped_quantiles_bracket(spark):
+@pytest.mark.parametrize("walk", [1000, 5])
+def test_grouped_quantiles(spark, monkeypatch, walk):
+    """A large group, small ones, groups of two and one rows, one constant group, and the NULL group."""
+    monkeypatch.setattr(stats, "WALK_ROWS", walk)
     rng = np.random.default_rng(3)
-    pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 5000, p=[0.6, 0.3, 0.1]), "v": rng.random(5000)})
-    sdf = spark.createDataFrame(pdf)
-    out = stats.exact_quantiles(sdf, ["v"], [0.25, 0.5], group_cols=["g"], method="bracket", accuracy=100).collect()
+    names = ["a"] * 3000 + ["b"] * 40 + ["c"] * 2 + ["d"] + [None] * 700 + ["e"] * 50
+    values = np.where(np.array(names) == "e", 7.0, rng.normal(0, 1e6, len(names)))
+    values[:1000] = 3.5
+    sdf = spark.createDataFrame(list(zip(names, values.tolist())), "g string, v double").repartition(5)
+    out = stats.exact_quantiles(sdf, ["v"], [0.25, 0.5, 1.0], group_cols=["g"]).collect()
+    assert len(out) == 18
     for r in out:
-        assert abs(r.value - np.quantile(pdf[pdf.g == r.g].v, r.prob)) < 1e-12
+        own = [v for g, v in zip(names, values) if g == r.g]
+        assert r.n == len(own) and abs(r.value - np.quantile(own, r.prob)) < 1e-9
 
 
 def test_all_null_column_median(spark):

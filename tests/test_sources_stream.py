@@ -46,6 +46,40 @@ def test_unwrap_items(spark):
     assert out == [(1, 1), (1, 2), (2, 3), (3, 4)]
 
 
+def test_unwrap_items_forms(spark):
+    rows = [(1, '{"hasMore": false, "items": [{"a": 3}, {"a": 4}]}'), (2, '{"count": 0, "items": []}'), (3, "[]"),
+            (4, ' { "items":[{"a":5}]}'), (5, '{"a": 6, "note": "items"}'), (6, None), (7, '{"items": null}')]
+    df = spark.createDataFrame(rows, "id int, payload string")
+    assert sorted((r.id, r.a) for r in unwrap_items(df, "payload", "a int").collect()) == [(1, 3), (1, 4), (4, 5), (5, 6)]
+
+
+def test_only_an_absent_path_means_no_data(spark):
+    d = tempfile.mkdtemp(prefix="bad-")
+    with open(os.path.join(d, "part.parquet"), "w") as f:
+        f.write("not a parquet file")
+    with pytest.raises(Exception):
+        load_sources(spark, {"gdp": d})
+    assert load_sources(spark, {"gdp": d + "/none"})["gdp"].count() == 0
+    empty = load_sources(spark, {"fires": d + "/none", "unknown": d + "/none"})
+    assert list(empty) == ["fires"] and empty["fires"].columns == ["entity_key", "year", "fire_spots"]
+
+
+def test_landed_names_become_canonical(spark):
+    d = tempfile.mkdtemp(prefix="alias-")
+    spark.createDataFrame([("1", 2020, 4.5)], "geocodigo string, ano int, ideb double").write.parquet(d + "/education")
+    got = load_sources(spark, {"education": d + "/education"})["education"]
+    assert got.columns == ["entity_key", "year", "school_index"]
+
+
+def test_read_flat_json_keeps_rows_with_odd_keys(spark):
+    d = tempfile.mkdtemp(prefix="oddjson-")
+    recs = [{"D1C": "Code", "D2C": "Year", "V": "Value"}, {"D1C": "abc", "D2C": "2020", "V": "7"},
+            {"D1C": "12", "D2C": "2020", "V": ".."}]
+    with open(os.path.join(d, "x.json"), "w") as f:
+        json.dump(recs, f)
+    assert sorted(r.D1C for r in read_flat_json(spark, d).collect()) == ["12", "abc"]
+
+
 def test_read_flat_json_drops_header(spark):
     d = tempfile.mkdtemp(prefix="flatjson-")
     for year in (2020, 2021):
