@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrarank.llm.common import table
+from terrarank.llm.common import WORD_REGEX, table
 from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
@@ -17,7 +17,7 @@ from terrarank.llm.mixing import mixture
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
-from terrarank.llm.substrings import remove_repeated_windows
+from terrarank.llm.substrings import WINDOW, remove_repeated_windows
 from terrarank.llm.tokens import read_token_digests, write_tokens
 from terrarank.session import checkpoint_dir
 
@@ -87,7 +87,7 @@ QUERIES = {
     "op10_licence_scan": op10_licence_scan,
 }
 
-#: Windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
+#: op1: windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
 #: exactly if each of its windows has one.
 ORACLES: dict[str, str] = {
     "op1_line_dedup": f"""
@@ -104,4 +104,19 @@ ORACLES: dict[str, str] = {
                    coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
             FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
         SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM kept""",
+    "op7_substring_dedup": rf"""
+        WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD_REGEX}') AS words FROM documents),
+        places AS (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS pos FROM split),
+        windows AS (SELECT doc_id, pos, array_to_string(list_slice(words, pos, pos + {WINDOW - 1}), ' ') AS run FROM places),
+        later AS (SELECT doc_id, pos FROM (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM windows) t WHERE nth > 1),
+        gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, range({WINDOW}) AS r(k)),
+        words AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split),
+        kept AS (
+            SELECT w.doc_id, count(g.pos) AS n_removed,
+                   string_agg(w.word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS text
+            FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.pos = g.pos GROUP BY w.doc_id)
+        SELECT s.doc_id, len(s.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id""",
 }
