@@ -67,9 +67,10 @@ def source_targets(rows: DataFrame) -> DataFrame:
 
 
 def uniform(id_col: Column, text: Column) -> Column:
-    """A number strictly between 0 and 1 from id and text."""
-    h = F.xxhash64(F.lit("mix"), id_col.cast("string"), text)
-    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / float(1 << 53)
+    """A number strictly between 0 and 1 from the MD5 of id and text."""
+    both = F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(" "), F.coalesce(text, F.lit("")))
+    head = F.conv(F.substring(F.md5(both.cast("binary")), 1, 13), 16, 10)
+    return (head.cast("double") + 0.5) / float(1 << 52)
 
 
 def order_key(u: Column, share: Column) -> Column:

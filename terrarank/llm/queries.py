@@ -13,7 +13,7 @@ from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
 from terrarank.llm.line_runs import MIN_RUN, remove_repeated_lines
-from terrarank.llm.mixing import mixture
+from terrarank.llm.mixing import MOST_COPIES, ROUNDS, mixture
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
@@ -87,6 +87,50 @@ QUERIES = {
     "op10_licence_scan": op10_licence_scan,
 }
 
+def _mixture_sql() -> str:
+    """Caps by the order of size over weight; each round's order sample by a running sum over the whole order."""
+    rounds, chosen = [], "false"
+    for k in range(ROUNDS):
+        limit = "true" if k == 0 else f"size <= floor(budget{k})"
+        rounds.append(f"""
+        b{k} AS (SELECT *, greatest(rest - coalesce(sum(size) FILTER (WHERE {chosen}) OVER (PARTITION BY source), 0), 0) AS budget{k}
+            FROM {f"r{k - 1}" if k else "keyed"}),
+        o{k} AS (SELECT *, NOT ({chosen}) AND share > 0 AND {limit} AS open{k} FROM b{k}),
+        r{k} AS (SELECT *, open{k} AND sum(size) FILTER (WHERE open{k}) OVER (
+            PARTITION BY source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= budget{k} AS taken{k} FROM o{k})""")
+        chosen = " OR ".join(f"coalesce(taken{j}, false)" for j in range(k + 1))
+    return rf"""
+        WITH docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD_REGEX}')) AS size,
+                   (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || coalesce(text, '')), 1, 13) AS BIGINT)
+                    + CAST(0.5 AS DOUBLE)) / 4503599627370496 AS u
+            FROM documents),
+        sized AS (SELECT source, sum(size) AS source_size FROM docs GROUP BY source),
+        weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sized),
+        sorted AS (SELECT *, row_number() OVER (ORDER BY source_size / CAST(weight AS DOUBLE), source) AS place FROM weighed),
+        levels AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum({MOST_COPIES} * source_size) OVER w, 0) AS DOUBLE)
+                / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS DOUBLE) AS level
+            FROM sorted WINDOW w AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        one AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= {MOST_COPIES} * source_size),
+        targets AS (SELECT source, CAST(source_size AS BIGINT) AS source_size,
+                least(CAST({MOST_COPIES} * source_size AS DOUBLE), one.level * weight) AS target FROM weighed, one),
+        plan AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+        keyed0 AS (
+            SELECT d.*, p.source_size, p.target, p.whole, CASE WHEN p.source_size > 0 THEN p.target / p.source_size - p.whole ELSE 0 END AS share,
+                   p.target - p.whole * p.source_size AS rest
+            FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+        odds AS (SELECT *, CASE WHEN share > 0 THEN (u / (1 - u)) / (share / (1 - share)) END AS q FROM keyed0),
+        keyed AS (SELECT *, floor(q / (1 + q) * 281474976710656) AS key FROM odds),
+        {",".join(rounds)},
+        last AS (SELECT *, {chosen} AS sampled,
+                greatest(rest - coalesce(sum(size) FILTER (WHERE {chosen}) OVER (PARTITION BY source), 0), 0) AS gap FROM r{ROUNDS - 1}),
+        near AS (SELECT source, min({{'d': abs(size - gap), 'k': key}}).k AS added FROM last
+            WHERE NOT sampled AND share > 0 AND size > 0 AND size < 2 * gap GROUP BY source),
+        copied AS (SELECT l.*, CAST(whole + CAST(sampled OR coalesce(key = added, false) AS INTEGER) AS INTEGER) AS copies
+            FROM last l LEFT JOIN near n ON l.source IS NOT DISTINCT FROM n.source)
+        SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM copied"""
+
+
 #: op1: windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
 #: exactly if each of its windows has one.
 ORACLES: dict[str, str] = {
@@ -119,4 +163,5 @@ ORACLES: dict[str, str] = {
         SELECT s.doc_id, len(s.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
                sha256(coalesce(k.text, '')) AS kept_sha256
         FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id""",
+    "op8_source_mixture": _mixture_sql(),
 }
