@@ -19,33 +19,51 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrarank.session import checkpoint_dir
+from terrarank.session import checkpoint_dir, cut_lineage
+from terrarank.sources.sinks import remove_dataset
 
 
-def _tree_table(model, session) -> tuple[list[dict], list[float], float]:
-    """(per-tree node maps, tree weights, output scale) via the model's saved node data."""
-    base = checkpoint_dir(session).rstrip("/")
-    path = f"{base}/tree-model-{uuid.uuid4().hex}"
+MAX_NODES = 200_000  # nodes compiled on the driver and broadcast at once
+
+
+def _saved_nodes(model, session) -> tuple[DataFrame, str]:
+    """The node data of a tree ensemble, read from its saved form, and where that lies."""
+    path = f"{checkpoint_dir(session).rstrip('/')}/tree-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
-    nodes = session.read.parquet(f"{path}/data").select(
+    return session.read.parquet(f"{path}/data").select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
         "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
         F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"),
-    ).toPandas()
-    trees = []
-    for tid in sorted(nodes.treeID.unique()):
-        t = nodes[nodes.treeID == tid]
-        trees.append({int(r.id): (int(r.leftChild), int(r.rightChild), int(r.featureIndex),
-                                  float(r.threshold) if r.threshold is not None else 0.0,
-                                  float(r.prediction), float(r.impurityStats[0]))
-                      for r in t.itertuples()})
-    weights = [float(w) for w in model.treeWeights]
-    scale = 1.0 / len(trees) if type(model).__name__.startswith("RandomForest") else 1.0
-    return trees, weights, scale
+    ), path
+
+
+def _groups(nodes: DataFrame, max_nodes: int) -> list[list[int]]:
+    """Trees in groups of at most ``max_nodes`` nodes (a single larger tree is a group of its own)."""
+    groups: list[list[int]] = []
+    held = 0
+    for r in sorted(nodes.groupBy("treeID").count().collect(), key=lambda r: r.treeID):  # one row a tree
+        if not groups or held + r["count"] > max_nodes:
+            groups.append([])
+            held = 0
+        groups[-1].append(r.treeID)
+        held += r["count"]
+    return groups
+
+
+def _tree_maps(nodes: DataFrame, ids: Sequence[int]) -> list[tuple[int, dict]]:
+    """(tree id, node map) of the given trees."""
+    found = nodes.where(F.col("treeID").isin(list(ids))).toPandas()
+    out = []
+    for tid in sorted(found.treeID.unique()):
+        t = found[found.treeID == tid]
+        out.append((int(tid), {int(r.id): (int(r.leftChild), int(r.rightChild), int(r.featureIndex),
+                                           float(r.threshold) if r.threshold is not None else 0.0,
+                                           float(r.prediction), float(r.impurityStats[0]))
+                               for r in t.itertuples()}))
+    return out
 
 
 def _paths(tree: dict) -> list[tuple[float, float, list]]:
@@ -65,13 +83,17 @@ def _paths(tree: dict) -> list[tuple[float, float, list]]:
     return out
 
 
-def compile_paths(model, session) -> tuple[list, float]:
-    """Model → flat list of weighted paths and the expected value."""
-    trees, weights, scale = _tree_table(model, session)
+def _scales(model) -> list[float]:
+    """What each tree's prediction is multiplied by in the ensemble's."""
+    weights = [float(w) for w in model.treeWeights]
+    return [w / len(weights) if type(model).__name__.startswith("RandomForest") else w for w in weights]
+
+
+def _compiled(trees: Sequence[tuple[int, dict]], scales: Sequence[float]) -> tuple[list, float]:
     flat, expected = [], 0.0
-    for tree, w in zip(trees, weights):
+    for tid, tree in trees:
         for value, frac, conds in _paths(tree):
-            v = value * w * scale
+            v = value * scales[tid]
             expected += v * frac
             merged: dict[int, list] = {}
             for feat, thr, goes_left, z in conds:
@@ -81,6 +103,14 @@ def compile_paths(model, session) -> tuple[list, float]:
     return flat, expected
 
 
+def compile_paths(model, session) -> tuple[list, float]:
+    """Model → flat list of weighted paths and the expected value (all trees at once: for small models)."""
+    nodes, path = _saved_nodes(model, session)
+    trees = _tree_maps(nodes, list(range(len(model.treeWeights))))
+    remove_dataset(session, path)
+    return _compiled(trees, _scales(model))
+
+
 def shap_values(X: np.ndarray, paths: list, n_features: int) -> np.ndarray:
     """Path-dependent TreeSHAP for every row of ``X`` (rows vectorised)."""
     n = X.shape[0]
@@ -120,25 +150,40 @@ def shap_values(X: np.ndarray, paths: list, n_features: int) -> np.ndarray:
     return phi
 
 
-def tree_attribution(model, design: DataFrame, features: Sequence[str], key: str) -> tuple[DataFrame, float]:
-    """Per-row attributions (key, one column per feature) and the expected value."""
+def tree_attribution(model, design: DataFrame, features: Sequence[str], key: str,
+                     max_nodes: int = MAX_NODES) -> tuple[DataFrame, float]:
+    """Per-row attributions (key, one column per feature) and the expected value.
+
+    Attributions add up over trees, so a large ensemble is taken in groups of
+    trees with at most ``max_nodes`` nodes: each group is compiled, broadcast and
+    added to what the rows hold so far, which is kept between groups.
+    """
     spark = design.sparkSession
-    paths, expected = compile_paths(model, spark)
     feats = list(features)
-    bc = spark.sparkContext.broadcast(paths)
-    schema = f"`{key}` {design.schema[key].dataType.simpleString()}, " + ", ".join(f"`{c}` double" for c in feats)
-
-    def run(batches):
-        p = bc.value
-        for pdf in batches:
-            X = pdf[feats].to_numpy(dtype=float)
-            phi = shap_values(X, p, len(feats))
-            out = pd.DataFrame(phi, columns=feats)
-            out.insert(0, key, pdf[key].values)
-            yield out
-
-    rows = design.select(key, *[F.col(c).cast("double") for c in feats]).mapInPandas(run, schema)
-    return rows, expected
+    sums = [f"phi_{i}" for i in range(len(feats))]
+    rows = design.select(F.col(key).alias("key"), F.array(*[F.col(f"`{c}`").cast("double") for c in feats]).alias("x"),
+                         *[F.lit(0.0).alias(s) for s in sums])
+    schema = rows.schema
+    nodes, path = _saved_nodes(model, spark)
+    scales, expected = _scales(model), 0.0
+    groups = _groups(nodes, max_nodes)
+    for n, ids in enumerate(groups):
+        paths, part = _compiled(_tree_maps(nodes, ids), scales)
+        expected += part
+        shared = spark.sparkContext.broadcast(paths)
+
+        def run(batches, shared=shared):
+            for pdf in batches:
+                if len(pdf):
+                    X = np.stack(pdf["x"].to_numpy()).astype(float)
+                    pdf[sums] = pdf[sums].to_numpy() + shap_values(X, shared.value, len(feats))
+                yield pdf
+
+        rows = rows.mapInPandas(run, schema)
+        if n + 1 < len(groups):
+            rows = cut_lineage(rows)
+    remove_dataset(spark, path)
+    return rows.select(F.col("key").alias(key), *[F.col(s).alias(c) for s, c in zip(sums, feats)]), expected
 
 
 def mean_abs_attribution(rows: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -23,12 +23,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     w.parquet(path)
     if observed.get["rows"] or not skip_empty:
         return True
-    _remove(df.sparkSession, path)
+    remove_dataset(df.sparkSession, path)
     return False
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete the dataset just written without a row, on whatever file system it is."""
+def remove_dataset(spark: SparkSession, path: str) -> None:
+    """Delete a dataset that this library has written itself, on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -75,3 +75,18 @@ def test_matches_brute_force_shapley(spark, design):
     fast = shap_values(X, paths, 3)
     for r in range(len(X)):
         assert np.allclose(fast[r], _brute_force(paths, X[r], 3), atol=1e-10)
+
+
+def test_groups_of_trees_add_up(spark, design):
+    """A large ensemble taken in groups of trees gives the same attributions, and leaves no model behind."""
+    import os
+
+    from terrarank.session import checkpoint_dir
+    df, _ = design
+    model = RandomForestRegressor(numTrees=6, maxDepth=3, seed=1).fit(df)
+    whole, base = tree_attribution(model, df, FEATS, "id")
+    parts, same = tree_attribution(model, df, FEATS, "id", max_nodes=10)
+    a, b = (x.toPandas().set_index("id").sort_index() for x in (whole, parts))
+    assert abs(base - same) < 1e-9 and np.allclose(a.values, b.values)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("tree-model-")]
