@@ -32,14 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from terrarank.llm.common import byte_batches, texts_of
+from terrarank.llm.common import byte_batches, small_batches, texts_of
 from terrarank.llm.wavelet import WaveletMatrix
 
 SHARD_SCHEMA = "part int, seq int, start_in_part long, n_tokens long, doc_ids array<long>, block binary"
 #: Opening of the special tokens.
 SPECIAL = "<|"
 FIRST = "\0"  # stands before the first word of a text; a text that has it is encoded whole
-MEMO = 1_000_000  # words
+MEMO = 500_000  # words
+GATHER = 1 << 17  # words put together at once
 #: Marks that may follow a word as a pre-token of their own; letters below this character are letters to every library.
 MARKS = tuple(".,;:!?")
 LATIN_END = "\u0250"
@@ -100,7 +101,7 @@ class Encoder:
 
     def _places(self, words: pa.StringArray) -> np.ndarray:
         """Places of distinct words in the memo, which takes up those it lacks; over MEMO words it keeps these alone."""
-        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().copy()
         new = np.flatnonzero(at < 0)
         if len(new):
             if len(self.words) + len(new) > MEMO:
@@ -124,10 +125,12 @@ class Encoder:
         parts = pc.split_pattern(spaced, " ")
         coded = parts.flatten().dictionary_encode()
         at = self._places(coded.dictionary)[coded.indices.to_numpy()]
-        hard = self.size[at] < 0
-        ids, ends = _gather(self.ids, self.size, at)
         edges = parts.offsets.to_numpy()
         edges = edges - edges[0]
+        del spaced, parts, coded
+        pa.default_memory_pool().release_unused()
+        hard = self.size[at] < 0
+        ids, ends = _gather(self.ids, self.size, at)
         bounds = np.concatenate([[0], ends])[edges]
         lengths = np.diff(bounds)
         redo = pc.match_substring(texts, FIRST).to_numpy(zero_copy_only=False)
@@ -141,12 +144,21 @@ class Encoder:
 
 
 def _gather(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of the words at the places, one after the other, and where each one's end."""
+    """The ids of the words at the places, one after the other, and where each one's end; in blocks of places."""
     size = np.maximum(size, 0)
     begin = np.cumsum(size) - size
-    own = size[at]
-    ends = np.cumsum(own)
-    return ids[np.repeat(begin[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)], ends
+    ends = np.cumsum(size[at])
+    out = np.empty(ends[-1] if len(ends) else 0, ids.dtype)
+    done = 0
+    for k in range(0, len(at), GATHER):
+        part = at[k:k + GATHER]
+        own = size[part]
+        n = int(own.sum())
+        shift = np.repeat(begin[part] - (np.cumsum(own) - own), own)
+        shift += np.arange(n)
+        out[done:done + n] = ids[shift]
+        done += n
+    return out, ends
 
 
 class Shard:
@@ -209,7 +221,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                    "block": Shard.build(np.concatenate(pieces), lengths).to_bytes()}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in byte_batches(batches, "text", 16 << 20):
+        for batch in byte_batches(batches, "text", 12 << 20):
             found, sizes = encoder.encode_batch(batch.column(1))
             at = 0
             for key, n in zip(batch.column(0).to_pylist(), sizes.tolist()):
@@ -224,7 +236,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         if ids:
             yield shard()
 
-    ordered.mapInArrow(encode, SHARD_SCHEMA).write.option("compression", "zstd").parquet(path)
+    with small_batches(docs.sparkSession, 4000):
+        ordered.mapInArrow(encode, SHARD_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, per_doc: Callable[[np.ndarray], dict], fields: list[tuple],
