@@ -46,7 +46,8 @@ MARKS = tuple(".,;:!?")
 LATIN_END = "\u0250"
 # The byte-level alphabet: printable characters stand for their byte, the others are moved behind 255 in order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-BYTE_CHARS = {byte: 256 + n for n, byte in enumerate(sorted({*range(256)} - _PRINTED))}
+_MOVED = {byte: 256 + n for n, byte in enumerate(sorted({*range(256)} - _PRINTED))}
+BYTE_CHARS = [chr(_MOVED.get(byte, byte)) for byte in range(256)]
 
 _ENCODERS: dict[str, Encoder] = {}  # one for each worker process, so that the memo outlives a task
 
@@ -64,6 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.code, self.dtype = ("H", np.dtype("<u2")) if size <= 1 << 16 else ("I", np.dtype("<u4"))
@@ -78,7 +80,7 @@ class Encoder:
 
     def _letters(self, text: str) -> bytes:
         """Ids of letters with at most one space before them: one pre-token, given to the model as it is."""
-        found = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_CHARS))
+        found = self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, text.encode())))
         return array(self.code, [t.id for t in found]).tobytes()
 
     def word(self, word: str) -> bytes | None:
@@ -90,7 +92,7 @@ class Encoder:
         body = word if before == " " else word[1:]
         head = "" if before == FIRST else before
         core = body[:-1] if body[-1:] in MARKS else body
-        if core.isalpha() and max(core) < LATIN_END:
+        if core.isalpha() and (core.isascii() or max(core) < LATIN_END):
             found = (self.line_break if before == "\n" else b"") + self._letters(core if before == "\n" else head + core)
             return found + self.marks[body[-1]] if core is not body else found
         if not body:
