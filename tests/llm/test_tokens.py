@@ -35,10 +35,12 @@ def test_wavelet_matrix(n, top, width):
             assert m.rank(token, end) == (places < end).sum()
 
 
+SLOW = Tokenizer.from_file(PATH)
+SLOW.encode_special_tokens = True
+
+
 def slow_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return SLOW.encode(text or "", add_special_tokens=False).ids
 
 
 TEXTS = ["plain words, and more words", " lead and trail ", "two  spaces", "line\nbreak \n mixed\n\nend\n", "tab\there",
