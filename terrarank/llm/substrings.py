@@ -163,7 +163,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(
                 [{"chunk": part << 32 | seq, "ids": ids, "lengths": [len(t) for t in texts],
-                  "texts": zstandard.compress(b"".join(texts), 1), "n_words": n_words}], schema=schema)
+                  "texts": zstandard.compress(b"".join(texts), 5), "n_words": n_words}], schema=schema)
 
         for batch in byte_batches(batches, "text", 8 << 20):
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
