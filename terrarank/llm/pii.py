@@ -2,7 +2,7 @@
 
 The patterns give the base spans, which always stay. The tagger is fitted on
 a bounded sample of labelled windows (``TRAIN_WINDOWS`` with a span and as
-many without; the windows with the smallest hashes over all documents) and
+many without; the distinct windows with the smallest hashes over all documents) and
 then reads overlapping windows of every text. Every labelled kind holds a
 digit or an at sign, so windows without either hold no span and are not
 decoded. Where windows overlap, each character takes the tag of the window it
@@ -132,9 +132,17 @@ def labelled_windows(docs: DataFrame, id_col: str, text_col: str, windows: int)
                  pa.array([r[2] for r in rows], pa.bool_())], names=["piece", "tags", "has"])
 
     pieces = (docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-              .mapInArrow(cut, "piece string, tags binary, has boolean").withColumn("h", F.xxhash64("piece")))
-    rows = [r for has in (True, False)
-            for r in pieces.where(F.col("has") == has).orderBy("h", "piece").limit(windows).collect()]
+              .mapInArrow(cut, "piece string, tags binary, has boolean")
+              .groupBy("piece").agg(F.min(F.struct("tags", "has")).alias("label"))
+              .select(F.xxhash64("piece").alias("h"), "piece", "label.tags", "label.has"))
+    # few more than wanted pass the thresholds, so that little is sorted and sent, however many tasks there are
+    counts = {r.has: r["count"] for r in pieces.groupBy("has").count().collect()}
+    near = F.lit(False)
+    for has, n in counts.items():
+        threshold = min(int(min(1.0, (1.2 * windows + 100) / n) * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+        near = near | ((F.col("has") == has) & (F.col("h") <= threshold))
+    found = pieces.where(near).orderBy("h", "piece").limit(4 * windows + 400).collect()
+    rows = [r for has in (True, False) for r in [r for r in found if r.has == has][:windows]]
     codes, tags = np.full((len(rows), WINDOW), PAD, np.int16), np.zeros((len(rows), WINDOW), np.int8)
     for i, r in enumerate(rows):
         codes[i, :len(r.piece)] = char_codes(r.piece)
