@@ -44,11 +44,15 @@ def _long_form(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) ->
             .where(F.col("_v").isNotNull()))
 
 
-def _kept(targets: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Materialised targets: local rows for global statistics (columns × ranks of them), else a checkpoint."""
-    if group_cols:
-        return cut_lineage(targets)
-    return targets.sparkSession.createDataFrame(targets.collect(), targets.schema)
+def _kept(targets: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, int]:
+    """(materialised targets, most rows between the bounds of one): local rows for global statistics
+    (columns × ranks of them), else persisted."""
+    if not group_cols:
+        rows = targets.collect()
+        most = max((r["inside"] for r in rows if r["lo"] < r["hi"]), default=0)
+        return targets.sparkSession.createDataFrame(rows, targets.schema), most
+    targets = keep(targets)
+    return targets, targets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0] or 0
 
 
 def _matched(long: DataFrame, targets: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -94,13 +98,11 @@ def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     targets = st.select(*keys, "n", "low", "high", F.explode(F.array_distinct(F.array(*rows))).alias("_t")).select(
         *keys, "_t.prob", "_t.rank", "_t.pos", "n", "low", "high", F.col("low").alias("lo"), F.col("high").alias("hi"),
         F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
-    targets = _kept(targets, group_cols)
+    targets, most = _kept(targets, group_cols)
     before = None
-    while True:
-        most = targets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0]
-        if not most or most <= WALK_ROWS or most == before:
-            break
-        targets, before = _kept(_narrowed(long, targets, keys), group_cols), most
+    while most > WALK_ROWS and most != before:
+        before = most
+        targets, most = _kept(_narrowed(long, targets, keys), group_cols)
     ids = [*keys, "prob", "rank"]
     carried = ["pos", "n", "low", "high", "below"]
     values = _matched(long, targets, keys, ["prob", "rank", *carried, "lo", "hi"]).groupBy(*ids, "_v").agg(
@@ -151,27 +153,30 @@ def _stack(rows: Sequence[Sequence], names: Sequence[str]):
     return F.stack(*args).alias(*names)
 
 
-CORR_BLOCK = 120  # pairs summed by one aggregate expression list
+CORR_BLOCK = 32  # columns correlated with by one aggregate
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations as (x, y, r).
 
-    All pairs are ``corr`` aggregates of fixed-width buffers over one pass:
-    one row a task is shuffled, and no row is multiplied. Wide frames are
-    summed in blocks of ``CORR_BLOCK`` pairs, which bounds the generated code.
+    Every row is stacked to one row per column x, and a grouped aggregate of
+    ``corr`` buffers takes x against all columns at once: the expansion is
+    pipelined inside the scan stage, and at most one row per column and task is
+    shuffled. Wide frames go in blocks of ``CORR_BLOCK`` columns, which bounds the generated code.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "x string, y string, r double")
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    if len(cols) > CORR_BLOCK:
+        values = keep(values)
     rows = [(c, c, 1.0) for c in cols]
-    if len(pairs) > CORR_BLOCK:
-        df = keep(df.select(*[F.col(f"`{c}`") for c in cols]))
-    for at in range(0, len(pairs), CORR_BLOCK):
-        block = pairs[at:at + CORR_BLOCK]
-        sums = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}")
-                        for i, (a, b) in enumerate(block)]).first()
-        for i, (a, b) in enumerate(block):
-            rows += [(a, b, sums[i]), (b, a, sums[i])]
+    for at in range(0, len(cols), CORR_BLOCK):
+        block = range(at, min(at + CORR_BLOCK, len(cols)))
+        stacked = values.select(*[f"c{j}" for j in block],
+                                _stack([(F.lit(i), F.col(f"c{i}")) for i in range(len(cols))], ["i", "x"]))
+        sums = stacked.groupBy("i").agg(*[F.corr("x", f"c{j}").alias(f"r{j}") for j in block]).collect()
+        rows += [(cols[r["i"]], cols[j], r[f"r{j}"]) for r in sums for j in block if r["i"] != j]
     return spark.createDataFrame(rows, "x string, y string, r double")
 
 
@@ -213,7 +218,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 def box_summary(df: DataFrame, group: str, col: str) -> DataFrame:
     """Per-group min, quartiles and max (exact, linear interpolation); NULL groups are left out."""
-    src = df.where(F.col(group).isNotNull())
+    src = keep(df.where(F.col(group).isNotNull()).select(group, col))  # read by every pass
     q = order_statistics(src, [col], [0.25, 0.5, 0.75], group_cols=[group])
 
     def at(p):

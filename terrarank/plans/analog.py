@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrarank.session import cut_lineage
+from terrarank.session import keep
 
 KEY = "entity_key"
 YEAR = "year"
@@ -138,14 +138,14 @@ def shipped_landuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of one (entity, class, order year, shipment year): the extracts below share this one join of the
-    largest tables, kept in the shared checkpoint folder."""
+    largest tables, persisted."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias(KEY), F.col("o_orderpriority").alias(CLASS),
         F.year("o_orderdate").alias("order_year"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.year("l_shipdate").alias("ship_year"), "l_quantity", "l_extendedprice", "l_discount")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return cut_lineage(j.groupBy(KEY, CLASS, "order_year", "ship_year").agg(
+    return keep(j.groupBy(KEY, CLASS, "order_year", "ship_year").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"),
         F.sum(F.col("l_quantity") * (1 - F.col("l_discount"))).alias("discounted")))
 
