@@ -11,6 +11,11 @@ left. In each interval of at least ``min_run`` lines the smallest (id,
 place) stays and all others are later copies; the union of the copies'
 stretches over all steps is the union of the maximal repeated runs.
 
+With ``passage_words`` a single line is enough where it is a passage of its own:
+a line of at least that many words, or the only line of its document (not a
+blank one), is a later copy wherever the line stands before, whatever
+``min_run`` is. The first doubling step holds the ranks for it.
+
 Everything is DataFrame work. Ranks need no running count: equal pairs are
 aggregated first, range-partitioned and sorted, and numbered in place, so a line
 in a third of all documents is one row there, and its suffixes are spread by
@@ -28,9 +33,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrarank.llm.common import materialize
+from terrarank.llm.common import materialize, word_count
 
 MIN_RUN = 2
+PASSAGE_WORDS = 50  # a line of this many words is a passage
 PLACE = ["id", "tie", "pos"]
 
 
@@ -50,21 +56,28 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
             .where("n > 1").drop("n"))
 
 
-def _first_step(docs: DataFrame, min_run: int) -> DataFrame:
-    """(id, tie, pos, left, rank, first): lines that occur again and stand in a stretch of enough such lines.
+def _first_step(docs: DataFrame, min_run: int, passage_words: int | None = None) -> DataFrame:
+    """(id, tie, pos, left, rank, first, alone, run): lines that occur again and stand in a stretch of enough such
+    lines (``run``) or are a passage of their own (``alone``).
 
     ``left``: lines from here to the end of the stretch; a line that occurs once ends every repeated run.
     """
-    lines = docs.select("id", "tie", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    lines = materialize(lines.select(*PLACE, F.unhex(F.md5(F.col("line").cast("binary"))).alias("line")), "lines")
+    lines = docs.select("id", "tie", F.size(_lines(F.col("text"))).alias("of"),
+                        F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    alone = F.lit(False)
+    if passage_words is not None:
+        words = word_count(F.col("line"))
+        alone = (words >= passage_words) | (F.col("of") == 1) & (words > 0)
+    lines = lines.select(*PLACE, F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"), alone.alias("alone"))
+    lines = materialize(lines, "lines")
     ranks = _ranked(_repeated(lines, ["line"]), ["line"])
-    rows = lines.join(ranks, "line").select(*PLACE, "rank", "first").distinct()
+    rows = lines.join(ranks, "line").select(*PLACE, "rank", "first", "alone").distinct()
     doc = Window.partitionBy("id", "tie")
     stretch = Window.partitionBy("id", "tie", "stretch")
     rows = rows.withColumn("stretch", F.col("pos") - F.row_number().over(doc.orderBy("pos")))
     rows = rows.withColumn("left", F.max("pos").over(stretch) - F.col("pos") + 1)
-    rows = rows.withColumn("length", F.max("left").over(stretch)).where(F.col("length") >= min_run)
-    return materialize(rows.select(*PLACE, "left", "rank", "first"), "line-step")
+    rows = rows.withColumn("run", F.max("left").over(stretch) >= min_run).where("run or alone")
+    return materialize(rows.select(*PLACE, "left", "rank", "first", "alone", "run"), "line-step")
 
 
 def _step(rows: DataFrame, size: int, shift: int) -> DataFrame:
@@ -85,9 +98,12 @@ def _copies(rows: DataFrame, size: int) -> DataFrame:
     return rows.where(here != F.col("first")).select(*PLACE, (F.col("pos") + size).alias("end"))
 
 
-def later_copies(docs: DataFrame, min_run: int) -> DataFrame:
+def later_copies(docs: DataFrame, min_run: int, passage_words: int | None = None) -> DataFrame:
     """(id, tie, cuts): per document the disjoint stretches (start, end) of lines that later copies cover, in order."""
-    rows, size, found = _first_step(docs, min_run), 1, []
+    rows, size, found = _first_step(docs, min_run, passage_words), 1, []
+    if passage_words is not None:
+        found.append(_copies(rows.where("alone"), 1))
+    rows = rows.where("run").drop("alone", "run")
     while not rows.isEmpty():
         if size >= min_run:
             found.append(_copies(rows, size))
@@ -109,10 +125,13 @@ def later_copies(docs: DataFrame, min_run: int) -> DataFrame:
 
 
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          min_run: int = MIN_RUN) -> DataFrame:
-    """(id, n_lines, n_removed, text): every document without the lines of its later copies."""
+                          min_run: int = MIN_RUN, passage_words: int | None = None) -> DataFrame:
+    """(id, n_lines, n_removed, text): every document without the lines of its later copies.
+
+    Single lines are removed only with ``passage_words``.
+    """
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
-    cuts = later_copies(keyed, min_run)
+    cuts = later_copies(keyed, min_run, passage_words)
     both = keyed.join(cuts, keyed["id"].eqNullSafe(cuts["id"]) & (keyed["tie"] == cuts["tie"]), "left").select(
         keyed["id"], "text", "cuts")
     lines = F.coalesce(_lines(F.col("text")), F.array().cast("array<string>"))

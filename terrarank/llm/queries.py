@@ -12,7 +12,7 @@ from terrarank.llm.common import WORD_REGEX, table
 from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
 from terrarank.llm.licences import scan_licences
-from terrarank.llm.line_runs import MIN_RUN, remove_repeated_lines
+from terrarank.llm.line_runs import MIN_RUN, PASSAGE_WORDS, remove_repeated_lines
 from terrarank.llm.mixing import MOST_COPIES, ROUNDS, mixture
 from terrarank.llm.pii import find_pii
 from terrarank.llm.quality import classify
@@ -33,7 +33,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = remove_repeated_lines(table(spark, sf_dir, "documents"))
+    left = remove_repeated_lines(table(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS)
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
