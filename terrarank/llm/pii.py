@@ -113,7 +113,11 @@ def spans_of(tags: np.ndarray, offset: int) -> list[tuple[str, int, int]]:
 
 
 def labelled_windows(docs: DataFrame, id_col: str, text_col: str, windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded sample of windows with their base tags: those with the smallest hashes, with and without a span."""
+    """A bounded sample of windows with their base tags: ``windows`` with a span and as many without, by smallest hash.
+
+    Each kind has a quota of a fourth of those with a span, so that a frequent kind leaves room for rare ones; what a
+    quota leaves over goes to any kind.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_batches(batches, "text", 8 << 20):
@@ -126,23 +130,32 @@ def labelled_windows(docs: DataFrame, id_col: str, text_col: str, windows: int)
                     piece, own = text[s:s + WINDOW], tags[s:s + WINDOW]
                     cut_off = s and own[0] and not own[0] % 2 or s + WINDOW < len(text) and own[-1] and tags[s + WINDOW] == own[-1] + own[-1] % 2
                     if not cut_off:
-                        rows.append((piece, own.tobytes(), bool(own.any())))
+                        kinds = sum(1 << k for k in {(t - 1) // 2 for t in own[own > 0].tolist()})
+                        rows.append((piece, own.tobytes(), kinds))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()),
-                 pa.array([r[2] for r in rows], pa.bool_())], names=["piece", "tags", "has"])
+                 pa.array([r[2] for r in rows], pa.int32())], names=["piece", "tags", "kinds"])
 
     pieces = (docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-              .mapInArrow(cut, "piece string, tags binary, has boolean")
-              .groupBy("piece").agg(F.min(F.struct("tags", "has")).alias("label"))
-              .select(F.xxhash64("piece").alias("h"), "piece", "label.tags", "label.has"))
+              .mapInArrow(cut, "piece string, tags binary, kinds int")
+              .groupBy("piece").agg(F.min(F.struct("tags", "kinds")).alias("label"))
+              .select(F.xxhash64("piece").alias("h"), "piece", "label.tags", "label.kinds"))
     # few more than wanted pass the thresholds, so that little is sorted and sent, however many tasks there are
-    counts = {r.has: r["count"] for r in pieces.groupBy("has").count().collect()}
+    counts = {r.kinds: r["count"] for r in pieces.groupBy("kinds").count().collect()}
+    quota = windows // len(KINDS)
+    each = [(F.col("kinds").bitwiseAND(1 << k) > 0, quota, sum(n for m, n in counts.items() if m >> k & 1))
+            for k in range(len(KINDS))]
     near = F.lit(False)
-    for has, n in counts.items():
-        threshold = min(int(min(1.0, (1.2 * windows + 100) / n) * (1 << 64)) - (1 << 63), (1 << 63) - 1)
-        near = near | ((F.col("has") == has) & (F.col("h") <= threshold))
-    found = pieces.where(near).orderBy("h", "piece").limit(4 * windows + 400).collect()
-    rows = [r for has in (True, False) for r in [r for r in found if r.has == has][:windows]]
+    for belongs, wanted, n in [*each, (F.col("kinds") > 0, windows, sum(n for m, n in counts.items() if m)),
+                               (F.col("kinds") == 0, windows, counts.get(0, 0))]:
+        threshold = min(int(min(1.0, (1.2 * wanted + 100) / max(n, 1)) * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+        near = near | (belongs & (F.col("h") <= threshold))
+    # the thresholds pass about 3.6 * windows + 600 rows; the limit is a bound far above that, so it cuts no kind
+    found = pieces.where(near).orderBy("h", "piece").limit(8 * windows + 2000).collect()
+    spanned = [r for r in found if r.kinds]
+    first = {r.piece for k in range(len(KINDS)) for r in [r for r in spanned if r.kinds >> k & 1][:quota]}
+    first |= {r.piece for r in [r for r in spanned if r.piece not in first][:windows - len(first)]}
+    rows = [r for r in spanned if r.piece in first] + [r for r in found if not r.kinds][:windows]
     codes, tags = np.full((len(rows), WINDOW), PAD, np.int16), np.zeros((len(rows), WINDOW), np.int8)
     for i, r in enumerate(rows):
         codes[i, :len(r.piece)] = char_codes(r.piece)

@@ -113,3 +113,14 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "no marks"), (2, "a 1 b")], "doc_id long, text string")
     assert [r.spans for r in P.find_pii(df).collect()] == ["", ""]
     assert P.find_pii(df.limit(0)).count() == 0
+
+
+def test_a_frequent_kind_leaves_training_windows_to_rare_ones(spark):
+    rnd = random.Random(5)
+    rows = [(i, f"call +1 ({rnd.randrange(200, 999)}) 555-{rnd.randrange(1000, 9999)} now {i}") for i in range(2000)]
+    rows += [(5000 + i, f"paid by {card(rnd)} today") for i in range(12)]
+    rows += [(6000 + i, f"room {i} is free") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tags = P.labelled_windows(df, "doc_id", "text", 40)[1]
+    of = lambda kind: int((tags == 1 + 2 * P.KINDS.index(kind)).any(axis=1).sum())
+    assert of("card") == 10 and of("phone") == 30 and int((~tags.astype(bool).any(axis=1)).sum()) == 40
