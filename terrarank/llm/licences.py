@@ -9,8 +9,12 @@ an exception. The score of a document is the openness of everything it
 states, taken together (0 all rights reserved, 1 unrestricted); 0.5 where it
 states nothing.
 
+The expression is the longest run of tokens from the tag on that is complete:
+it ends before the first token that can't follow (a comment closer, the words
+behind it) and with a name's final full stop.
+
 Cases: a null or empty text has no words, no labels and null places; an
-expression that can't be parsed gives the label ``unparsed`` and the openness
+expression with no complete start gives the label ``unparsed`` and the openness
 of an unknown licence; very long texts are scanned whole; repeated rows are
 scanned alike; an empty table gives no rows; columns other than id and text
 are not read.
@@ -113,6 +117,36 @@ def parse(expression: str) -> list[str]:
     return out + held[::-1]
 
 
+def leading_expression(text: str) -> str:
+    """The longest complete licence expression that ``text`` starts with; empty if there is none."""
+    taken: list[str] = []
+    whole, depth, operand_next, ended = 0, 0, True, False
+    for token in re.findall(r"[()]|[^\s()]+", text.lower()):
+        if token == "(":
+            if not operand_next:
+                break
+            depth += 1
+        elif token == ")":
+            if operand_next or not depth:
+                break
+            depth -= 1
+        elif ended:
+            break
+        elif token in PRECEDENCE:
+            if operand_next:
+                break
+            operand_next = True
+        else:
+            name = token.rstrip(".-")  # a full stop or a comment closer right behind the name
+            if not operand_next or not name.strip("+"):
+                break
+            operand_next, ended, token = False, name != token, name
+        taken.append(token)
+        if not operand_next and not depth:
+            whole = len(taken)
+    return " ".join(taken[:whole])
+
+
 def evaluate(expression: str) -> tuple[float, set[str]]:
     """(openness, licences named) of an expression."""
     stack: list[tuple[float, set[str]]] = []
@@ -157,7 +191,7 @@ def scan(text: str | None, machine: ahocorasick.Automaton) -> dict:
     if tagged:
         for expression in TAG_EXPRESSION.findall(text):
             try:
-                score, named = evaluate(expression)
+                score, named = evaluate(leading_expression(expression))
             except ValueError:
                 score, named = UNKNOWN, {"unparsed"}
             scores.append(score)

@@ -78,3 +78,18 @@ def test_tags():
     assert L.scan("SPDX-License-Identifier: (MIT", m)["labels"] == "unparsed"
     assert L.scan("nothing here", m)["score"] == 0.5
     assert L.scan("under CC BY-NC 4.0.", m)["score"] == 0.25
+
+
+@pytest.mark.parametrize("text, labels, score", [
+    ("<!-- SPDX-License-Identifier: MIT -->", "mit", 0.95),
+    ("<!-- SPDX-License-Identifier: MIT-->", "mit", 0.95),
+    ("SPDX-License-Identifier: MIT Copyright 2020 Foo", "copyright,mit", 0.3),
+    ("SPDX-License-Identifier: (Apache-2.0 OR MIT) AND GPL-3.0. All of it", "apache-2.0,gpl-3.0,mit", 0.4),
+    ("SPDX-License-Identifier: GPL-2.0+ WITH Foo-exception --", "gpl-2.0+", 0.4 + 0.2 * 0.6),
+    ("SPDX-License-Identifier: MIT. And so on", "mit", 0.95),
+    ("SPDX-License-Identifier: MIT) x", "mit", 0.95),
+    ("SPDX-License-Identifier: -->", "unparsed", 0.5),
+])
+def test_an_expression_ends_before_what_cannot_follow(text, labels, score):
+    r = L.scan(text, L._automaton())
+    assert r["labels"] == labels and r["score"] == pytest.approx(score)
