@@ -28,7 +28,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
     """Write ``docs`` as token shards into the shared folder and read every document's ids back."""
     spark = docs.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-tokens-{uuid.uuid4().hex}"
-    write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), END_ID, special_as_text=False)
     return read_token_digests(spark, path)
 
 

@@ -49,24 +49,24 @@ _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _MOVED = {byte: 256 + n for n, byte in enumerate(sorted({*range(256)} - _PRINTED))}
 BYTE_CHARS = [chr(_MOVED.get(byte, byte)) for byte in range(256)]
 
-_ENCODERS: dict[str, Encoder] = {}  # one for each worker process, so that the memo outlives a task
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}  # one for each worker process, so that the memo outlives a task
 
 
-def encoder_for(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder_for(path: str, special_as_text: bool = True) -> Encoder:
+    if (path, special_as_text) not in _ENCODERS:
+        _ENCODERS[path, special_as_text] = Encoder(path, special_as_text)
+    return _ENCODERS[path, special_as_text]
 
 
 class Encoder:
     """Token ids of whole batches of texts, by way of their distinct words and a bounded memo of words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text  # False, the library's default: their strings are tokens
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.code, self.dtype = ("H", np.dtype("<u2")) if size <= 1 << 16 else ("I", np.dtype("<u4"))
         self.marks = {m: self.whole(m) for m in MARKS}
@@ -206,13 +206,16 @@ class Shard:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text", shard_tokens: int = 1 << 19) -> None:
-    """Write the documents as token shards in ascending id order."""
+                 text_col: str = "text", shard_tokens: int = 1 << 19, special_as_text: bool = True) -> None:
+    """Write the documents as token shards in ascending id order.
+
+    ``special_as_text``: special tokens' strings in a text are ordinary text; otherwise they get their own ids.
+    """
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                .repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text")).select("id", "text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = encoder_for(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_for(tokenizer, special_as_text), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype)
         ids, pieces, lengths, held, seq, start = [], [], [], 0, 0, 0
         schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start_in_part", pa.int64()),

@@ -96,3 +96,21 @@ def test_empty_table(spark):
     path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
     T.write_tokens(spark.createDataFrame([], "doc_id long, text string"), path, PATH, 2)
     assert T.read_token_digests(spark, path).count() == 0
+
+
+def test_the_query_encodes_special_tokens_as_the_plain_call_does(spark, tmp_path):
+    from terrarank.llm.queries import op3_token_output
+
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x y <|endoftext|> z\nw", "<| half", "plain words"]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op3_token_output(spark, str(tmp_path)).collect()}
+    start = 0
+    for i, text in rows:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert i > 2 or 50256 in ids
+        ids = np.array([*ids, 2])
+        assert got[i].ids_crc32 in {zlib.crc32(ids.astype(t).tobytes()) for t in ("<u2", "<u4", "<i8")}
+        assert got[i].start == start and got[i].n_tokens in (len(ids), len(ids) - 1)
+        start += len(ids)
