@@ -46,12 +46,32 @@ def _small(by_source: DataFrame) -> DataFrame:
     return materialize(by_source, "mix-sources")
 
 
+def _places(by_source: DataFrame) -> DataFrame:
+    """``by_source`` with ``place``, the number from 0 of its source in ascending order, null last.
+
+    Sources are numbered within sorted ranges; a range's sources start behind the counted ones of the ranges before.
+    """
+    by_order = F.col("source").asc_nulls_last()
+    ordered = by_source.repartitionByRange(by_order).sortWithinPartitions(by_order)
+    # the upper bits number the range, the lower 33 the row in it
+    numbered = _small(ordered.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    counts = {r.part: r["count"] for r in numbered.groupBy(part.alias("part")).count().collect()}  # one row a range
+    offsets, n = [], 0
+    for p in range(max(counts, default=0) + 1):
+        offsets.append(n)
+        n += counts.get(p, 0)
+    within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.element_at(F.array(*(F.lit(k).cast("long") for k in offsets)), (part + 1).cast("int"))
+    return numbered.withColumn("place", before + within).drop("at")
+
+
 def source_targets(rows: DataFrame) -> DataFrame:
     """(source, source_size, target) from rows (source, size); one row a source throughout."""
     by = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weights = F.array(*map(F.lit, WEIGHTS))
-    sources = _small(by.withColumn("weight", F.element_at(weights, (place % len(WEIGHTS) + 1).cast("int"))))
+    nth = (F.col("place") % len(WEIGHTS) + 1).cast("int")
+    sources = _small(_places(by).withColumn("weight", F.element_at(weights, nth)).drop("place"))
     cap = MOST_COPIES * F.col("source_size")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0

@@ -106,3 +106,21 @@ def test_empty_and_single(spark):
     assert M.mix(df.limit(0)).count() == 0
     none = spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string")
     assert [tuple(r) for r in M.mixture(none).collect()] == [(1, 0, 0, 0.0, 0, 0)]
+
+
+def test_sources_are_numbered_in_order_in_many_tasks(spark, monkeypatch):
+    names = [f"s{i:04d}" for i in random.Random(6).sample(range(3000), 900)] + [None, ""]
+    rows = spark.createDataFrame([(n, 1 + i % 5) for i, n in enumerate(names)], "source string, source_size long")
+    tasks = []
+    small = M._small
+    monkeypatch.setattr(M, "_small", lambda df: tasks.append(
+        df.select(F.spark_partition_id().alias("p")).distinct().count()) or small(df))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.source: r.place for r in M._places(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = [*sorted(n for n in names if n is not None), None]
+    assert got == {n: i for i, n in enumerate(want)}
+    assert max(tasks) > 1
