@@ -6,7 +6,8 @@ above. Every document of a source is taken floor(target / size) whole times;
 the rest of the target is filled by an order sample: a document's uniform
 number u (a hash of its id and text) gives the odds u / (1 - u), divided by
 the odds of its inclusion probability, and documents are taken in that order
-as long as their words fit. Two more rounds do the same with the documents
+as long as their words fit. That probability is one for a whole source, so the
+order within it is an equal-probability random order. Two more rounds do the same with the documents
 that fit what is then left, and the one document nearest to the last gap is
 added where it more than halves it or closes it, so long documents at the cut
 leave little of a gap: never more than half the longest document's size.
