@@ -3,8 +3,9 @@
 A text is the set of its n-grams, hashed into ``BUCKETS`` indicators: byte
 trigrams, and 1- to 3-grams over the shapes of its words (kind of first and
 last character, or the sign for a word that repeats the one before). Counts
-per class come from all labelled training rows; they scale each indicator by
-its log-count ratio. The hinge-loss model is fitted by dual coordinate descent
+per class come from a bounded sample of the labelled training rows
+(``COUNT_ROWS`` a class, those with the smallest hashes of their id); they
+scale each indicator by its log-count ratio. The hinge-loss model is fitted by dual coordinate descent
 on a bounded sample (``SAMPLE_ROWS`` rows a class, those with the smallest
 hashes of their id, and at most ``SAMPLE_IDS`` indicators), its weights are
 interpolated with their mean size, and out-of-fold margins weighted to the
