@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrarank.llm.alignment import align
 from terrarank.llm.common import WORD_REGEX, table
 from terrarank.llm.decontaminate import contaminated_pairs
 from terrarank.llm.fingerprints import fingerprint_neighbours
@@ -74,6 +75,12 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                  public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -85,6 +92,7 @@ QUERIES = {
     "op8_source_mixture": op8_source_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 def _mixture_sql() -> str:
@@ -134,15 +142,20 @@ def _mixture_sql() -> str:
 #: op1: windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
 #: exactly if each of its windows has one.
 ORACLES: dict[str, str] = {
-    "op1_line_dedup": f"""
+    "op1_line_dedup": rf"""
         WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
         lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
         windows AS (
             SELECT doc_id, pos, list(line) OVER w AS run, count(*) OVER w AS n FROM lines
             WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {MIN_RUN - 1} FOLLOWING)),
         firsts AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM windows WHERE n = {MIN_RUN}),
+        copies AS (
+            SELECT doc_id, pos, line, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth,
+                   count(*) OVER (PARTITION BY doc_id) AS n_lines, len(regexp_extract_all(line, '{WORD_REGEX}')) AS n_words FROM lines),
         gone AS (
-            SELECT DISTINCT doc_id, pos + k AS pos FROM firsts, range({MIN_RUN}) AS r(k) WHERE nth > 1),
+            SELECT doc_id, pos + k AS pos FROM firsts, range({MIN_RUN}) AS r(k) WHERE nth > 1
+            UNION
+            SELECT doc_id, pos FROM copies WHERE nth > 1 AND (n_words >= {PASSAGE_WORDS} OR (n_lines = 1 AND n_words > 0))),
         kept AS (
             SELECT l.doc_id, count(g.pos) AS n_removed, count(*) AS n_lines,
                    coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
