@@ -76,3 +76,29 @@ def word_count(text: Column) -> Column:
 
 def n_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+HOT_PER_TASK = 4
+
+
+def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], times: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group, whatever share of the rows one group holds.
+
+    ``groups`` has one row a key (the first key column a long), with its number of rows in ``times``. Groups
+    that hold at least 1 / (HOT_PER_TASK x tasks of a shuffle) of all ``n_rows``
+    rows, so at most HOT_PER_TASK x tasks of them, are broadcast; their rows
+    take a key of their own in the shuffle that joins the others, which
+    spreads them evenly (should it meet another group, the broadcast one counts).
+    """
+    spread = HOT_PER_TASK * n_tasks(rows)
+    heavy = F.col(times) * spread >= max(n_rows, 1)
+    extra = [c for c in groups.columns if c not in keys]
+    hot = groups.where(heavy).select(*[F.col(k).alias(f"h_{k}") for k in keys], F.struct(*extra).alias("h_group"))
+    met = rows.join(F.broadcast(hot), [F.col(k) == F.col(f"h_{k}") for k in keys], "left").drop(*[f"h_{k}" for k in keys])
+    own = F.when(F.col("h_group").isNotNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.col(keys[0]))
+    cold = groups.where(~heavy).select(*[F.col(k).alias(f"c_{k}") for k in keys], F.struct(*extra).alias("c_group"))
+    on = [F.col("own") == F.col(f"c_{keys[0]}")] + [F.col(k) == F.col(f"c_{k}") for k in keys[1:]]
+    found = met.withColumn("own", own).join(cold, on, "left").withColumn("found", F.coalesce("h_group", "c_group"))
+    if how == "inner":
+        found = found.where(F.col("found").isNotNull())
+    return found.select(*rows.columns, *[F.col("found").getField(c).alias(c) for c in extra])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarank.llm.alignment import align
@@ -20,6 +20,8 @@ from terrarank.llm.quality import classify
 from terrarank.llm.simhash import simhash_components
 from terrarank.llm.substrings import WINDOW, remove_repeated_windows
 from terrarank.llm.tokens import read_token_digests, write_tokens
+from terrarank.llm.warc import ID_PREFIX, ID_SUFFIX, normalise, read_warc, write_warc
+from terrarank.llm.whitening import whiten
 from terrarank.session import checkpoint_dir
 
 END_ID = 2
@@ -33,6 +35,18 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Write ``pages`` as archives of one gzip stream each, normalise them, and read every record back by its index."""
+    folder = f"{checkpoint_dir(pages.sparkSession)}/llm-warc-{uuid.uuid4().hex}"
+    indexed = normalise(write_warc(pages, f"{folder}/whole", min_bytes=min_bytes), f"{folder}/members")
+
+    def number(record_id: str) -> Column:
+        return F.nullif(F.regexp_replace(record_id, f"^{ID_PREFIX}|{ID_SUFFIX}$", ""), F.lit("")).cast("long")
+
+    return read_warc(indexed, payloads=False).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                                                     "record_type", number("refers_to").alias("refers_to"))
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeated_lines(table(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS)
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -75,6 +89,14 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                   public_tokenizers.path("piece_bpe_32k.model"), digest=True)
@@ -92,6 +114,8 @@ QUERIES = {
     "op8_source_mixture": op8_source_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_licence_scan": op10_licence_scan,
+    "op11_warc_archives": op11_warc_archives,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -139,6 +163,20 @@ def _mixture_sql() -> str:
         SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM copied"""
 
 
+def _archives_sql() -> str:
+    """Base32 from five hexadecimal digits at a time: four letters each."""
+    parts = ", ".join(f"CAST('0x' || substr(hex, {5 * k + 1}, 5) AS INTEGER) AS v{k}" for k in range(8))
+    letters = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v{k} >> {shift}) & 31) + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0))
+    return f"""
+        WITH sized AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        hashed AS (SELECT *, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS largest FROM sized),
+        parts AS (SELECT *, {parts} FROM hashed)
+        SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, {letters} AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+        FROM parts"""
+
+
 #: op1: windows of MIN_RUN lines stand in for the runs: a run of at least that many lines has an earlier copy
 #: exactly if each of its windows has one.
 ORACLES: dict[str, str] = {
@@ -177,4 +215,5 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(k.text, '')) AS kept_sha256
         FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id""",
     "op8_source_mixture": _mixture_sql(),
+    "op11_warc_archives": _archives_sql(),
 }
