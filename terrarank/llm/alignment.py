@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -46,7 +47,7 @@ from terrarank.llm.common import byte_batches, materialize, small_batches
 from terrarank.llm.tokens import BYTE_CHARS, FIRST, Encoder, encoder_for
 
 PIECE = 1 << 20  # ends in a piece
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 3 << 19
 SPACE_MARK = "▁"
 
 PIECE_FIELDS = ("piece long, block long, pairs array<long>, times array<long>, codes binary, places array<long>, links array<long>, "
@@ -189,6 +190,17 @@ def _order(common_a: np.ndarray, common_b: np.ndarray) -> tuple[np.ndarray, np.n
     return np.arange(len(common_a)) + first_b[group_a], np.arange(len(common_b)) + past_a[group_b]
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    """Small numbers byte by significance, compressed."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _joined_equal(tokens, ids: np.ndarray, sizes: np.ndarray, wanted: list[bytes]) -> np.ndarray:
     """Whether each text's tokens join to the wanted bytes."""
     edges = np.concatenate([[0], np.cumsum(sizes)])
@@ -218,7 +230,7 @@ def _block(tokenizers: tuple, keys: list, texts: pa.StringArray, digest: bool, p
         pairs, codes, times = np.unique(ids_a[links_a].astype(np.int64) << 32 | ids_b[links_b], return_inverse=True, return_counts=True)
         per_doc = np.diff(np.searchsorted(links_a, from_a))
         places = np.flatnonzero(per_doc)
-        rows.append({"pairs": pairs, "times": times, "codes": codes.astype("<u4").tobytes(), "places": places, "links": per_doc[places]})
+        rows.append({"pairs": pairs, "times": times, "codes": _packed(codes), "places": places, "links": per_doc[places]})
         common_a.append(last_a)
         common_b.append(last_b)
     common_a, common_b = np.concatenate(common_a), np.concatenate(common_b)  # stitched: groups count on over pieces
@@ -235,7 +247,7 @@ def _block(tokenizers: tuple, keys: list, texts: pa.StringArray, digest: bool, p
             groups = hashlib.sha256(groups.encode()).hexdigest()
         a, b, g = int(n_a[n]), int(n_b[n]), int(n_groups[n])
         docs.append({"id": key, "n_a": a, "n_b": b, "n_groups": g, "n_links": a + b - g, "groups": groups})
-    none = {"pairs": [], "times": [], "codes": b"", "places": [], "links": []}
+    none = {"pairs": [], "times": [], "codes": _packed(np.zeros(0)), "places": [], "links": []}
     for n, row in enumerate(rows or [none]):
         yield row | {"docs": docs if n == 0 else []}
 
@@ -290,7 +302,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         for batch in batches:
             for row in range(batch.num_rows):
                 block, codes, places, links, own, counts, bests = (c[row] for c in batch.columns)
-                codes = np.frombuffer(codes.as_py(), "<u4")
+                codes = _unpacked(codes.as_py())
                 found = {}
                 if len(codes):
                     counts, bests = (c.values.to_numpy(zero_copy_only=False) for c in (counts, bests))
