@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrarank.operators.boosting import Booster
 from terrarank.session import checkpoint_dir, cut_lineage
 from terrarank.sources.sinks import remove_dataset
 
@@ -29,8 +30,25 @@ from terrarank.sources.sinks import remove_dataset
 MAX_NODES = 200_000  # nodes compiled on the driver and broadcast at once
 
 
-def _saved_nodes(model, session) -> tuple[DataFrame, str]:
+NODE = ("treeID int, id int, prediction double, impurityStats array<double>, leftChild int, rightChild int, featureIndex int, "
+        "threshold double")
+
+
+def _own_nodes(model: Booster, session) -> DataFrame:
+    """A booster's nodes in the same form; they are on the driver already."""
+    rows = []
+    for n, t in enumerate(model.trees):
+        for i in range(len(t.feature)):
+            leaf = t.feature[i] < 0
+            rows.append((n, i, float(t.value[i]), [float(t.rows[i])], -1 if leaf else int(t.left[i]), -1 if leaf else int(t.right[i]),
+                         int(t.feature[i]), None if leaf else float(model.cuts[t.feature[i]][t.cut[i]])))
+    return session.createDataFrame(rows, NODE)
+
+
+def _saved_nodes(model, session) -> tuple[DataFrame, str | None]:
     """The node data of a tree ensemble, read from its saved form, and where that lies."""
+    if isinstance(model, Booster):
+        return _own_nodes(model, session), None
     path = f"{checkpoint_dir(session).rstrip('/')}/tree-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     return session.read.parquet(f"{path}/data").select(
@@ -85,6 +103,8 @@ def _paths(tree: dict) -> list[tuple[float, float, list]]:
 
 def _scales(model) -> list[float]:
     """What each tree's prediction is multiplied by in the ensemble's."""
+    if isinstance(model, Booster):
+        return [model.params.rate] * len(model.trees)
     weights = [float(w) for w in model.treeWeights]
     return [w / len(weights) if type(model).__name__.startswith("RandomForest") else w for w in weights]
 
@@ -106,9 +126,12 @@ def _compiled(trees: Sequence[tuple[int, dict]], scales: Sequence[float]) -> tup
 def compile_paths(model, session) -> tuple[list, float]:
     """Model → flat list of weighted paths and the expected value (all trees at once: for small models)."""
     nodes, path = _saved_nodes(model, session)
-    trees = _tree_maps(nodes, list(range(len(model.treeWeights))))
-    remove_dataset(session, path)
-    return _compiled(trees, _scales(model))
+    scales = _scales(model)
+    trees = _tree_maps(nodes, list(range(len(scales))))
+    if path:
+        remove_dataset(session, path)
+    flat, expected = _compiled(trees, scales)
+    return flat, expected + getattr(model, "start", 0.0)
 
 
 def shap_values(X: np.ndarray, paths: list, n_features: int) -> np.ndarray:
@@ -165,7 +188,7 @@ def tree_attribution(model, design: DataFrame, features: Sequence[str], key: str
                          *[F.lit(0.0).alias(s) for s in sums])
     schema = rows.schema
     nodes, path = _saved_nodes(model, spark)
-    scales, expected = _scales(model), 0.0
+    scales, expected = _scales(model), getattr(model, "start", 0.0)
     groups = _groups(nodes, max_nodes)
     for n, ids in enumerate(groups):
         paths, part = _compiled(_tree_maps(nodes, ids), scales)
@@ -182,7 +205,8 @@ def tree_attribution(model, design: DataFrame, features: Sequence[str], key: str
         rows = rows.mapInPandas(run, schema)
         if n + 1 < len(groups):
             rows = cut_lineage(rows)
-    remove_dataset(spark, path)
+    if path:
+        remove_dataset(spark, path)
     return rows.select(F.col("key").alias(key), *[F.col(s).alias(c) for s, c in zip(sums, feats)]), expected
 
 
@@ -191,3 +215,62 @@ def mean_abs_attribution(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     wide = rows.agg(*[F.avg(F.abs(F.col(f"`{c}`"))).alias(c) for c in features])
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("mean_abs_shap")) for c in features])
     return wide.select(F.explode(arr).alias("e")).select("e.*").orderBy(F.col("mean_abs_shap").desc())
+
+
+# ----------------------------------------------------------------- small models, as joins
+def path_elements(model: Booster, session) -> DataFrame:
+    """(path, value, feature, low, high, null_ok, z, nth, of): the conditions of every root-to-leaf path, one row a feature.
+
+    A row of the data follows an element if its bin lies between low and high
+    (or is NULL's, -1, and null_ok); z is the share of the training rows at the
+    splits on that feature that did.
+    """
+    rows, path = [], 0
+    for tree in model.trees:
+        stack = [(0, {})]
+        while stack:
+            node, own = stack.pop()
+            f = int(tree.feature[node])
+            if f < 0:
+                value = float(tree.value[node]) * model.params.rate
+                for n, (g, (low, high, null_ok, z)) in enumerate(sorted(own.items())):
+                    rows.append((path, value, g, low, high, null_ok, z, n, len(own)))
+                if not own:
+                    rows.append((path, value, -1, 0, 0, False, 1.0, 0, 0))
+                path += 1
+                continue
+            for child, left in ((int(tree.left[node]), True), (int(tree.right[node]), False)):
+                low, high, null_ok, z = own.get(f, (0, 1 << 15, True, 1.0))
+                low, high = (low, min(high, int(tree.cut[node]))) if left else (max(low, int(tree.cut[node]) + 1), high)
+                share = float(tree.rows[child]) / float(tree.rows[node])
+                stack.append((child, {**own, f: (low, high, null_ok and bool(tree.null_left[node]) == left, z * share)}))
+    return session.createDataFrame(
+        rows, "path int, value double, feature int, low int, high int, null_ok boolean, z double, nth int, of int")
+
+
+def coalition_attribution(model: Booster, binned: DataFrame, key: str) -> DataFrame:
+    """(key, feature, attribution): Shapley values of a small booster, every coalition of a path's features a row.
+
+    The same game as ``tree_attribution``: features outside a coalition follow a
+    path as often as the training rows did. Rows x paths x 2^(features of a path) rows are joined and
+    summed, so this is for trees of a few levels. ``binned`` carries ``bins``.
+    """
+    elements = path_elements(model, binned.sparkSession).where("feature >= 0")
+    mask = F.explode(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.col("of")) - 1)).alias("mask")
+    bit = F.call_function("shiftright", F.col("mask"), F.col("nth")).bitwiseAND(F.lit(1))
+    # weight |S|! (d - |S| - 1)! / d! of a coalition S without the feature
+    size = F.bit_count("mask")
+    weight = F.factorial(size) * F.factorial(F.col("of") - size - 1) / F.factorial("of")
+    coalitions = elements.select("path", "value", "of", "nth", mask).where(bit == 0).select(
+        "path", F.col("nth").alias("own"), "mask", (weight * F.col("value")).alias("weight"))
+    rows = binned.select(F.col(key).alias("key"), F.posexplode("bins").alias("feature", "bin"))
+    met = rows.join(elements, "feature").withColumn(
+        "o", F.when(F.col("bin") < 0, F.col("null_ok")).otherwise(F.col("bin").between(F.col("low"), F.col("high"))).cast("double"))
+    each = met.select("key", "path", "feature", "nth", "o", "z").join(coalitions, "path")
+    factor = (F.when(F.col("nth") == F.col("own"), F.col("o") - F.col("z"))
+              .when(bit == 1, F.col("o")).otherwise(F.col("z")))
+    parts = each.groupBy("key", "path", "own", "mask").agg(
+        F.product(factor).alias("p"), F.first("weight").alias("weight"), F.max(F.when(F.col("nth") == F.col("own"), F.col("feature"))).alias("feature"))
+    sums = parts.groupBy("key", "feature").agg(F.sum(F.col("p") * F.col("weight")).alias("attribution"))
+    name = F.element_at(F.array(*map(F.lit, model.features)), F.col("feature") + 1)
+    return sums.select(F.col("key").alias(key), name.alias("feature"), "attribution")

@@ -15,13 +15,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrarank.config import FEATURE_COLS, PROFILE_LABELS
+from terrarank.operators.boosting import LEAF_WISE, SECOND_ORDER, Booster, Boosting, bin_cuts, cross_validate_boosting, fit_boosters, with_bins
+from terrarank.operators.linear import ElasticNet, cross_validate_elastic_net, products_by_fold
+from terrarank.operators.silhouette import hashed_sample, mean_silhouette
 from terrarank.operators.stats import exact_quantiles
 from terrarank.session import checkpoint_dir
 from terrarank.session import keep as keep_frame
@@ -81,25 +83,56 @@ def with_fold(df: DataFrame, key: str, n_folds: int = N_FOLDS) -> DataFrame:
 FOREST_DEPTH = 15
 
 
+def feature_names(design: DataFrame) -> list[str]:
+    """The columns behind the design's feature vector, in order."""
+    attrs = design.schema["features"].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])]
+
+
+class GramElasticNet:
+    """Elastic net from one pass over the rows, whatever the number of folds (``operators.linear``)."""
+
+    def fit(self, design: DataFrame) -> ElasticNet:
+        names = feature_names(design)
+        one = design.withColumn("fold", F.lit(0))
+        return ElasticNet(products_by_fold(one, [F.col(f"`{c}`") for c in names], F.col("label"))[0], names)
+
+    def cross_validate(self, design: DataFrame, n_folds: int):
+        return cross_validate_elastic_net(design, feature_names(design))
+
+
+@dataclass(frozen=True)
+class HistogramBoosting:
+    """Boosting over histograms; all folds grow in step (``operators.boosting``)."""
+
+    params: Boosting
+
+    def fit(self, design: DataFrame) -> Booster:
+        names = feature_names(design)
+        cuts = bin_cuts(design, names, self.params.max_bins)
+        return fit_boosters(with_bins(design, names, cuts).withColumn("model", F.lit(0)), names, cuts, self.params)[0]
+
+    def cross_validate(self, design: DataFrame, n_folds: int):
+        held, seen, model = cross_validate_boosting(design, feature_names(design), self.params, n_folds)
+        errors = [(r.rmse, r.r2) for r in _fold_metrics(held).orderBy("fold").collect()]
+        return errors, _fold_metrics(seen.withColumn("fold", F.lit(0))).first()["r2"], model
+
+
 def make_estimator(name: str, label_std: float | None = None, forest_depth: int = FOREST_DEPTH):
     """Regressor presets. The reproduced forest grows without a bound on depth;
-    here ``forest_depth`` bounds it (30 is Spark's limit). The boosting presets stand in for the two external
-    boosting libraries (depth/step of their defaults); elastic net maps
-    α=1, l1_ratio=0.5 onto Spark's label-scaled objective."""
+    here ``forest_depth`` bounds it (30 is Spark's limit). ``boosting_deep`` and ``boosting_leafy`` are the
+    two external boosting methods at their defaults: second-order gains with an L2 penalty by depth, and
+    leaf-wise growth. Elastic net has α=1, l1_ratio=0.5."""
     if name == "random_forest":
         return RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=forest_depth, seed=SEED)
     if name == "gradient_boosting":
         return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, checkpointInterval=10)
     if name == "boosting_deep":
-        return GBTRegressor(maxIter=100, stepSize=0.3, maxDepth=6, seed=SEED, checkpointInterval=10,
-                            cacheNodeIds=True)
+        return HistogramBoosting(SECOND_ORDER)
     if name == "boosting_leafy":
-        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=SEED,
-                            checkpointInterval=10, cacheNodeIds=True)
+        return HistogramBoosting(LEAF_WISE)
     if name == "elastic_net":
-        lam = 0.5 + 0.5 * (label_std or 0.0)
-        return LinearRegression(regParam=lam, elasticNetParam=min(1.0, 0.5 / lam), standardization=False,
-                                solver="l-bfgs", maxIter=1000, tol=1e-9)
+        return GramElasticNet()
     raise ValueError(name)
 
 
@@ -123,50 +156,54 @@ def _fold_metrics(pred: DataFrame) -> DataFrame:
                     (1 - (F.col("sse") / F.col("n")) / F.col("var")).alias("r2"))
 
 
+FORESTS_AT_ONCE = 2  # a forest's nodes travel with its tasks
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequence[str] = MODEL_NAMES,
                    n_folds: int = N_FOLDS, parallelism: int = 6):
     """K-fold CV of each model + a refit on all rows.
 
     Returns (metrics DataFrame, fitted models, design frames). Metrics:
-    CV RMSE / R² mean and population std over folds, training R².
+    CV RMSE / R² mean and population std over folds, training R². Models that
+    know how to take all folds in one go (elastic net, histogram boosting) do
+    so, one after the other; the fits of the others share pools of concurrent jobs, forests first and few at once.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)  # boosting checkpoints its lineage every 10 rounds
     feats = non_null_features(df, features)
     std = fit_standardizer(df, feats)
-    label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
     base = with_fold(df, key, n_folds)
     designs = {scaled: keep_frame(design_matrix(base, feats, std, scaled)) for scaled in (False, True)}
-    tasks = []
-    for name in names:
-        for k in [*range(n_folds), None]:
-            tasks.append((name, k))
+    estimators = {name: make_estimator(name) for name in names}
+    folds = [*range(n_folds), None]
 
     def run(task):
         name, k = task
         d = designs[name == "elastic_net"]
-        est = make_estimator(name, label_std)
-        if k is None:
-            return task, est.fit(d)
-        return task, est.fit(d.where(F.col("fold") != k))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        fitted = dict(ex.map(run, tasks))
+        return task, estimators[name].fit(d if k is None else d.where(F.col("fold") != k))
+
+    own = [n for n in names if hasattr(estimators[n], "cross_validate")]
+    forests = [n for n in names if isinstance(estimators[n], RandomForestRegressor)]
+    fitted = {}
+    for group, at_once in ((forests, FORESTS_AT_ONCE), ([n for n in names if n not in own and n not in forests], parallelism)):
+        with ThreadPoolExecutor(max_workers=min(at_once, parallelism)) as ex:
+            fitted.update(ex.map(run, [(name, k) for name in group for k in folds]))
     rows = []
     models = {}
     for name in names:
         d = designs[name == "elastic_net"]
-        preds = None
-        for k in range(n_folds):
-            p = fitted[(name, k)].transform(d.where(F.col("fold") == k)).select("fold", "label", "prediction")
-            preds = p if preds is None else preds.unionByName(p)
-        fm = _fold_metrics(preds).collect()
-        rm = [r["rmse"] for r in fm]
-        r2 = [r["r2"] for r in fm]
-        full = fitted[(name, None)]
-        models[name] = full
-        tr = _fold_metrics(full.transform(d).withColumn("fold", F.lit(0))).collect()[0]["r2"]
-        rows.append((name, _mean(rm), _pstd(rm), _mean(r2), _pstd(r2), tr))
+        if name in own:
+            errors, train, models[name] = estimators[name].cross_validate(d, n_folds)
+        else:
+            preds = None
+            for k in range(n_folds):
+                p = fitted[(name, k)].transform(d.where(F.col("fold") == k)).select("fold", "label", "prediction")
+                preds = p if preds is None else preds.unionByName(p)
+            errors = [(r["rmse"], r["r2"]) for r in _fold_metrics(preds).collect()]
+            models[name] = fitted[(name, None)]
+            train = _fold_metrics(models[name].transform(d).withColumn("fold", F.lit(0))).collect()[0]["r2"]
+        rm, r2 = [e[0] for e in errors], [e[1] for e in errors]
+        rows.append((name, _mean(rm), _pstd(rm), _mean(r2), _pstd(r2), train))
     metrics = spark.createDataFrame(rows, METRICS)
     return metrics, models, designs, feats
 
@@ -264,26 +301,26 @@ def kmeans_best_of(data: DataFrame, k: int, restarts: int = 10, seed: int = SEED
 CANDIDATE_KS = (3, 4, 5, 6, 7, 8, 9)
 
 
-def choose_k(data: DataFrame, ks: Sequence[int] = CANDIDATE_KS, restarts: int = 10, parallelism: int = 8):
+def choose_k(data: DataFrame, key: str, ks: Sequence[int] = CANDIDATE_KS, restarts: int = 10, parallelism: int = 8):
     """The candidate k with the greatest silhouette (ties: the smallest): (k, silhouette, model).
 
     The reproduced method tries 3 … min(10, rows // 100) − 1 and takes 6 below
     400 rows; pass those candidates for parity.
 
-    All (k, seed) fits are submitted to one pool of concurrent Spark jobs. The
-    silhouette is Spark's distributed one (squared Euclidean distance),
-    computed over all rows instead of a random sample.
+    All (k, seed) fits are submitted to one pool of concurrent Spark jobs, over all rows. The
+    silhouette is that of plain Euclidean distances over a bounded sample by hash of the key (``operators.silhouette``).
     """
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     jobs = [(k, SEED + i) for k in ks for i in range(restarts)]
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         fits = list(ex.map(lambda js: (js[0], _kmeans(data, *js)), jobs))
-        best_per_k = {}
-        for k, m in fits:
-            if k not in best_per_k or m.summary.trainingCost < best_per_k[k].summary.trainingCost:
-                best_per_k[k] = m
-        sils = dict(ex.map(lambda k: (k, evaluator.evaluate(best_per_k[k].transform(data))), ks))
-    best_k = max(ks, key=lambda k: (sils[k], -k))
+    best_per_k = {}
+    for k, m in fits:
+        if k not in best_per_k or m.summary.trainingCost < best_per_k[k].summary.trainingCost:
+            best_per_k[k] = m
+    names = feature_names(data)
+    sample = keep_frame(hashed_sample(data, key))  # at most SAMPLE_ROWS rows
+    sils = {k: mean_silhouette(best_per_k[k].transform(sample), key, names, "prediction") for k in ks}
+    best_k = max(ks, key=lambda k: (-1.0 if sils[k] is None else sils[k], -k))
     return best_k, sils[best_k], best_per_k[best_k]
 
 
@@ -300,7 +337,7 @@ def cluster_profiles(df: DataFrame, key: str, features: Sequence[str], keep: Seq
     std = fit_standardizer(df, cols)
     base = keep_frame(df.select(key, *keep, F.col(score).alias("_score"), *[std.scaled(c).alias(c) for c in cols]))
     data = VectorAssembler(inputCols=cols, outputCol="features").transform(base)
-    k, sil, model = choose_k(data, ks, restarts)
+    k, sil, model = choose_k(data, key, ks, restarts)
     assigned = model.transform(data).withColumnRenamed("prediction", "cluster")
     means = assigned.groupBy("cluster").agg(F.avg("_score").alias("_m"))
     order = Window.orderBy(F.col("_m").asc(), F.col("cluster").asc())

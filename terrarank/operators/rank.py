@@ -8,8 +8,9 @@ the number of rows:
 
 1. ``groupBy(score).count()`` — ties collapse map-side, so even a value held
    by a third of all rows becomes one row;
-2. equal-depth range buckets over the distinct values (approximate quantiles);
-   a value finds its bucket by binary search;
+2. equal-depth range buckets over the distinct values (bounds from a quantile
+   sketch, the only thing that is fetched); a value finds its bucket by binary
+   search;
 3. per-bucket totals (one row per bucket — a proven size bound) give each
    bucket's offset; a window partitioned by bucket gives the count of larger
    values inside the bucket;
@@ -28,9 +29,6 @@ from pyspark.sql import functions as F
 
 from terrarank.session import keep
 
-MOST_BUCKETS = 512
-
-
 def _bucket(v: Column, bounds: Sequence[float], first: int = 0) -> Column:
     """Number of bounds below ``v``: a tree of comparisons, as deep as the logarithm of their count."""
     if not bounds:
@@ -40,16 +38,18 @@ def _bucket(v: Column, bounds: Sequence[float], first: int = 0) -> Column:
         _bucket(v, bounds[mid + 1:], first + mid + 1))
 
 
-def rank_desc(df: DataFrame, col: str, out: str = "rank", buckets: int | None = None, rel_err: float = 1e-3) -> DataFrame:
+def rank_desc(df: DataFrame, col: str, out: str = "rank", buckets: int | None = None, accuracy: int = 1000) -> DataFrame:
     """Descending rank with ties at the minimum rank (``method='min'``).
 
-    ``buckets`` defaults to the number of shuffle partitions (``MOST_BUCKETS`` at most).
+    ``buckets`` defaults to the number of shuffle partitions. ``accuracy``: a bucket's depth is off by
+    1 / ``accuracy`` of the distinct values at most; the ranks are exact all the same.
     """
     if buckets is None:
-        buckets = min(MOST_BUCKETS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = keep(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(counts.approxQuantile(col, probs, rel_err))) if buckets > 1 else []
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
+    found = counts.agg(F.percentile_approx(F.col(col).cast("double"), probs, max(accuracy, 10 * buckets))).first()[0]
+    bounds = sorted(set(found or [])) if buckets > 1 else []
     v = F.col(col)
     placed = counts.withColumn("_b", _bucket(v, bounds))
     totals = placed.groupBy("_b").agg(F.sum("_cnt").alias("_bt"))

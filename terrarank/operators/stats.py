@@ -4,19 +4,22 @@ histograms and box summaries.
 Exact quantiles
 ---------------
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer, at scale one task with a whole column. Here each target rank is
-narrowed down instead, the same way at every size:
-
-1. one aggregate gives count, minimum and maximum of each (group, column);
-2. while more than ``WALK_ROWS`` rows lie between a target's bounds, one
-   aggregate counts them in ``STRETCHES`` equal stretches; the stretch that
-   holds the rank becomes the new bounds, with the rows below it known exactly;
-3. the distinct values left are counted, and a window over these few walks to
-   the rank.
-
-Rows are always pre-aggregated per task, a group is never gathered, and a
-value held by any share of the rows is one counted value. Group keys are
-compared null-safely, so a NULL group is a group. Values are interpolated between
+buffer, at scale one task with a whole column. Here two scans do, in one lazy
+plan without a driver round trip:
+
+1. one aggregate gives each (group, column) its count, minimum, maximum and a
+   mergeable quantile sketch whose rank error is proven to be at most
+   1 / ``ACCURACY`` of the rows. The values it gives for the wanted shares
+   plus and minus three times that error bracket every target rank;
+2. one aggregate counts the rows below each bracket (one number a task) and
+   the distinct values inside it, exactly; a window over these few walks to the rank.
+
+A bracket holds about 6 / ``ACCURACY`` of its group's rows (all rows of
+a group of up to ``SMALL``, for which one rank may be more than the sketch's
+error). Rows are always pre-aggregated per task, a group is never gathered,
+and a value held by any share of the rows is one counted value. Should a
+bracket ever miss its rank the job fails; it never returns another value. Group
+keys are compared null-safely, so a NULL group is a group. Values are interpolated between
 the order statistics at ``pos = (n-1)·p`` as
 ``(ceil(pos) - pos)·v1 + (pos - floor(pos))·v2`` (the formula of Spark's ``percentile``).
 """
@@ -30,94 +33,77 @@ from pyspark.sql import functions as F
 
 from terrarank.session import cut_lineage, keep
 
-WALK_ROWS = 1000
-STRETCHES = 1024
+ACCURACY = 10_000
+SMALL = 2 * ACCURACY
 
 
 def _long_form(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
-    """(group..., _c, _v) with one row per non-null value of each column."""
+    """(group..., _c, _v) with one row per non-null value of each column, columns by number."""
     if len(cols) == 1:
-        c = cols[0]
-        return df.select(*group_cols, F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")).where(
-            F.col("_v").isNotNull())
-    return (df.select(*group_cols, _stack([(F.lit(c), F.col(f"`{c}`").cast("double")) for c in cols], ["_c", "_v"]))
-            .where(F.col("_v").isNotNull()))
-
-
-def _kept(targets: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, int]:
-    """(materialised targets, most rows between the bounds of one): local rows for global statistics
-    (columns × ranks of them), else persisted."""
-    if not group_cols:
-        rows = targets.collect()
-        most = max((r["inside"] for r in rows if r["lo"] < r["hi"]), default=0)
-        return targets.sparkSession.createDataFrame(rows, targets.schema), most
-    targets = keep(targets)
-    return targets, targets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0] or 0
-
-
-def _matched(long: DataFrame, targets: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Rows between the bounds of each target of their group (null-safe on the group)."""
-    t = targets.select(*[F.col(k).alias(f"_t{k}") for k in keys], *cols)
-    on = F.col("_v").between(F.col("lo"), F.col("hi"))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_t{k}"))
-    return long.join(t, on).drop(*[f"_t{k}" for k in keys])
-
-
-def _narrowed(long: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Targets with the bounds of the stretch their rank falls into."""
-    ids = [*keys, "prob", "rank"]
-    rest = ["pos", "n", "low", "high"]
-    j = _matched(long, targets, keys, ["prob", "rank", *rest, "lo", "hi", "below"])
-    # halves, so that the width of the widest column is still a finite number
-    share = (F.col("_v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-    stretch = F.when(F.col("hi") > F.col("lo"), F.least(F.floor(share * STRETCHES), F.lit(STRETCHES - 1))).otherwise(0)
-    counted = j.groupBy(*ids, stretch.cast("int").alias("_s")).agg(
-        F.count(F.lit(1)).alias("inside"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-        F.first("below").alias("below"), *[F.first(c).alias(c) for c in rest])
-    w = Window.partitionBy(*ids).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counted.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(w), F.lit(0)))
-    hit = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("inside"))
-    return cum.where(hit).select(*ids, *rest, "lo", "hi", "below", "inside")
-
-
-def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                     group_cols: Sequence[str] = ()) -> DataFrame:
+        long = df.select(*group_cols, F.lit(0).alias("_c"), F.col(f"`{cols[0]}`").cast("double").alias("_v"))
+    else:
+        long = df.select(*group_cols, _stack([(F.lit(i), F.col(f"`{c}`").cast("double")) for i, c in enumerate(cols)], ["_c", "_v"]))
+    return long.where(F.col("_v").isNotNull())
+
+
+def _targets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str]) -> DataFrame:
+    """(group..., _c, prob, n, low, high, lo, hi): the bracket of each group, column and share; one aggregate over ``df``."""
+    slack = 3 / ACCURACY
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
+    sketches = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("double")
+        sketches.append(F.struct(F.lit(i).alias("_c"), F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"),
+                                 F.percentile_approx(v, edges, ACCURACY).alias("q")).alias(f"_s{i}"))
+    grouped = df.groupBy(*group_cols) if group_cols else df
+    st = grouped.agg(*sketches)
+    st = st.select(*group_cols, F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("_s")).select(*group_cols, "_s.*")
+
+    def bound(p: float, d: float, end: str):
+        at = min(1.0, max(0.0, p + d))
+        return F.when((F.col("n") <= SMALL) | F.lit(at in (0.0, 1.0)), F.col(end)).otherwise(F.col("q")[edges.index(at)])
+
+    each = [F.struct(F.lit(float(p)).alias("prob"), bound(p, -slack, "low").alias("lo"), bound(p, slack, "high").alias("hi")) for p in probs]
+    return st.select(*group_cols, "_c", "n", "low", "high", F.explode(F.array(*each)).alias("_t")).select(
+        *group_cols, "_c", "n", "low", "high", "_t.*")
+
+
+def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
+                     empty: bool = False) -> DataFrame:
     """(group..., column, prob, n, low, high, value): exact quantiles, with the count, minimum and maximum.
 
-    One row for every group, column and probability with a non-null value.
+    One row for every group, column and probability with a non-null value; with ``empty`` also for those
+    without one, n 0. ``df`` is scanned twice: persist it if it is dear.
     """
-    long = _long_form(df, cols, group_cols)
     keys = [*group_cols, "_c"]
-    st = long.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
-    rows = []
-    for p in probs:
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        for edge in (F.floor(pos), F.ceil(pos)):
-            rows.append(F.struct(F.lit(float(p)).alias("prob"), pos.alias("pos"), (edge + 1).cast("long").alias("rank")))
-    targets = st.select(*keys, "n", "low", "high", F.explode(F.array_distinct(F.array(*rows))).alias("_t")).select(
-        *keys, "_t.prob", "_t.rank", "_t.pos", "n", "low", "high", F.col("low").alias("lo"), F.col("high").alias("hi"),
-        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
-    targets, most = _kept(targets, group_cols)
-    before = None
-    while most > WALK_ROWS and most != before:
-        before = most
-        targets, most = _kept(_narrowed(long, targets, keys), group_cols)
-    ids = [*keys, "prob", "rank"]
-    carried = ["pos", "n", "low", "high", "below"]
-    values = _matched(long, targets, keys, ["prob", "rank", *carried, "lo", "hi"]).groupBy(*ids, "_v").agg(
-        F.count(F.lit(1)).alias("_cnt"), *[F.first(c).alias(c) for c in carried])
-    w = Window.partitionBy(*ids).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = F.col("below") + F.sum("_cnt").over(w)
-    found = values.withColumn("_r", reached).where(F.col("_r") >= F.col("rank")).groupBy(*keys, "prob", "rank").agg(
-        F.min("_v").alias("_x"), *[F.first(c).alias(c) for c in ("pos", "n", "low", "high")])
-    pair = found.groupBy(*keys, "prob").agg(
-        F.min_by("_x", "rank").alias("v1"), F.max_by("_x", "rank").alias("v2"),
-        *[F.first(c).alias(c) for c in ("pos", "n", "low", "high")])
-    lower, higher = F.floor("pos"), F.ceil("pos")
+    targets = _targets(df, cols, probs, group_cols)
+    carried = ["n", "low", "high"]
+    t = targets.select(*[F.col(k).alias(f"_t{k}") for k in keys], "prob", *carried, "lo", "hi")
+    on = F.col("_v") <= F.col("hi")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_t{k}"))
+    near = _long_form(df, cols, group_cols).join(t, on).drop(*[f"_t{k}" for k in keys])
+    # rows below a bracket are one number, under the value NULL
+    values = near.groupBy(*keys, "prob", *carried, F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("_x")).agg(
+        F.count(F.lit(1)).alias("_cnt"))
+    ids = [*keys, "prob", *carried]
+    w = Window.partitionBy(*ids).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = (F.col("n") - 1) * F.col("prob")
+    lower, higher = F.floor(pos), F.ceil(pos)
+    inside = F.col("_x").isNotNull()
+    found = values.withColumn("_r", F.sum("_cnt").over(w)).groupBy(*ids).agg(
+        F.min(F.when(inside & (F.col("_r") > lower), F.col("_x"))).alias("v1"),
+        F.min(F.when(inside & (F.col("_r") > higher), F.col("_x"))).alias("v2"),
+        F.coalesce(F.max(F.when(~inside, F.col("_r"))), F.lit(0)).alias("below"))
+    held = (F.col("below") <= lower) & F.col("v1").isNotNull() & F.col("v2").isNotNull()
     value = F.when((lower == higher) | (F.col("v1") == F.col("v2")), F.col("v1")).otherwise(
-        (higher - F.col("pos")) * F.col("v1") + (F.col("pos") - lower) * F.col("v2"))
-    return pair.select(*group_cols, F.col("_c").alias("column"), "prob", "n", "low", "high", value.alias("value"))
+        (higher - pos) * F.col("v1") + (pos - lower) * F.col("v2"))
+    checked = F.when(held, value).otherwise(F.raise_error(F.lit("a quantile sketch missed its rank")).cast("double"))
+    out = found.select(*keys, "prob", *carried, checked.alias("value"))
+    if empty:
+        out = out.unionByName(targets.where("n = 0").select(*keys, "prob", *carried, F.lit(None).cast("double").alias("value")))
+    name = F.element_at(F.array(*map(F.lit, cols)), F.col("_c") + 1)
+    return out.select(*group_cols, name.alias("column"), "prob", *carried, "value")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -127,13 +113,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     NULLs are skipped; an all-NULL column gives a NULL value (global
     statistics), an all-NULL group of a column no row.
     """
-    out = order_statistics(df, cols, probs, group_cols).select(*group_cols, "column", "n", "prob", "value")
-    if not group_cols:
-        # all-null columns have no rows in long form: add them back as NULLs
-        full = df.sparkSession.createDataFrame([(c, float(p)) for c in cols for p in probs], "column string, prob double")
-        out = full.join(out, on=["column", "prob"], how="left").select(
-            "column", F.coalesce("n", F.lit(0)).alias("n"), "prob", "value")
-    return out
+    return order_statistics(df, cols, probs, group_cols, empty=not group_cols).select(*group_cols, "column", "n", "prob", "value")
 
 
 def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
@@ -218,13 +198,11 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 def box_summary(df: DataFrame, group: str, col: str) -> DataFrame:
     """Per-group min, quartiles and max (exact, linear interpolation); NULL groups are left out."""
-    src = keep(df.where(F.col(group).isNotNull()).select(group, col))  # read by every pass
-    q = order_statistics(src, [col], [0.25, 0.5, 0.75], group_cols=[group])
+    src = keep(df.where(F.col(group).isNotNull()).select(group, col))  # read by both scans
+    q = order_statistics(src, [col], [0.25, 0.5, 0.75], group_cols=[group], empty=True)  # groups whose values are all NULL stay
 
     def at(p):
         return F.max(F.when(F.col("prob") == p, F.col("value")))
 
-    found = q.groupBy(group).agg(F.max("low").alias("min"), F.max("high").alias("max"), F.max("n").alias("n"),
-                                 at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
-    groups = src.select(group).distinct()  # groups whose values are all NULL stay
-    return groups.join(found, on=group, how="left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return q.groupBy(group).agg(F.max("low").alias("min"), F.max("high").alias("max"), F.max("n").alias("n"),
+                                at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))

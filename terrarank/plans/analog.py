@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrarank.operators.boosting import Boosting
 from terrarank.session import keep
 
 KEY = "entity_key"
@@ -39,6 +40,18 @@ ASOF_REF_YEAR = 2003  # absent from the data: resolves to the latest earlier yea
 # A multi-select state filter for the KPI view (a user selection of six states).
 KPI_STATES = ["NATION_1", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_21"]
 
+ABSENT_INDICATOR = "pressure_index"  # left out by the query on a table that lacks one
+
+# One boosted tree on given bins: the cuts of each feature, and how the tree grows.
+TREE_CUTS = {
+    "pct_native": [10, 20, 30, 40, 50, 60, 70, 80, 90],
+    "pct_agro": [10, 25, 40, 55, 70, 85],
+    "gdp_per_capita": [1000000, 5000000, 10000000, 20000000, 40000000],
+    "pop_density": [0.001, 0.002, 0.005, 0.01, 0.05],
+}
+LEAF_WISE_SMALL = Boosting(rounds=1, max_leaves=6, min_rows=20)
+SECOND_ORDER_SMALL = Boosting(rounds=1, max_leaves=4, max_depth=2, min_rows=1, l2=1.0)
+
 
 _TABLES: dict = {}
 
@@ -88,6 +101,16 @@ def entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.abs("c_acctbal").alias("area_km2")))
 
 
+def order_activity(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Value and number of orders per customer and order year: the GDP and herd extracts share this one read, persisted.
+
+    Money is summed as DECIMAL, so the total is exact whatever the order."""
+    o = _in_years(table(spark, sf_dir, "orders"), "o_orderdate", years)
+    return keep(o.groupBy(F.col("o_custkey").alias(KEY), F.year("o_orderdate").alias(YEAR)).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("gdp_k"),
+        F.count(F.lit(1)).cast("double").alias("herd_total")))
+
+
 def gdp_extract(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
     """(entity_key, year, gdp_k): order value per customer and order year.
 

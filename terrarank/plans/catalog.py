@@ -6,7 +6,7 @@ the results compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -115,11 +115,11 @@ def q_unpivot_years(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ETL / master
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
-    dim, act, ref = A.entity_dim(spark, d), A.activity(spark, d), (A.REF_YEAR,)
+    dim, act, orders = A.entity_dim(spark, d), A.activity(spark, d), A.order_activity(spark, d, (A.REF_YEAR,))
     crops = pivot_sum(A.crops_of(act), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
                       ["crop_production_t", "crop_value_k", "planted_area_ha"])
-    return build_master(dim, A.gdp_extract(spark, d, ref), A.population_of(act), A.landuse_of(act),
-                        A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops, herd=A.herd_extract(spark, d, ref))
+    return build_master(dim, orders.drop("herd_total"), A.population_of(act), A.landuse_of(act),
+                        A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops, herd=orders.drop("gdp_k"))
 
 
 def q_spine_join_master(spark: SparkSession, d: str) -> DataFrame:
@@ -127,10 +127,10 @@ def q_spine_join_master(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_economy_full_outer(spark: SparkSession, d: str) -> DataFrame:
+    orders = A.order_activity(spark, d)
     crops = pivot_sum(A.crop_long_extract(spark, d), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
                       ["crop_production_t", "crop_value_k", "planted_area_ha"])
-    return rounded(fact_economy(A.gdp_extract(spark, d), A.population_extract(spark, d), crops,
-                                A.herd_extract(spark, d)))
+    return rounded(fact_economy(orders.drop("herd_total"), A.population_extract(spark, d), crops, orders.drop("gdp_k")))
 
 
 # ---------------------------------------------------------------- scalars / sources
@@ -439,11 +439,10 @@ def q_importances(spark: SparkSession, d: str) -> DataFrame:
     df, feats, _, _ = _model_input(spark, d)
     feats = ml.non_null_features(df, feats)
     std = ml.fit_standardizer(df, feats)
-    label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
     designs = {scaled: keep(ml.design_matrix(df, feats, std, scaled)) for scaled in (False, True)}
 
     def fit(name):
-        return name, ml.make_estimator(name, label_std).fit(designs[name == "elastic_net"])
+        return name, ml.make_estimator(name).fit(designs[name == "elastic_net"])
 
     with ThreadPoolExecutor(max_workers=5) as ex:
         models = dict(ex.map(fit, ml.MODEL_NAMES))
@@ -459,9 +458,8 @@ def q_linear_attribution(spark: SparkSession, d: str) -> DataFrame:
     df, feats, _, _ = _model_input(spark, d)
     feats = ml.non_null_features(df, feats)
     std = ml.fit_standardizer(df, feats)
-    label_std = df.agg(F.stddev_samp("label")).collect()[0][0]
     design = keep(ml.design_matrix(df, feats, std, True))
-    model = ml.make_estimator("elastic_net", label_std).fit(design)
+    model = ml.make_estimator("elastic_net").fit(design)
     return rounded(ml.linear_attribution(model, design, feats))
 
 
@@ -710,3 +708,223 @@ def q_attribution_of_coefficients(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES["cv_ols_metrics"] = q_cv_ols_metrics
 QUERIES["attribution_of_coefficients"] = q_attribution_of_coefficients
+
+
+# ---------------------------------------------------------------- one boosted tree
+def _boosted_tree(spark: SparkSession, d: str, p) -> DataFrame:
+    """Nodes of the first tree on given bins: what a split gains, where it cuts, which side NULLs take, and every node's value."""
+    from terrarank.operators.boosting import fit_boosters, with_bins
+    names, cuts = list(A.TREE_CUTS), [[float(c) for c in v] for v in A.TREE_CUTS.values()]
+    rows = with_bins(_one_table(spark, d), names, cuts).withColumn("model", F.lit(0))
+    t = fit_boosters(rows, names, cuts, p)[0].trees[0]
+    nodes = [(i, names[f] if f >= 0 else None, int(t.cut[i]) if f >= 0 else None, bool(t.null_left[i]) if f >= 0 else None,
+              float(t.gain[i]) if f >= 0 else None, float(t.value[i]), int(t.rows[i])) for i, f in enumerate(t.feature.tolist())]
+    return rounded(spark.createDataFrame(nodes, "node int, feature string, cut int, null_left boolean, gain double, value double, n long"))
+
+
+def q_tree_attribution_small(spark: SparkSession, d: str) -> DataFrame:
+    """Shapley values of the second-order tree of depth 2 for every entity and feature on its paths."""
+    from terrarank.operators.attribution import coalition_attribution
+    from terrarank.operators.boosting import fit_boosters, with_bins
+    names, cuts = list(A.TREE_CUTS), [[float(c) for c in v] for v in A.TREE_CUTS.values()]
+    rows = keep(with_bins(_one_table(spark, d), names, cuts).withColumn("model", F.lit(0)))
+    model = fit_boosters(rows, names, cuts, A.SECOND_ORDER_SMALL)[0]
+    return rounded(coalition_attribution(model, rows.where("label IS NOT NULL"), A.KEY))
+
+
+def q_boosted_tree_leaf_wise(spark: SparkSession, d: str) -> DataFrame:
+    return _boosted_tree(spark, d, A.LEAF_WISE_SMALL)
+
+
+def q_boosted_tree_second_order(spark: SparkSession, d: str) -> DataFrame:
+    return _boosted_tree(spark, d, A.SECOND_ORDER_SMALL)
+
+
+QUERIES["tree_attribution_small"] = q_tree_attribution_small
+QUERIES["boosted_tree_leaf_wise"] = q_boosted_tree_leaf_wise
+QUERIES["boosted_tree_second_order"] = q_boosted_tree_second_order
+
+
+# ---------------------------------------------------------------- sheets and sinks
+SHEET_TOP = 7  # lines above the tables of the sheets written below
+SHEET_ROWS = 12_500
+
+
+def q_header_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Sheets written from ``orders``, read back: tables of any length, of one or two rows, and with keys that begin far down."""
+    from terrarank.sources import read_sheets
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    # sheet 0, 1, 2 hold one, two and up to 40 orders of the table; the others what is left, SHEET_ROWS a sheet at most
+    nth = F.row_number().over(Window.partitionBy(F.floor(F.col("o_orderkey") / SHEET_ROWS)).orderBy("o_orderkey"))
+    block = F.floor(F.col("o_orderkey") / SHEET_ROWS)
+    o = o.withColumn("block", block).withColumn("nth", nth).withColumn("small", F.col("block") == 0)
+    sheet = (F.when(F.col("small") & (F.col("nth") == 1), 0).when(F.col("small") & (F.col("nth") <= 3), 1)
+             .when(F.col("small") & (F.col("nth") <= 43), 2).otherwise(F.col("block") + 3).cast("long"))
+    o = o.withColumn("sheet", sheet)
+    o = o.withColumn("line", F.row_number().over(Window.partitionBy("sheet").orderBy("o_orderkey")))
+    key = F.when((F.col("sheet") == 2) & (F.col("line") <= 22), F.lit("n/a")).otherwise((F.col("o_orderkey") + 1_000_000).cast("string"))
+    rows = o.select("sheet", F.col("line").cast("long").alias("line"), F.concat_ws(";", F.col("o_orderstatus"), key, F.lit("")).alias("value"))
+    tops = rows.select("sheet").distinct().select("sheet", F.explode(F.sequence(F.lit(-SHEET_TOP), F.lit(0))).cast("long").alias("line"))
+    tops = tops.withColumn("value", F.when(F.col("line") == 0, "status;order;note").otherwise(F.concat(F.lit("about this sheet "), -F.col("line"))))
+    base = _scratch(spark, "sheets")
+    rows.unionByName(tops).repartition("sheet").sortWithinPartitions("sheet", "line").select("sheet", "value").write.partitionBy("sheet").text(base)
+    found = read_sheets(spark, base)
+    sheet = F.regexp_extract("file", "sheet=([0-9]+)", 1).cast("long")
+    return found.select(sheet.alias("sheet"), "offset", "key_name", "key", F.element_at("cells", 1).alias("status"))
+
+
+def q_skipped_and_replaced_writes(spark: SparkSession, d: str) -> DataFrame:
+    """What lies at three targets after a second write: a complete one is left alone, a half-written and an absent one are written."""
+    from terrarank.sources import write_if_absent
+    from terrarank.sources.sinks import remove_dataset
+    base = _scratch(spark, "skipped")
+    c = A.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    even, odd = c.where("c_custkey % 2 = 0"), c.where("c_custkey % 2 = 1")
+    for name in ("complete", "half"):
+        even.write.parquet(f"{base}/{name}")
+    remove_dataset(spark, f"{base}/half/_SUCCESS")  # as a killed job leaves it
+    for name in ("complete", "half", "absent"):
+        write_if_absent(odd, f"{base}/{name}")
+    parts = [spark.read.schema(c.schema).parquet(f"{base}/{n}").withColumn("target", F.lit(n)) for n in ("complete", "half", "absent")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_refreshed_years(spark: SparkSession, d: str) -> DataFrame:
+    """The yearly order values after a rerun in which one year changed and another is gone, read back; and whether its files were written anew."""
+    from terrarank.sources import refresh_partitions
+    path = _scratch(spark, "years")
+    first = A.gdp_extract(spark, d)
+    refresh_partitions(first, path, A.YEAR)
+
+    def files():
+        return set(spark.read.parquet(path).inputFiles())
+
+    before = files()
+    again = first.where("year <> 1998").withColumn("gdp_k", F.when(F.col("year") == 1997, F.col("gdp_k") + 1).otherwise(F.col("gdp_k")))
+    refresh_partitions(again, path, A.YEAR)
+    kept = before & files()
+    rows = spark.read.schema(first.schema).parquet(path)
+    years = sorted({int(f.split("/year=")[1].split("/")[0]) for f in kept})  # a number a year
+    return rounded(rows.groupBy("year").agg(F.count(F.lit(1)).alias("entities"), F.sum("gdp_k").alias("gdp_k"))
+                   .withColumn("rewritten", ~F.col("year").isin(years)))
+
+
+def q_swapped_table(spark: SparkSession, d: str) -> DataFrame:
+    """A catalog table replaced by a new version of its rows, read by name."""
+    import uuid
+
+    from terrarank.session import checkpoint_dir
+    from terrarank.sources import swap_table
+    name, folder = f"swapped_{uuid.uuid4().hex}", f"{checkpoint_dir(spark)}/tables"
+    s = A.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    swap_table(s.where("s_suppkey % 3 = 0"), name, folder)
+    swap_table(s, name, folder)
+    return spark.table(name)
+
+
+QUERIES.update({
+    "header_offsets": q_header_offsets,
+    "skipped_and_replaced_writes": q_skipped_and_replaced_writes,
+    "refreshed_years": q_refreshed_years,
+    "swapped_table": q_swapped_table,
+})
+
+
+# ---------------------------------------------------------------- silhouette of given labels
+def q_silhouette_of_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Mean silhouette of every label over the sampled entities."""
+    from terrarank.operators.silhouette import silhouettes
+    rows = _labelled(spark, d).select(A.KEY, "cluster_label", "score", F.coalesce("pct_native", F.lit(0.0)).alias("pct_native"),
+                                      F.coalesce("population", F.lit(0.0)).alias("population"))
+    found = silhouettes(rows, A.KEY, ["score", "pct_native", "population"], "cluster_label")
+    return rounded(found.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette")))
+
+
+QUERIES["silhouette_of_labels"] = q_silhouette_of_labels
+
+
+# ---------------------------------------------------------------- landed forms and cleaning rules
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from terrarank.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _flat_orders(spark: SparkSession, d: str, value: str) -> DataFrame:
+    """Order values as a flat extract, every seventh with the missing marker."""
+    shown = F.when(F.col("o_orderkey") % 7 == 0, F.lit("..")).otherwise(F.format_string("%.2f", F.col(value).cast("double")))
+    return A.table(spark, d, "orders").select(
+        (F.col("o_orderkey") + 1_000_000).cast("string").alias("D1C"), F.year("o_orderdate").cast("string").alias("D2C"), shown.alias("V"))
+
+
+def q_missing_tokens(spark: SparkSession, d: str) -> DataFrame:
+    from terrarank.functions import to_integer
+    marked = F.when(F.col("event_id") % 5 == 0, F.lit("..")).when(F.col("event_id") % 5 == 1, F.lit(" .. ")).otherwise(F.col("value").cast("string"))
+    e = A.table(spark, d, "events").select("event_id", marked.alias("raw"), F.when(F.col("event_id") % 3 > 0, F.col("user_id").cast("string")).otherwise("..").alias("who"))
+    return rounded(e.select("event_id", to_numeric("raw").alias("value_num"), to_integer("who").alias("who_int")))
+
+
+def q_clean_herd_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with the missing marker stay, with a NULL herd."""
+    from terrarank.operators.reshape import clean_herd
+    return rounded(clean_herd(_flat_orders(spark, d, "o_custkey")))
+
+
+def q_entity_level_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of a state or the country are shorter than an entity's."""
+    from terrarank.operators.reshape import keep_entity_level
+    key = F.when(F.col("o_orderkey") % 9 == 0, F.substring((F.col("o_orderkey") + 1_000_000).cast("string"), 1, 2)).otherwise(
+        F.concat(F.lit(" "), (F.col("o_orderkey") + 1_000_000).cast("string")))
+    return keep_entity_level(A.table(spark, d, "orders").select("o_orderkey", key.alias("raw")), "raw").select("o_orderkey", normalize_key("raw").alias("key"))
+
+
+def q_flat_json_extract(spark: SparkSession, d: str) -> DataFrame:
+    """JSON arrays written from ``orders``, each with a title record first, read back and cleaned."""
+    from terrarank.operators.reshape import clean_gdp
+    from terrarank.sources import read_flat_json
+    base = _scratch(spark, "flat-json")
+    rows = _flat_orders(spark, d, "o_totalprice").select(F.floor(F.col("D1C").cast("long") / 500).alias("block"), F.to_json(F.struct("D1C", "D2C", "V")).alias("j"))
+    title = F.lit('{"D1C": "Entity (code)", "D2C": "Year (code)", "V": "Value"}')
+    files = rows.groupBy("block").agg(F.concat(F.lit("["), title, F.lit(", "), F.array_join(F.collect_list("j"), ", "), F.lit("]")).alias("value"))  # 500 rows a file
+    files.select("block", "value").repartition("block").write.partitionBy("block").text(base)
+    return rounded(clean_gdp(read_flat_json(spark, f"{base}/*/*.txt")))
+
+
+def q_csv_extract(spark: SparkSession, d: str) -> DataFrame:
+    """A CSV export read back with a declared schema; the first source with rows is taken."""
+    from terrarank.sources import empty_like, export_csv, first_nonempty, read_csv_extract
+    base = _scratch(spark, "csv")
+    schema = "p_partkey bigint, p_size int, label string"
+    parts = A.table(spark, d, "part").select("p_partkey", "p_size", F.concat(F.lit('size "'), F.col("p_size"), F.lit('", of '), F.col("p_partkey")).alias("label"))
+    export_csv(parts, base)
+    return first_nonempty([lambda: empty_like(spark, schema), lambda: read_csv_extract(spark, base, schema)])
+
+
+def q_score_geography(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked entities on the map: those whose state has a shape."""
+    from terrarank.operators.joins import attach_geography
+    c = A.table(spark, d, "customer").where("c_nationkey < 15").select(
+        F.col("c_custkey").alias(A.KEY), F.concat(F.lit("shape "), F.col("c_nationkey")).alias("geom_ref"))
+    return attach_geography(entropy_ranking(spark, d).select(A.KEY, "score", "rank"), c, A.KEY)
+
+
+def q_index_without_indicator(spark: SparkSession, d: str) -> DataFrame:
+    """The entropy index of a table that lacks one indicator."""
+    import warnings
+    m = _index_input(spark, d).drop(A.ABSENT_INDICATOR)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # that it is missing is the point
+        ranking, _ = build_index(m, A.KEY, DIM_KEEP, weighting="entropy", round_score=DIGITS)
+    return ranking.select(A.KEY, "score", "rank")
+
+
+QUERIES.update({
+    "missing_tokens": q_missing_tokens,
+    "clean_herd_extract": q_clean_herd_extract,
+    "entity_level_rows": q_entity_level_rows,
+    "flat_json_extract": q_flat_json_extract,
+    "csv_extract": q_csv_extract,
+    "score_geography": q_score_geography,
+    "index_without_indicator": q_index_without_indicator,
+})

@@ -191,14 +191,25 @@ def run_transform(spark, paths: Mapping[str, str], out_dir: str, groups: Mapping
                   catalog: str | None = None) -> DataFrame:
     """Load → clean → facts → wide table → Parquet (facts partitioned by year).
 
-    ``catalog``: a prefix under which every written dataset is also a catalog
-    table over the written files. Returns the wide table as written.
+    A rerun writes only the years of a fact whose rows changed. ``catalog``: a
+    prefix under which every written dataset is also a catalog table over the
+    written files. Returns the wide table as written.
     """
-    from terrarank.sources import load_sources, save_table, write_parquet
+    from terrarank.sources import load_sources, refresh_partitions, register_dataset, write_parquet
+    from terrarank.sources.sinks import remove_dataset
     facts, master = transform(load_sources(spark, paths), groups, ref_year, change_start, min_rows)
     for name, df in {**facts, "master": master}.items():
         path = f"{out_dir}/{name}"
-        written = write_parquet(df, path, partition_by=["year"] if name.startswith("fact_") and "year" in df.columns else None)
+        if name.startswith("fact_") and "year" in df.columns:
+            df = df.persist()  # compared, then written
+            written = not df.isEmpty()
+            if written:
+                refresh_partitions(df, path, "year")
+            else:
+                remove_dataset(spark, path)
+            df.unpersist()
+        else:
+            written = write_parquet(df, path)
         if written and catalog is not None:
-            save_table(spark.read.parquet(path), f"{catalog}{name}", temp_view=True)
+            register_dataset(spark, f"{catalog}{name}", path)
     return spark.read.schema(master.schema).parquet(f"{out_dir}/master")

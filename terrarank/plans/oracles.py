@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from terrarank.config import DEFAULT_INDICATORS, LAND_COVER_LABELS
+from terrarank.config import DEFAULT_INDICATORS, FEATURE_COLS, LAND_COVER_LABELS
 from terrarank.plans.analog import (
-    ASOF_REF_YEAR, CHANGE_END, KPI_STATES, CHANGE_START, EVENT_GROUPS, GATE_MIN_ROWS, REF_YEAR,
+    ABSENT_INDICATOR, ASOF_REF_YEAR, CHANGE_END, KPI_STATES, CHANGE_START, EVENT_GROUPS, GATE_MIN_ROWS, LEAF_WISE_SMALL, REF_YEAR, SECOND_ORDER_SMALL,
+    TREE_CUTS,
 )
 from terrarank.plans.sqlparts import (
     COMP_COLS, DIM, DIM as DIM_SQL, EVENTS_LONG, GDP, HERD, IND, LANDUSE, POP, CROPS, change_select, composition_select,
@@ -577,3 +578,199 @@ def _attribution():
 
 ORACLES["cv_ols_metrics"] = _cv_ols()
 ORACLES["attribution_of_coefficients"] = _attribution()
+
+
+# ---------------------------------------------------------------- elastic net by coordinate descent over the Gram matrix
+SWEEPS = 150
+
+
+def _cv_elastic_net():
+    """All folds' sums of products at once; a recursive query visits one weight of every fold's fit a step."""
+    k = len(FEATURE_COLS)
+    medians = ", ".join(f"{sql_quantile(f, 0.5)} AS {f}" for f in FEATURE_COLS)
+    imputed = ", ".join(f"COALESCE(CAST(m.{f} AS DOUBLE), md.{f}) AS {f}" for f in FEATURE_COLS)
+    moments = ", ".join(f"AVG({f}) AS a_{f}, stddev_pop({f}) AS s_{f}" for f in FEATURE_COLS)
+    scaled = ", ".join(f"(i.{f} - a_{f}) / CASE WHEN s_{f} = 0 THEN 1 ELSE s_{f} END" for f in FEATURE_COLS)
+    new = f"(CASE WHEN ABS(rho) > 0.5 THEN (ABS(rho) - 0.5) * SIGN(rho) ELSE 0 END) / (diag + 0.5)"
+    return f"""{_full_prefix()},
+lab AS (SELECT sc.entity_key, (sc.raw - smm.lo) / (smm.hi - smm.lo) * 100 AS label FROM sc CROSS JOIN smm),
+md AS (SELECT {medians} FROM master),
+imp AS (SELECT m.entity_key, {imputed} FROM master m CROSS JOIN md),
+mo AS (SELECT {moments} FROM imp),
+z AS (SELECT CAST(('0x' || substr(md5(CAST(i.entity_key AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS fold,
+             [{scaled}, l.label - (SELECT AVG(label) FROM lab), 1.0] AS v
+      FROM imp i CROSS JOIN mo JOIN lab l ON l.entity_key = i.entity_key),
+own AS (SELECT fold, i, j, SUM(v[i] * v[j]) AS p FROM z, range(1, {k + 3}) a(i), range(1, {k + 3}) b(j) GROUP BY fold, i, j),
+total AS (SELECT i, j, SUM(p) AS p FROM own GROUP BY i, j),
+train AS (SELECT o.fold AS t, i, j, total.p - o.p AS p FROM own o JOIN total USING (i, j) UNION ALL SELECT -1, i, j, p FROM total),
+held AS (SELECT fold AS t, i, j, p FROM own UNION ALL SELECT -1, i, j, p FROM total),
+cnt AS (SELECT t, p AS n FROM train WHERE i = {k + 2} AND j = {k + 2}),
+mean AS (SELECT t, i, p / n AS m FROM train JOIN cnt USING (t) WHERE j = {k + 2}),
+cov AS (SELECT train.t, train.i, train.j, p / n - a.m * b.m AS c FROM train JOIN cnt USING (t)
+        JOIN mean a ON a.t = train.t AND a.i = train.i JOIN mean b ON b.t = train.t AND b.i = train.j),
+gram AS (SELECT t, i, list(c ORDER BY j) FILTER (WHERE j <= {k}) AS row, MAX(c) FILTER (WHERE j = {k + 1}) AS target,
+                MAX(c) FILTER (WHERE j = i) AS diag FROM cov WHERE i <= {k} GROUP BY t, i),
+steps AS (SELECT t, 0 AS s, list_value({", ".join(["CAST(0 AS DOUBLE)"] * k)}) AS w FROM cnt
+          UNION ALL
+          SELECT t, s + 1, list_concat(list_concat(list_slice(w, 1, i - 1), [{new}]), list_slice(w, i + 1, {k}))
+          FROM (SELECT st.t, s, w, g.i, g.diag, g.target - list_dot_product(g.row, w) + g.diag * w[g.i] AS rho
+                FROM steps st JOIN gram g ON g.t = st.t AND g.i = st.s % {k} + 1 WHERE st.s < {k * SWEEPS}) x),
+fit AS (SELECT t, w FROM steps WHERE s = {k * SWEEPS}),
+xw AS (SELECT t, i, CASE WHEN i <= {k} THEN -w[i] ELSE 1 END AS c FROM fit, range(1, {k + 2}) a(i)),
+off AS (SELECT xw.t, SUM(c * m) AS b FROM xw JOIN mean ON mean.t = xw.t AND mean.i = xw.i GROUP BY xw.t),
+sse AS (SELECT h.t, SUM(a.c * b.c * p) AS q FROM held h JOIN xw a ON a.t = h.t AND a.i = h.i JOIN xw b ON b.t = h.t AND b.i = h.j
+        GROUP BY h.t),
+lin AS (SELECT h.t, SUM(a.c * p) AS s FROM held h JOIN xw a ON a.t = h.t AND a.i = h.i WHERE j = {k + 2} GROUP BY h.t),
+sums AS (SELECT t, MAX(p) FILTER (WHERE i = {k + 2} AND j = {k + 2}) AS n, MAX(p) FILTER (WHERE i = {k + 1} AND j = {k + 1}) AS yy,
+                MAX(p) FILTER (WHERE i = {k + 1} AND j = {k + 2}) AS y FROM held GROUP BY t),
+err AS (SELECT t, SQRT((q - 2 * b * s + n * b * b) / n) AS rmse, 1 - (q - 2 * b * s + n * b * b) / (yy - y * y / n) AS r2
+        FROM sse JOIN lin USING (t) JOIN off USING (t) JOIN sums USING (t))
+SELECT 'elastic_net' AS model, {r6('AVG(rmse) FILTER (WHERE t >= 0)', 'cv_rmse_mean')},
+       {r6('stddev_pop(rmse) FILTER (WHERE t >= 0)', 'cv_rmse_std')}, {r6('AVG(r2) FILTER (WHERE t >= 0)', 'cv_r2_mean')},
+       {r6('stddev_pop(r2) FILTER (WHERE t >= 0)', 'cv_r2_std')}, {r6('MAX(r2) FILTER (WHERE t = -1)', 'train_r2')} FROM err"""
+
+
+ORACLES["cv_elastic_net"] = _cv_elastic_net()
+
+
+# ---------------------------------------------------------------- one boosted tree on given bins
+def _tree_ctes(cuts: dict, p) -> list[str]:
+    """Best-first growth written out: histograms, running sums and the best split of every open leaf, one split after another."""
+    names = list(cuts)
+    bins = " UNION ALL ".join(
+        f"SELECT entity_key, {i} AS f, CASE WHEN {f} IS NULL THEN -1 ELSE "
+        + (" + ".join(f"CAST({f} > CAST({c} AS DOUBLE) AS INTEGER)" for c in cuts[f]) or "0") + f" END AS b FROM t0" for i, f in enumerate(names))
+    every = " UNION ALL ".join(f"SELECT {i} AS f, unnest(range(0, {len(cuts[f])})) AS cut" for i, f in enumerate(names))
+    out = [f"t0 AS (SELECT m.entity_key, {', '.join(f'CAST(m.{f} AS DOUBLE) AS {f}' for f in names)}, r.score AS y "
+           "FROM master m JOIN ranking r ON r.entity_key = m.entity_key WHERE r.score IS NOT NULL)",
+           "res AS (SELECT entity_key, y - (SELECT AVG(y) FROM t0) AS r FROM t0)",
+           f"bins AS ({bins})", f"cuts AS ({every})", "a0 AS (SELECT entity_key, 0 AS node FROM t0)",
+           "d0 AS (SELECT 0 AS node, 0 AS depth)"]
+    for s in range(p.max_leaves - 1):
+        out += [
+            f"n{s} AS (SELECT node, SUM(r) AS r, COUNT(*) AS n FROM a{s} JOIN res USING (entity_key) GROUP BY node)",
+            f"h{s} AS (SELECT node, f, b, SUM(r) AS r, COUNT(*) AS n FROM a{s} JOIN res USING (entity_key) JOIN bins USING (entity_key) GROUP BY node, f, b)",
+            f"l{s} AS (SELECT n{s}.node, c.f, c.cut, side.nl AS null_left, n{s}.r AS tr, n{s}.n AS tn, "
+            f"COALESCE(SUM(h.r) FILTER (WHERE h.b BETWEEN 0 AND c.cut OR (h.b = -1 AND side.nl)), 0) AS lr, "
+            f"COALESCE(SUM(h.n) FILTER (WHERE h.b BETWEEN 0 AND c.cut OR (h.b = -1 AND side.nl)), 0) AS ln "
+            f"FROM n{s} CROSS JOIN cuts c CROSS JOIN (SELECT false AS nl UNION ALL SELECT true) side "
+            f"LEFT JOIN h{s} h ON h.node = n{s}.node AND h.f = c.f GROUP BY n{s}.node, c.f, c.cut, side.nl, n{s}.r, n{s}.n)",
+            f"g{s} AS (SELECT l.*, ROUND(lr * lr / (ln + {p.l2}) + (tr - lr) * (tr - lr) / (tn - ln + {p.l2}) - tr * tr / (tn + {p.l2}), 6) AS gain "
+            f"FROM l{s} l JOIN d{s} ON d{s}.node = l.node WHERE ln >= {max(p.min_rows, 1)} AND tn - ln >= {max(p.min_rows, 1)} AND depth < {p.max_depth})",
+            f"b{s} AS (SELECT * FROM g{s} WHERE gain > 0 ORDER BY gain DESC, node, f, cut, null_left LIMIT 1)",
+            f"a{s + 1} AS (SELECT a.entity_key, CASE WHEN b{s}.node IS NULL THEN a.node WHEN (x.b = -1 AND b{s}.null_left) OR (x.b BETWEEN 0 AND b{s}.cut) "
+            f"THEN {2 * s + 1} ELSE {2 * s + 2} END AS node FROM a{s} a LEFT JOIN b{s} ON b{s}.node = a.node "
+            f"LEFT JOIN bins x ON x.entity_key = a.entity_key AND x.f = b{s}.f)",
+            f"d{s + 1} AS (SELECT * FROM d{s} UNION ALL SELECT {2 * s + 1} + k, depth + 1 FROM b{s} JOIN d{s} USING (node), (SELECT 0 AS k UNION ALL SELECT 1) kk)",
+        ]
+    last = p.max_leaves - 1
+    out.append(f"n{last} AS (SELECT node, SUM(r) AS r, COUNT(*) AS n FROM a{last} JOIN res USING (entity_key) GROUP BY node)")
+    splits = " UNION ALL ".join(f"SELECT {s} AS s, node, f, cut, null_left, gain, tr, tn FROM b{s}" for s in range(last))
+    out.append(f"splits AS ({splits})")
+    out.append(f"nodes AS (SELECT node, s, f, cut, null_left, gain, tr / (tn + {p.l2}) AS value, tn AS n FROM splits UNION ALL "
+               f"SELECT node, NULL, NULL, NULL, NULL, NULL, r / (n + {p.l2}), n FROM n{last})")
+    return out
+
+
+def _boosted_tree(cuts: dict, p) -> str:
+    pick = " ".join(f"WHEN {i} THEN {q(f)}" for i, f in enumerate(cuts))
+    return (f"{index_prefix()}, " + ",\n".join(_tree_ctes(cuts, p))
+            + f" SELECT CAST(node AS INTEGER) AS node, CASE f {pick} END AS feature, CAST(cut AS INTEGER) AS cut, null_left, {r6('gain', 'gain')}, "
+            f"{r6('value', 'value')}, CAST(n AS BIGINT) AS n FROM nodes t")
+
+
+def _tree_attribution(cuts: dict, p) -> str:
+    """Paths by walking up from the leaves, then every coalition of a path's features."""
+    pick = " ".join(f"WHEN {i} THEN {q(f)}" for i, f in enumerate(cuts))
+    fact = "CASE {0} WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 6 END"
+    return (f"{index_prefix().replace('WITH ', 'WITH RECURSIVE ', 1)}, " + ",\n".join(_tree_ctes(cuts, p)) + f""",
+edges AS (SELECT 2 * s + 1 + k AS child, node, f, CASE WHEN k = 0 THEN 0 ELSE cut + 1 END AS low, CASE WHEN k = 0 THEN cut ELSE 32768 END AS high,
+                 null_left = (k = 0) AS null_ok FROM nodes, (SELECT 0 AS k UNION ALL SELECT 1) x WHERE s IS NOT NULL),
+walk AS (SELECT node AS leaf, node AS at, CAST(NULL AS BIGINT) AS f, 0 AS low, 0 AS high, true AS null_ok, CAST(1 AS DOUBLE) AS z FROM nodes WHERE s IS NULL
+         UNION ALL
+         SELECT w.leaf, e.node, e.f, e.low, e.high, e.null_ok, CAST(c.n AS DOUBLE) / q.n FROM walk w JOIN edges e ON e.child = w.at
+         JOIN nodes c ON c.node = e.child JOIN nodes q ON q.node = e.node),
+els AS (SELECT leaf, f, MAX(low) AS low, MIN(high) AS high, bool_and(null_ok) AS null_ok, product(z) AS z FROM walk WHERE f IS NOT NULL GROUP BY leaf, f),
+el AS (SELECT els.*, ROW_NUMBER() OVER (PARTITION BY leaf ORDER BY f) - 1 AS nth, COUNT(*) OVER (PARTITION BY leaf) AS d FROM els),
+coal AS (SELECT el.leaf, el.f AS own, m, v.value * {p.rate} * ({fact.format('bit_count(m)')}) * ({fact.format('(d - bit_count(m) - 1)')}) / CAST({fact.format('d')} AS DOUBLE) AS w
+         FROM el JOIN nodes v ON v.node = el.leaf, range(0, 4) r(m) WHERE m < (1 << d) AND ((m >> nth) & 1) = 0),
+met AS (SELECT b.entity_key, el.leaf, el.f, el.nth, el.z, CAST(CASE WHEN b.b < 0 THEN null_ok ELSE b.b BETWEEN low AND high END AS DOUBLE) AS o
+        FROM bins b JOIN el ON el.f = b.f),
+parts AS (SELECT met.entity_key, met.leaf, coal.own, coal.m, MAX(w) AS w,
+                 product(CASE WHEN met.f = coal.own THEN o - z WHEN ((m >> nth) & 1) = 1 THEN o ELSE z END) AS p
+          FROM met JOIN coal ON coal.leaf = met.leaf GROUP BY met.entity_key, met.leaf, coal.own, coal.m)
+SELECT entity_key, CASE own {pick} END AS feature, {r6('SUM(p * w)', 'attribution')} FROM parts GROUP BY entity_key, own""")
+
+
+ORACLES["tree_attribution_small"] = _tree_attribution(TREE_CUTS, SECOND_ORDER_SMALL)
+ORACLES["boosted_tree_leaf_wise"] = _boosted_tree(TREE_CUTS, LEAF_WISE_SMALL)
+ORACLES["boosted_tree_second_order"] = _boosted_tree(TREE_CUTS, SECOND_ORDER_SMALL)
+
+
+# ---------------------------------------------------------------- sheets and sinks
+def _header_offsets():
+    """Line n of a sheet (from 0) is row n - 7; the header line tried is 9, 10, 8, then 7."""
+    return """
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderkey // 12500 AS block,
+                  row_number() OVER (PARTITION BY o_orderkey // 12500 ORDER BY o_orderkey) AS nth FROM orders),
+s AS (SELECT *, CASE WHEN block = 0 AND nth = 1 THEN 0 WHEN block = 0 AND nth <= 3 THEN 1 WHEN block = 0 AND nth <= 43 THEN 2 ELSE block + 3 END AS sheet FROM o),
+l AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY o_orderkey) AS line FROM s),
+k AS (SELECT *, CASE WHEN sheet = 2 AND line <= 22 THEN 'n/a' ELSE CAST(o_orderkey + 1000000 AS VARCHAR) END AS cell FROM l),
+c AS (SELECT DISTINCT sheet, CASE sheet WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN 10 ELSE 9 END AS off FROM k)
+SELECT CAST(k.sheet AS BIGINT) AS sheet, CAST(off AS INTEGER) AS "offset", CASE WHEN off = 7 THEN 'order' ELSE h.cell END AS key_name,
+       k.cell AS key, k.o_orderstatus AS status
+FROM k JOIN c ON c.sheet = k.sheet LEFT JOIN k h ON h.sheet = k.sheet AND h.line = off - 7
+WHERE k.line > off - 7 AND k.cell <> 'n/a'"""
+
+
+ORACLES["header_offsets"] = _header_offsets()
+ORACLES["skipped_and_replaced_writes"] = (
+    "SELECT c_custkey, c_nationkey, 'complete' AS target FROM customer WHERE c_custkey % 2 = 0 UNION ALL "
+    "SELECT c_custkey, c_nationkey, t FROM customer, (SELECT 'half' AS t UNION ALL SELECT 'absent') x WHERE c_custkey % 2 = 1")
+ORACLES["refreshed_years"] = (
+    f"WITH {GDP} SELECT year, COUNT(*) AS entities, {r6('SUM(gdp_k + CASE WHEN year = 1997 THEN 1 ELSE 0 END)', 'gdp_k')}, "
+    "year = 1997 AS rewritten FROM gdp WHERE year <> 1998 GROUP BY year")
+ORACLES["swapped_table"] = "SELECT s_suppkey, s_nationkey FROM supplier"
+
+
+def _silhouette():
+    return f"""{_labelled()},
+pts AS (SELECT entity_key, cluster_label, score AS x, COALESCE(pct_native, 0) AS y, COALESCE(population, 0) AS z FROM lab
+        WHERE score IS NOT NULL AND cluster_label IS NOT NULL ORDER BY md5(CAST(entity_key AS VARCHAR)), entity_key LIMIT 2000),
+sizes AS (SELECT cluster_label, COUNT(*) AS n FROM pts GROUP BY cluster_label),
+sums AS (SELECT a.entity_key, a.cluster_label, b.cluster_label AS other,
+                SUM(SQRT((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) AS s FROM pts a CROSS JOIN pts b
+         GROUP BY a.entity_key, a.cluster_label, b.cluster_label),
+ab AS (SELECT entity_key, sums.cluster_label, MAX(own.n) AS n, MAX(s) FILTER (WHERE other = sums.cluster_label) / NULLIF(MAX(own.n) - 1, 0) AS a,
+              MIN(s / sizes.n) FILTER (WHERE other <> sums.cluster_label) AS b
+       FROM sums JOIN sizes ON sizes.cluster_label = other JOIN sizes own ON own.cluster_label = sums.cluster_label GROUP BY entity_key, sums.cluster_label)
+SELECT cluster_label, COUNT(*) AS n, {r6('AVG(CASE WHEN n > 1 THEN (b - a) / GREATEST(a, b) ELSE 0 END)', 'silhouette')} FROM ab GROUP BY cluster_label"""
+
+
+ORACLES["silhouette_of_labels"] = _silhouette()
+
+
+# ---------------------------------------------------------------- landed forms and cleaning rules
+def _flat(value: str) -> str:
+    return (f"CASE WHEN o_orderkey % 7 <> 0 THEN {value} END")
+
+
+def _index_without_indicator() -> str:
+    left = [i for i in DEFAULT_INDICATORS if i.name != ABSENT_INDICATOR]
+    return (f"WITH {master_ctes()}, {norm_ctes(left)}, {entropy_ctes(left)}, {entropy_score_ctes(left)} "
+            "SELECT entity_key, score, rank FROM ranking")
+
+
+ORACLES.update({
+    "missing_tokens": f"SELECT event_id, {r6('CASE WHEN event_id % 5 > 1 THEN value END', 'value_num')}, "
+                      "CASE WHEN event_id % 3 > 0 THEN CAST(user_id AS INTEGER) END AS who_int FROM events",
+    "clean_herd_extract": "SELECT CAST(o_orderkey + 1000000 AS VARCHAR) AS entity_key, CAST(year(o_orderdate) AS INTEGER) AS year, "
+                          f"CAST({_flat('o_custkey')} AS DOUBLE) AS herd_total FROM orders",
+    "entity_level_rows": "SELECT o_orderkey, CAST(o_orderkey + 1000000 AS VARCHAR) AS key FROM orders WHERE o_orderkey % 9 <> 0",
+    "flat_json_extract": "SELECT CAST(o_orderkey + 1000000 AS VARCHAR) AS entity_key, CAST(year(o_orderdate) AS INTEGER) AS year, "
+                         f"CAST({_flat('ROUND(o_totalprice, 2)')} AS DOUBLE) AS gdp_k FROM orders",
+    "csv_extract": "SELECT p_partkey, p_size, 'size \"' || p_size || '\", of ' || p_partkey AS label FROM part",
+    "score_geography": f"{index_prefix()} SELECT ranking.entity_key, score, rank, 'shape ' || c_nationkey AS geom_ref "
+                       "FROM ranking JOIN customer ON c_custkey = ranking.entity_key WHERE c_nationkey < 15",
+    "index_without_indicator": _index_without_indicator(),
+})

@@ -56,10 +56,10 @@ def test_model_fitted_on_few_rows_ranks_many_without_one_task(spark):
     assert all("keys=[_b" in line for line in single)
 
 
-@pytest.mark.parametrize("walk, stretches", [(1000, 1024), (2, 3), (1, 1024)])
-def test_exact_quantiles_match_numpy(skewed, monkeypatch, walk, stretches):
-    monkeypatch.setattr(stats, "WALK_ROWS", walk)
-    monkeypatch.setattr(stats, "STRETCHES", stretches)
+@pytest.mark.parametrize("accuracy", [10_000, 500, 60, 20])
+def test_exact_quantiles_match_numpy(skewed, monkeypatch, accuracy):
+    monkeypatch.setattr(stats, "ACCURACY", accuracy)
+    monkeypatch.setattr(stats, "SMALL", 2 * accuracy)
     sdf, pdf = skewed
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     out = stats.exact_quantiles(sdf, ["v"], probs).collect()
@@ -69,10 +69,11 @@ def test_exact_quantiles_match_numpy(skewed, monkeypatch, walk, stretches):
         assert abs(got[p] - np.quantile(vals, p)) < 1e-9, (p, got[p])
 
 
-@pytest.mark.parametrize("walk", [1000, 5])
-def test_grouped_quantiles(spark, monkeypatch, walk):
+@pytest.mark.parametrize("accuracy", [10_000, 25])
+def test_grouped_quantiles(spark, monkeypatch, accuracy):
     """A large group, small ones, groups of two and one rows, one constant group, and the NULL group."""
-    monkeypatch.setattr(stats, "WALK_ROWS", walk)
+    monkeypatch.setattr(stats, "ACCURACY", accuracy)
+    monkeypatch.setattr(stats, "SMALL", 2 * accuracy)
     rng = np.random.default_rng(3)
     names = ["a"] * 3000 + ["b"] * 40 + ["c"] * 2 + ["d"] + [None] * 700 + ["e"] * 50
     values = np.where(np.array(names) == "e", 7.0, rng.normal(0, 1e6, len(names)))
@@ -85,6 +86,18 @@ def test_grouped_quantiles(spark, monkeypatch, walk):
         assert r.n == len(own) and abs(r.value - np.quantile(own, r.prob)) < 1e-9
 
 
+def test_brackets_hold_few_rows_and_a_miss_is_an_error(spark, monkeypatch):
+    df = spark.range(60_000).selectExpr("cast(hash(id) as double) as v", "id % 2 as g").persist()
+    t = stats._targets(df, ["v"], [0.25, 0.5], ["g"])
+    inside = df.join(t, "g").where("v between lo and hi").groupBy("g", "prob").count().collect()
+    assert len(inside) == 4 and max(r["count"] for r in inside) < 30_000 * 10 / stats.ACCURACY
+    plan = stats.order_statistics(df, ["v"], [0.5])._jdf.queryExecution().toString()
+    assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+    monkeypatch.setattr(stats, "_targets", lambda *a: t.withColumn("hi", F.col("lo")).withColumn("lo", F.col("lo") - 1))
+    with pytest.raises(Exception, match="missed its rank"):
+        stats.order_statistics(df, ["v"], [0.25, 0.5], ["g"]).collect()
+
+
 def test_all_null_column_median(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     med = stats.column_medians(df, ["a", "b"])
