@@ -11,7 +11,9 @@ is contaminated.
 
 While the benchmark holds at most ``BROADCAST_WORDS`` words (counted first) it
 travels to the tasks and the documents are read once without a shuffle;
-beyond that, document and item seeds meet in a Spark join.
+beyond that, document and item seeds meet in a Spark join: seeds of the sizes
+that items have, and of those only the ones that pass a filter of the items'
+seeds of fixed size, are shuffled.
 
 Cases: null or empty texts and items share no seed; an item shorter than a
 seed is one seed; equal lengths are marked in the order of the item, then of
@@ -28,9 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from terrarank.llm.common import byte_batches, materialize, mix64, texts_of, word_count
@@ -38,6 +41,9 @@ from terrarank.llm.common import byte_batches, materialize, mix64, texts_of, wor
 SEED_WORDS = 5
 COVERAGE = 0.8
 BROADCAST_WORDS = 300_000
+PAIRS = 1 << 18  # pairs of equal windows looked at together
+FILTER_BITS = 27  # of the filter that the seeds of documents pass before they are shuffled
+ITEMS_PER_ROW = 256  # items compared with one copy of a document's text
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2 ** 64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -69,6 +75,16 @@ def _free(marked: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(total[size:] == total[:-size])
 
 
+def _runs(diagonal: np.ndarray, own: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces (diagonal, item start, length) that follow one another on a diagonal, joined."""
+    by = np.lexsort((own, diagonal))
+    diagonal, own, count = diagonal[by], own[by], count[by]
+    new = np.ones(len(own), bool)
+    new[1:] = (np.diff(diagonal) != 0) | (own[1:] != own[:-1] + count[:-1])
+    starts = np.flatnonzero(new)
+    return diagonal[starts], own[starts], np.add.reduceat(count, starts) if len(starts) else count
+
+
 def _matches(item: Running, doc: Running, item_free: np.ndarray, doc_free: np.ndarray, size: int):
     """Maximal diagonal runs (length, item start, doc start) of equal free windows."""
     a, b = item.windows(size)[item_free], doc.windows(size)[doc_free]
@@ -77,15 +93,18 @@ def _matches(item: Running, doc: Running, item_free: np.ndarray, doc_free: np.nd
     times = high - low
     if not times.any():
         return []
-    at = np.repeat(doc_free, times)
-    first = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times)
-    own = item_free[order[first + np.arange(len(at))]]
-    diagonal = at - own
-    by = np.lexsort((own, diagonal))
-    own, diagonal = own[by], diagonal[by]
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(diagonal) != 0) | (np.diff(own) != 1)]))
-    sizes = np.diff(np.append(starts, len(own))) + size - 1
-    return list(zip(sizes.tolist(), own[starts].tolist(), (own + diagonal)[starts].tolist()))
+    # pairs of equal windows, so many at a time; runs cut by a block's end are joined afterwards
+    parts = []
+    block = np.cumsum(times) // PAIRS
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(times)]
+    for lo, hi in zip(edges, edges[1:]):
+        t = times[lo:hi]
+        at = np.repeat(doc_free[lo:hi], t)
+        first = np.repeat(low[lo:hi] - (np.cumsum(t) - t), t)
+        own = item_free[order[first + np.arange(len(at))]]
+        parts.append(_runs(at - own, own, np.ones(len(at), np.int64)))
+    diagonal, own, count = parts[0] if len(parts) == 1 else _runs(*(np.concatenate(p) for p in zip(*parts)))
+    return list(zip((count + size - 1).tolist(), own.tolist(), (own + diagonal).tolist()))
 
 
 def tile(item: np.ndarray, doc: np.ndarray, least: int = SEED_WORDS) -> list[tuple[int, int, int]]:
@@ -210,8 +229,9 @@ def _with_broadcast(rows: DataFrame, items: DataFrame, threshold: float) -> Data
     return rows.mapInArrow(run, schema)
 
 
-def _seed_rows(rows: DataFrame, name: str, width_of_short: bool) -> DataFrame:
-    """(size, seed, name) of every text: seeds of full size, and for short items one seed of their own size."""
+def _seed_rows(rows: DataFrame, name: str, sizes: list[int] | None = None, seen: Broadcast | None = None) -> DataFrame:
+    """(size, seed, name) of every text: for items one size each, for documents the ``sizes`` that items have, seeds that
+    pass the filter ``seen`` alone."""
     kind = rows.schema[name].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,41 +239,75 @@ def _seed_rows(rows: DataFrame, name: str, width_of_short: bool) -> DataFrame:
             for n, text in enumerate(texts_of(batch)):
                 words = words_of(text)
                 ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-                sizes = {min(SEED_WORDS, len(ids))} if width_of_short else range(1, SEED_WORDS + 1)
-                for size in sizes:
+                running = Running(ids)
+                for size in {min(SEED_WORDS, len(ids))} if sizes is None else sizes:
                     if size and len(ids) >= size:
-                        seeds = np.unique(Running(ids).windows(size)).view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(seeds), size, np.int32)), pa.array(seeds),
-                             batch.column(0).take(pa.array(np.full(len(seeds), n)))], names=["size", "seed", name])
+                        seeds = np.unique(running.windows(size))
+                        if seen is not None:
+                            places = _filter_place(seeds, size)
+                            seeds = seeds[(seen.value[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)]
+                        if len(seeds):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(seeds), size, np.int32)), pa.array(seeds.view(np.int64)),
+                                 batch.column(0).take(pa.array(np.full(len(seeds), n)))], names=["size", "seed", name])
 
     return rows.select(name, "text").mapInArrow(run, f"size int, seed long, {name} {kind}")
 
 
+def _filter_place(seeds: np.ndarray, size: int) -> np.ndarray:
+    return mix64(seeds + np.uint64(size)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _seed_filter(item_seeds: DataFrame) -> Broadcast:
+    """A bit for each place that some item's seed has, 2 ** FILTER_BITS in all, however many items there are.
+
+    Tasks send the words of 64 bits that they set, Spark joins them by or.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, seeds = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            places = mix64(seeds.view(np.uint64) + sizes.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+            at, which = np.unique(places >> np.uint64(6), return_inverse=True)
+            bits = np.zeros(len(at), np.uint64)
+            np.bitwise_or.at(bits, which, np.uint64(1) << (places & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(bits.view(np.int64))], names=["at", "bits"])
+
+    words = item_seeds.select("size", "seed").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)  # 16 MB
+    table[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return item_seeds.sparkSession.sparkContext.broadcast(table)
+
+
 def _with_join(rows: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     items = items.withColumn("item_key", F.xxhash64("item", "text"))
-    item_seeds = _seed_rows(items.select("item_key", "text"), "item_key", True)
+    item_seeds = materialize(_seed_rows(items.select("item_key", "text"), "item_key"), "benchmark-seeds")
+    sizes = [r["size"] for r in item_seeds.select("size").distinct().collect()]  # at most SEED_WORDS of them
     rows = rows.withColumn("row_key", F.xxhash64("id", "text_key"))
-    doc_seeds = _seed_rows(rows.select("row_key", "text"), "row_key", False)
+    doc_seeds = _seed_rows(rows.select("row_key", "text"), "row_key", sizes, _seed_filter(item_seeds))
     pairs = doc_seeds.join(item_seeds, ["size", "seed"]).select("row_key", "item_key").distinct()
-    both = (pairs.join(rows, "row_key").join(items.withColumnRenamed("text", "item_text"), "item_key")
-            .select("id", "text_key", "item", "text", "item_text"))
+    # a document's items in groups, so that its text travels once for a group
+    nth = F.row_number().over(Window.partitionBy("row_key").orderBy("item_key")) - 1
+    named = items.select("item_key", F.struct("item", F.col("text").alias("item_text")).alias("one"))
+    groups = (pairs.withColumn("part", F.floor(nth / ITEMS_PER_ROW)).join(named, "item_key")
+              .groupBy("row_key", "part").agg(F.collect_list("one").alias("items")))
+    both = groups.join(rows, "row_key").select("id", "text_key", "text", "items")
+    schema = StructType([both.schema["id"], both.schema["text_key"], StructField("item", items.schema["item"].dataType), *FIELDS])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_batches(batches, "text", 8 << 20):
-            where, out = [], []
-            for n, (text, item) in enumerate(zip(texts_of(batch), texts_of(batch, "item_text"))):
-                one = Benchmark([(0, item)])
-                found = compare(one.ids[0], one.word_ids(text), threshold)
-                if found:
-                    where.append(n)
-                    out.append(found)
-            take = pa.array(where, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(take) for k in range(3)), pa.array([o[0] for o in out], pa.float64()),
-                 pa.array([o[1] for o in out], pa.int32())], names=["id", "text_key", "item", "coverage", "n_tiles"])
+            out = []
+            for key, text_key, text, own in zip(*(c.to_pylist() for c in batch.columns)):
+                benchmark = Benchmark([(i["item"], i["item_text"]) for i in own])
+                doc = benchmark.word_ids(text)
+                for item, ids in zip(benchmark.keys, benchmark.ids):
+                    found = compare(ids, doc, threshold)
+                    if found:
+                        out.append({"id": key, "text_key": text_key, "item": item, "coverage": found[0], "n_tiles": found[1]})
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return both.mapInArrow(run, StructType([*both.schema.fields[:3], *FIELDS]))
+    return both.mapInArrow(run, schema)
 
 
 def _tiled(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str,

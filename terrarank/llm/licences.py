@@ -176,9 +176,13 @@ def scan(text: str | None, machine: ahocorasick.Automaton) -> dict:
     words = (text or "").encode().translate(_WORD_TABLE).split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     places, base, labels, scores, tagged = [], set(), set(), [], False
+    at = before = 0  # words before a place of the line, counted on from the last match
     for last, phrase in machine.iter(line):
         if phrase in BASE:
-            places.append(line.count(" ", 0, last - len(phrase) - 1))
+            start = last - len(phrase) - 1
+            before += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
+            at = start
+            places.append(before)
             base.add(BASE[phrase])
         elif phrase == TAG:
             tagged = True

@@ -120,14 +120,14 @@ QUERIES = {
 }
 
 def _mixture_sql() -> str:
-    """Caps by the order of size over weight; each round's order sample by a running sum over the whole order."""
+    """Caps by the order of size over weight; certain sizes from the largest down; each round's order sample by a running sum over the whole order."""
     rounds, chosen = [], "false"
     for k in range(ROUNDS):
         limit = "true" if k == 0 else f"size <= floor(budget{k})"
         rounds.append(f"""
         b{k} AS (SELECT *, greatest(rest - coalesce(sum(size) FILTER (WHERE {chosen}) OVER (PARTITION BY source), 0), 0) AS budget{k}
             FROM {f"r{k - 1}" if k else "keyed"}),
-        o{k} AS (SELECT *, NOT ({chosen}) AND share > 0 AND {limit} AS open{k} FROM b{k}),
+        o{k} AS (SELECT *, NOT ({chosen}) AND key IS NOT NULL AND {limit} AS open{k} FROM b{k}),
         r{k} AS (SELECT *, open{k} AND sum(size) FILTER (WHERE open{k}) OVER (
             PARTITION BY source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= budget{k} AS taken{k} FROM o{k})""")
         chosen = " OR ".join(f"coalesce(taken{j}, false)" for j in range(k + 1))
@@ -151,8 +151,13 @@ def _mixture_sql() -> str:
             SELECT d.*, p.source_size, p.target, p.whole, CASE WHEN p.source_size > 0 THEN p.target / p.source_size - p.whole ELSE 0 END AS share,
                    p.target - p.whole * p.source_size AS rest
             FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
-        odds AS (SELECT *, CASE WHEN share > 0 THEN (u / (1 - u)) / (share / (1 - share)) END AS q FROM keyed0),
-        keyed AS (SELECT *, floor(q / (1 + q) * 281474976710656) AS key FROM odds),
+        sizes AS (SELECT source, size, any_value(rest) AS rest, CAST(count(*) * size AS BIGINT) AS words FROM keyed0 WHERE rest > 0 AND size > 0 GROUP BY source, size),
+        summed AS (SELECT *, (rest - CAST(coalesce(sum(words) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+                / CAST(sum(words * size) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS c FROM sizes),
+        scales AS (SELECT source, arg_max(c, size) AS scale FROM summed WHERE c * size < 1 GROUP BY source),
+        likely AS (SELECT k.*, least(CAST(1 AS DOUBLE), coalesce(s.scale, 0) * size) AS p FROM keyed0 k LEFT JOIN scales s ON k.source IS NOT DISTINCT FROM s.source),
+        odds AS (SELECT *, u * (1 - p) * share AS a, (1 - u) * p * (1 - share) AS b FROM likely),
+        keyed AS (SELECT *, CASE WHEN share > 0 AND p > 0 THEN floor(a / (a + b) * 281474976710656) END AS key FROM odds),
         {",".join(rounds)},
         last AS (SELECT *, {chosen} AS sampled,
                 greatest(rest - coalesce(sum(size) FILTER (WHERE {chosen}) OVER (PARTITION BY source), 0), 0) AS gap FROM r{ROUNDS - 1}),

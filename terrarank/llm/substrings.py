@@ -14,9 +14,10 @@ Documents are packed into chunks, written once, and gone over three times.
 3. Removal. Words under a later copy go; later copies within a chunk are
    found there and then.
 
-The sketch is as wide as the counted words ask for; its stretches, and the
-exact groups, are as many as the shuffle has partitions, so both grow with
-the input and nothing passes through the driver or a broadcast.
+The sketch is as wide as the counted words ask for, in stretches of about
+``GROUP_BYTES`` of cells sent; the exact groups are as many as the keys
+estimated repeated ask for, of about that size too. Both, and the tasks that
+take them, grow in number with the input, not in size, and nothing passes through the driver or a broadcast.
 
 Cases: null and empty texts have no words; fewer words than a window stay as
 they are; windows may overlap their own copy; rows with the same id are
@@ -50,6 +51,8 @@ DEPTH = 2
 CELLS_PER_KEY = 4
 KEY_DENSITY = 2 / (WINDOW - RUN + 2)  # expected share of places that are some window's key
 LEAST_STRETCH, MOST_STRETCH = 14, 26  # bits
+GROUP_BYTES = 8 << 20  # sent to one group
+CELL_BYTES, WINDOW_BYTES = 3, 24  # what a key's cell and a window take on the way, at most
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _ROWS = [np.uint64(0x165667B19E3779F9 * (k + 1) % (1 << 64)) for k in range(DEPTH)]
@@ -198,8 +201,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: c[k].as_py() for n, c in zip(batch.schema.names, batch.columns)}
 
 
-def _estimates(packed: DataFrame, window: int, bits: int, stretch: int) -> DataFrame:
-    """(chunk, found): for each chunk which of its cells are repeated, row by row and stretch by stretch."""
+def _tasks(packed: DataFrame, groups: int) -> int:
+    """Tasks for so many groups of ``GROUP_BYTES``: a few each, and no fewer tasks than other shuffles have."""
+    return max(n_tasks(packed), groups // 2)
+
+
+def _estimates(packed: DataFrame, window: int, bits: int, stretch: int) -> tuple[DataFrame, int]:
+    """The written table (chunk, found): for each chunk which of its cells are repeated, row by row and stretch by
+    stretch; and how many windows their keys may stand for."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _rows(batches):
@@ -228,12 +237,17 @@ def _estimates(packed: DataFrame, window: int, bits: int, stretch: int) -> DataF
             total[distinct] = np.minimum(total[distinct] + added, 2).astype(np.uint8)
         bits_ = [np.packbits(total[cells] > 1).tobytes() for cells in own]
         return pd.DataFrame({"chunk": group["chunk"], "row": group["row"], "stretch": group["stretch"],
-                             "n": [len(c) for c in own], "bits": bits_})
+                             "n": [len(c) for c in own], "hits": [int((total[c] > 1).sum()) for c in own], "bits": bits_})
 
     parts = (packed.select("chunk", "lengths", "texts")
              .mapInArrow(sketch, "row int, stretch long, chunk long, cells binary, counts binary")
-             .groupBy("row", "stretch").applyInPandas(merge, "chunk long, row int, stretch long, n int, bits binary"))
-    return parts.groupBy("chunk").agg(F.collect_list(F.struct("row", "stretch", "n", "bits")).alias("found"))
+             .repartition(_tasks(packed, DEPTH << (bits - stretch)), "row", "stretch")
+             .groupBy("row", "stretch").applyInPandas(merge, "chunk long, row int, stretch long, n int, hits int, bits binary"))
+    found = parts.groupBy("chunk").agg(F.collect_list(F.struct("row", "stretch", "n", "bits")).alias("found"),
+                                       F.sum(F.when(F.col("row") == 0, F.col("hits"))).alias("keys"))
+    found = materialize(found, "substring-estimates")
+    keys = found.agg(F.sum("keys")).first()[0] or 0  # in one row of the sketch: no fewer than in all
+    return found.drop("keys"), int(keys / KEY_DENSITY)
 
 
 def _repeated(found: list[dict], keys: np.ndarray, bits: int) -> np.ndarray:
@@ -290,19 +304,25 @@ def _later(packed: DataFrame, estimates: DataFrame, window: int, bits: int, grou
                              "later": [_zip(np.diff(s[m], prepend=np.uint32(0))) for s, m in zip(starts, marks)]})
 
     return (joined.mapInArrow(send, "part long, chunk long, hashes binary, ids binary, starts binary")
-            .groupBy("part").applyInPandas(settle, "chunk long, later binary")
+            .repartition(_tasks(packed, 1 << group_bits), "part").groupBy("part").applyInPandas(settle, "chunk long, later binary")
             .groupBy("chunk").agg(F.collect_list("later").alias("later")))
 
 
+def _group_bits(docs: DataFrame, sent: int) -> int:
+    """Bits for groups of ``GROUP_BYTES``, and no fewer groups than a shuffle has tasks."""
+    return max(-(-sent // GROUP_BYTES) - 1, n_tasks(docs) - 1, 1).bit_length()
+
+
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                             chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(id, n_words, n_removed, text): the words of each document that no later copy of a window covers."""
     packed = pack(docs, id_col, text_col, chunk_bytes)
     words = packed.agg(F.sum("n_words")).first()[0] or 0
     bits = max(LEAST_STRETCH, int(words * KEY_DENSITY * CELLS_PER_KEY).bit_length())
-    tasks = max(1, n_tasks(docs) * 2).bit_length()
-    stretch = min(MOST_STRETCH, max(LEAST_STRETCH, bits - tasks))
-    later = _later(packed, _estimates(packed, window, bits, stretch), window, bits, tasks)
+    sent = int(words * KEY_DENSITY * CELL_BYTES)  # by each row of the sketch
+    stretch = min(MOST_STRETCH, max(LEAST_STRETCH, bits - _group_bits(docs, sent)))
+    estimates, windows = _estimates(packed, window, bits, stretch)
+    later = _later(packed, estimates, window, bits, _group_bits(docs, windows * WINDOW_BYTES))
     joined = packed.select("chunk", "ids", "lengths", "texts").join(later, "chunk", "left")
     schema = StructType([StructField(id_col, LongType()), StructField("n_words", LongType()),
                          StructField("n_removed", LongType()), StructField("text", StringType())])

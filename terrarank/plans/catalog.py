@@ -764,7 +764,7 @@ def q_header_offsets(spark: SparkSession, d: str) -> DataFrame:
     o = o.withColumn("line", F.row_number().over(Window.partitionBy("sheet").orderBy("o_orderkey")))
     key = F.when((F.col("sheet") == 2) & (F.col("line") <= 22), F.lit("n/a")).otherwise((F.col("o_orderkey") + 1_000_000).cast("string"))
     rows = o.select("sheet", F.col("line").cast("long").alias("line"), F.concat_ws(";", F.col("o_orderstatus"), key, F.lit("")).alias("value"))
-    tops = rows.select("sheet").distinct().select("sheet", F.explode(F.sequence(F.lit(-SHEET_TOP), F.lit(0))).cast("long").alias("line"))
+    tops = rows.select("sheet").distinct().crossJoin(spark.range(-SHEET_TOP, 1).withColumnRenamed("id", "line"))  # eight lines a sheet
     tops = tops.withColumn("value", F.when(F.col("line") == 0, "status;order;note").otherwise(F.concat(F.lit("about this sheet "), -F.col("line"))))
     base = _scratch(spark, "sheets")
     rows.unionByName(tops).repartition("sheet").sortWithinPartitions("sheet", "line").select("sheet", "value").write.partitionBy("sheet").text(base)
@@ -805,7 +805,8 @@ def q_refreshed_years(spark: SparkSession, d: str) -> DataFrame:
     kept = before & files()
     rows = spark.read.schema(first.schema).parquet(path)
     years = sorted({int(f.split("/year=")[1].split("/")[0]) for f in kept})  # a number a year
-    return rounded(rows.groupBy("year").agg(F.count(F.lit(1)).alias("entities"), F.sum("gdp_k").alias("gdp_k"))
+    total = F.sum(F.col("gdp_k").cast("decimal(18,2)")).cast("double")
+    return rounded(rows.groupBy("year").agg(F.count(F.lit(1)).alias("entities"), total.alias("gdp_k"))
                    .withColumn("rewritten", ~F.col("year").isin(years)))
 
 

@@ -728,14 +728,14 @@ ORACLES["skipped_and_replaced_writes"] = (
     "SELECT c_custkey, c_nationkey, 'complete' AS target FROM customer WHERE c_custkey % 2 = 0 UNION ALL "
     "SELECT c_custkey, c_nationkey, t FROM customer, (SELECT 'half' AS t UNION ALL SELECT 'absent') x WHERE c_custkey % 2 = 1")
 ORACLES["refreshed_years"] = (
-    f"WITH {GDP} SELECT year, COUNT(*) AS entities, {r6('SUM(gdp_k + CASE WHEN year = 1997 THEN 1 ELSE 0 END)', 'gdp_k')}, "
+    f"WITH {GDP} SELECT year, COUNT(*) AS entities, {r6('CAST(SUM(CAST(gdp_k + CASE WHEN year = 1997 THEN 1 ELSE 0 END AS DECIMAL(18,2))) AS DOUBLE)', 'gdp_k')}, "
     "year = 1997 AS rewritten FROM gdp WHERE year <> 1998 GROUP BY year")
 ORACLES["swapped_table"] = "SELECT s_suppkey, s_nationkey FROM supplier"
 
 
 def _silhouette():
     return f"""{_labelled()},
-pts AS (SELECT entity_key, cluster_label, score AS x, COALESCE(pct_native, 0) AS y, COALESCE(population, 0) AS z FROM lab
+pts AS MATERIALIZED (SELECT entity_key, cluster_label, score AS x, COALESCE(pct_native, 0) AS y, COALESCE(population, 0) AS z FROM lab
         WHERE score IS NOT NULL AND cluster_label IS NOT NULL ORDER BY md5(CAST(entity_key AS VARCHAR)), entity_key LIMIT 2000),
 sizes AS (SELECT cluster_label, COUNT(*) AS n FROM pts GROUP BY cluster_label),
 sums AS (SELECT a.entity_key, a.cluster_label, b.cluster_label AS other,
