@@ -28,6 +28,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,22 +54,18 @@ def _targets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_c
     """(group..., _c, prob, n, low, high, lo, hi): the bracket of each group, column and share; one aggregate over ``df``."""
     slack = 3 / ACCURACY
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    sketches = []
-    for i, c in enumerate(cols):
-        v = F.col(f"`{c}`").cast("double")
-        sketches.append(F.struct(F.lit(i).alias("_c"), F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"),
-                                 F.percentile_approx(v, edges, ACCURACY).alias("q")).alias(f"_s{i}"))
-    grouped = df.groupBy(*group_cols) if group_cols else df
-    st = grouped.agg(*sketches)
-    st = st.select(*group_cols, F.explode(F.array(*[f"_s{i}" for i in range(len(cols))])).alias("_s")).select(*group_cols, "_s.*")
-
-    def bound(p: float, d: float, end: str):
+    shares = ", ".join(f"{e!r}D" for e in edges)
+    sketches = [F.expr(f"struct({i} AS _c, count(v) AS n, min(v) AS low, max(v) AS high, percentile_approx(v, array({shares}), {ACCURACY}) AS q)"
+                       .replace("(v", f"(CAST(`{c}` AS DOUBLE)")).alias(f"_s{i}") for i, c in enumerate(cols)]
+    st = (df.groupBy(*group_cols) if group_cols else df).agg(*sketches)
+    st = st.select(*group_cols, F.expr(f"inline(array({', '.join(f'_s{i}' for i in range(len(cols)))}))"))
+
+    def bound(p: float, d: float, end: str) -> str:
         at = min(1.0, max(0.0, p + d))
-        return F.when((F.col("n") <= SMALL) | F.lit(at in (0.0, 1.0)), F.col(end)).otherwise(F.col("q")[edges.index(at)])
+        return end if at in (0.0, 1.0) else f"IF(n <= {SMALL}, {end}, q[{edges.index(at)}])"
 
-    each = [F.struct(F.lit(float(p)).alias("prob"), bound(p, -slack, "low").alias("lo"), bound(p, slack, "high").alias("hi")) for p in probs]
-    return st.select(*group_cols, "_c", "n", "low", "high", F.explode(F.array(*each)).alias("_t")).select(
-        *group_cols, "_c", "n", "low", "high", "_t.*")
+    each = ", ".join(f"struct({float(p)!r}D AS prob, {bound(p, -slack, 'low')} AS lo, {bound(p, slack, 'high')} AS hi)" for p in probs)
+    return st.select(*group_cols, "_c", "n", "low", "high", F.expr(f"inline(array({each}))"))
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
@@ -133,30 +133,35 @@ def _stack(rows: Sequence[Sequence], names: Sequence[str]):
     return F.stack(*args).alias(*names)
 
 
-CORR_BLOCK = 32  # columns correlated with by one aggregate
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations as (x, y, r).
+    """Pairwise-complete Pearson correlations as (x, y, r); r is NULL where one of the two does not vary.
 
-    Every row is stacked to one row per column x, and a grouped aggregate of
-    ``corr`` buffers takes x against all columns at once: the expansion is
-    pipelined inside the scan stage, and at most one row per column and task is
-    shuffled. Wide frames go in blocks of ``CORR_BLOCK`` columns, which bounds the generated code.
+    A row becomes one vector of its k values (0 where NULL, less the column's
+    mean), of k marks (1 where not NULL) and of the values' squares. The Gram matrix of these
+    vectors holds every pair's count, sums, sums of squares and sum of
+    products over the rows that have both values: one aggregate of (3 k)^2 / 2
+    numbers a task, added up as a tree, whatever the rows. The means come from an aggregate before it.
     """
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], "x string, y string, r double")
-    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    if len(cols) > CORR_BLOCK:
-        values = keep(values)
-    rows = [(c, c, 1.0) for c in cols]
-    for at in range(0, len(cols), CORR_BLOCK):
-        block = range(at, min(at + CORR_BLOCK, len(cols)))
-        stacked = values.select(*[f"c{j}" for j in block],
-                                _stack([(F.lit(i), F.col(f"c{i}")) for i in range(len(cols))], ["i", "x"]))
-        sums = stacked.groupBy("i").agg(*[F.corr("x", f"c{j}").alias(f"r{j}") for j in block]).collect()
-        rows += [(cols[r["i"]], cols[j], r[f"r{j}"]) for r in sums for j in block if r["i"] != j]
+    k = len(cols)
+    values = keep(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
+    means = values.selectExpr(*[f"coalesce(avg(c{i}), 0D) AS m{i}" for i in range(k)]).first()
+    shifted = values.selectExpr(*[f"coalesce(c{i} - {float(means[i])!r}D, 0D) AS c{i}" for i in range(k)],
+                                *[f"CAST(c{i} IS NOT NULL AS DOUBLE) AS n{i}" for i in range(k)])
+    every = shifted.selectExpr("*", *[f"c{i} * c{i} AS q{i}" for i in range(k)])
+    vectors = VectorAssembler(inputCols=[f"{p}{i}" for p in "cnq" for i in range(k)], outputCol="v").transform(every).select("v")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
+    c, n, q = (slice(i * k, (i + 1) * k) for i in range(3))
+    count, sums, squares = gram[n, n], gram[c, n], gram[q, n]  # [i, j]: of column i where j is there too
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = gram[c, c] - sums * sums.T / count
+        var = squares - sums ** 2 / count
+        r = cov / np.sqrt(var * var.T)
+    flat = (var <= 1e-12 * squares) | (var.T <= 1e-12 * squares.T) | (count < 2)
+    rows = [(x, y, 1.0 if i == j else None if flat[i, j] else float(min(1.0, max(-1.0, r[i, j]))))
+            for i, x in enumerate(cols) for j, y in enumerate(cols)]
     return spark.createDataFrame(rows, "x string, y string, r double")
 
 

@@ -159,30 +159,45 @@ def shipped_landuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(o, li.l_orderkey == o.o_orderkey).select(KEY, CLASS, YEAR, AREA)
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_of_year(spark: SparkSession, sf_dir: str, ref_year: int) -> int:
+    """The year of orders that stands for ``ref_year``: itself, else the latest before it, else the first."""
+    year = F.year("o_orderdate")
+    r = table(spark, sf_dir, "orders").agg(F.max(F.when(year <= ref_year, year)), F.min(year)).first()
+    return r[0] if r[0] is not None else r[1] or ref_year
+
+
+def activity(spark: SparkSession, sf_dir: str, order_years: Sequence[int] | None = None,
+             ship_years: Sequence[int] | None = None) -> DataFrame:
     """Lines of one (entity, class, order year, shipment year): the extracts below share this one join of the
-    largest tables, persisted."""
+    largest tables, persisted.
+
+    With years given, only lines ordered or shipped in one of them are summed up."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias(KEY), F.col("o_orderpriority").alias(CLASS),
         F.year("o_orderdate").alias("order_year"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.year("l_shipdate").alias("ship_year"), "l_quantity", "l_extendedprice", "l_discount")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
+    if order_years is not None and ship_years is not None:
+        j = j.where(F.col("order_year").isin(list(order_years)) | F.col("ship_year").isin(list(ship_years)))
     return keep(j.groupBy(KEY, CLASS, "order_year", "ship_year").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"),
         F.sum(F.col("l_quantity") * (1 - F.col("l_discount"))).alias("discounted")))
 
 
-def landuse_of(act: DataFrame) -> DataFrame:
+def landuse_of(act: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    act = act if years is None else act.where(F.col("order_year").isin(list(years)))
     return act.select(KEY, CLASS, F.col("order_year").alias(YEAR), F.col("quantity").alias(AREA))
 
 
-def population_of(act: DataFrame) -> DataFrame:
+def population_of(act: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    act = act if years is None else act.where(F.col("ship_year").isin(list(years)))
     return (act.groupBy(KEY, F.col("ship_year").alias(YEAR))
             .agg(F.sum("lines").cast("double").alias("population")))
 
 
-def crops_of(act: DataFrame) -> DataFrame:
+def crops_of(act: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    act = act if years is None else act.where(F.col("ship_year").isin(list(years)))
     three = F.stack(F.lit(3), F.lit(214), F.col("quantity"), F.lit(215), F.col("price"),
                     F.lit(216), F.col("discounted")).alias("var_code", "value")
     return act.select(KEY, F.col("ship_year").alias(YEAR), three)

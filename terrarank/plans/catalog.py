@@ -115,10 +115,11 @@ def q_unpivot_years(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ETL / master
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
-    dim, act, orders = A.entity_dim(spark, d), A.activity(spark, d), A.order_activity(spark, d, (A.REF_YEAR,))
-    crops = pivot_sum(A.crops_of(act), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
+    shipped, ordered = (A.REF_YEAR,), (A.CHANGE_START, A.as_of_year(spark, d, A.REF_YEAR), A.REF_YEAR)
+    act, orders = A.activity(spark, d, ordered, shipped), A.order_activity(spark, d, shipped)
+    crops = pivot_sum(A.crops_of(act, shipped), [A.KEY, A.YEAR], "var_code", [214, 215, 216], "value",
                       ["crop_production_t", "crop_value_k", "planted_area_ha"])
-    return build_master(dim, orders.drop("herd_total"), A.population_of(act), A.landuse_of(act),
+    return build_master(A.entity_dim(spark, d), orders.drop("herd_total"), A.population_of(act, shipped), A.landuse_of(act, ordered),
                         A.ANALOG_GROUPS, A.REF_YEAR, A.CHANGE_START, crops=crops, herd=orders.drop("gdp_k"))
 
 
