@@ -4,8 +4,8 @@ The patterns give the base spans, which always stay. The tagger is there for
 what they miss: the same kinds of data written otherwise (a number in other
 groups, an address spelled out) and secrets. It is fitted on a bounded sample
 of labelled windows (``TRAIN_WINDOWS`` with a span and as many without; the
-distinct windows with the smallest hashes over all documents), and on as many
-again with generated forms set into them (``pii_forms``), then reads
+distinct windows with the smallest hashes over all documents), and on twice as many
+with generated forms set into them (``pii_forms``), then reads
 overlapping windows of every text. Every labelled kind holds a digit, an at sign
 or a written-out one, so windows without any (``MARK``) hold no span and are not
 decoded. Where windows overlap, each character takes the tag of the window it
@@ -55,9 +55,12 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9.]+")
 _WORD = re.compile(r"[^\W_]+")
+_LONG_WORD = re.compile(r"[A-Za-z0-9+/=_-]{16,}")
 
 WINDOW, STRIDE = 96, 48
 TRAIN_WINDOWS = 600
+FORM_ROUNDS = 2
+EPOCHS = 14
 DECODE_ROWS = 2048  # windows decoded at once
 N_TAGS = 1 + 2 * len(TAGGED)  # outside, then begin and inside of each kind
 
@@ -225,10 +228,16 @@ def labelled_windows(docs: DataFrame, id_col: str, text_col: str, windows: int)
     return _encoded(sample_windows(docs, id_col, text_col, windows))
 
 
+def unlabelled_secret(piece: str, spans: list) -> bool:
+    """Whether a window holds what may be a secret, which no pattern labels: it is no example of a window without one."""
+    return any(plausible("secret", m.group()) and all(m.end() <= a or m.start() >= b for _, a, b in spans) for m in _LONG_WORD.finditer(piece))
+
+
 def with_forms(windows: list[tuple[str, list]], seed: int = 5) -> list[tuple[str, list]]:
-    """The windows, and each once more with a generated form set in (where it has room), kinds in turn."""
+    """The windows, and each ``FORM_ROUNDS`` times more with a generated form set in (where it has room), kinds in turn."""
+    windows = [w for w in windows if not unlabelled_secret(*w)]
     rnd, out = random.Random(seed), list(windows)
-    for n, (piece, spans) in enumerate(windows):
+    for n, (piece, spans) in enumerate(windows * FORM_ROUNDS):
         kind, make = FORMS[n % len(FORMS)]
         made = placed(piece, spans, kind, make(rnd), rnd, WINDOW)
         if made:
@@ -242,8 +251,8 @@ def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sample = sample_windows(docs, id_col, text_col, windows)
     if not any(spans for _, spans in sample):
         return None
-    tagger = Tagger(N_TAGS)
-    tagger.fit(*_encoded(with_forms(sample)))
+    tagger = Tagger(N_TAGS, hidden=24)
+    tagger.fit(*_encoded(with_forms(sample)), epochs=EPOCHS, batch=128, rate=0.04)
     return tagger
 
 
@@ -251,6 +260,7 @@ LONGEST = 320  # characters of an added span: what an address may have
 
 # What a kind must hold, however it is written; groups of digits apart by anything but letters and line breaks.
 _PARTS = re.compile(r"[0-9]+")
+_DATE = re.compile(r"(19|20)[0-9]{2}[-./][0-9]{1,2}[-./][0-9]{1,2}")
 _WRITTEN_EMAIL = re.compile(r"[\w.%+-]+\s{0,2}(?:@|[\[(]\s?at\s?[\])]|\bat\b)\s{0,2}[\w-]+(?:\s{0,2}(?:\.|[\[(]\s?dot\s?[\])]|\bdot\b)\s{0,2}[\w-]+)+",
                             re.ASCII | re.IGNORECASE)
 
@@ -272,9 +282,23 @@ def plausible(kind: str, piece: str) -> bool:
     digits = "".join(parts)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(_digits(digits))
+    if _DATE.fullmatch(piece):
+        return False
     return 8 <= len(digits) <= 15 and len(piece) <= 2 * len(digits) + 4 and len(parts) > 1
 
 
+def fitted(kind: str, text: str, start: int, end: int) -> tuple[str, int, int] | None:
+    """The span if it is plausible, else, of numbers that a sum or a count checks, without its first or last group if that is."""
+    if plausible(kind, text[start:end]):
+        return kind, start, end
+    parts = list(_PARTS.finditer(text, start, end)) if kind in ("card", "ip") and end - start <= LONGEST else []
+    if len(parts) > 2:
+        for a, b in ((parts[1].start(), end), (start, parts[-2].end())):
+            if plausible(kind, text[a:b]):
+                return kind, a, b
+    return None
+
+
 def to_words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans from the start of the first word they touch to the end of the last; of those that then meet, the longest (first of equals)."""
     words = [m.span() for m in _WORD.finditer(text)] if spans else []
@@ -329,7 +353,7 @@ def model_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[str, int, i
             run.append(tags[i, s][a:b])
         if run:
             spans += spans_of(np.concatenate(run), run_start)
-        out.append([x for x in to_words(text, spans) if plausible(x[0], text[x[1]:x[2]])])
+        out.append([x for s in to_words(text, spans) if (x := fitted(s[0], text, s[1], s[2]))])
     return out
 
 

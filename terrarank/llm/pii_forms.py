@@ -61,8 +61,9 @@ def plain_phone(rnd: random.Random) -> tuple[str, str]:
 
 def secret(rnd: random.Random) -> tuple[str, str]:
     size = rnd.choice([24, 32, 40, 48])
-    value = "".join(rnd.choice(HEX if rnd.random() < 0.6 else ALNUM) for _ in range(size))
-    value = value[:4] + str(rnd.randrange(10)) + rnd.choice("abcdef") + value[6:]
+    letters = rnd.choice([HEX, HEX, HEX.upper(), ALNUM, ALNUM[:36]])
+    value = "".join(rnd.choice(letters) for _ in range(size))
+    value = value[:4] + str(rnd.randrange(10)) + rnd.choice(letters[10:16]) + value[6:]
     quote = rnd.choice(['"', '"', "'", ""])
     name = rnd.choice(SECRET_NAMES)
     return f"{name if rnd.random() < 0.8 else name.upper()}{rnd.choice([' = ', '=', ': ', ':'])}{quote}{value}{quote}", value
@@ -90,10 +91,16 @@ def placed(piece: str, spans: list[tuple[str, int, int]], kind: str | None, form
     if not borders or len(text) + 2 > size:
         return None
     at = rnd.choice(borders) + 1
+    # sometimes a number of its own stands beside it
+    before, after = (f"{rnd.randrange(100)} " if rnd.random() < 0.3 else "", f" {rnd.randrange(1000)}" if rnd.random() < 0.15 else "")
+    shift = len(before)
+    text = f"{before}{text}{after}"
+    if len(text) + 2 > size:
+        return None
     whole = f"{piece[:at]}{text} {piece[at:]}"
     moved = [(k, a, b) if b <= at else (k, a + len(text) + 1, b + len(text) + 1) for k, a, b in spans]
     if kind is not None:
-        start = at + text.index(found)
+        start = at + shift + text[shift:].index(found)
         moved.append((kind, start, start + len(found)))
     # the form with what stands around it
     room = size - len(text)
