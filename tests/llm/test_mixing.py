@@ -66,6 +66,17 @@ def test_mixture(spark, seed):
     assert sorted(r.doc_id or -1 for r in mixed.collect()) == sorted(r.doc_id or -1 for r in got for _ in range(r.copies))
 
 
+def scale_by_hand(sizes, rest):
+    """c of min(1, c * size): sizes that reach 1 are certain, one at a time, from the largest."""
+    sizes, left = sorted((x for x in sizes if x), reverse=True), rest
+    while sizes:
+        c = left / sum(x * x for x in sizes)
+        if c * sizes[0] < 1:
+            return c
+        left -= sizes.pop(0)
+    return 0.0
+
+
 def test_first_round_is_the_order_sample(spark):
     rows = corpus(2)
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -77,26 +88,46 @@ def test_first_round_is_the_order_sample(spark):
     for s, p in plan.items():
         if not p.share:
             continue
-        # equal shares within a source: the order is that of u
-        left, cut = p.rest, None
+        assert p.scale == pytest.approx(scale_by_hand([n for _, n in by[s]], p.rest), rel=1e-9)
         groups = defaultdict(int)
         for u, n in by[s]:
-            groups[u] += n
-        for u in sorted(groups):
-            if groups[u] > left:
+            if n:
+                chance = min(1.0, p.scale * n)
+                groups[(u * (1 - chance)) / ((1 - u) * chance), u, n] += n
+        left, taken = p.rest, set()
+        for key in sorted(groups):
+            if groups[key] > left:
                 break
-            left, cut = left - groups[u], u
-        taken = {u for u, _ in by[s] if (u / (1 - u)) / (p.share / (1 - p.share)) < 1e300
-                 and int((q := (u / (1 - u)) / (p.share / (1 - p.share))) / (1 + q) * 2**48) <= p.cut0}
-        assert taken == {u for u in groups if cut is not None and u <= cut}
-
-
-def test_every_document_is_equally_likely():
-    # documents of one source and size: the share taken of each half of the ids is near the share of all
-    rnd = random.Random(1)
-    us = [rnd.random() for _ in range(4000)]
-    cut = sorted(us)[1200]
-    assert abs(sum(u <= cut for u in us[:2000]) - 600) < 90
+            left -= groups[key]
+            taken.add(key)
+        odds = p.share / (1 - p.share)
+        assert taken == {g for g in groups if int(g[0] * odds / (1 + g[0] * odds) * 2**48) <= p.cut0}, s
+
+
+def test_inclusion_is_proportional_to_size(spark):
+    """Many sources of the same sizes and weight: how often the order sample takes a document of each size, against
+    its probability. (The rounds after it fill the gap with documents that fit, and so prefer short ones.)"""
+    sizes = [1, 2, 3, 5, 8, 13, 21, 34] * 6
+    rows = [(1000 * k + i, "w " * n, f"s{k:04d}") for k in range(600) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = df.select("source", M.word_count(F.col("text")).alias("size"), M.uniform(F.col("doc_id"), F.col("text")).alias("u"))
+    plan = M.sampling_plan(sized)
+    light = plan.where("whole = 0")  # weight 1: half of its size
+    assert light.count() == 200
+    got = {r["size"]: r.n for r in M._keyed(sized, light).where(M._chosen(1)).groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    c = scale_by_hand(sizes, sum(sizes) / 2)
+    for n in set(sizes):
+        assert abs(got.get(n, 0) / 1200 - min(1.0, c * n)) < 0.05, (n, got.get(n, 0) / 1200, c * n)
+
+
+@pytest.mark.parametrize("share", [1e-7, 1e-3, 0.5, 1 - 1e-7])
+def test_order_is_spread_at_any_share(spark, share):
+    """No place of the order's first two levels gathers the documents, however small the share."""
+    rows = spark.range(200_000).select(((F.col("id") + 0.5) / 200_000).alias("u"))
+    key = M.order_key(F.col("u"), F.lit(share), F.lit(share))
+    first = M.ORDER_BITS - M.STRETCH_BITS
+    most = rows.groupBy(F.shiftright(key, first)).count().agg(F.max("count")).first()[0]
+    assert most <= 200_000 / 4096 + 2
 
 
 def test_empty_and_single(spark):
