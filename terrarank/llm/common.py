@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarank.session import checkpoint_dir
+from terrarank.sources.sinks import remove_dataset
 
 #: Words are runs of anything but ASCII white space (what ``bytes.split`` yields).
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
@@ -22,16 +24,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def materialize(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage in a form every executor can reread, so a lost executor
-    costs a re-read and never a recomputation of what stands above.
+    costs a re-read and never a recomputation of what stands above. Within
+    ``scratch`` the table goes with the block it was written in, unless it is its ``result``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = _SCRATCH.get()
+    if written is not None and not result:
+        written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes, at its end, the tables that operators wrote on their way inside: for callers that have their result written by then."""
+    token = _SCRATCH.set([])
+    try:
+        yield
+    finally:
+        paths = _SCRATCH.get()
+        _SCRATCH.reset(token)
+        for path in paths:
+            remove_dataset(spark, path)
 
 
 @contextmanager

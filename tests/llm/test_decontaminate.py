@@ -120,3 +120,37 @@ def test_empty_tables(spark, frames):
     for limit in (10**6, -1):
         assert D.contaminated_pairs(docs.limit(0), items, broadcast_words=limit).count() == 0
         assert D.contaminated_pairs(docs, items.limit(0), broadcast_words=limit).count() == 0
+
+
+def test_repetitive_texts_take_bounded_memory():
+    import tracemalloc
+    item, doc = np.full(200, 7, np.uint64), np.full(60_000, 7, np.uint64)
+    tracemalloc.start()
+    tiles = D.tile(item, doc)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _, _ in tiles) == 200 and peak < 60_000 * 1000
+
+
+def test_blocks_of_pairs_do_not_change_matches(monkeypatch):
+    rnd = np.random.default_rng(2)
+    for _ in range(30):
+        item, doc = rnd.integers(1, 4, 40).astype(np.uint64), rnd.integers(1, 4, 300).astype(np.uint64)
+        args = D.Running(item), D.Running(doc), np.arange(36), np.arange(296), 5
+        monkeypatch.setattr(D, "PAIRS", 1 << 18)
+        whole = sorted(D._matches(*args))
+        monkeypatch.setattr(D, "PAIRS", 7)
+        assert sorted(D._matches(*args)) == whole
+
+
+def test_a_one_word_item_meets_frequent_words_by_join(spark):
+    """A word in every document, as an item of its own: one seed of size one a document passes the filter."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('the ', repeat('the word ', 30), id) as text")
+    items = spark.createDataFrame([(1, "the"), (2, "no such words stand anywhere here"), (3, "word the word the word the word")], "item_id int, text string")
+    found = D.contaminated_pairs(docs, items, broadcast_words=0)
+    assert sorted(found.groupBy("item_id").count().collect()) == [(1, 3000), (3, 3000)]
+    seeds = D._seed_rows(items.selectExpr("item_id as item_key", "text"), "item_key")
+    sizes = sorted({r["size"] for r in seeds.collect()})
+    assert sizes == [1, 5]
+    passed = D._seed_rows(docs.selectExpr("doc_id as row_key", "text"), "row_key", sizes, D._seed_filter(seeds))
+    assert passed.where("size = 1").count() == 3000 and passed.where("size = 5").count() <= 3000 * 3

@@ -93,3 +93,15 @@ def test_tags():
 def test_an_expression_ends_before_what_cannot_follow(text, labels, score):
     r = L.scan(text, L._automaton())
     assert r["labels"] == labels and r["score"] == pytest.approx(score)
+
+
+def test_many_matches_take_linear_time():
+    import time
+    machine = L._automaton()
+    start = time.perf_counter()
+    got = L.scan("cc by all rights reserved " * 60_000, machine)
+    assert time.perf_counter() - start < 3
+    assert (got["n_base"], got["first_word"], got["last_word"]) == (120_000, 0, 5 * 59_999 + 2)
+    # a match may begin before the one found last
+    mixed = L.scan("x cc by general public license cc by", machine)
+    assert (mixed["first_word"], mixed["last_word"], mixed["n_base"]) == (1, 6, 3)

@@ -86,3 +86,11 @@ def test_packing_of_numbers():
         x = np.random.default_rng(0).integers(0, 200, 1000).astype(kind)
         assert np.array_equal(S._unzip(S._zip(x), kind), x)
         assert len(S._unzip(S._zip(x[:0]), kind)) == 0
+
+
+def test_groups_grow_in_number_not_in_size(spark):
+    docs = spark.range(1)
+    tasks = S.n_tasks(docs)
+    for sent in (0, S.GROUP_BYTES * 10, S.GROUP_BYTES * 5000):
+        bits = S._group_bits(docs, sent)
+        assert sent / (1 << bits) <= S.GROUP_BYTES and 1 << bits >= tasks and (1 << bits) <= 2 * max(tasks, sent // S.GROUP_BYTES + 1)
