@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; all but the last return the columns of ``documents``. ``run`` writes
 each stage's result as Parquet into the shared checkpoint folder and reads it
-back as the next one's input.
+back as the next one's input; a stage's own tables, and its input, are removed
+once its result is written.
 
 Nulls, empty and very long texts, ties, repeated rows, empty tables and
 columns with clashing names are settled by the operators; their docstrings
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrarank.llm.common import materialize, table
+from terrarank.llm.common import materialize, scratch, table
 from terrarank.llm.decontaminate import drop_contaminated
 from terrarank.llm.mixing import mix
 from terrarank.llm.quality import keep_good
 from terrarank.llm.queries import token_digests
 from terrarank.llm.simhash import keep_one_per_component
+from terrarank.sources.sinks import remove_dataset
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +63,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", result=True)
+        if before is not None:
+            remove_dataset(spark, before)
+        before = docs.written_to
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
