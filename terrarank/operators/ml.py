@@ -89,6 +89,24 @@ def feature_names(design: DataFrame) -> list[str]:
     return [a["name"] for a in sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])]
 
 
+class SettledForest:
+    """A random forest that does not depend on how its rows were partitioned.
+
+    Bootstrap draws follow a row's partition and place in it, so rows are dealt
+    out by a hash of their values, to a number of partitions that their count
+    alone decides, and sorted within each.
+    """
+
+    def __init__(self, forest: RandomForestRegressor, rows_per_task: int = 20_000):
+        self.forest, self.rows_per_task = forest, rows_per_task
+
+    def fit(self, design: DataFrame):
+        names = [*feature_names(design), "label"]
+        tasks = max(1, -(-design.count() // self.rows_per_task))
+        dealt = design.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+        return self.forest.fit(dealt.repartition(tasks, "_h").sortWithinPartitions("_h", *[F.col(f"`{c}`") for c in names]).drop("_h"))
+
+
 class GramElasticNet:
     """Elastic net from one pass over the rows, whatever the number of folds (``operators.linear``)."""
 
@@ -124,7 +142,7 @@ def make_estimator(name: str, label_std: float | None = None, forest_depth: int
     two external boosting methods at their defaults: second-order gains with an L2 penalty by depth, and
     leaf-wise growth. Elastic net has α=1, l1_ratio=0.5."""
     if name == "random_forest":
-        return RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=forest_depth, seed=SEED)
+        return SettledForest(RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=forest_depth, seed=SEED))
     if name == "gradient_boosting":
         return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, checkpointInterval=10)
     if name == "boosting_deep":
@@ -183,7 +201,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequ
         return task, estimators[name].fit(d if k is None else d.where(F.col("fold") != k))
 
     own = [n for n in names if hasattr(estimators[n], "cross_validate")]
-    forests = [n for n in names if isinstance(estimators[n], RandomForestRegressor)]
+    forests = [n for n in names if isinstance(estimators[n], SettledForest)]
     fitted = {}
     for group, at_once in ((forests, FORESTS_AT_ONCE), ([n for n in names if n not in own and n not in forests], parallelism)):
         with ThreadPoolExecutor(max_workers=min(at_once, parallelism)) as ex:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from threading import get_ident
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,7 +75,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_KEPT: list[DataFrame] = []
+_KEPT: list[tuple[int, DataFrame]] = []  # with the thread that keeps it
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -83,11 +84,13 @@ def keep(df: DataFrame) -> DataFrame:
     Persisted blocks are only a cache: a lost executor's part is recomputed.
     """
     df = df.persist()
-    _KEPT.append(df)
+    _KEPT.append((get_ident(), df))
     return df
 
 
 def release() -> None:
-    """Unpersist what ``keep`` has persisted so far; call it when the results have been written."""
-    while _KEPT:
-        _KEPT.pop().unpersist()
+    """Unpersist what ``keep`` has persisted so far in this thread; call it when the results have been written."""
+    mine = [entry for entry in _KEPT if entry[0] == get_ident()]
+    for entry in mine:
+        _KEPT.remove(entry)
+        entry[1].unpersist()

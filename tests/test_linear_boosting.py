@@ -70,6 +70,18 @@ def test_correlated_and_constant_features():
     assert L.coordinate_descent(np.eye(2), np.array([0.4, -0.5])).tolist() == [0.0, 0.0]  # below the threshold
 
 
+# ----------------------------------------------------------------- forest
+def test_forest_does_not_depend_on_partitions(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+    df, _ = table(spark, 300, nulls=False)
+    design = ml.design_matrix(df, NAMES, ml.fit_standardizer(df, NAMES), False)
+    found = []
+    for parts in (1, 16):
+        forest = ml.SettledForest(RandomForestRegressor(numTrees=5, maxDepth=4, seed=1), rows_per_task=100)
+        found.append(forest.fit(design.repartition(parts)).featureImportances.toArray())
+    assert found[0].tolist() == found[1].tolist()
+
+
 # ----------------------------------------------------------------- boosting
 def plain_tree(bins, r, p, cuts):
     """Strict best-first growth, counting after every split."""

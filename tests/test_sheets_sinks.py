@@ -58,7 +58,7 @@ def test_header_offsets(spark, tmp_path):
     by = {}
     for r in rows:
         by.setdefault(os.path.basename(r.file), []).append(r)
-    assert [r.key for r in by["ten.csv"]] == [str(1100000 + i) for i in range(60)]
+    assert sorted(r.key for r in by["ten.csv"]) == [str(1100000 + i) for i in range(60)]
     assert {(r.uf, r.key_name, r.absent) for r in by["ten.csv"]} == {("RO", "code", None)}
     assert sorted(r.key for r in by["blank.csv"]) == ["0110001", "1100015"] and len(by["short.csv"]) == 1 and "none.csv" not in by
 
@@ -110,7 +110,7 @@ def test_only_changed_years_are_written(spark, tmp_path):
     now = files(path)
     assert {f for f in first if "year=2000" in f} == {f for f in now if "year=2000" in f and now[f] == first[f]}
     assert not any(f in now for f in first if "year=2000" not in f)
-    assert sorted(map(tuple, spark.read.schema(df.schema).parquet(path).collect())) == sorted(map(tuple, changed.collect()))
+    assert sorted(map(tuple, spark.read.schema(df.schema).parquet(path).select(df.columns).collect())) == sorted(map(tuple, changed.collect()))
 
 
 def test_tables_are_swapped(spark, tmp_path):
