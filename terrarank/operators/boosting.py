@@ -10,8 +10,10 @@ smaller one is counted and the larger one is its parent less that.
 A tree grows best-first: the leaf whose split gains most is split next, up to
 ``max_leaves``. Which leaves these are is not known ahead, so one pass counts
 the children of all candidates that could still be among them, and growth goes
-on until it needs children nobody counted. The tree is exactly the one that
-counting after every split would give, in about as many passes as the tree is deep.
+on until it needs children nobody counted. A leaf of at most ``FEW_ROWS`` rows sends
+those (their bins and residuals) instead of histograms, and what grows below it
+needs no further pass. The tree is exactly the one that counting after every
+split would give, in about as many passes as it has levels of larger leaves.
 
 With sums R of residuals and n of rows, a leaf's value is R / (n + l2) and a
 split gains R_l^2 / (n_l + l2) + R_r^2 / (n_r + l2) - R^2 / (n + l2). NULLs go to
@@ -36,11 +38,13 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.taskcontext import TaskContext
 
 from terrarank.session import cut_lineage
 
 FLUSH = 10
 TASK_ROWS = 250_000  # rows of a histogram task, so that small tables take few tasks
+FEW_ROWS = 256  # a leaf's rows that are sent as they are: max_leaves times as many at most in one pass
 DIGITS = 6  # gains are compared on this many decimals, whatever order the sums came in
 
 
@@ -159,8 +163,11 @@ class Growing:
         self.children: list[tuple[int, int] | None] = [None]
         self.hists: list[tuple[np.ndarray, np.ndarray] | None] = [None]
         self.asked: list[tuple[int, int]] = [(0, -1)]  # nodes to count, each with the sibling that is the rest
+        self.fetch: list[int] = []  # nodes whose rows are to be sent
+        self.rows: list[tuple[np.ndarray, np.ndarray] | None] = [None]
 
-    def counted(self, hists: dict[int, tuple[np.ndarray, np.ndarray]], parents: dict[int, int]) -> None:
+    def counted(self, hists: dict[int, tuple[np.ndarray, np.ndarray]], sent: dict[int, tuple[np.ndarray, np.ndarray]],
+                parents: dict[int, int]) -> None:
         for node, other in self.asked:
             own = hists[node]
             self._set(node, own)
@@ -168,7 +175,24 @@ class Growing:
                 whole = self.hists[parents[node]]
                 self._set(other, (whole[0] - own[0], whole[1] - own[1]))
                 self.hists[parents[node]] = None
-        self.asked = []
+        for node, rows in sent.items():
+            self.rows[node] = rows
+        self.asked, self.fetch = [], []
+
+    def _split_here(self, node: int) -> None:
+        """Children of a node whose rows are here."""
+        bins, residual = self.rows[node]
+        s, shape = self.split[node], self.hists[node][0].shape
+        b = bins[:, s.feature]
+        left = np.where(b < 0, s.null_left, b <= s.cut)
+        self._expand(node)
+        for child, own in zip(self.children[node], (left, ~left)):
+            self.rows[child] = bins[own], residual[own]
+            k, width = shape
+            cells = (np.arange(k) * width + np.where(bins[own] < 0, width - 1, bins[own])).ravel()
+            self._set(child, (np.bincount(cells, np.repeat(residual[own], k), k * width).reshape(shape),
+                              np.bincount(cells, minlength=k * width).reshape(shape)))
+        self.rows[node] = self.hists[node] = None
 
     def _set(self, node: int, hist: tuple[np.ndarray, np.ndarray]) -> None:
         self.hists[node] = hist
@@ -182,9 +206,12 @@ class Growing:
         inner: dict[int, tuple[int, int]] = {}
         while order and len(inner) + 1 < self.p.max_leaves:
             _, number, node = order[0]
+            if self.children[node] is None and self.rows[node] is not None:
+                self._split_here(node)
             if self.children[node] is None:
-                wanted = heapq.nsmallest(self.p.max_leaves - len(inner) - 1, order)
-                self.asked = [self._expand(n) for _, _, n in wanted if self.children[n] is None]
+                wanted = [n for _, _, n in heapq.nsmallest(self.p.max_leaves - len(inner) - 1, order) if self.children[n] is None]
+                self.fetch = [n for n in wanted if self.sums[n][1] <= FEW_ROWS and self.rows[n] is None]
+                self.asked = [self._expand(n) for n in wanted if self.sums[n][1] > FEW_ROWS]
                 return None
             heapq.heappop(order)
             inner[number] = len(final), len(final) + 1
@@ -204,6 +231,7 @@ class Growing:
             self.split.append(None)
             self.children.append(None)
             self.hists.append(None)
+            self.rows.append(None)
             self.sums.append(sums)
             self.depth.append(self.depth[node] + 1)
         return pair if s.left[1] <= s.right[1] else pair[::-1]
@@ -239,52 +267,72 @@ def _added(base: np.ndarray, model: np.ndarray, bins: np.ndarray, trees: dict[in
 
 
 def _histograms(state: DataFrame, k: int, width: int, recent: dict[int, list[Tree]], growing: dict[int, Growing], rate: float):
-    """{model: {node: (residuals, rows)}} of the nodes that are asked for: one pass."""
+    """({model: {node: (residuals, rows)}} of the nodes to count, the same of the rows to send, parents): one pass."""
     sketches = {m: g.sketch() for m, g in growing.items()}
-    slots, where = {}, []
+    slots, where, few = {}, [], []
     for m, g in growing.items():
-        own = np.full(len(g.split), -1)
+        own, sent = np.full(len(g.split), -1), np.full(len(g.split), -1)
         for node, _ in g.asked:
             own[node] = len(where)
             where.append((m, node))
-        slots[m] = own, sketches[m][0]
+        for node in g.fetch:
+            sent[node] = len(few)
+            few.append((m, node))
+        slots[m] = own, sent, sketches[m][0]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = len(where) * k * width
         sums, rows = np.zeros(size), np.zeros(size, np.int64)
-        step = np.arange(k) * width
+        step, seen = np.arange(k) * width, TaskContext.get().partitionId() << 40
         for batch in batches:
             model, bins, label, base = _arrays(batch, k)
             residual = label - _added(base, model, bins, recent, rate)
-            for m, (own, tree) in slots.items():
-                here = np.flatnonzero(model == m)
-                slot = own[tree.leaf_of(bins[here])]
-                here, slot = here[slot >= 0], slot[slot >= 0]
+            for m, (own, sent, tree) in slots.items():
+                every = np.flatnonzero(model == m)
+                leaf = tree.leaf_of(bins[every])
+                send = every[sent[leaf] >= 0]
+                if len(send):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(-1 - sent[leaf[sent[leaf] >= 0]]), pa.array(seen + 1 + send), pa.array(residual[send]), pa.array(np.ones(len(send), np.int64)),
+                         pa.array([r.tobytes() for r in bins[send].astype("<i2")], pa.binary())], names=names)
+                slot = own[leaf]
+                here, slot = every[slot >= 0], slot[slot >= 0]
                 b = bins[here].astype(np.int64)
                 cells = ((slot * (k * width))[:, None] + step + np.where(b < 0, width - 1, b)).ravel()
                 sums += np.bincount(cells, np.repeat(residual[here], k), size)
                 rows += np.bincount(cells, minlength=size)
+            seen += len(model)
         used = np.flatnonzero(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used]), pa.array(rows[used])], names=["cell", "r", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.zeros(len(used), np.int64)), pa.array(sums[used]), pa.array(rows[used]),
+                                          pa.nulls(len(used), pa.binary())], names=names)
 
-    found = state.mapInArrow(count, "cell long, r double, n long").groupBy("cell").agg(F.sum("r").alias("r"), F.sum("n").alias("n")).toArrow()
+    names = ["cell", "row", "r", "n", "bins"]  # cells below 0 are rows sent as they are, each with a number of its own
+    found = state.mapInArrow(count, "cell long, row long, r double, n long, bins binary").groupBy("cell", "row").agg(
+        F.sum("r").alias("r"), F.sum("n").alias("n"), F.first("bins").alias("bins")).toArrow()
     sums, rows = np.zeros(len(where) * k * width), np.zeros(len(where) * k * width, np.int64)
-    cell = found.column("cell").to_numpy()
-    sums[cell], rows[cell] = found.column("r").to_numpy(), found.column("n").to_numpy()
+    cell, r = found.column("cell").to_numpy(), found.column("r").to_numpy()
+    whole = cell >= 0
+    sums[cell[whole]], rows[cell[whole]] = r[whole], found.column("n").to_numpy()[whole]
     sums, rows = sums.reshape(-1, k, width), rows.reshape(-1, k, width)
+    sent: dict[int, dict] = {m: {} for m in growing}
+    order = np.lexsort((found.column("row").to_numpy(), cell))
+    for i, (m, node) in enumerate(few):
+        at = order[np.searchsorted(cell[order], -1 - i):np.searchsorted(cell[order], -1 - i, "right")]
+        data = b"".join(found.column("bins").take(pa.array(at)).to_pylist())
+        sent[m][node] = np.frombuffer(data, "<i2").reshape(-1, k), r[at]
     out: dict[int, dict] = {m: {} for m in growing}
     for i, (m, node) in enumerate(where):
         out[m][node] = sums[i], rows[i]
-    return out, {m: parents for m, (_, parents) in sketches.items()}
+    return out, sent, {m: parents for m, (_, parents) in sketches.items()}
 
 
 def grow_trees(state: DataFrame, models: Sequence[int], k: int, p: Boosting, recent: dict[int, list[Tree]], width: int) -> dict[int, Tree]:
     """The next tree of every model."""
     growing, done = {m: Growing(p) for m in models}, {}
     while growing:
-        hists, parents = _histograms(state, k, width, recent, growing, p.rate)
+        hists, sent, parents = _histograms(state, k, width, recent, growing, p.rate)
         for m, g in list(growing.items()):
-            g.counted(hists[m], parents[m])
+            g.counted(hists[m], sent[m], parents[m])
             tree = g.grow()
             if tree is not None:
                 done[m] = tree

@@ -123,9 +123,11 @@ def plain_tree(bins, r, p, cuts):
 SMALL = [B.Boosting(rounds=4, max_leaves=7, min_rows=5, rate=0.3), B.Boosting(rounds=3, max_leaves=64, max_depth=3, min_rows=1, l2=1.0)]
 
 
+@pytest.mark.parametrize("few", [0, 60, 1000])
 @pytest.mark.parametrize("p", SMALL)
-def test_trees_are_those_of_strict_best_first_growth(spark, monkeypatch, p):
+def test_trees_are_those_of_strict_best_first_growth(spark, monkeypatch, p, few):
     monkeypatch.setattr(B, "FLUSH", 2)
+    monkeypatch.setattr(B, "FEW_ROWS", few)  # leaves of at most so many rows are grown from their rows
     df, rows = table(spark, 300)
     cuts = B.bin_cuts(df, NAMES, 12)
     binned = B.with_bins(df, NAMES, cuts)
