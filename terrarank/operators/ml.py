@@ -184,7 +184,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequ
     Returns (metrics DataFrame, fitted models, design frames). Metrics:
     CV RMSE / R² mean and population std over folds, training R². Models that
     know how to take all folds in one go (elastic net, histogram boosting) do
-    so, one after the other; the fits of the others share pools of concurrent jobs, forests first and few at once.
+    so, at the same time as the fits of the others, which share pools of concurrent jobs, forests few at once.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)  # boosting checkpoints its lineage every 10 rounds
@@ -202,16 +202,19 @@ def cross_validate(df: DataFrame, features: Sequence[str], key: str, names: Sequ
 
     own = [n for n in names if hasattr(estimators[n], "cross_validate")]
     forests = [n for n in names if isinstance(estimators[n], SettledForest)]
-    fitted = {}
-    for group, at_once in ((forests, FORESTS_AT_ONCE), ([n for n in names if n not in own and n not in forests], parallelism)):
-        with ThreadPoolExecutor(max_workers=min(at_once, parallelism)) as ex:
-            fitted.update(ex.map(run, [(name, k) for name in group for k in folds]))
+    others = [n for n in names if n not in own and n not in forests]
+    with (ThreadPoolExecutor(max(1, min(FORESTS_AT_ONCE, parallelism))) as few, ThreadPoolExecutor(max(1, parallelism)) as many,
+          ThreadPoolExecutor(max(1, len(own))) as single):
+        running = [few.submit(run, (n, k)) for n in forests for k in folds] + [many.submit(run, (n, k)) for n in others for k in folds]
+        whole = {n: single.submit(estimators[n].cross_validate, designs[n == "elastic_net"], n_folds) for n in own}
+        fitted = dict(f.result() for f in running)
+        settled = {n: f.result() for n, f in whole.items()}
     rows = []
     models = {}
     for name in names:
         d = designs[name == "elastic_net"]
         if name in own:
-            errors, train, models[name] = estimators[name].cross_validate(d, n_folds)
+            errors, train, models[name] = settled[name]
         else:
             preds = None
             for k in range(n_folds):
