@@ -150,6 +150,19 @@ def test_trees_are_those_of_strict_best_first_growth(spark, monkeypatch, p, few)
     assert np.allclose(shown.prediction, at) and "bins" not in shown
 
 
+def test_a_tree_takes_a_pass_a_level_that_can_be_split(spark, monkeypatch):
+    """Root, its children, theirs: what is known is followed down, and the leaves at the greatest depth are never counted."""
+    monkeypatch.setattr(B, "FEW_ROWS", 0)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 64)  # several blocks a task
+    passes, count = [], B._histograms
+    monkeypatch.setattr(B, "_histograms", lambda *a: passes.append(1) or count(*a))
+    df, _ = table(spark, 400)
+    cuts = B.bin_cuts(df, NAMES, 12)
+    p = B.Boosting(rounds=2, max_leaves=8, max_depth=3, min_rows=1, l2=1.0)
+    booster = B.fit_boosters(B.with_bins(df, NAMES, cuts).withColumn("model", F.lit(0)), NAMES, cuts, p)[0]
+    assert [(t.feature < 0).sum() for t in booster.trees] == [8, 8] and len(passes) <= 2 * 3
+
+
 def test_models_grow_in_step_as_they_would_alone(spark):
     df, _ = table(spark, 400)
     p = B.Boosting(rounds=3, max_leaves=6, min_rows=10)
