@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from terrarank.operators import ml, stats
 from terrarank.plans import analog as A
 
 
@@ -26,3 +27,23 @@ def test_shared_join_is_dealt_out_by_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(A, "LINES_A_TASK", 10)
     many, parts = found()
     assert many == few and parts > 20  # 80 parts for 40 customers
+
+
+def test_short_passes_run_in_few_tasks(spark, monkeypatch):
+    """Boosting and k-means take as many tasks as the rows call for, not as the tables came in."""
+    rows = [(i, float(i % 7), float(i * i % 11), float(i % 5)) for i in range(60)]
+    base = spark.createDataFrame(rows, "id int, a double, b double, label double").repartition(6)
+    design = ml.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(base)
+    seen = []
+
+    def fit(self, df, params=None):
+        seen.append(df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(ml.GBTRegressor, "fit", fit)
+    ml.make_estimator("gradient_boosting").fit(design)
+    own = ml._kmeans
+    monkeypatch.setattr(ml, "_kmeans", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or own(df, *a))
+    ml.choose_k(design, "id", ks=(2, 3), restarts=1)
+    assert seen == [1, 1, 1]
+    monkeypatch.setattr(ml, "TASK_ROWS", 20)
+    assert ml.in_few_tasks(design).rdd.getNumPartitions() == 3
