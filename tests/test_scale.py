@@ -47,3 +47,16 @@ def test_short_passes_run_in_few_tasks(spark, monkeypatch):
     assert seen == [1, 1, 1]
     monkeypatch.setattr(ml, "TASK_ROWS", 20)
     assert ml.in_few_tasks(design).rdd.getNumPartitions() == 3
+
+
+def test_json_files_follow_the_rows_not_their_keys(spark, tmp_path, monkeypatch):
+    from terrarank.plans import catalog
+    day = datetime.datetime(1998, 5, 1)
+    orders = [(i * 1000 if i % 50 else None, 2.5 * i, day) for i in range(1, 301)]
+    spark.createDataFrame(orders * 2, "o_orderkey long, o_totalprice double, o_orderdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(catalog, "JSON_FILE_ROWS", 250)
+    found = catalog.q_flat_json_extract(spark, str(tmp_path)).collect()
+    want = [(str(k + 1_000_000)[:7], 1998, None if k % 7 == 0 else v) for k, v, _ in orders if k is not None] * 2  # rows without a key are cleaned away
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+    assert 3 <= len(list((tmp_path / "flat-json").glob("*/*.txt"))) <= 8  # 600 rows, 250 a file and task
