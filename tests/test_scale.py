@@ -60,3 +60,24 @@ def test_json_files_follow_the_rows_not_their_keys(spark, tmp_path, monkeypatch)
     want = [(str(k + 1_000_000)[:7], 1998, None if k % 7 == 0 else v) for k, v, _ in orders if k is not None] * 2  # rows without a key are cleaned away
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
     assert 3 <= len(list((tmp_path / "flat-json").glob("*/*.txt"))) <= 8  # 600 rows, 250 a file and task
+
+
+def test_grouped_quantiles_are_dealt_out_by_size(spark, monkeypatch):
+    """Groups of a few rows, a NULL group larger than a part, NULL values: the same rows, in more parts."""
+    rows = [(None if i % 3 == 0 else i // 4, "x" if i % 2 else None, float(i * 37 % 101) if i % 13 else None, float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows + [(5000, "x", None, None)], "g long, h string, v double, w double")
+
+    def found(group_cols, cols, empty):
+        out = stats.order_statistics(df, cols, [0.25, 0.5, 0.9], group_cols, empty)
+        return out.columns, sorted(map(repr, map(tuple, out.collect()))), out.select(F.spark_partition_id()).distinct().count()
+
+    cases = [(["g"], ["v"], False), (["g"], ["v", "w"], True), (["g", "h"], ["w"], False)]
+    before = [found(*c) for c in cases]
+    monkeypatch.setattr(stats, "GROUPED_ROWS", 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the brackets are too many to broadcast
+    try:
+        after = [found(*c) for c in cases]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for (names, few, _), (same, many, parts) in zip(before, after):
+        assert same == names and many == few and parts > 10
