@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrarank.operators.boosting import Booster
+from terrarank.operators.forest import ForestModel
 from terrarank.session import checkpoint_dir, cut_lineage
 from terrarank.sources.sinks import remove_dataset
 
@@ -49,6 +50,8 @@ def _saved_nodes(model, session) -> tuple[DataFrame, str | None]:
     """The node data of a tree ensemble, read from its saved form, and where that lies."""
     if isinstance(model, Booster):
         return _own_nodes(model, session), None
+    if isinstance(model, ForestModel):
+        return model.nodes(session), None
     path = f"{checkpoint_dir(session).rstrip('/')}/tree-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     return session.read.parquet(f"{path}/data").select(
@@ -105,6 +108,8 @@ def _scales(model) -> list[float]:
     """What each tree's prediction is multiplied by in the ensemble's."""
     if isinstance(model, Booster):
         return [model.params.rate] * len(model.trees)
+    if isinstance(model, ForestModel):
+        return [1.0 / len(model.trees)] * len(model.trees)
     weights = [float(w) for w in model.treeWeights]
     return [w / len(weights) if type(model).__name__.startswith("RandomForest") else w for w in weights]
 
