@@ -28,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrarank.operators.boosting import bin_cuts, with_bins
+from terrarank.operators.boosting import with_bins
 from terrarank.session import cut_lineage
 
+COUNTED = 10_000  # values of a feature that are counted one by one
+SKETCHED = 1_000  # steps of the sketch of a feature with more
 BRANCH_ROWS = 1_000_000  # rows of a branch that one task finishes: some 200 bytes each
 LOT_TREES = 2  # trees that a task grows from the same rows
 LARGE_LOTS = 4  # large branches that a task finishes, one after the other
@@ -47,21 +49,42 @@ class Forest:
 
 
 # ----------------------------------------------------------------- bins
+def stride_cuts(values: Sequence[float], times: Sequence[float], max_bins: int) -> list[float]:
+    """Cuts of ascending values: between all of them if they are few, else at about equal steps of their counts.
+
+    A value that takes several steps moves the next cuts up to the values that follow it, so none is lost (as in Spark's trees).
+    """
+    between = [a + (b - a) / 2 for a, b in zip(values, values[1:])]
+    if len(values) <= max_bins:
+        return between
+    step = sum(times) / max_bins
+    cuts, target, seen = [], step, times[0]
+    for cut, more in zip(between, times[1:]):
+        if abs(seen - target) < abs(seen + more - target):
+            cuts.append(cut)
+            target += step
+        seen += more
+    return cuts[:max_bins - 1]
+
+
 def forest_cuts(df: DataFrame, features: Sequence[str], max_bins: int) -> list[list[float]]:
-    """Cuts between all values of a feature that has at most ``max_bins``, else equal-depth quantiles."""
+    """``stride_cuts`` of each feature: of all its values with their counts if it has at most ``COUNTED``, else of a sketch of all rows."""
     if not features:
         raise ValueError("a forest needs features")
-    cuts = bin_cuts(df, features, max_bins)
-    values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"`{c}`").cast("double").alias("v"))
-                                           for i, c in enumerate(features)])).alias("e")).select("e.*").distinct()
-    few = [r.f for r in values.groupBy("f").count().where(F.col("count") <= max_bins).collect()]
-    found: dict[int, list[float]] = {f: [] for f in few}
-    for r in values.where(F.col("f").isin(few) & F.col("v").isNotNull()).collect() if few else []:  # max_bins a feature at most
-        found[r.f].append(r.v)
-    for f, own in found.items():
-        own.sort()
-        cuts[f] = [a + (b - a) / 2 for a, b in zip(own, own[1:])]
-    return cuts
+    counts = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"`{c}`").cast("double").alias("v"))
+                                           for i, c in enumerate(features)])).alias("e")).select("e.*").groupBy("f", "v").count()
+    few = {r.f for r in counts.groupBy("f").agg(F.count("v").alias("n")).where(F.col("n") <= COUNTED).collect()}
+    found: dict[int, dict[float, float]] = {f: {} for f in range(len(features))}
+    for r in counts.where(F.col("f").isin(few) & F.col("v").isNotNull()).collect() if few else []:  # COUNTED a feature at most
+        found[r.f][r.v] = r["count"]
+    many = [f for f in found if f not in few]
+    if many:
+        shares = [i / SKETCHED for i in range(SKETCHED + 1)]
+        row = df.agg(*[F.percentile_approx(F.col(f"`{features[f]}`").cast("double"), shares, 40 * SKETCHED).alias(f"q{f}") for f in many]).first()
+        for f in many:
+            for v in row[f"q{f}"]:
+                found[f][v] = found[f].get(v, 0) + 1
+    return [stride_cuts(*zip(*sorted(own.items())), max_bins) if own else [] for own in found.values()]
 
 
 # ----------------------------------------------------------------- draws

@@ -1,5 +1,7 @@
 """Random forests: whole trees against Spark's, branches against whole tables, and the query's fits."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -32,6 +34,19 @@ def test_one_tree_is_sparks(spark):
     assert np.allclose(tree.predict(bins), wanted, atol=1e-9)
 
 
+def test_cuts_are_sparks_where_one_value_is_half_the_rows(spark):
+    """A value of many rows takes no other value's cuts."""
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random(500) < 0.5, 0.0, rng.normal(size=500).round(3))
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(
+        spark.createDataFrame([(float(v), float(l)) for v, l in zip(x, rng.normal(size=500))], "a double, label double")).coalesce(1)
+    nodes = DecisionTreeRegressor(maxDepth=20).fit(df)
+    used = {float(t) for t in re.findall(r"feature 0 <= (\S+?)\)", nodes.toDebugString)}
+    cuts = R.forest_cuts(df, ["a"], 32)[0]
+    assert len(used) > 20 and all(min(abs(c - u) for c in cuts) < 1e-9 for u in used)
+    assert len(R.stride_cuts(*np.unique(x, return_counts=True), 32)) == len(cuts) > 25
+
+
 def test_draws_are_poisson_and_follow_only_number_model_and_tree():
     numbers = np.arange(50_000) + (3 << 33)
     got = [R.draws(numbers, 42, m, t) for m in (-1, 0) for t in (0, 1)]
