@@ -211,3 +211,39 @@ def test_degenerate_tables(spark):
     model = B.fit_boosters(B.with_bins(df, ["a", "b"], cuts).withColumn("model", F.lit(0)), ["a", "b"], cuts, B.LEAF_WISE)[0]
     assert {r.prediction for r in model.transform(df).collect()} == {6.0}
     assert B.fit_boosters(B.with_bins(df.limit(0), ["a", "b"], cuts).withColumn("model", F.lit(0)), ["a", "b"], cuts, B.LEAF_WISE) == {}
+
+
+@pytest.mark.parametrize("p", [B.Boosting(rounds=12, max_leaves=7, min_rows=5, rate=0.3), B.Boosting(rounds=12, max_leaves=64, max_depth=3, min_rows=1, l2=1.0)])
+def test_models_of_one_task_are_those_of_passes_over_blocks(spark, monkeypatch, p):
+    """Rows without a fold or label serve no model. All rounds of all models take a few jobs, not some for each round."""
+    df, _ = table(spark, 300)
+    df = ml.with_fold(df, "id").withColumn("fold", F.when(F.col("id") % 50 > 0, F.col("fold"))).withColumn(
+        "label", F.when(F.col("id") % 40 > 0, F.col("label"))).persist()
+    sc, found = spark.sparkContext, []
+    for rows in (B.ONE_TASK_ROWS, 0):
+        monkeypatch.setattr(B, "ONE_TASK_ROWS", rows)
+        sc.setJobGroup(f"one-task-{rows}", "boosting")
+        held, seen, model = B.cross_validate_boosting(df, NAMES, p, 5)
+        found.append((len(sc.statusTracker().getJobIdsForGroup(f"one-task-{rows}")), model,
+                      *[sorted((str(r.fold), r.label, round(r.prediction, 6)) for r in x.collect()) for x in (held, seen)]))
+        sc._jsc.clearJobGroup()
+    (jobs, one, *shown), (_, passes, *wanted) = found
+    assert shown == wanted and len(shown[0]) == len(shown[1]) > 250 and jobs <= 25
+    assert one.start == pytest.approx(passes.start) and len(one.trees) == len(passes.trees) == 12
+    for a, b in zip(one.trees, passes.trees):
+        for name in ("feature", "cut", "null_left", "left", "right", "rows"):
+            assert np.array_equal(getattr(a, name), getattr(b, name)), name
+        assert np.allclose(a.value, b.value) and np.allclose(a.gain, b.gain, atol=1e-5)
+    df.unpersist()
+
+
+@pytest.mark.parametrize("few", [0, 60, 1000])
+@pytest.mark.parametrize("p", SMALL)
+def test_passes_over_blocks_are_best_first_growth_too(spark, monkeypatch, p, few):
+    monkeypatch.setattr(B, "ONE_TASK_ROWS", 0)
+    test_trees_are_those_of_strict_best_first_growth(spark, monkeypatch, p, few)
+
+
+def test_passes_over_blocks_take_a_pass_a_level(spark, monkeypatch):
+    monkeypatch.setattr(B, "ONE_TASK_ROWS", 0)
+    test_a_tree_takes_a_pass_a_level_that_can_be_split(spark, monkeypatch)
