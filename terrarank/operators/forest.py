@@ -5,9 +5,10 @@ cross-validation and the fit on all rows) has its own bootstrap: a row's Poisson
 the row's number, the model and the tree, so no draw travels and none depends on tasks. A row's number is its
 place among all rows, which are dealt out and sorted by their values.
 
-A branch of at most ``BRANCH_ROWS`` rows goes to one task, level by level there; larger ones are split first,
-from histograms of (tree, branch, feature, bin) that each task adds up and Spark sums, one pass a level.
-Tables of at most ``BRANCH_ROWS`` rows need no such pass, and the models of a tree share what is sent.
+Tables of at most ``WHOLE_ROWS`` rows are read as they are stored by tasks that grow a few trees of all models each, so no
+row is sent. Of larger tables a branch of at most ``BRANCH_ROWS`` rows goes to one task; larger ones are split first,
+from histograms of (tree, branch, feature, bin) that each task adds up and Spark sums, one pass a level. What such
+tables send is their rows once a tree and model.
 
 A node's best split is the one that lowers the sum of squares most. Equal gains: the lower feature, the lower
 cut. A node is a leaf at the greatest depth or if no split gains.
@@ -28,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrarank.operators.boosting import with_bins
+from terrarank.operators.boosting import in_one_task_each, with_bins
 from terrarank.session import cut_lineage
 
 COUNTED = 10_000  # values of a feature that are counted one by one
 SKETCHED = 1_000  # steps of the sketch of a feature with more
+WHOLE_ROWS = 6_000_000  # rows of a table that is not cut into branches: some 80 bytes each in a task
 BRANCH_ROWS = 1_000_000  # rows of a branch that one task finishes: some 200 bytes each
-LOT_TREES = 2  # trees that a task grows from the same rows
+LEVEL_ROWS = 50_000  # rows of a branch that is grown level by level; above, node by node
+LOT_TREES = 2  # trees that a task grows from the same rows, or more:
+LOT_ROWS = 100_000_000  # predictions that all lots together may send
+DRAWN = 1 << 18  # rows whose draws are made at a time
 LARGE_LOTS = 4  # large branches that a task finishes, one after the other
 EQUAL = 1 - 1e-9  # gains this close are equal, whatever order the sums came in
 LEAST_GAIN = 1e-16  # of the labels' variance: what is below is rounding
@@ -197,6 +202,66 @@ def grow(bins: np.ndarray, label: np.ndarray, times: np.ndarray, max_depth: int)
     return _tree(**parts)
 
 
+def grow_whole(lines: np.ndarray, label: np.ndarray, times: np.ndarray, max_depth: int, level_rows: int | None = None) -> Tree:
+    """``grow`` in less memory: branches of more than ``level_rows`` rows are split node by node from histograms, of two children the smaller counted."""
+    drawn, level_rows = np.flatnonzero(times), level_rows or LEVEL_ROWS
+    if len(drawn) <= level_rows:
+        return grow(lines, label, times, max_depth)
+    width, k = int(lines.max()) + 1, len(lines)
+    mean = float(np.average(label[drawn], weights=times[drawn]))
+
+    def counted(some: np.ndarray) -> np.ndarray:
+        w = times[some].astype(float)
+        y = (label[some] - mean) * w
+        out = np.empty((2, k, width))
+        for f in range(k):
+            b = lines[f][some].astype(np.intp)
+            out[0, f], out[1, f] = np.bincount(b, w, width), np.bincount(b, y, width)
+        return out
+
+    y = label[drawn] - mean
+    least = LEAST_GAIN * float((y * y * times[drawn]).sum() / times[drawn].sum())
+    del y
+    parts: dict[str, list[float]] = {name: [] for name in FIELDS}
+
+    def node(value: float, rows: float) -> int:
+        for name, own in zip(FIELDS, (-1, 0, 0, value, rows, 0.0)):
+            parts[name].append(own)
+        return len(parts["feature"]) - 1
+
+    hist = counted(drawn)
+    open_, branches = [(node(mean + hist[1, 0].sum() / hist[0, 0].sum(), hist[0, 0].sum()), 0, drawn, hist)], {}
+    del drawn, hist
+    while open_:
+        at, depth, some, (w, s) = open_.pop()
+        n, total = w[0].sum(), s[0].sum()
+        left_n, left_s = np.cumsum(w, axis=1)[:, :-1], np.cumsum(s, axis=1)[:, :-1]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = (left_s - total / n * left_n) ** 2 * (1 / left_n + 1 / (n - left_n))
+        gain = np.where((left_n > 0) & (left_n < n), gain, -np.inf)
+        if depth == max_depth or not gain.size or not gain.max() > least:
+            continue
+        f, c = np.unravel_index((gain >= EQUAL * gain.max()).argmax(), gain.shape)
+        goes_left = lines[f][some] <= c
+        sides = [some[goes_left], some[~goes_left]]
+        parts["feature"][at], parts["cut"][at], parts["left"][at], parts["gain"][at] = int(f), int(c), len(parts["feature"]), float(gain[f, c])
+        sums = [(left_n[f, c], left_s[f, c]), (n - left_n[f, c], total - left_s[f, c])]
+        children = [node(mean + own_s / own_n, own_n) for own_n, own_s in sums]
+        fewer = int(len(sides[1]) < len(sides[0]))
+        hists: list = [None, None]
+        if max(map(len, sides)) > level_rows and depth + 1 < max_depth:
+            hists[fewer] = counted(sides[fewer])
+            hists[1 - fewer] = np.stack([w, s]) - hists[fewer]
+        del some, goes_left
+        for child, side, own in zip(children, sides, hists):
+            if len(side) > level_rows and depth + 1 < max_depth:
+                open_.append((child, depth + 1, side, own))
+            elif depth + 1 < max_depth:
+                branches[child] = grow(lines[:, side], label[side], times[side], max_depth - depth - 1)
+        del sides
+    return _grafted(_tree(**{name: [np.array(own)] for name, own in parts.items()}), branches)
+
+
 # ----------------------------------------------------------------- rows
 BLOCKS = "first long, bins binary, label binary, fold binary"
 
@@ -245,7 +310,11 @@ def _learns(fold: np.ndarray, model: int, n_folds: int) -> np.ndarray:
 
 def _times(numbers: np.ndarray, fold: np.ndarray, seed: int, model: int, tree: int, n_folds: int) -> np.ndarray:
     """The draws of the rows that a model is fitted on, 0 for others; the model of all rows draws the same whatever the folds."""
-    return np.where(_learns(fold, model, n_folds), draws(numbers, seed, model if model < n_folds else -1, tree), 0)
+    times = np.zeros(len(fold), np.uint8)
+    for at in range(0, len(fold), DRAWN):
+        part = slice(at, at + DRAWN)
+        times[part] = np.where(_learns(fold[part], model, n_folds), draws(numbers[part], seed, model if model < n_folds else -1, tree), 0)
+    return times
 
 
 def _asks(fold: np.ndarray, model: int, n_folds: int) -> np.ndarray:
@@ -337,21 +406,60 @@ def _depths(top: Tree) -> np.ndarray:
 SENT = "lot int, first long, numbers binary, bins binary, label binary, fold binary"
 
 
-def _finished(blocks: DataFrame, n: int, k: int, models: Sequence[int], n_folds: int, p: Forest, branch_rows: int, trees: bool):
-    """(all branches grown, upper parts): predictions (row, fold, label, held, seen), or else the trees (model, tree, node, fields)."""
-    tops = _split_large(blocks, n, k, models, n_folds, p, branch_rows)
-    if n > branch_rows:  # a lot: one branch of one tree
+def _finished(blocks: DataFrame, n: int, k: int, models: Sequence[int], n_folds: int, p: Forest, bounds: tuple[int, int], what: str):
+    """(all branches grown, upper parts): "predictions" (row, fold, label, held, seen), the "trees" (model, tree, node, fields)
+    or the "gains" of their features (model, tree, gains). ``bounds``: rows of a table that is not cut, rows of a branch."""
+    whole, branch_rows = n <= bounds[0], bounds[1]
+    tops = _split_large(blocks, n, k, models, n_folds, p, n if whole else branch_rows)
+    if not whole:  # a lot: one branch of one tree
         lots = [[(m, t, int(node))] for (m, t), top in tops.items() for node in np.flatnonzero(top.feature < 0)]
     else:  # a lot: a few trees of all models, from the same rows
-        lots = [[(m, t, 0) for t in range(at, min(at + LOT_TREES, p.trees)) for m in models] for at in range(0, p.trees, LOT_TREES)]
+        each = max(LOT_TREES, -(-p.trees * n // LOT_ROWS))
+        lots = [[(m, t, 0) for t in range(at, min(at + each, p.trees)) for m in models] for at in range(0, p.trees, each)]
     places: dict[tuple[int, int], np.ndarray] = {}  # the lot of each leaf of an upper part
     for lot, branches in enumerate(lots):
         for m, t, node in branches:
             places.setdefault((m, t), np.full(len(tops[m, t].feature), -1))[node] = lot
-    whole = n <= branch_rows
     depths = [[int(_depths(tops[m, t])[node]) for m, t, node in branches] for branches in lots] if not whole else None
     seed, max_depth, uppers = p.seed, p.max_depth, None if whole else tops
     n_lots = len(lots)
+    schema = {"trees": "model int, tree int, node int, " + ", ".join(f"`{c}` binary" for c in FIELDS), "gains": "model int, tree int, gains binary",
+              "predictions": "row long, fold int, label double, held double, seen double"}[what]
+    names = [c.split()[0].strip("`") for c in schema.split(", ")]
+
+    def grown(lot: int, numbers: np.ndarray, lines: np.ndarray, label: np.ndarray, fold: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held, seen = (np.zeros(len(label)) for _ in range(2)) if what == "predictions" else (None, None)
+        asked = np.zeros(len(label), bool)
+        for i, (m, t, node) in enumerate(lots[lot]):
+            tree = grow_whole(lines, label, _times(numbers, fold, seed, m, t, n_folds), max_depth - (depths[lot][i] if depths else 0))
+            if what == "trees":
+                yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.int32()) for x in (m, t, node)],
+                                                  *[pa.array([getattr(tree, name).tobytes()], pa.binary()) for name in FIELDS]], names=names)
+            elif what == "gains":
+                inner = tree.feature >= 0
+                yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.int32()) for x in (m, t)], pa.array(
+                    [np.bincount(tree.feature[inner], tree.gain[inner], k).tobytes()], pa.binary())], names=names)
+            else:
+                for at in range(0, len(label), DRAWN):
+                    asks = at + np.flatnonzero(_asks(fold[at:at + DRAWN], m, n_folds))
+                    asked[asks] = True
+                    (held if m < n_folds else seen)[asks] += tree.predict(lines[:, asks])
+        for at in range(0, len(label) if what == "predictions" else 0, DRAWN):
+            here = at + np.flatnonzero(asked[at:at + DRAWN])
+            yield pa.RecordBatch.from_arrays([pa.array(x[here]) for x in (numbers, fold.astype(np.int32), label, held, seen)], names=names)
+
+    if whole:
+        def fit(lot: int, own: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+            parts = []
+            for numbers, bins, label, fold in (_unpacked(*block, k) for block in own):
+                parts.append((numbers, np.ascontiguousarray(bins.T, np.uint8 if bins.max(initial=0) < 256 else np.int16), label, fold))
+            parts.sort(key=lambda part: part[0][0])
+            if parts:
+                arrays = [np.concatenate([part[i] for part in parts], axis=-1) for i in range(4)]
+                parts.clear()
+                yield from grown(lot, *arrays)
+
+        return in_one_task_each(blocks, range(n_lots), lambda lot: lambda first: True, fit, schema), tops
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def record(lot, first, *parts):
@@ -360,10 +468,6 @@ def _finished(blocks: DataFrame, n: int, k: int, models: Sequence[int], n_folds:
 
         for batch in batches:
             for block in zip(*(c.to_pylist() for c in batch.columns)):
-                if whole:
-                    for lot in range(n_lots):
-                        yield record(lot, block[0], b"", *block[1:])
-                    continue
                 numbers, bins, label, fold = _unpacked(*block, k)
                 lines = np.ascontiguousarray(bins.T)
                 for (m, t), top in uppers.items():
@@ -376,30 +480,12 @@ def _finished(blocks: DataFrame, n: int, k: int, models: Sequence[int], n_folds:
     def finish(key, sent):
         sent = sent.sort_values("first")
         parts = [_unpacked(*row, k) for row in zip(sent["first"], sent["bins"], sent["label"], sent["fold"])]
-        numbers = np.concatenate([np.frombuffer(own, "<i8") if len(own) else part[0] for own, part in zip(sent["numbers"], parts)])
+        numbers = np.concatenate([np.frombuffer(own, "<i8") for own in sent["numbers"]])
         bins, label, fold = (np.concatenate([part[i] for part in parts]) for i in (1, 2, 3))
-        lines = np.ascontiguousarray(bins.T)
-        held, seen, grown = np.zeros(len(label)), np.zeros(len(label)), []
-        asked = np.zeros(len(label), bool)
-        for i, (m, t, node) in enumerate(lots[key[0]]):
-            times = _times(numbers, fold, seed, m, t, n_folds)
-            tree = grow(lines, label, times, max_depth - (depths[key[0]][i] if depths else 0))
-            if trees:
-                grown.append((m, t, node, *[getattr(tree, name).tobytes() for name in FIELDS]))
-                continue
-            asks = np.flatnonzero(_asks(fold, m, n_folds))
-            asked[asks] = True
-            (held if m < n_folds else seen)[asks] += tree.predict(lines[:, asks])
-        if trees:
-            return pd.DataFrame(grown, columns=["model", "tree", "node", *FIELDS])
-        return pd.DataFrame({"row": numbers, "fold": fold.astype(np.int32), "label": label, "held": held, "seen": seen})[asked]
-
-    schema = "model int, tree int, node int, " + ", ".join(f"`{c}` binary" for c in FIELDS) if trees else \
-        "row long, fold int, label double, held double, seen double"
+        return pa.Table.from_batches(list(grown(key[0], numbers, np.ascontiguousarray(bins.T), label, fold))).to_pandas()
+
     sent = blocks.mapInArrow(send, SENT)
-    # a range reads what is sent twice, but deals the few lots of small tables out evenly
-    dealt = sent.repartitionByRange(n_lots, "lot") if whole else sent.repartition(max(1, n_lots // LARGE_LOTS), "lot")
-    return dealt.groupBy("lot").applyInPandas(finish, schema), tops
+    return sent.repartition(max(1, n_lots // LARGE_LOTS), "lot").groupBy("lot").applyInPandas(finish, schema), tops
 
 
 def _grafted(top: Tree, branches: dict[int, Tree]) -> Tree:
@@ -420,14 +506,14 @@ def _grafted(top: Tree, branches: dict[int, Tree]) -> Tree:
 class ForestModel:
     """A fitted forest over named features and their cuts; its trees are fetched when they are asked for."""
 
-    def __init__(self, blocks: DataFrame, n: int, features: Sequence[str], cuts: list[list[float]], p: Forest, model: int, branch_rows: int):
+    def __init__(self, blocks: DataFrame, n: int, features: Sequence[str], cuts: list[list[float]], p: Forest, model: int, bounds: tuple[int, int]):
         self.features, self.cuts, self.params = list(features), cuts, p
-        self._fit = blocks, n, model, branch_rows
+        self._fit = blocks, n, model, bounds
 
     @cached_property
     def trees(self) -> list[Tree]:
-        blocks, n, model, branch_rows = self._fit
-        found, tops = _finished(blocks, n, len(self.features), [model], model, self.params, branch_rows, trees=True)
+        blocks, n, model, bounds = self._fit
+        found, tops = _finished(blocks, n, len(self.features), [model], model, self.params, bounds, "trees")
         branches: dict[int, dict[int, Tree]] = {t: {} for t in range(self.params.trees)}
         for r in found.collect():  # 30 bytes a node
             branches[r.tree][r.node] = Tree(**{name: np.frombuffer(r[name], kind) for name, kind in FIELDS.items()})
@@ -435,11 +521,14 @@ class ForestModel:
 
     @property
     def featureImportances(self) -> DenseVector:  # noqa: N802 - the name Spark's tree models have
-        """Each tree's gains by feature as shares, added up over the trees, as shares."""
+        """Each tree's gains by feature as shares, added up over the trees, as shares; the tasks send the gains, not the trees."""
         whole = np.zeros(len(self.features))
-        for t in self.trees:
-            inner = t.feature >= 0
-            own = np.bincount(t.feature[inner], t.gain[inner], len(whole))
+        blocks, n, model, bounds = self._fit
+        found, tops = _finished(blocks, n, len(whole), [model], model, self.params, bounds, "gains")
+        gains = {t: np.bincount(top.feature[top.feature >= 0], top.gain[top.feature >= 0], len(whole)) for (_, t), top in tops.items()}
+        for r in sorted(found.collect(), key=lambda r: (r.tree, r.gains)):
+            gains[r.tree] = gains[r.tree] + np.frombuffer(r.gains)
+        for own in gains.values():
             whole += own / own.sum() if own.sum() > 0 else 0.0
         return DenseVector((whole / whole.sum() if whole.sum() > 0 else whole).tolist())
 
@@ -482,17 +571,20 @@ def _prepared(design: DataFrame, features: Sequence[str], p: Forest, rows_per_ta
     return cuts, blocks, sizes
 
 
+def _bounds(branch_rows: int | None) -> tuple[int, int]:
+    return branch_rows or WHOLE_ROWS, branch_rows or BRANCH_ROWS
+
+
 def fit_forest(design: DataFrame, features: Sequence[str], p: Forest, rows_per_task: int, branch_rows: int | None = None) -> ForestModel:
     cuts, blocks, n = _prepared(design, features, p, rows_per_task)
-    return ForestModel(blocks, n, features, cuts, p, 0, branch_rows or BRANCH_ROWS)
+    return ForestModel(blocks, n, features, cuts, p, 0, _bounds(branch_rows))
 
 
 def cross_validate_forest(design: DataFrame, features: Sequence[str], p: Forest, n_folds: int, rows_per_task: int,
                           branch_rows: int | None = None) -> tuple[DataFrame, DataFrame, ForestModel]:
     """(fold, label, prediction) of every row by the model that has not seen it; the same of the model of all rows; that model."""
-    branch_rows = branch_rows or BRANCH_ROWS
     cuts, blocks, n = _prepared(design, features, p, rows_per_task)
-    found, _ = _finished(blocks, n, len(features), range(n_folds + 1), n_folds, p, branch_rows, trees=False)
+    found, _ = _finished(blocks, n, len(features), range(n_folds + 1), n_folds, p, _bounds(branch_rows), "predictions")
     rows = cut_lineage(found.groupBy("row", "fold", "label").agg((F.sum("held") / p.trees).alias("held"), (F.sum("seen") / p.trees).alias("seen")))
     return (rows.where("fold >= 0").select("fold", "label", F.col("held").alias("prediction")),
-            rows.select("fold", "label", F.col("seen").alias("prediction")), ForestModel(blocks, n, features, cuts, p, n_folds, branch_rows))
+            rows.select("fold", "label", F.col("seen").alias("prediction")), ForestModel(blocks, n, features, cuts, p, n_folds, _bounds(branch_rows)))

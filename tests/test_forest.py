@@ -123,3 +123,44 @@ def test_labels_must_be_there(spark):
     design, _, _ = design_of(spark, 40)
     with pytest.raises(Exception, match="Labels MUST NOT be"):
         ml.SettledForest(RandomForestRegressor(numTrees=2, maxDepth=2), 100).fit(design.withColumn("label", F.lit(None).cast("double")))
+
+
+@pytest.mark.parametrize("level_rows", [1, 40, 400])
+def test_large_trees_grown_node_by_node_are_the_same(level_rows):
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, [[5], [20], [32]], (3, 900)).astype(np.uint8)
+    y = bins[0] * 3.0 + np.where(bins[1] > 7, bins[2], 0) + rng.normal(size=900)
+    times = rng.poisson(1, 900)
+    for depth in (0, 1, 4, 12):
+        want, got = R.grow(bins, y, times, depth), R.grow_whole(bins, y, times, depth, level_rows)
+        assert len(want.feature) == len(got.feature) and np.allclose(want.predict(bins), got.predict(bins))
+        assert sorted(zip(want.feature, want.cut, want.rows)) == sorted(zip(got.feature, got.cut, got.rows))
+        assert np.allclose(sorted(want.gain), sorted(got.gain))
+
+
+def test_whole_tables_are_read_where_they_lie(spark, monkeypatch):
+    """No row is sent: a shuffle of the rows once every few trees grew with the number of trees."""
+    design, _, _ = design_of(spark)
+    p = R.Forest(trees=6, max_depth=5)
+    cuts, blocks, n = R._prepared(design, NAMES, p, 100)
+    found, _ = R._finished(blocks, n, 3, range(6), 5, p, (1000, 1000), "predictions")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString() and found.rdd.getNumPartitions() == 3 + 2  # two trees a task, and two with nothing to do
+    want = sorted(found.collect())
+    monkeypatch.setattr(R, "LOT_ROWS", 400)  # as many trees in one task as keep what is predicted below it
+    found, _ = R._finished(blocks, n, 3, range(6), 5, p, (1000, 1000), "predictions")
+    assert found.rdd.getNumPartitions() == 1 + 2
+
+    def sums(rows):
+        out = {}
+        for r in rows:
+            out[r.row] = out.get(r.row, 0.0) + r.held + r.seen
+        return out
+
+    got, want = sums(found.collect()), sums(want)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    model = R.ForestModel(blocks, n, NAMES, cuts, p, 5, (1000, 1000))
+    whole = np.zeros(3)
+    for t in model.trees:
+        own = np.bincount(t.feature[t.feature >= 0], t.gain[t.feature >= 0], 3)
+        whole += own / own.sum()
+    assert np.allclose(model.featureImportances.toArray(), whole / whole.sum())
